@@ -13,7 +13,7 @@ from tarmac.functions import masking, numeric, temporal, text
 from tarmac.operators import aggregates, dedup, filters, joins
 from tarmac.operators.skew import group_mean
 from tarmac.plans import audit, clean, extended, kpis, refresh, report
-from tarmac.roles import PAYMENT_ORDER, TEST_SALT, Roles
+from tarmac.roles import PAYMENT_ORDER, TABLE_SCHEMAS, TEST_SALT, Roles
 from tarmac.session import fresh_folder
 from tarmac.sources import readers, writers
 
@@ -121,16 +121,10 @@ def _(r):
     return readers.rename_by_position(r.table("customer"), names)
 
 
-ORDERS_CSV = (
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
-    " o_orderdate timestamp_ntz, o_orderpriority string"
-)
-
-
 @query("src_csv")
 def _(r):
     paths = writers.write_tables({"orders": r.table("orders")}, fresh_folder(r.spark, "csv"), "csv")
-    return readers.read_csv(r.spark, paths["orders"], ORDERS_CSV)
+    return readers.read_csv(r.spark, paths["orders"], TABLE_SCHEMAS["orders"])
 
 
 def _clean_tables(r: Roles, base: str) -> dict[str, DataFrame]:
@@ -151,7 +145,7 @@ def _(r):
 
 @query("audit_row_counts")
 def _(r):
-    return audit.flight_steps(r.raw["flights"])
+    return audit.flight_steps(r.raw_flights)
 
 
 @query("audit_raw_and_clean")
@@ -206,18 +200,18 @@ def _(r):
 
 @query("drop_null_critical")
 def _(r):
-    return filters.drop_null_critical(r.raw["flights"], ["destination", "arrival_time"])
+    return filters.drop_null_critical(r.raw_flights, ["destination", "arrival_time"])
 
 
 @query("filter_valid_interval")
 def _(r):
-    return filters.valid_interval(r.raw["flights"]).select("flight_id", "departure_time", "arrival_time")
+    return filters.valid_interval(r.raw_flights).select("flight_id", "departure_time", "arrival_time")
 
 
 @query("filter_duration_range")
 def _(r):
     minutes = temporal.duration_minutes(F.col("departure_time"), F.col("arrival_time"))
-    timed = r.raw["flights"].select("flight_id", minutes.alias("duration_mins"))
+    timed = r.raw_flights.select("flight_id", minutes.alias("duration_mins"))
     return filters.duration_in_range(timed)
 
 
@@ -250,8 +244,8 @@ def _(r):
 
 @query("fill_null_constants")
 def _(r):
-    people = r.raw["passengers"].select("passenger_id", "age")
-    bookings = r.raw["bookings"].select("passenger_id", "booking_id", "emergency_contact_name")
+    people = r.raw_passengers.select("passenger_id", "age")
+    bookings = r.raw_bookings.select("passenger_id", "booking_id", "emergency_contact_name")
     joined = people.join(bookings, "passenger_id", "left")
     return filters.fill_constants(joined, {"age": 0, "booking_id": -1, "emergency_contact_name": "Unknown"})
 
@@ -276,13 +270,13 @@ def _(r):
 
 @query("dedup_first_by_key")
 def _(r):
-    first = dedup.first_by_key(r.raw["payments"], "payment_id", PAYMENT_ORDER)
+    first = dedup.first_by_key(r.raw_payments, "payment_id", PAYMENT_ORDER)
     return first.select("payment_id", "amount", "payment_method")
 
 
 def _payments_with_gaps(r: Roles) -> DataFrame:
     amount = F.when(F.col("l_quantity") >= 5, F.col("amount"))
-    return r.raw["payments"].withColumn("amount", amount)
+    return r.raw_payments.withColumn("amount", amount)
 
 
 @query("dedup_valid_then_first")
@@ -347,7 +341,7 @@ def _(r):
     method = F.upper(F.trim("payment_method"))
     mapped = text.map_values(method, C.PAYMENT_LABEL)
     carrier = text.map_values(F.col("airline"), C.CARRIER_SPELLING)
-    payments = r.raw["payments"].select("payment_id", mapped.alias("value"))
+    payments = r.raw_payments.select("payment_id", mapped.alias("value"))
     carriers = _events(r, *CARRIERS).select(F.col("flight_id").alias("payment_id"), carrier.alias("value"))
     return payments.unionByName(carriers)
 
@@ -355,19 +349,19 @@ def _(r):
 @query("fn_collapse_status")
 def _(r):
     status = text.norm_upper(F.col("status"))
-    return r.raw["bookings"].select("booking_id", text.collapse_status(status).alias("value"))
+    return r.raw_bookings.select("booking_id", text.collapse_status(status).alias("value"))
 
 
 @query("fn_binary_gender")
 def _(r):
     gender = text.norm_upper(F.col("gender"))
-    return r.raw["passengers"].select("passenger_id", text.binary_gender(gender).alias("value"))
+    return r.raw_passengers.select("passenger_id", text.binary_gender(gender).alias("value"))
 
 
 @query("fn_age_group")
 def _(r):
     age = numeric.typed_double(F.col("age"))
-    return r.raw["passengers"].select("passenger_id", numeric.age_group(age).alias("value"))
+    return r.raw_passengers.select("passenger_id", numeric.age_group(age).alias("value"))
 
 
 @query("fn_time_slot")
@@ -398,7 +392,7 @@ def _(r):
 @query("fn_year")
 def _(r):
     dob = temporal.try_timestamp(F.col("date_of_birth"))
-    return r.raw["passengers"].select(
+    return r.raw_passengers.select(
         "passenger_id",
         temporal.birth_year(dob).alias("value"),
         temporal.birth_year(dob, zero_for_missing=False).alias("nullable"),
@@ -408,13 +402,13 @@ def _(r):
 @query("fn_duration_minutes")
 def _(r):
     minutes = temporal.duration_minutes(F.col("departure_time"), F.col("arrival_time"))
-    return r.raw["flights"].select("flight_id", minutes.alias("value"))
+    return r.raw_flights.select("flight_id", minutes.alias("value"))
 
 
 @query("fn_overnight_flag")
 def _(r):
     night = temporal.overnight(F.col("departure_time"), F.col("arrival_time"))
-    return r.raw["flights"].select("flight_id", night.alias("value"))
+    return r.raw_flights.select("flight_id", night.alias("value"))
 
 
 @query("fn_duration_hhmm")
@@ -424,35 +418,35 @@ def _(r):
 
 @query("fn_route")
 def _(r):
-    return r.raw["flights"].select(
+    return r.raw_flights.select(
         "flight_id", text.route_name(F.col("source"), F.col("destination")).alias("value")
     )
 
 
 @query("mask_hash_suffix")
 def _(r):
-    return r.raw["bookings"].select(
+    return r.raw_bookings.select(
         "booking_id", masking.hash_salt_last(F.col("passport_number"), TEST_SALT).alias("value")
     )
 
 
 @query("mask_hash_prefix")
 def _(r):
-    return r.raw["bookings"].select(
+    return r.raw_bookings.select(
         "booking_id", masking.hash_salt_first(F.col("passport_number"), TEST_SALT).alias("value")
     )
 
 
 @query("mask_name")
 def _(r):
-    return r.raw["bookings"].select(
+    return r.raw_bookings.select(
         "booking_id", masking.initial_of_stripped(F.col("emergency_contact_name")).alias("value")
     )
 
 
 @query("mask_name_nb")
 def _(r):
-    return r.raw["bookings"].select(
+    return r.raw_bookings.select(
         "booking_id", masking.initial_or_stars(F.col("emergency_contact_name")).alias("value")
     )
 
@@ -536,7 +530,7 @@ def _(r):
 @query("join_fanout_payment")
 def _(r):
     lines = r.bookings.select("booking_id", "status")
-    return joins.with_payments(lines, r.payments, r.rows_per_task)
+    return joins.with_payments(lines, r.stored_payments, r.rows_per_task)
 
 
 @query("join_passenger_subset")
@@ -546,7 +540,7 @@ def _(r):
 
 
 def _master(r: Roles) -> DataFrame:
-    return joins.master(r.bookings_masked, r.flights, r.payments, r.passengers_masked, r.rows_per_task)
+    return joins.master(r.bookings_masked, r.flights, r.stored_payments, r.passengers_masked, r.rows_per_task)
 
 
 @query("master_4way")
@@ -578,19 +572,19 @@ def _(r):
 @query("join_pax_revenue")
 def _(r):
     people = r.passengers.select("passenger_id", "gender", "age_group")
-    return joins.passengers_with_revenue(people, r.bookings, r.payments, r.rows_per_task)
+    return joins.passengers_with_revenue(people, r.bookings, r.stored_payments, r.rows_per_task)
 
 
 @query("join_booking_pax_revenue")
 def _(r):
     lines = r.bookings.select("booking_id", "passenger_id", "status")
-    return joins.bookings_with_revenue_and_passenger(lines, r.payments, r.passengers, r.rows_per_task)
+    return joins.bookings_with_revenue_and_passenger(lines, r.stored_payments, r.passengers, r.rows_per_task)
 
 
 @query("join_revenue_pax")
 def _(r):
     lines = r.bookings.select("booking_id", "passenger_id", "flight_id")
-    return joins.revenue_with_flight_and_passenger(lines, r.payments, r.timed, r.passengers, r.rows_per_task)
+    return joins.revenue_with_flight_and_passenger(lines, r.stored_payments, r.timed, r.passengers, r.rows_per_task)
 
 
 # ---------------------------------------------------------------- window operators
@@ -668,9 +662,10 @@ query("value_counts_map")(lambda r: aggregates.value_counts_json(r.timed, "depar
 @query("count_over_fixed_categories")
 def _(r):
     order = [*C.SLOT_ORDER_WITH_HOURS, C.UNKNOWN_LABEL]
-    with_zero = aggregates.counts_in_order(r.timed, "departure_slot", order)
-    with_null = aggregates.counts_in_order(r.timed, "departure_slot", order, zero_fill=False)
-    return with_zero.join(with_null.select("position", F.col("count").alias("count_or_null")), "position")
+    counted = aggregates.counts_in_order(r.timed, "departure_slot", order, zero_fill=False)
+    return counted.select(
+        "position", "departure_slot", F.coalesce("count", F.lit(0)).alias("count"), F.col("count").alias("count_or_null")
+    )
 
 
 # ---------------------------------------------------------------- report measures

@@ -72,5 +72,3 @@ SLOT_ORDER_PLAIN = [s[0] for s in SLOTS_PLAIN] + [NIGHT_PLAIN]
 
 # Rows of one key that a single task may hold; larger keys are split (see operators.skew).
 ROWS_PER_TASK = 5_000_000
-# Largest table, in bytes of its JSON text, that may be broadcast after its size was checked.
-BROADCAST_BYTES = 32 * 1024 * 1024

@@ -9,10 +9,14 @@ from tarmac import constants as C
 
 # Every character Python's str.strip removes; SQL trim alone removes spaces only.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
 
 
 def strip(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITESPACE))
+    """Without outer white space. The cost of trimming grows with the list of characters, so
+    only text beyond ASCII, which has fewer characters than bytes, is trimmed by the long one."""
+    only_ascii = F.length(c) == F.octet_length(c)
+    return F.when(only_ascii, F.trim(c, F.lit(ASCII_WHITESPACE))).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def text_or_token(c: Column, token: str) -> Column:

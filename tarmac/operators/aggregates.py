@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac import constants as C
 from tarmac.functions.numeric import percent, round2
+from tarmac.session import stored
 
 
 def value_counts(df: DataFrame, column: str, name: str = "count", weight: Column | None = None) -> DataFrame:
@@ -20,11 +21,24 @@ def value_counts(df: DataFrame, column: str, name: str = "count", weight: Column
     )
 
 
-def share_of_total(counts: DataFrame, column: str, name: str, total: DataFrame | None = None) -> DataFrame:
-    """Each count as a percentage of all, the total being a one-value subquery."""
-    if total is None:
-        total = counts.agg(F.sum(column))
-    return counts.withColumn(name, round2(percent(F.col(column), total.scalar())))
+def shares_of_total(counts: DataFrame, shares: dict[str, str]) -> DataFrame:
+    """Percentages of the column totals; `shares` maps new names to columns.
+
+    The grouped rows are stored, as the totals need them before the percentages do.
+    """
+    kinds = dict(counts.dtypes)
+    kept = stored(counts, "counts")
+    out = kept
+    for name, column in shares.items():
+        part = F.col(column)
+        summed = part.cast("decimal(38,2)") if kinds[column] == "double" else part
+        out = out.withColumn(name, round2(percent(part, kept.agg(F.sum(summed)).scalar())))
+    return out
+
+
+def share_of_total(counts: DataFrame, column: str, name: str) -> DataFrame:
+    """Each count as a percentage of all."""
+    return shares_of_total(counts, {name: column})
 
 
 def value_counts_json(df: DataFrame, column: str, max_values: int = 10_000) -> DataFrame:
@@ -75,12 +89,11 @@ def median_and_mean(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = C.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins from the least to the greatest value; the last bin is closed."""
     spark = df.sparkSession
-    distinct = (
-        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    distinct = stored(
+        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")), "values"
     )
-    edges = distinct.agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    low, high = edges.select("low").scalar(), edges.select("high").scalar()
-    x = F.col(column)
+    edges = distinct.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+    low, high, x = edges.getField("low"), edges.getField("high"), F.col(column)
     placed = distinct.select(
         F.least(F.floor((x - low) / ((high - low) / bins)).cast("int") + 1, F.lit(bins)).alias("bin"), "n"
     )
@@ -111,11 +124,12 @@ def distinct_values(df: DataFrame, column: str, max_values: int = 10_000) -> lis
     return sorted(found)
 
 
-def profile(df: DataFrame, order_by: str) -> DataFrame:
+def profile(df: DataFrame, order_by: str, approximate: bool = False) -> DataFrame:
     """Per column: type, missing values, different values and the first value that is present.
 
     Columns are turned into (name, value) rows and counted per value first, so frequent values
-    collapse before the shuffle and every column is handled in the same pass.
+    collapse before the shuffle and every column is handled in the same pass. `approximate`
+    estimates the number of different values instead, which shuffles one sketch per column.
     """
     kinds = dict(df.dtypes)
     names = [c for c in df.columns]
@@ -124,14 +138,19 @@ def profile(df: DataFrame, order_by: str) -> DataFrame:
         for c in names
     ]
     tall = df.select(F.col(order_by).alias("_order"), *as_text).unpivot("_order", names, "column_name", "value")
-    per_value = tall.groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_order").alias("first_at")
-    )
     present = F.col("value").isNotNull()
+    if approximate:
+        per_value = tall.select("*", F.lit(1).alias("n"), F.col("_order").alias("first_at"))
+        different = F.approx_count_distinct("value")
+    else:
+        per_value = tall.groupBy("column_name", "value").agg(
+            F.count(F.lit(1)).alias("n"), F.min("_order").alias("first_at")
+        )
+        different = F.count("value")
     per_column = per_value.groupBy("column_name").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("unique_count"),
+        different.alias("unique_count"),
         F.min_by("value", F.when(present, F.col("first_at"))).alias("sample"),
     )
     kind = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])

@@ -1,4 +1,4 @@
-"""Keys that hold too many rows for one task, and broadcasts with a checked size.
+"""Keys that hold too many rows for one task, and small tables of known size.
 
 A key is hot when it has more than `rows_per_task` rows. There are at most
 (rows of the table / rows_per_task) such keys, whatever the data looks like, so the list of
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac import constants as C
 from tarmac.functions.temporal import minute_number
-from tarmac.session import shared_dir
+from tarmac.session import stored
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:
@@ -92,19 +92,11 @@ def next_row(
     return patched.select(*df.columns, *[F.col(f"_next.{n}").alias(n) for n in values])
 
 
-def checked_broadcast(small: DataFrame, max_bytes: int = C.BROADCAST_BYTES) -> DataFrame:
-    """The table with a broadcast hint if its size allows, otherwise without.
+def group_mean(df: DataFrame, key: str, mean: Column, name: str) -> DataFrame:
+    """Mean per key on every row, by aggregation and join, so a hot key never fills one task.
 
-    The table is computed once and kept by checkpoint(), so the size check and the later join
-    read the same rows and a lost executor does not compute it again.
+    The means are stored first. Their true size is then known, so Spark broadcasts them when
+    they are below its limit and otherwise joins by shuffle, splitting hot keys of the kept side.
     """
-    shared_dir(small.sparkSession)
-    kept = small.checkpoint()
-    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(kept) if size <= max_bytes else kept
-
-
-def group_mean(df: DataFrame, key: str, mean: Column, name: str) -> DataFrame:
-    """Mean per key on every row, by aggregation and join, so a hot key never fills one task."""
     means = df.filter(F.col(key).isNotNull()).groupBy(key).agg(mean.alias(name))
-    return df.join(checked_broadcast(means), key, "left").select(*df.columns, name)
+    return df.join(stored(means, "means"), key, "left").select(*df.columns, name)

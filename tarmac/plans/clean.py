@@ -10,6 +10,8 @@ columns decides, so the result never depends on partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ from tarmac.operators import dedup, filters
 from tarmac.operators.skew import group_mean
 from tarmac.sources.readers import ColumnCountError, drop_junk_columns
 
+Form = Callable[[Column, str], Column]
+UPPER = (text.norm_upper, C.NULL_TOKEN_UPPER)
+LOWER = (text.norm_lower, C.NULL_TOKEN_LOWER)
+STRIPPED = (text.norm_strip, C.NULL_TOKEN_LOWER)
+
 
 def _named(raw: DataFrame, names: list[str], order_by: list[str] | None) -> DataFrame:
     """Junk columns dropped, the others named by position, order columns kept as they are."""
@@ -34,6 +41,21 @@ def _times(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: temporal.try_timestamp(F.col(n)) for n in names})
 
 
+def _normal(df: DataFrame, forms: dict[str, tuple[Form, str]]) -> DataFrame:
+    """Columns in normal form, a missing value becoming the token.
+
+    Digits have neither case nor blanks, so whole numbers only become text.
+    """
+    kinds = dict(df.dtypes)
+    whole = ("tinyint", "smallint", "int", "bigint")
+    return df.withColumns(
+        {
+            name: text.text_or_token(F.col(name), token) if kinds[name] in whole else form(F.col(name), token)
+            for name, (form, token) in forms.items()
+        }
+    )
+
+
 def _number(df: DataFrame, name: str) -> Column:
     kind = dict(df.dtypes)[name]
     return numeric.try_double(F.col(name)) if kind == "string" else numeric.typed_double(F.col(name))
@@ -52,7 +74,7 @@ def flights_without_delay(
     named = _named(raw, schemas.FLIGHTS.fieldNames(), order_by)
     if strict:
         named = filters.drop_null_critical(named, ids)
-    normal = named.withColumns({c: text.norm_upper(F.col(c)) for c in [*ids, "airline"]})
+    normal = _normal(named, dict.fromkeys([*ids, "airline"], UPPER))
     timed = filters.drop_null_critical(
         _times(normal, "departure_time", "arrival_time"), ["departure_time", "arrival_time"]
     )
@@ -101,16 +123,10 @@ def bookings(raw: DataFrame, variant: str = "script", order_by: list[str] | None
     named = _named(raw, names, order_by)
     if variant == "script":
         upper = ["booking_id", "passenger_id", "flight_id", "status", "seat_number"]
-        normal = named.withColumns({c: text.norm_upper(F.col(c)) for c in upper})
+        normal = _normal(named, dict.fromkeys(upper, UPPER))
         return dedup.first_by_key(_times(normal, "booking_date"), "booking_id", order_by).select(*names)
-    normal = named.select(*names).withColumns(
-        {
-            "booking_id": text.norm_strip(F.col("booking_id")),
-            "passenger_id": text.norm_strip(F.col("passenger_id")),
-            "flight_id": text.norm_upper(F.col("flight_id")),
-            "status": text.norm_upper(F.col("status")),
-        }
-    )
+    forms = {"booking_id": STRIPPED, "passenger_id": STRIPPED, "flight_id": UPPER, "status": UPPER}
+    normal = _normal(named.select(*names), forms)
     return dedup.distinct_rows(_times(normal, "booking_date"))
 
 
@@ -139,23 +155,13 @@ def passengers(raw: DataFrame, variant: str = "script", order_by: list[str] | No
     named = named.withColumn("age", _number(named, "age"))
     group = numeric.age_group(F.col("age"))
     if variant == "script":
-        normal = named.withColumns(
-            {
-                "passenger_id": text.norm_upper(F.col("passenger_id")),
-                "gender": text.binary_gender(text.norm_upper(F.col("gender"))),
-            }
+        normal = _normal(named, {"passenger_id": UPPER, "gender": UPPER}).withColumn(
+            "gender", text.binary_gender(F.col("gender"))
         )
         first = dedup.first_by_key(normal, "passenger_id", order_by).select(*names)
         return first.withColumns({"birth_year": temporal.birth_year(F.col("date_of_birth")), "age_group": group})
-    normal = named.select(*names).withColumns(
-        {
-            "passenger_id": text.norm_strip(F.col("passenger_id")),
-            "gender": text.norm_upper(F.col("gender")),
-            "email": text.norm_lower(F.col("email")),
-            "age_group": group,
-        }
-    )
-    return dedup.distinct_rows(normal)
+    normal = _normal(named.select(*names), {"passenger_id": STRIPPED, "gender": UPPER, "email": LOWER})
+    return dedup.distinct_rows(normal.withColumn("age_group", group))
 
 
 def mask_passengers(clean: DataFrame, salt: str, variant: str = "script") -> DataFrame:
@@ -178,16 +184,11 @@ def mask_passengers(clean: DataFrame, salt: str, variant: str = "script") -> Dat
 
 def payments(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
     names = schemas.PAYMENTS.fieldNames()
-    named = _named(raw, names, order_by)
-    clean_id = text.norm_upper if variant == "script" else text.norm_strip
-    normal = named.withColumns(
-        {
-            "payment_id": clean_id(F.col("payment_id")),
-            "booking_id": clean_id(F.col("booking_id")),
-            "payment_method": text.norm_upper(F.col("payment_method")),
-            "amount": _number(named, "amount"),
-        }
-    )
+    # A missing amount is dropped in the end; saying so first lets the scan skip those rows.
+    named = _named(raw, names, order_by).filter(F.col("amount").isNotNull())
+    form = UPPER if variant == "script" else STRIPPED
+    normal = _normal(named, {"payment_id": form, "booking_id": form, "payment_method": UPPER})
+    normal = normal.withColumn("amount", _number(named, "amount"))
     if variant == "script":
         return dedup.valid_then_first(normal, "payment_id", ["amount"], order_by).select(*names)
     return dedup.valid_distinct(normal.select(*names), ["amount"])

@@ -67,7 +67,7 @@ def clean_tables(
 
 
 def kpi_tables(tables: Mapping[str, DataFrame], variant: str = "script") -> dict[str, DataFrame]:
-    """The twelve KPI tables of clean tables, by name; nothing runs yet."""
+    """The twelve KPI tables of clean tables, by name. Those with shares store their counts first."""
     f, b = tables["cleaned_flights"], tables["cleaned_bookings_masked"]
     p, y = tables["cleaned_passengers_masked"], tables["cleaned_payments"]
     if variant == "script":

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tarmac import constants as C
 from tarmac.functions import text
 from tarmac.functions.numeric import cents, divide_or_zero, typed_double
-from tarmac.operators.aggregates import counts_in_order, share_of_total, value_counts
+from tarmac.operators.aggregates import counts_in_order, share_of_total, shares_of_total, value_counts
 from tarmac.operators.filters import fill_strings
 from tarmac.plans import kpis
 from tarmac.plans.facts import booking_lines, delay_facts, not_null, paid_total
@@ -157,9 +157,8 @@ def payment_split(bookings, flights, payments, passengers) -> DataFrame:
     """Share of each payment label by rows and by revenue."""
     split = measures(bookings, flights, payments, passengers, ["total_bookings", "total_revenue"], "payment_method")
     split = split.select("payment_method", F.col("total_bookings").alias("row_count"), "total_revenue")
-    by_rows = share_of_total(split, "row_count", "row_share_pct")
-    revenue = split.agg(F.sum(cents(F.col("total_revenue"))))
-    return share_of_total(by_rows, "total_revenue", "revenue_share_pct", revenue).orderBy("payment_method")
+    shares = {"row_share_pct": "row_count", "revenue_share_pct": "total_revenue"}
+    return shares_of_total(split, shares).orderBy("payment_method")
 
 
 def delayed_vs_ontime(flights: DataFrame) -> DataFrame:

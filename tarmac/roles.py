@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tarmac import constants as C
 from tarmac.operators.skew import next_row
 from tarmac.plans import clean
+from tarmac.session import stored
 
 # A stand-in for the secret that callers pass in.
 TEST_SALT = "not-a-secret"
@@ -55,10 +56,20 @@ PAYMENTS_SQL = [
 PAYMENT_ORDER = [
     "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag",
 ]
+# Order ids are unique; the columns the other booking columns are made from decide if they were not.
+BOOKING_ORDER = ["booking_date", "passenger_id", "status", "seat_number"]
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Declared, so that opening a table reads no file.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
 
 
 class Roles:
@@ -70,51 +81,73 @@ class Roles:
         self.spark, self.folder, self.variant, self.rows_per_task = spark, folder, variant, rows_per_task
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
+    def raw_flights(self) -> DataFrame:
         events = self.table("events").select("event_id", "user_id", "ts", "event_type")
         following = {"destination": "event_type", "arrival_time": "ts"}
         journeys = next_row(events, "user_id", ["ts", "event_id"], following, self.rows_per_task)
+        return journeys.select(
+            F.col("event_id").alias("flight_id"),
+            F.upper("event_type").alias("airline"),
+            F.col("event_type").alias("source"),
+            "destination",
+            F.col("ts").alias("departure_time"),
+            "arrival_time",
+        )
+
+    @cached_property
+    def raw_bookings(self) -> DataFrame:
+        return self.table("orders").selectExpr(*BOOKINGS_SQL)
+
+    @cached_property
+    def raw_passengers(self) -> DataFrame:
+        return self.table("customer").selectExpr(*PASSENGERS_SQL)
+
+    @cached_property
+    def raw_payments(self) -> DataFrame:
+        return self.table("lineitem").selectExpr(*PAYMENTS_SQL, *PAYMENT_ORDER)
+
+    @property
+    def raw(self) -> dict[str, DataFrame]:
         return {
-            "flights": journeys.select(
-                F.col("event_id").alias("flight_id"),
-                F.upper("event_type").alias("airline"),
-                F.col("event_type").alias("source"),
-                "destination",
-                F.col("ts").alias("departure_time"),
-                "arrival_time",
-            ),
-            "bookings": self.table("orders").selectExpr(*BOOKINGS_SQL),
-            "passengers": self.table("customer").selectExpr(*PASSENGERS_SQL),
-            "payments": self.table("lineitem").selectExpr(*PAYMENTS_SQL, *PAYMENT_ORDER),
+            "flights": self.raw_flights,
+            "bookings": self.raw_bookings,
+            "passengers": self.raw_passengers,
+            "payments": self.raw_payments,
         }
 
     @property
     def order_by(self) -> dict[str, list[str]]:
-        return {"payments": PAYMENT_ORDER}
+        return {"payments": PAYMENT_ORDER, "bookings": BOOKING_ORDER}
 
     @cached_property
     def timed(self) -> DataFrame:
         """Clean flights without the delay flag."""
-        return clean.flights_without_delay(self.raw["flights"], self.variant)
+        return clean.flights_without_delay(self.raw_flights, self.variant)
 
     @cached_property
     def flights(self) -> DataFrame:
-        return clean.with_delay_flag(self.timed)
+        """Clean flights, stored before the delay flag as route means need a pass of their own."""
+        return clean.with_delay_flag(stored(self.timed, "timed"))
 
     @cached_property
     def bookings(self) -> DataFrame:
-        return clean.bookings(self.raw["bookings"], self.variant)
+        return clean.bookings(self.raw_bookings, self.variant, BOOKING_ORDER)
 
     @cached_property
     def payments(self) -> DataFrame:
-        return clean.payments(self.raw["payments"], self.variant, PAYMENT_ORDER)
+        return clean.payments(self.raw_payments, self.variant, PAYMENT_ORDER)
+
+    @cached_property
+    def stored_payments(self) -> DataFrame:
+        """For row-level joins, which look for hot bookings before they join."""
+        return stored(self.payments, "payments")
 
     @cached_property
     def passengers(self) -> DataFrame:
-        return clean.passengers(self.raw["passengers"], self.variant)
+        return clean.passengers(self.raw_passengers, self.variant)
 
     @cached_property
     def bookings_masked(self) -> DataFrame:

@@ -108,7 +108,7 @@ def _clean(variant: str) -> str:
     clean_id = _upper if script else _stripped
     placeholder = f"WHERE carrier NOT IN {_in(C.CARRIER_PLACEHOLDERS)}" if script else ""
     gender = f"CASE WHEN {_upper('gender')} = 'F' THEN 'F' ELSE 'M' END" if script else _upper("gender")
-    first_booking = "QUALIFY row_number() OVER (PARTITION BY booking_id ORDER BY booking_date, status) = 1"
+    first_booking = "QUALIFY row_number() OVER (PARTITION BY booking_id ORDER BY booking_date, passenger_id, status, seat_number) = 1"
     first_payment = f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {', '.join(PAYMENT_ORDER)}) = 1"
     dob = "try_cast(date_of_birth AS timestamp)"
     year = f"coalesce(year({dob}), 0)" if script else f"year({dob})"
