@@ -572,7 +572,7 @@ def _(r):
 @query("join_pax_revenue")
 def _(r):
     people = r.passengers.select("passenger_id", "gender", "age_group")
-    return joins.passengers_with_revenue(people, r.bookings, r.stored_payments, r.rows_per_task)
+    return joins.passengers_with_revenue(people, r.stored_bookings, r.stored_payments, r.rows_per_task)
 
 
 @query("join_booking_pax_revenue")

@@ -1,8 +1,11 @@
-"""Keys that hold too many rows for one task, and small tables of known size.
+"""Keys that hold too many rows for one task.
 
 A key is hot when it has more than `rows_per_task` rows. There are at most
 (rows of the table / rows_per_task) such keys, whatever the data looks like, so the list of
 hot keys can be broadcast: 10**12 rows and the default limit give at most 200,000 short rows.
+
+Looking for hot keys reads the table once more, only its key column. Pass tables that are read
+from files (`session.stored`), not ones that would be computed again.
 """
 
 from __future__ import annotations
@@ -23,6 +26,14 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = C.ROWS_PER_TASK) -> D
     )
 
 
+def stored_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame | None:
+    """The hot keys, or None when there are none and no rows need to be split."""
+    if df.count() <= rows_per_task:
+        return None
+    hot = stored(hot_keys(df, key, rows_per_task), "hot")
+    return None if hot.isEmpty() else F.broadcast(hot)
+
+
 def left_join_many(
     left: DataFrame,
     right: DataFrame,
@@ -37,24 +48,27 @@ def left_join_many(
     repeated once per part. A part without right rows would add a row of nulls; the key has
     right rows in other parts, so such rows are removed. Null keys match nothing on either side.
     """
-    hot = F.broadcast(hot_keys(right.filter(F.col(key).isNotNull()), key, rows_per_task))
+    hot = stored_hot_keys(right.filter(F.col(key).isNotNull()), key, rows_per_task)
+    if hot is None:
+        return left.join(right, key, "left").select(*_joined_columns(left, right, key))
+    part = F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")
     spread = (
         right.join(hot, key, "left")
-        .withColumn(
-            "_part",
-            F.when(F.col("_parts").isNull(), 0).otherwise(
-                F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")
-            ),
-        )
-        .drop("_parts")
+        .withColumn("_part", F.coalesce(part, F.lit(0)))
         .withColumn("_matched", F.lit(True))
+        .drop("_parts")
     )
-    repeated = left.join(hot, key, "left").withColumn(
-        "_part",
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)),
+    all_parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    repeated = left.join(hot, key, "left").withColumn("_part", F.explode(all_parts))
+    return (
+        repeated.join(spread, [key, "_part"], "left")
+        .filter(F.col("_parts").isNull() | F.col("_matched"))
+        .select(*_joined_columns(left, right, key))
     )
-    joined = repeated.join(spread, [key, "_part"], "left")
-    return joined.filter(F.col("_parts").isNull() | F.col("_matched")).drop("_parts", "_part", "_matched")
+
+
+def _joined_columns(left: DataFrame, right: DataFrame, key: str) -> list[str]:
+    return [key, *[c for c in left.columns + right.columns if c != key]]
 
 
 def next_row(
@@ -66,30 +80,27 @@ def next_row(
 ) -> DataFrame:
     """Values of the following row of the same key; `values` maps new names to columns.
 
-    `order_by` starts with a zone-less timestamp and identifies a row. Rows of a hot key are cut at
-    calendar minutes; the last row of a minute gets the first row of the key's next minute.
+    `order_by` starts with a zone-less timestamp and identifies a row. Rows of a hot key are cut
+    at calendar minutes; the last row of a minute gets the first row of the key's next minute.
     """
-    moment = order_by[0]
-    hot = F.broadcast(hot_keys(df, key, rows_per_task).select(key, F.lit(True).alias("_hot")))
-    tagged = df.join(hot, key, "left").withColumn(
-        "_cell", F.when(F.col("_hot"), minute_number(F.col(moment)))
-    )
     following = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    in_cell = Window.partitionBy(key, "_cell").orderBy(*order_by)
-    rows = tagged.withColumn("_next", F.lead(following).over(in_cell))
-
-    firsts = (
-        tagged.filter("_hot")
-        .groupBy(key, "_cell")
-        .agg(F.min(F.struct(*[F.col(c) for c in order_by], following.alias("_row"))).alias("_first"))
-    )
-    by_cell = Window.partitionBy(key).orderBy("_cell")
-    bridges = firsts.select(key, "_cell", F.lead("_first._row").over(by_cell).alias("_bridge"))
-
-    patched = rows.join(bridges, [key, "_cell"], "left").withColumn(
-        "_next", F.coalesce("_next", "_bridge")
-    )
-    return patched.select(*df.columns, *[F.col(f"_next.{n}").alias(n) for n in values])
+    hot = stored_hot_keys(df, key, rows_per_task)
+    if hot is None:
+        rows = df.withColumn("_next", F.lead(following).over(Window.partitionBy(key).orderBy(*order_by)))
+    else:
+        minute = minute_number(F.col(order_by[0]))
+        tagged = df.join(hot, key, "left").withColumn("_cell", F.when(F.col("_parts").isNotNull(), minute))
+        in_cell = Window.partitionBy(key, "_cell").orderBy(*order_by)
+        first = F.min(F.struct(*order_by, following.alias("_row")))
+        firsts = tagged.filter("_cell IS NOT NULL").groupBy(key, "_cell").agg(first.alias("_first"))
+        by_cell = Window.partitionBy(key).orderBy("_cell")
+        bridges = firsts.select(key, "_cell", F.lead("_first._row").over(by_cell).alias("_bridge"))
+        rows = (
+            tagged.withColumn("_next", F.lead(following).over(in_cell))
+            .join(bridges, [key, "_cell"], "left")
+            .withColumn("_next", F.coalesce("_next", "_bridge"))
+        )
+    return rows.select(*df.columns, *[F.col(f"_next.{n}").alias(n) for n in values])
 
 
 def group_mean(df: DataFrame, key: str, mean: Column, name: str) -> DataFrame:

@@ -140,6 +140,10 @@ class Roles:
     def payments(self) -> DataFrame:
         return clean.payments(self.raw_payments, self.variant, PAYMENT_ORDER)
 
+    @cached_property
+    def stored_bookings(self) -> DataFrame:
+        return stored(self.bookings, "bookings")
+
     @cached_property
     def stored_payments(self) -> DataFrame:
         """For row-level joins, which look for hot bookings before they join."""

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", name: str = "tarmac", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():

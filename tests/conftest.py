@@ -12,7 +12,12 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tests")
+    # Small tables: quick compilation matters more than quick code.
+    session = local_session(
+        8,
+        "tests",
+        spark__sql__shuffle__partitions="2",
+    )
     yield session
     session.stop()
 
