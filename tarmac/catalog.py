@@ -524,23 +524,23 @@ def _(r):
 
 @query("join_booking_flight")
 def _(r):
-    return joins.bookings_with_flight(r.bookings, r.timed).select("booking_id", "flight_id", "route", "duration_mins")
+    return joins.bookings_with_flight(r.booking_keys, r.timed).select("booking_id", "flight_id", "route", "duration_mins")
 
 
 @query("join_fanout_payment")
 def _(r):
-    lines = r.bookings.select("booking_id", "status")
+    lines = r.booking_keys.select("booking_id", "status")
     return joins.with_payments(lines, r.stored_payments, r.rows_per_task)
 
 
 @query("join_passenger_subset")
 def _(r):
-    lines = r.bookings.select("booking_id", "passenger_id", F.col("status").alias("gender"))
+    lines = r.booking_keys.select("booking_id", "passenger_id", F.col("status").alias("gender"))
     return joins.with_passenger(lines, r.passengers_masked)
 
 
 def _master(r: Roles) -> DataFrame:
-    return joins.master(r.bookings_masked, r.flights, r.stored_payments, r.passengers_masked, r.rows_per_task)
+    return joins.master(r.stored_bookings, r.flights, r.stored_payments, r.passengers_masked, r.rows_per_task)
 
 
 @query("master_4way")
@@ -561,29 +561,29 @@ def _(r):
 
 @query("join_inner_paid")
 def _(r):
-    return joins.paid_bookings(r.bookings.select("booking_id", "flight_id"), r.payments)
+    return joins.paid_bookings(r.booking_keys.select("booking_id", "flight_id"), r.stored_payments)
 
 
 @query("join_carrier_lookup")
 def _(r):
-    return joins.with_carrier(r.bookings.select("booking_id", "flight_id"), r.timed, ("airline", "route"))
+    return joins.with_carrier(r.booking_keys.select("booking_id", "flight_id"), r.timed, ("airline", "route"))
 
 
 @query("join_pax_revenue")
 def _(r):
     people = r.passengers.select("passenger_id", "gender", "age_group")
-    return joins.passengers_with_revenue(people, r.stored_bookings, r.stored_payments, r.rows_per_task)
+    return joins.passengers_with_revenue(people, r.booking_keys, r.stored_payments, r.rows_per_task)
 
 
 @query("join_booking_pax_revenue")
 def _(r):
-    lines = r.bookings.select("booking_id", "passenger_id", "status")
+    lines = r.booking_keys.select("booking_id", "passenger_id", "status")
     return joins.bookings_with_revenue_and_passenger(lines, r.stored_payments, r.passengers, r.rows_per_task)
 
 
 @query("join_revenue_pax")
 def _(r):
-    lines = r.bookings.select("booking_id", "passenger_id", "flight_id")
+    lines = r.booking_keys.select("booking_id", "passenger_id", "flight_id")
     return joins.revenue_with_flight_and_passenger(lines, r.stored_payments, r.timed, r.passengers, r.rows_per_task)
 
 
@@ -622,7 +622,7 @@ query("kpi_payment_methods")(lambda r: kpis.payment_methods(r.payments))
 query("kpi_passenger_demographics")(lambda r: kpis.passenger_demographics(r.passengers, r.bookings, r.payments))
 query("kpi_frequent_flyers")(lambda r: kpis.frequent_flyers(r.passengers_masked, r.bookings, r.payments))
 query("kpi_airline_passenger_demographics")(
-    lambda r: kpis.airline_passenger_demographics(r.bookings, r.timed, r.payments, r.passengers)
+    lambda r: kpis.airline_passenger_demographics(r.booking_keys, r.timed, r.payments, r.passengers)
 )
 
 # ---------------------------------------------------------------- extended reports
@@ -641,7 +641,7 @@ query("nb_passenger_demographics", "notebook")(
 )
 query("nb_frequent_flyers", "notebook")(lambda r: extended.frequent_flyers(r.bookings, r.payments, r.passengers))
 query("nb_airline_pax_demographics", "notebook")(
-    lambda r: extended.airline_passenger_demographics(r.bookings, r.payments, r.timed, r.passengers)
+    lambda r: extended.airline_passenger_demographics(r.booking_keys, r.payments, r.timed, r.passengers)
 )
 query("global_kpis", "notebook")(lambda r: extended.global_kpis(r.timed))
 query("median_duration")(lambda r: aggregates.median_and_mean(r.timed, "duration_mins"))
@@ -674,7 +674,7 @@ def _(r):
 def _measures(names: list[str], by: str | None = None):
     def build(r: Roles) -> DataFrame:
         flights = r.flights if report.needs_delay_flag(names) else r.timed
-        return report.measures(r.bookings, flights, r.payments, r.passengers, names, by)
+        return report.measures(r.booking_keys, flights, r.payments, r.passengers, names, by)
 
     return build
 
@@ -707,7 +707,7 @@ query("measures_by_age_group")(_measures(["unique_passengers", "spend_per_passen
 
 
 def _tables(r: Roles):
-    return r.bookings, r.timed, r.payments, r.passengers
+    return r.booking_keys, r.timed, r.payments, r.passengers
 
 
 query("daily_volume")(lambda r: report.daily_volume(r.timed))

@@ -1,4 +1,7 @@
-"""Equi-joins between the four tables."""
+"""Equi-joins between the four tables.
+
+Bookings and payments should be stored tables: they are looked through for hot keys first.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
-from tarmac.operators.skew import left_join_many
+from tarmac.operators.skew import join_one, left_join_many
 
 # Customer columns carried into joined tables, as far as the table has them.
 PASSENGER_COLUMNS = [
@@ -15,10 +18,11 @@ PASSENGER_COLUMNS = [
 ]
 
 
-def bookings_with_flight(bookings: DataFrame, flights: DataFrame) -> DataFrame:
-    """Flight ids are unique, so rows keep their number; a hot flight id on the kept side is
-    split by adaptive execution."""
-    return bookings.join(flights, "flight_id", "left")
+def bookings_with_flight(
+    bookings: DataFrame, flights: DataFrame, rows_per_task: int = C.ROWS_PER_TASK
+) -> DataFrame:
+    """Flight ids are unique, so bookings keep their number; hot flights are spread."""
+    return join_one(bookings, flights, "flight_id", "booking_id", rows_per_task=rows_per_task)
 
 
 def with_payments(lines: DataFrame, payments: DataFrame, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:
@@ -27,7 +31,12 @@ def with_payments(lines: DataFrame, payments: DataFrame, rows_per_task: int = C.
 
 
 def with_passenger(
-    lines: DataFrame, passengers: DataFrame, columns: list[str] | None = None, suffix: str = "_pax"
+    lines: DataFrame,
+    passengers: DataFrame,
+    columns: list[str] | None = None,
+    suffix: str = "_pax",
+    sizes: DataFrame | None = None,
+    rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     """Customer columns by id; names that exist on both sides get the suffix."""
     keep = [c for c in (columns or PASSENGER_COLUMNS) if c in passengers.columns]
@@ -37,7 +46,7 @@ def with_passenger(
             for c in keep
         ]
     )
-    return lines.join(side, "passenger_id", "left")
+    return join_one(lines, side, "passenger_id", "booking_id", sizes, rows_per_task=rows_per_task)
 
 
 def master(
@@ -52,7 +61,8 @@ def master(
     Flights and customers are joined while there is still one row per booking; payments, which
     multiply rows, come last. The columns are put in the order booking, flight, payment, customer.
     """
-    one_each = with_passenger(bookings_with_flight(bookings, flights), passengers)
+    flown = bookings_with_flight(bookings, flights, rows_per_task)
+    one_each = with_passenger(flown, passengers, sizes=bookings, rows_per_task=rows_per_task)
     wide = with_payments(one_each, payments, rows_per_task)
     flight_columns = [c for c in flights.columns if c != "flight_id"]
     payment_columns = [c for c in payments.columns if c != "booking_id"]
@@ -60,13 +70,20 @@ def master(
     return wide.select(*front, *[c for c in one_each.columns if c not in front])
 
 
-def paid_bookings(bookings: DataFrame, payments: DataFrame) -> DataFrame:
-    """Inner join; adaptive execution splits a hot booking on either side."""
-    return bookings.join(payments, "booking_id")
+def paid_bookings(bookings: DataFrame, payments: DataFrame, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:
+    """Bookings that were paid, one row per payment; hot bookings are spread by payment."""
+    paid = join_one(payments, bookings, "booking_id", "payment_id", how="inner", rows_per_task=rows_per_task)
+    return paid.select(*bookings.columns, *[c for c in payments.columns if c != "booking_id"])
 
 
-def with_carrier(lines: DataFrame, flights: DataFrame, columns: tuple[str, ...] = ("airline",)) -> DataFrame:
-    return lines.join(flights.select("flight_id", *columns), "flight_id", "left")
+def with_carrier(
+    lines: DataFrame,
+    flights: DataFrame,
+    columns: tuple[str, ...] = ("airline",),
+    rows_per_task: int = C.ROWS_PER_TASK,
+) -> DataFrame:
+    side = flights.select("flight_id", *columns)
+    return join_one(lines, side, "flight_id", "booking_id", rows_per_task=rows_per_task)
 
 
 def passengers_with_revenue(
@@ -82,7 +99,8 @@ def passengers_with_revenue(
 def bookings_with_revenue_and_passenger(
     bookings: DataFrame, payments: DataFrame, passengers: DataFrame, rows_per_task: int = C.ROWS_PER_TASK
 ) -> DataFrame:
-    known = with_passenger(bookings, passengers, ["passenger_id", "age", "age_group", "gender"])
+    columns = ["passenger_id", "age", "age_group", "gender"]
+    known = with_passenger(bookings, passengers, columns, rows_per_task=rows_per_task)
     return with_payments(known, payments, rows_per_task)
 
 
@@ -93,6 +111,7 @@ def revenue_with_flight_and_passenger(
     passengers: DataFrame,
     rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
-    flown = with_carrier(bookings, flights, ("airline", "route"))
-    known = with_passenger(flown, passengers, ["passenger_id", "gender", "age_group"])
+    flown = with_carrier(bookings, flights, ("airline", "route"), rows_per_task)
+    columns = ["passenger_id", "gender", "age_group"]
+    known = with_passenger(flown, passengers, columns, sizes=bookings, rows_per_task=rows_per_task)
     return with_payments(known, payments, rows_per_task)

@@ -43,7 +43,7 @@ def left_join_many(
 ) -> DataFrame:
     """Left join whose right side may hold a large share of its rows under one key.
 
-    Adaptive execution splits only the kept side of an outer join, so the right rows of a hot
+    Adaptive execution splits only the kept side of an outer join, so here the right rows of a hot
     key are spread over parts by a hash of `spread_by`, and the left rows of that key are
     repeated once per part. A part without right rows would add a row of nulls; the key has
     right rows in other parts, so such rows are removed. Null keys match nothing on either side.
@@ -67,6 +67,37 @@ def left_join_many(
     )
 
 
+def join_one(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: str,
+    sizes: DataFrame | None = None,
+    how: str = "left",
+    rows_per_task: int = C.ROWS_PER_TASK,
+) -> DataFrame:
+    """Join (left or inner) of many rows to a table with few rows per key.
+
+    Adaptive execution cannot split a join whose other side is already partitioned by the key,
+    as deduplicated tables are. So the left rows of a hot key are spread over parts and the
+    right rows of that key repeated once per part. `sizes` is a stored table with the key and
+    no fewer rows per key than the left one, where that one would have to be computed first.
+    """
+    hot = stored_hot_keys(left if sizes is None else sizes, key, rows_per_task)
+    columns = _joined_columns(left, right, key)
+    if hot is None:
+        return left.join(right, key, how).select(*columns)
+    spread_hash = F.xxhash64(spread_by)
+    by_hash = F.pmod(spread_hash, F.coalesce("_parts", F.lit(1))).cast("int")
+    unmatched = F.pmod(spread_hash, F.lit(1024)).cast("int")
+    spread = left.join(hot, key, "left").withColumn(
+        "_part", F.when(F.col(key).isNull(), unmatched).otherwise(by_hash)
+    )
+    all_parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("_part", F.explode(all_parts))
+    return spread.drop("_parts").join(repeated.drop("_parts"), [key, "_part"], how).select(*columns)
+
+
 def _joined_columns(left: DataFrame, right: DataFrame, key: str) -> list[str]:
     return [key, *[c for c in left.columns + right.columns if c != key]]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac import constants as C
 from tarmac.functions.numeric import exact_mean, exact_sum, in_hours, percent, round2
 from tarmac.operators.aggregates import share_of_total
 from tarmac.plans.facts import (
@@ -15,6 +16,7 @@ from tarmac.plans.facts import (
     not_null,
     paid_mean,
     paid_total,
+    with_flight_and_passenger,
 )
 
 
@@ -124,12 +126,23 @@ def payment_method(payments: DataFrame) -> DataFrame:
     )
 
 
+def _people(passengers: DataFrame) -> DataFrame:
+    """Customers by id and group with the number of their rows, as this variant keeps customers
+    that are listed more than once; each listing multiplies the booking rows."""
+    keys = ["passenger_id", "gender", "age_group"]
+    return not_null(passengers, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _times_copies(lines: DataFrame) -> DataFrame:
+    sums = [c for c in ("line_rows", "paid_rows", "paid", "confirmed") if c in lines.columns]
+    return lines.withColumns({c: F.col(c) * F.col("copies") for c in sums})
+
+
 def passenger_demographics(bookings: DataFrame, payments: DataFrame, passengers: DataFrame) -> DataFrame:
-    """From the bookings' side; customers may be listed more than once in this variant."""
+    """From the bookings' side: customers with bookings only."""
     lines = collapse(booking_lines(bookings, payments, ["passenger_id"]), "passenger_id")
-    people = not_null(passengers.select("passenger_id", "gender", "age_group"), "gender", "age_group")
     return (
-        lines.join(people, "passenger_id")
+        _times_copies(lines.join(_people(passengers), "passenger_id"))
         .groupBy("gender", "age_group")
         .agg(
             F.countDistinct("passenger_id").alias("total_passengers"),
@@ -148,9 +161,8 @@ def frequent_flyers(bookings: DataFrame, payments: DataFrame, passengers: DataFr
         booking_lines(bookings, payments, ["passenger_id", "status"]), "passenger_id", extra={"confirmed": confirmed}
     )
     keys = ["passenger_id", "gender", "age_group"]
-    people = not_null(passengers.select(*keys), *keys)
     return (
-        lines.join(people, "passenger_id")
+        _times_copies(lines.join(_people(passengers), "passenger_id"))
         .groupBy(*keys)
         .agg(
             F.sum("line_rows").alias("total_bookings"),
@@ -163,16 +175,23 @@ def frequent_flyers(bookings: DataFrame, payments: DataFrame, passengers: DataFr
 
 
 def airline_passenger_demographics(
-    bookings: DataFrame, payments: DataFrame, flights: DataFrame, passengers: DataFrame
+    bookings: DataFrame,
+    payments: DataFrame,
+    flights: DataFrame,
+    passengers: DataFrame,
+    rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     keys = ["airline", "gender", "age_group"]
-    known = (
-        booking_lines(bookings, payments, ["passenger_id", "flight_id"])
-        .join(flights.select("flight_id", "airline"), "flight_id")
-        .join(passengers.select("passenger_id", "gender", "age_group"), "passenger_id")
+    known = with_flight_and_passenger(
+        booking_lines(bookings, payments, ["passenger_id", "flight_id"]),
+        bookings,
+        flights.select("flight_id", "airline"),
+        _people(passengers),
+        "inner",
+        rows_per_task,
     )
     return (
-        not_null(known, *keys)
+        _times_copies(not_null(known, "airline"))
         .groupBy(*keys)
         .agg(
             F.sum("line_rows").alias("booking_count"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac import constants as C
 from tarmac.functions.numeric import cents, flag
+from tarmac.operators.skew import join_one
 
 
 def delay_facts(flights: DataFrame, dims: list[str]) -> DataFrame:
@@ -52,6 +53,26 @@ def booking_lines(bookings: DataFrame, payments: DataFrame, keep: list[str], als
     )
 
 
+def with_flight_and_passenger(
+    lines: DataFrame,
+    bookings: DataFrame,
+    flights: DataFrame | None,
+    passengers: DataFrame | None,
+    how: str = "left",
+    rows_per_task: int = C.ROWS_PER_TASK,
+) -> DataFrame:
+    """Booking lines with columns of flight and customer, hot flights and customers spread.
+
+    Booking lines are one per booking, but for a few payment methods, so the stored bookings
+    tell which keys are hot.
+    """
+    if flights is not None:
+        lines = join_one(lines, flights, "flight_id", "booking_id", bookings, how, rows_per_task)
+    if passengers is not None:
+        lines = join_one(lines, passengers, "passenger_id", "booking_id", bookings, how, rows_per_task)
+    return lines
+
+
 def collapse(lines: DataFrame, *keys: str, extra: dict[str, Column] | None = None) -> DataFrame:
     """Booking lines added up by key."""
     return lines.groupBy(*keys).agg(

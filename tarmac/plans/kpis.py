@@ -21,6 +21,7 @@ from tarmac.plans.facts import (
     paid_mean,
     paid_total,
     payments_per_booking,
+    with_flight_and_passenger,
 )
 
 
@@ -176,14 +177,22 @@ def frequent_flyers(passengers: DataFrame, bookings: DataFrame, payments: DataFr
 
 
 def airline_passenger_demographics(
-    bookings: DataFrame, flights: DataFrame, payments: DataFrame, passengers: DataFrame
+    bookings: DataFrame,
+    flights: DataFrame,
+    payments: DataFrame,
+    passengers: DataFrame,
+    rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     """Customers and revenue per carrier, gender and age group; unmatched bookings have no
     group and are left out, so inner joins are enough."""
     keys = ["airline", "gender", "age_group"]
-    lines = booking_lines(bookings, payments, ["passenger_id", "flight_id"])
-    known = lines.join(flights.select("flight_id", "airline"), "flight_id").join(
-        passengers.select("passenger_id", "gender", "age_group"), "passenger_id"
+    known = with_flight_and_passenger(
+        booking_lines(bookings, payments, ["passenger_id", "flight_id"]),
+        bookings,
+        flights.select("flight_id", "airline"),
+        passengers.select("passenger_id", "gender", "age_group"),
+        "inner",
+        rows_per_task,
     )
     return (
         not_null(known, *keys)

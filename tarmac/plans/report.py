@@ -19,7 +19,7 @@ from tarmac.functions.numeric import cents, divide_or_zero, typed_double
 from tarmac.operators.aggregates import counts_in_order, share_of_total, shares_of_total, value_counts
 from tarmac.operators.filters import fill_strings
 from tarmac.plans import kpis
-from tarmac.plans.facts import booking_lines, delay_facts, not_null, paid_total
+from tarmac.plans.facts import booking_lines, delay_facts, not_null, paid_total, with_flight_and_passenger
 
 
 def _label(column: str) -> Column:
@@ -44,19 +44,25 @@ def normalise(wide: DataFrame) -> DataFrame:
 
 
 def report_lines(
-    bookings: DataFrame, flights: DataFrame, payments: DataFrame, passengers: DataFrame, columns: set[str]
+    bookings: DataFrame,
+    flights: DataFrame,
+    payments: DataFrame,
+    passengers: DataFrame,
+    columns: set[str],
+    rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     """Booking lines with the given columns, joining only the tables that have them."""
     also = ("payment_method",) if "payment_method" in columns else ()
     own = [c for c in bookings.columns if c in columns or c in ("flight_id", "passenger_id")]
-    lines = booking_lines(bookings, payments, own, also)
     flown = [c for c in flights.columns if c in columns and c not in bookings.columns]
-    if flown:
-        lines = lines.join(flights.select("flight_id", *flown), "flight_id", "left")
     personal = [c for c in passengers.columns if c in columns and c not in bookings.columns]
-    if personal:
-        lines = lines.join(passengers.select("passenger_id", *personal), "passenger_id", "left")
-    return lines
+    return with_flight_and_passenger(
+        booking_lines(bookings, payments, own, also),
+        bookings,
+        flights.select("flight_id", *flown) if flown else None,
+        passengers.select("passenger_id", *personal) if personal else None,
+        rows_per_task=rows_per_task,
+    )
 
 
 def _rows(condition: Column | None = None) -> Column:
@@ -123,10 +129,11 @@ def measures(
     passengers: DataFrame,
     names: list[str],
     by: str | None = None,
+    rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     """The named measures over everything, or per value of one column in report spelling."""
     columns = set().union(*(MEASURES[n].needs for n in names)) | ({by} if by else set())
-    lines = report_lines(bookings, flights, payments, passengers, columns)
+    lines = report_lines(bookings, flights, payments, passengers, columns, rows_per_task)
     values = [MEASURES[n].value().alias(n) for n in names]
     if by is None:
         return lines.agg(*values)

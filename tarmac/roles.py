@@ -140,9 +140,15 @@ class Roles:
     def payments(self) -> DataFrame:
         return clean.payments(self.raw_payments, self.variant, PAYMENT_ORDER)
 
+    @cached_property
+    def booking_keys(self) -> DataFrame:
+        """Bookings without personal data, stored for joins that look for hot keys first."""
+        return stored(self.bookings.select("booking_id", "passenger_id", "flight_id", "status"), "bookings")
+
     @cached_property
     def stored_bookings(self) -> DataFrame:
-        return stored(self.bookings, "bookings")
+        """Masked bookings, stored for the wide table."""
+        return stored(self.bookings_masked, "bookings")
 
     @cached_property
     def stored_payments(self) -> DataFrame:

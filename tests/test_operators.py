@@ -157,3 +157,28 @@ def test_profile(spark, approximate):
         ("id", "int", 0, 0.0, 4, "1"),
         ("t", "string", 1, 25.0, 2, "b"),
     ]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("limit", [1, 5, 10**9])
+def test_join_one_with_hot_keys(spark, how, limit):
+    left = [("hot", i) for i in range(40)] + [("a", 100), (None, 200), (None, 201), ("none", 300), ("none", 301)]
+    right = [("hot", "H"), ("a", "A"), ("b", "B"), (None, "N")]
+    a = spark.createDataFrame(left, "k string, id int").repartition(4)
+    b = spark.createDataFrame(right, "k string, r string")
+    got = skew.join_one(a, b, "k", "id", how=how, rows_per_task=limit)
+    wanted = a.join(b, "k", how)
+    assert got.columns == wanted.columns
+    assert rows(got) == rows(wanted)
+
+
+def test_reports_with_every_key_split(spark, folder):
+    from tarmac.plans import kpis, report
+
+    r = Roles(spark, folder)
+    tables = r.booking_keys, r.flights, r.payments, r.passengers
+    names = list(report.MEASURES)
+    split = report.measures(*tables, names, "airline", rows_per_task=2)
+    assert rows(split) == rows(report.measures(*tables, names, "airline"))
+    split = kpis.airline_passenger_demographics(*tables, rows_per_task=2)
+    assert rows(split) == rows(kpis.airline_passenger_demographics(*tables))

@@ -129,3 +129,30 @@ def test_hot_user_and_hot_booking_change_nothing(spark, folder):
         joins.master(r.bookings, r.timed, r.stored_payments, r.passengers, r.rows_per_task) for r in (small, normal)
     ]
     assert rows(tables[0]) == rows(tables[1])
+
+
+def test_customers_listed_twice_multiply_rows(spark):
+    """The notebook variant joins every listing of a customer."""
+    from tarmac.plans import extended
+
+    bookings = spark.createDataFrame(
+        [("b1", "p1", "f1", "CONFIRMED"), ("b2", "p1", "f1", "PENDING"), ("b3", "p2", "zz", "CONFIRMED")],
+        "booking_id string, passenger_id string, flight_id string, status string",
+    )
+    payments = spark.createDataFrame(
+        [("x", "b1", 10.0, "UPI"), ("y", "b1", 5.5, "UPI")],
+        "payment_id string, booking_id string, amount double, payment_method string",
+    )
+    people = spark.createDataFrame(
+        [("p1", "F", "18-30"), ("p1", "F", "18-30"), ("p2", "M", "60+")], "passenger_id string, gender string, age_group string"
+    )
+    flights = spark.createDataFrame([("f1", "A")], "flight_id string, airline string")
+    assert rows(extended.passenger_demographics(bookings, payments, people)) == [
+        ("F", "18-30", 1, 6, 31.0, 7.75), ("M", "60+", 1, 1, 0.0, None),
+    ]
+    assert rows(extended.frequent_flyers(bookings, payments, people)) == [
+        ("p1", "F", "18-30", 6, 4, 31.0, 7.75), ("p2", "M", "60+", 1, 1, 0.0, None),
+    ]
+    assert rows(extended.airline_passenger_demographics(bookings, payments, flights, people)) == [
+        ("A", "F", "18-30", 6, 1, 31.0, 7.75),
+    ]
