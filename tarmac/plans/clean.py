@@ -5,7 +5,8 @@ genders, removes whole-row duplicates only, and gives masked columns new names.
 
 `order_by` names columns that say which of several rows with one key is first. They may be
 columns beyond the declared ones and are dropped at the end; without them the order of all
-columns decides, so the result never depends on partitioning.
+columns decides, so the result never depends on partitioning. Where only the first row of a key is
+kept, columns that play no part in finding it are brought into normal form afterwards.
 """
 
 from __future__ import annotations
@@ -122,9 +123,9 @@ def bookings(raw: DataFrame, variant: str = "script", order_by: list[str] | None
     names = schemas.BOOKINGS.fieldNames()
     named = _named(raw, names, order_by)
     if variant == "script":
-        upper = ["booking_id", "passenger_id", "flight_id", "status", "seat_number"]
-        normal = _normal(named, dict.fromkeys(upper, UPPER))
-        return dedup.first_by_key(_times(normal, "booking_date"), "booking_id", order_by).select(*names)
+        keyed = _times(_normal(named, {"booking_id": UPPER}), "booking_date")
+        first = dedup.first_by_key(keyed, "booking_id", order_by).select(*names)
+        return _normal(first, dict.fromkeys(["passenger_id", "flight_id", "status", "seat_number"], UPPER))
     forms = {"booking_id": STRIPPED, "passenger_id": STRIPPED, "flight_id": UPPER, "status": UPPER}
     normal = _normal(named.select(*names), forms)
     return dedup.distinct_rows(_times(normal, "booking_date"))
@@ -186,9 +187,10 @@ def payments(raw: DataFrame, variant: str = "script", order_by: list[str] | None
     names = schemas.PAYMENTS.fieldNames()
     # A missing amount is dropped in the end; saying so first lets the scan skip those rows.
     named = _named(raw, names, order_by).filter(F.col("amount").isNotNull())
-    form = UPPER if variant == "script" else STRIPPED
-    normal = _normal(named, {"payment_id": form, "booking_id": form, "payment_method": UPPER})
-    normal = normal.withColumn("amount", _number(named, "amount"))
+    named = named.withColumn("amount", _number(named, "amount"))
     if variant == "script":
-        return dedup.valid_then_first(normal, "payment_id", ["amount"], order_by).select(*names)
-    return dedup.valid_distinct(normal.select(*names), ["amount"])
+        keyed = _normal(named, {"payment_id": UPPER})
+        first = dedup.valid_then_first(keyed, "payment_id", ["amount"], order_by).select(*names)
+        return _normal(first, {"booking_id": UPPER, "payment_method": UPPER})
+    forms = {"payment_id": STRIPPED, "booking_id": STRIPPED, "payment_method": UPPER}
+    return dedup.valid_distinct(_normal(named.select(*names), forms), ["amount"])
