@@ -8,8 +8,10 @@ registers (agreements less those expected by chance), then by their full sets.
 
 A bucket of many documents never becomes all its pairs. First each document is held against the
 smallest document it meets in any band. What is linked then needs no further pair; only buckets that still hold
-several components go on: small ones by their pairs, large ones against a few members at a time, which
-are then settled, until one component is left in every bucket. So no link between components is lost.
+several components go on, small ones by their pairs. In a large one, the members outside its largest component are
+held against the others, some at a time. As one less the similarity is a distance, two members whose
+distances to the bucket's smallest member differ by more than a link allows need not meet; the estimates get a
+margin for their error. So no link between components is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tarmac.llm.common import empty_for_null
 from tarmac.llm.components import merge_components
@@ -38,6 +39,10 @@ LINK = 80
 LEAST_ESTIMATE = 0.55
 #: Buckets up to this size are settled by their pairs.
 SMALL_BUCKET = 8
+#: Members whose estimated similarities to a third differ by more can't be linked: 0.2 and twice four deviations.
+LARGEST_DIFFERENCE = 0.52
+#: Members of a large bucket that are held against the others in the first round, and their growth per round.
+FIRST_HUBS, HUB_GROWTH = 16, 16
 
 _orders: list[np.ndarray] = []
 
@@ -144,18 +149,23 @@ def chance_agreement(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (share(n) * share(m)).sum(axis=0) / (1 << MANTISSA_BITS)
 
 
-def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose corrected estimate reaches the least one."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, 4096):
-            part = batch.slice(first, 4096)
-            a, b, n, m, x, y = (part.column(i) for i in range(6))
-            x = np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            y = np.frombuffer(b"".join(y.to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            chance = chance_agreement(n.to_numpy().astype(float), m.to_numpy().astype(float))
-            estimate = ((x == y).mean(axis=1) - chance) / (1 - chance)
-            keep = pa.array(estimate >= LEAST_ESTIMATE)
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+def _estimated(least: float):
+    """Pairs (a, b) with their corrected estimate, where it reaches the least one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 4096):
+                part = batch.slice(first, 4096)
+                a, b, n, m, x, y = (part.column(i) for i in range(6))
+                x = np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BUCKETS)
+                y = np.frombuffer(b"".join(y.to_pylist()), np.uint16).reshape(-1, BUCKETS)
+                chance = chance_agreement(n.to_numpy().astype(float), m.to_numpy().astype(float))
+                estimate = ((x == y).mean(axis=1) - chance) / (1 - chance)
+                keep = pa.array(estimate >= least)
+                columns = [a.filter(keep), b.filter(keep), pa.array(estimate).filter(keep)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "estimate"])
+
+    return run
 
 
 class _Verifier:
@@ -165,16 +175,17 @@ class _Verifier:
         self.sketches, self.sets = sketches, sets
         self.kind = dict(sketches.dtypes)["id"]
 
+    def estimates(self, pairs: DataFrame, least: float) -> DataFrame:
+        side = lambda name: [F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n_shingles", "registers")]]
+        both = pairs.join(self.sketches.select(*side("a")), "a").join(self.sketches.select(*side("b")), "b")
+        both = both.select("a", "b", "n_shingles_a", "n_shingles_b", "registers_a", "registers_b")
+        return both.mapInArrow(_estimated(least), f"a {self.kind}, b {self.kind}, estimate double")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links by their full sets."""
-        side = lambda name, cols: [F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols]]
-        cols = ["n_shingles", "registers"]
-        both = pairs.join(self.sketches.select(*side("a", cols)), "a").join(self.sketches.select(*side("b", cols)), "b")
-        both = both.select("a", "b", "n_shingles_a", "n_shingles_b", "registers_a", "registers_b")
-        likely = both.mapInArrow(_estimated, f"a {self.kind}, b {self.kind}")
-        likely = stored(likely, "likely")
-        full = likely.join(self.sets.select(*side("a", ["shingles"])), "a")
-        full = full.join(self.sets.select(*side("b", ["shingles"])), "b")
+        side = lambda name: [F.col("id").alias(name), F.col("shingles").alias(f"shingles_{name}")]
+        likely = stored(self.estimates(pairs, LEAST_ESTIMATE).select("a", "b"), "likely")
+        full = likely.join(self.sets.select(*side("a")), "a").join(self.sets.select(*side("b")), "b")
         shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
         union = F.size("shingles_a") + F.size("shingles_b") - shared
         return stored(full.filter(shared * 100 >= union * LINK).select("a", "b"), "links")
@@ -189,34 +200,46 @@ def _bands(sketches: DataFrame) -> DataFrame:
 
 
 def _settled(members: DataFrame, labels: DataFrame, verifier: _Verifier, small: int) -> DataFrame:
-    """Labels after all buckets (key, id, size) hold one component each or had all their pairs judged."""
-    hubs, first = 1, True
+    """Labels after all buckets (key, id, size, hub) hold one component each or had all their pairs judged."""
+
+    def mixed(of: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with the bucket's largest component as `main`."""
+        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("of_label"))
+        known = of.join(labels.withColumnRenamed("node", "id"), "id").join(sizes, "label")
+        main = F.max(F.struct("of_label", "label"))["label"].alias("main")
+        several = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), main).filter("x <> y")
+        return stored(known.drop("of_label").join(several.select("key", "main"), "key"), "mixed")
+
+    open_ = mixed(members)
+    few = open_.filter(F.col("size") <= small)
+    a = few.select("key", F.col("id").alias("a"), F.col("label").alias("label_a"))
+    b = few.select("key", F.col("id").alias("b"), F.col("label").alias("label_b"))
+    pairs = a.join(b, "key").filter("a < b AND label_a <> label_b").select("a", "b").distinct()
+    labels = merge_components(labels, verifier.links(pairs))
+
+    large = open_.filter(F.col("size") > small)
+    if large.isEmpty():
+        return labels
+    rays = large.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    near = stored(verifier.estimates(rays, -1.0).withColumnsRenamed({"a": "hub", "b": "id"}), "estimates")
+    large = large.drop("label", "main").join(near, ["hub", "id"], "left")
+    # A place in the bucket by hash: rounds take the members with places up to a bound, without sorting any.
+    place = F.pmod(F.xxhash64("key", "id"), F.col("size"))
+    large = stored(large.withColumns({"estimate": F.coalesce("estimate", F.lit(1.0)), "place": place}), "large")
+    done, upto = 0, FIRST_HUBS
     while True:
-        known = members.join(labels.select(F.col("node").alias("id"), "label"), "id")
-        mixed = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        open_ = stored(known.join(mixed.select("key"), "key"), "open")
+        open_ = mixed(large.filter(F.col("size") > done))
+        hubs = open_.filter((F.col("label") != F.col("main")) & (F.col("place") >= done) & (F.col("place") < upto))
         if open_.isEmpty():
             return labels
-        as_b = open_.select("key", F.col("id").alias("b"), F.col("label").alias("label_b"), "size")
-        few = open_.filter(F.col("size") <= small).select("key", F.col("id").alias("a"), F.col("label").alias("label_a"))
-        pairs = few.join(as_b, "key").filter("a < b AND label_a <> label_b").select("a", "b")
-        large = open_.filter(F.col("size") > small)
-        # Members of small components first: what is left of a bucket is then its largest component.
-        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("of_label"))
-        place = F.row_number().over(Window.partitionBy("key").orderBy("of_label", "id"))
-        chosen = stored(
-            large.join(sizes, "label").withColumn("place", place).filter(F.col("place") <= hubs).select("key", "id", "label"),
-            "chosen",
-        )
-        as_a = chosen.select("key", F.col("id").alias("a"), F.col("label").alias("label_a"))
-        star = as_b.join(as_a, "key").filter("a <> b AND label_a <> label_b")
-        star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = verifier.links(pairs.unionByName(star).distinct())
-        labels = merge_components(labels, found)
-        members = stored(
-            large.select("key", "id", "size").join(chosen.select("key", "id"), ["key", "id"], "left_anti"), "members"
-        )
-        hubs *= 4
+        columns = ["key", "id", "label", "estimate"]
+        a = hubs.select("key", *[F.col(c).alias(f"{c}_a") for c in columns[1:]])
+        b = open_.select("key", *[F.col(c).alias(f"{c}_b") for c in columns[1:]])
+        apart = F.abs(F.col("estimate_a") - F.col("estimate_b")) > LARGEST_DIFFERENCE
+        star = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") != F.col("label_b")) & ~apart)
+        star = star.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+        labels = merge_components(labels, verifier.links(star))
+        done, upto = upto, upto * HUB_GROWTH
 
 
 def near_duplicates(
@@ -257,7 +280,7 @@ def near_duplicates(
     nearest = members.filter("hub < id").groupBy("id").agg(F.min("hub").alias("a"))
     links = verifier.links(nearest.select("a", F.col("id").alias("b")))
     labels = merge_components(nodes.select("node", F.col("node").alias("label")), links)
-    labels = _settled(members.drop("hub"), labels, verifier, small_bucket)
+    labels = _settled(members, labels, verifier, small_bucket)
 
     classes = able.join(same, marks).select("id", F.col("first").alias("class"))
     classes = classes.join(labels.withColumnsRenamed({"node": "class"}), "class", "left")
