@@ -1,8 +1,8 @@
 """Hashes of words and of byte windows for whole Arrow batches at once, in numpy.
 
 A batch of texts is one byte array; sums of bytes times powers of an odd number give the hash of any
-stretch of it as one difference. Work goes by slices of a few megabytes, so memory is bounded by the slice
-or, where one text is longer, by that text.
+stretch of it as one difference. Work goes by slices that fit the processor's cache, so memory is bounded by the
+slice or, where one text is longer, by that text.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 400_000
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[32, 9, 10, 11, 12, 13]] = False

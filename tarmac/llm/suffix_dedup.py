@@ -34,7 +34,7 @@ PLACE_BITS = 24
 #: Longer texts are looked through in overlapping sections.
 SECTION_BYTES = 8_000_000
 #: Bytes of contexts that one shard should hold.
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
 #: Distinct contexts of one anchor beyond which they are cut over several shards.
 SPLIT_CONTEXTS = 10_000
 
@@ -98,8 +98,8 @@ def _find_anchors(length: int):
                 pa.ListArray.from_arrays(ends, pa.array(x))
                 for x in (hashes.view(np.int64), start.astype(np.int32), last.astype(np.int32), place.astype(np.int32))
             ]
-            names = ["id", "mark", "anchor", "start", "last", "place"]
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *lists], names=names)
+            names = ["id", "mark", "mark_2", "anchor", "start", "last", "place"]
+            yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in range(3)), *lists], names=names)
 
     return run
 
@@ -108,145 +108,138 @@ def _cut_contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                one = batch.slice(k, 1)
-                raw = one.column(1)[0].as_buffer().to_pybytes()
-                listed = one.column(2)[0].values
+                raw = batch.column(2)[k].as_buffer().to_pybytes()
+                listed = batch.column(3)[k].values
                 hashes, start, last, place = (listed.field(i).to_numpy() for i in range(4))
                 contexts = [raw[s : e + length] for s, e in zip(start.tolist(), last.tolist(), strict=True)]
-                n = len(contexts)
+                own = [pa.array(np.full(len(start), batch.column(i)[k].as_py(), np.int64)) for i in range(2)]
+                columns = [*own, pa.array(hashes), pa.array((place - start).astype(np.int32)), pa.array(start)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(one.column(0).to_numpy(), n)),
-                        pa.array(hashes),
-                        pa.array((place - start).astype(np.int32)),
-                        pa.array(start),
-                        pa.array(contexts, pa.binary()),
-                    ],
-                    names=["row", "anchor", "lead", "start", "context"],
+                    [*columns, pa.array(contexts, pa.binary())],
+                    names=["row", "copies", "anchor", "lead", "start", "context"],
                 )
 
     return run
 
 
-def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions sorted by their next `depth` bytes at least, and the rank each reached.
+def _words(text: np.ndarray, beyond: int) -> np.ndarray:
+    """The eight bytes from each position on as one number; zeros follow the text, `beyond` positions of them too."""
+    padded = np.concatenate([text, np.zeros(beyond + 8, np.uint8)])
+    word = np.zeros(len(text) + beyond, np.uint64)
+    for k in range(8):
+        word = word << np.uint64(8) | padded[k : k + len(word)]
+    return word
+
+
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+    """Positions sorted by their next `depth` bytes at least, zeros following the text.
 
-    Positions of equal rank share those bytes. The first order is by eight bytes; each round sorts the groups
-    that are not yet single by the ranks as many bytes on, which doubles what the order goes by.
+    The first order is by eight bytes; each round sorts the groups that are not yet single by the ranks as many
+    bytes on, which doubles what the order goes by.
     """
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = key << np.uint64(8) | padded[k : n + k]
-    order = np.argsort(key, kind="stable")
+    key = _words(text, 0)
+    order = np.argsort(key)
     sorted_key = key[order]
-    # Zeros may stand in the text as well as beyond its end; shorter suffixes come first and apart.
-    short = np.minimum(n - order, 8)
-    if n >= 1:
-        order = order[np.lexsort((short, sorted_key))]
-        sorted_key, short = key[order], np.minimum(n - order, 8)
     new = np.ones(n, bool)
-    new[1:] = (sorted_key[1:] != sorted_key[:-1]) | (short[1:] != short[:-1])
+    new[1:] = sorted_key[1:] != sorted_key[:-1]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    several = np.flatnonzero(~new | ~np.append(new[1:], True))
     reach = 8
-    while reach < depth:
-        size = np.diff(np.append(np.flatnonzero(new), n))
-        several = np.flatnonzero(np.repeat(size > 1, size))
-        if not len(several):
-            break
+    while reach < depth and len(several):
         at = order[several]
         on = at + reach
-        further = np.where(on < n, rank[np.minimum(on, n - 1)], -1)
-        group = rank[at]
-        sub = np.lexsort((further, group))
-        at, further, group = at[sub], further[sub], group[sub]
+        further = np.where(on < n, rank[np.minimum(on, n - 1)] + 1, 0)
+        both = rank[at] << 32 | further
+        sub = np.argsort(both)
+        at, both = at[sub], both[sub]
         order[several] = at
-        new[several[1:]] |= further[1:] != further[:-1]
-        rank[at] = np.maximum.accumulate(np.where(new, np.arange(n), 0))[several]
+        new[several[1:]] |= both[1:] != both[:-1]
+        opens = new[several]
+        rank[at] = np.maximum.accumulate(np.where(opens, several, 0))
+        several = several[~opens | ~np.append(opens[1:], True)]
         reach *= 2
-    return order, rank
+    return order
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, enough: int) -> np.ndarray:
-    """For each place of the suffix array the bytes shared with the place before, exact below `enough`.
+    """For each place of the suffix array the bytes shared with the place before; exact below `enough`.
 
-    By text position, a prefix is at most one shorter than that of the position before, and exactly
-    one shorter where the bytes before both suffixes agree. So only the other positions are compared, eight bytes
-    a step, and the rest is counted down from them.
+    Where two neighbours are the successors of two neighbours that share their first byte, they share one byte less
+    than those. So only the other positions are compared, eight bytes a step, and the rest is counted down
+    from them. Every `enough` positions one is compared anyway, as comparisons end at twice `enough`.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    position = np.arange(n)
-    follows = (position > 0) & (before > 0)
-    follows[follows] = text[position[follows] - 1] == text[before[follows] - 1]
-    # The neighbours of a position and the next are in line only if both moved on by one.
-    follows[1:] &= before[1:] == before[:-1] + 1
-    follows[position % enough == 0] = False
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    word = np.zeros(n + 1, np.uint64)
-    for k in range(8):
-        word[:n] = word[:n] << np.uint64(8) | padded[k : n + k]
-    own = np.flatnonzero(~follows & (before >= 0))
+    follows = np.zeros(n, bool)
+    follows[1:] = (before[:-1] >= 0) & (before[1:] == before[:-1] + 1)
+    at = np.flatnonzero(follows)
+    follows[at] = text[at - 1] == text[before[at] - 1]
+    follows[::enough] = False
+    word = _words(text, 2 * enough)
+    go = np.flatnonzero(~follows & (before >= 0))
     shared = np.zeros(n, np.int64)
-    go = own
     done = 0
     while len(go) and done < 2 * enough:
-        a, b = np.minimum(go + done, n), np.minimum(before[go] + done, n)
-        differing = word[a] ^ word[b]
+        differing = word[go + done] ^ word[before[go] + done]
         same = differing == 0
+        shared[go[same]] += 8
         # Leading zero bytes of the difference are shared bytes.
-        bits = np.where(same, 0, np.frexp((differing >> np.uint64(11)).astype(np.float64))[1] + 11)
-        low = (differing >> np.uint64(11)) == 0
-        bits = np.where(low & ~same, np.frexp(differing.astype(np.float64))[1], bits)
-        shared[go] += np.where(same, 8, (64 - bits) // 8)
+        last = differing[~same]
+        high = (last >> np.uint64(11)).astype(np.float64)
+        bits = np.where(high > 0, np.frexp(high)[1] + 11, np.frexp(last.astype(np.float64))[1])
+        shared[go[~same]] += (64 - bits) // 8
         go, done = go[same], done + 8
-    shared = np.minimum(shared, np.where(before >= 0, n - np.maximum(position, before), 0))
+    position = np.arange(n)
     head = np.maximum.accumulate(np.where(follows, 0, position))
-    shared = np.where(follows, np.maximum(shared[head] - (position - head), 0), shared)
-    return shared[order]
+    return np.maximum(shared[head] - (position - head), 0)[order]
 
 
-def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each context a flag per string start: whether the string starts anywhere else."""
+def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs of string starts whose string starts anywhere else: context, first and last start."""
     text = np.frombuffer(b"".join(contexts), np.uint8)
     size = np.array([len(c) for c in contexts])
     begin = np.concatenate([[0], np.cumsum(size)[:-1]])
     owner = np.repeat(np.arange(len(contexts)), size)
     starts = np.arange(len(text)) - begin[owner] <= size[owner] - length
-    order, _ = suffix_array(text, length)
-    prefix = common_prefixes(text, order, 2 * length)
-    run = np.cumsum(prefix < length) - 1
+    order = suffix_array(text, length)
+    run = np.cumsum(common_prefixes(text, order, 2 * length) < length) - 1
     weight = np.where(starts[order], counts[owner[order]], 0)
-    flag = np.zeros(len(text), bool)
+    flag = np.zeros(len(text) + 1, bool)
     flag[order] = np.bincount(run, weight)[run] > 1
-    flag &= starts
-    return [flag[b : b + s - length + 1] for b, s in zip(begin, size, strict=True)]
-
-
-def _intervals(flags: np.ndarray) -> tuple[list[int], list[int]]:
-    edges = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return np.flatnonzero(edges == 1).tolist(), (np.flatnonzero(edges == -1) - 1).tolist()
+    flag[:-1] &= starts
+    edges = np.diff(np.concatenate([[False], flag]).astype(np.int8))
+    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - 1
+    return owner[first], first - begin[owner[first]], last - begin[owner[first]]
 
 
 def _shard(length: int):
-    """Repeated starts of a shard; for contexts of a split anchor also the marks of all their strings."""
+    """Runs of repeated starts in a shard's contexts."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        contexts = group["context"].tolist()
-        flags = repeated_starts(contexts, group["n"].to_numpy(), length)
-        out = []
-        for flag, context, parts in zip(flags, contexts, group["parts"], strict=True):
-            marks = np.empty(0, np.int64)
-            if parts > 1:
-                raw = np.frombuffer(context, np.uint8)
-                at = np.arange(len(flag))
+        at, first, last = repeated_starts(group["context"].tolist(), group["n"].to_numpy(), length)
+        keys = group[["key", "key_2"]].iloc[at].reset_index(drop=True)
+        return keys.assign(first=first.astype(np.int32), last=last.astype(np.int32))
+
+    return run
+
+
+def _string_marks(length: int):
+    """Hashes of all strings of the contexts of split anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                raw = np.frombuffer(batch.column(4)[k].as_buffer(), np.uint8)
+                at = np.arange(len(raw) - length + 1)
                 marks = stretch_hashes(prefix_sums(raw), at, at + length).view(np.int64)
-            out.append((*_intervals(flag), marks.tolist()))
-        columns = group[["anchor", "key", "key_2", "parts"]].reset_index(drop=True)
-        return pd.concat([columns, pd.DataFrame(out, columns=["first", "last", "marks"])], axis=1)
+                own = [pa.array(np.full(len(at), batch.column(i)[k].as_py(), np.int64)) for i in range(4)]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(at.astype(np.int32)), pa.array(marks)],
+                    names=["anchor", "parts", "key", "key_2", "at", "mark"],
+                )
 
     return run
 
@@ -310,9 +303,10 @@ def remove_repeats(
     """
     kind = dict(docs.dtypes)[id_col]
     body = empty_for_null(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("mark"), body.alias("body"))
+    marks = [F.xxhash64(body).alias("mark"), F.xxhash64(F.lit(1), body).alias("mark_2")]
+    rows = docs.select(F.col(id_col).alias("id"), *marks, body.alias("body"))
     lists = "anchor array<bigint>, start array<int>, last array<int>, place array<int>"
-    found = rows.mapInArrow(_find_anchors(length), f"id {kind}, mark bigint, {lists}")
+    found = rows.mapInArrow(_find_anchors(length), f"id {kind}, mark bigint, mark_2 bigint, {lists}")
     found = stored(found.withColumn("row", F.monotonically_increasing_id()), "anchors")
 
     each = found.select(F.explode("anchor").alias("anchor"), "row")
@@ -320,21 +314,23 @@ def remove_repeats(
     hits = each.join(often, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("own"))
     zipped = F.arrays_zip("anchor", "start", "last", "place")
     located = found.join(hits, "row").select(
-        "id", "mark", "row", F.filter(zipped, lambda a: F.array_contains("own", a["anchor"])).alias("anchors")
+        "id", "mark", "mark_2", "row", F.filter(zipped, lambda a: F.array_contains("own", a["anchor"])).alias("anchors")
     )
     located = stored(located, "located")
-    # Rows of equal id and text have equal anchors; the first of them stands for all.
-    firsts = located.groupBy("id", "mark").agg(F.min("row").alias("row"))
-    located = stored(located.join(firsts.select("row"), "row"), "candidates")
-    texts = rows.select(F.col("id").alias("of_id"), F.col("mark").alias("of_mark"), "body")
-    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("mark") == F.col("of_mark"))
-    texts = texts.join(located, same).select("row", F.col("body").cast("binary").alias("body"), "anchors")
-    texts = stored(texts, "candidate-texts")
-
-    cut = texts.mapInArrow(_cut_contexts(length), "row bigint, anchor bigint, lead int, start int, context binary")
+    # Of equal texts one is cut into contexts, which count as often as there are copies. Rows that repeat its id
+    # are cut again, which only adds to a count that is above one already.
+    first = F.min(F.struct("id", "row")).alias("first")
+    firsts = located.groupBy("mark", "mark_2").agg(first, F.count(F.lit(1)).alias("copies"))
+    located = stored(located.join(firsts.select(F.col("first.row").alias("row"), "copies"), "row"), "candidates")
+    texts = rows.withColumnsRenamed({"id": "of_id"}).join(located, ["mark", "mark_2"]).filter("id <=> of_id")
+    texts = stored(texts.select("row", "copies", F.col("body").cast("binary").alias("body"), "anchors"), "candidate-texts")
+
+    cut = texts.mapInArrow(
+        _cut_contexts(length), "row bigint, copies bigint, anchor bigint, lead int, start int, context binary"
+    )
     cut = cut.withColumn("key", F.xxhash64("anchor", "lead", "context"))
     contexts = stored(cut.withColumn("key_2", F.xxhash64("context", "lead", F.lit(1))), "contexts")
-    distinct = contexts.groupBy("anchor", "lead", "context", "key", "key_2").agg(F.count(F.lit(1)).alias("n"))
+    distinct = contexts.groupBy("anchor", "lead", "context", "key", "key_2").agg(F.sum("copies").alias("n"))
     distinct = stored(distinct, "distinct-contexts")
     total = distinct.agg(F.sum(F.length("context"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
@@ -344,15 +340,12 @@ def remove_repeats(
     dealt = dealt.withColumn(
         "shard", F.pmod(F.xxhash64("anchor", F.pmod("key", "parts")), F.lit(shards))
     )
-    schema = "anchor bigint, key bigint, key_2 bigint, parts bigint, first array<int>, last array<int>, marks array<bigint>"
-    flagged = stored(dealt.groupBy("shard").applyInPandas(_shard(length), schema), "flagged")
-
-    spans = flagged.select("key", "key_2", F.explode(F.arrays_zip("first", "last")).alias("s"))
-    spans = spans.select("key", "key_2", "s.first", "s.last")
-    over_shards = flagged.filter("parts > 1").select(
-        "anchor", "key", "key_2", "parts", F.posexplode("marks").alias("at", "mark")
+    spans = dealt.groupBy("shard").applyInPandas(_shard(length), "key bigint, key_2 bigint, first int, last int")
+    marked = dealt.filter("parts > 1").select("anchor", "parts", "key", "key_2", "context")
+    marked = marked.mapInArrow(
+        _string_marks(length), "anchor bigint, parts bigint, key bigint, key_2 bigint, at int, mark bigint"
     )
-    over_shards = over_shards.groupBy("anchor", F.pmod("mark", "parts")).applyInPandas(
+    over_shards = marked.groupBy("anchor", F.pmod("mark", "parts")).applyInPandas(
         _merged, "key bigint, key_2 bigint, at int"
     )
     spans = spans.unionByName(over_shards.select("key", "key_2", F.col("at").alias("first"), F.col("at").alias("last")))
@@ -366,14 +359,15 @@ def remove_repeats(
     results = results.select("row", "body", "spans").mapInArrow(
         _removed(length), "row bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )
-    results = results.dropDuplicates(["row"]).join(located.select("row", "id", "mark"), "row")
-    results = results.select(
-        F.col("id").alias("of_id"), F.col("mark").alias("of_mark"), "n_removed", "n_spans", "kept_sha256", "kept"
-    )
+    results = results.dropDuplicates(["row"]).drop("n_bytes").join(located.select("row", "mark", "mark_2"), "row")
     whole = rows.select(
-        "id", "mark", F.octet_length("body").cast("bigint").alias("n_bytes"), F.sha2("body", 256).alias("whole_sha256")
+        "id",
+        "mark",
+        "mark_2",
+        F.octet_length("body").cast("bigint").alias("n_bytes"),
+        F.sha2("body", 256).alias("whole_sha256"),
     )
-    return whole.join(results, same, "left").select(
+    return whole.join(results, ["mark", "mark_2"], "left").select(
         F.col("id").alias(id_col),
         "n_bytes",
         F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
