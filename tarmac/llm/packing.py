@@ -10,7 +10,9 @@ document that doesn't fit is cut and its rest seeds the next window, so only the
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -33,35 +35,52 @@ OUT_TOKENS = 500_000
 SORT_TOKENS = 4
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, others moved up."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Pieces:
-    """Token ids by the library's tokenizer, one call per distinct piece of the pre-tokenizer's pattern.
+    """Token ids as the library's tokenizer gives them, worked out once per distinct piece of the pattern.
 
     Pieces are encoded one by one, which the byte-level pre-tokenizer does itself; texts that hold the string
-    of a special token go to the tokenizer as a whole.
+    of a special token go to the tokenizer as a whole. Where the tokenizer's ids are the ranks of its merges, a
+    rank encoder made from its own vocabulary encodes the pieces, which takes a tenth of the time.
     """
 
     def __init__(self, path: str, pattern: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = regex.compile(pattern).findall
         self.kept: dict[str, list[int]] = {}
+        described = json.loads(Path(path).read_text())["model"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in described["merges"]]
+        merged = [described["vocab"]["".join(pair)] for pair in pairs]
+        if all(a < b for a, b in zip(merged, merged[1:], strict=False)):
+            byte_of = _byte_of()
+            vocab = {t: i for t, i in described["vocab"].items() if t not in self.special}
+            ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items()}
+            self.one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            self.one = lambda piece: self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def encode(self, text: str) -> list[int]:
         if any(s in text for s in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        kept, pieces = self.kept, self.cut(text)
-        new = [p for p in set(pieces) if p not in kept]
-        if new:
-            if len(kept) + len(new) > KEPT_PIECES:
-                kept.clear()
-                new = list(set(pieces))
-            for piece in new:
-                kept[piece] = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        kept = self.kept
+        if len(kept) > KEPT_PIECES:
+            kept.clear()
         ids: list[int] = []
-        for p in pieces:
-            ids += kept[p]
+        for p in self.cut(text):
+            own = kept.get(p)
+            if own is None:
+                own = kept[p] = self.one(p)
+            ids += own
         return ids
 
 
