@@ -38,7 +38,7 @@ def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good are the target; all documents are the background."""
     good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = docs.join(good.withColumn("target", F.lit(True)), "doc_id", "left")
+    marked = docs.join(good.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
     return cross_entropy_difference(marked)
 
 
@@ -71,7 +71,9 @@ def op8_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     fold = nbsvm.fold("doc_id")
-    train = docs.filter(fold != 2).join(labels.filter((fold != 2) & F.col("label").isNotNull()), "doc_id")
+    labels = labels.filter((fold != 2) & F.col("label").isNotNull())
+    # Labels grow with the documents, so the plan is the one for large tables at every size.
+    train = docs.filter(fold != 2).join(labels.hint("merge"), "doc_id")
     draw = F.xxhash64("doc_id", F.lit("draw"))
     train = stored(train.select("label", draw.alias("draw"), F.coalesce("text", F.lit("")).alias("body")), "labelled")
     scored = nbsvm.score(docs, nbsvm.fit(train))
