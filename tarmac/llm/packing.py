@@ -31,6 +31,8 @@ SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 END = 0
 KEPT_PIECES = 300_000
+#: Characters beyond which a text is encoded piece by piece.
+LONG_TEXT = 300_000
 OUT_TOKENS = 500_000
 SORT_TOKENS = 4
 
@@ -47,7 +49,8 @@ class Pieces:
 
     Pieces are encoded one by one, which the byte-level pre-tokenizer does itself; texts that hold the string
     of a special token go to the tokenizer as a whole. Where the tokenizer's ids are the ranks of its merges, a
-    rank encoder made from its own vocabulary encodes the pieces, which takes a tenth of the time.
+    rank encoder made from its own vocabulary encodes them, which takes a tenth of the time; it takes texts as a
+    whole, but for very long ones, for which its own search for pieces needs too much memory.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -65,13 +68,16 @@ class Pieces:
             byte_of = _byte_of()
             vocab = {t: i for t, i in described["vocab"].items() if t not in self.special}
             ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items()}
-            self.one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            self.one, self.whole = own.encode_ordinary, lambda text: own.encode_to_numpy(text, disallowed_special=())
         else:
-            self.one = lambda piece: self.tokenizer.encode(piece, add_special_tokens=False).ids
+            self.one, self.whole = lambda piece: self.tokenizer.encode(piece, add_special_tokens=False).ids, None
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> list[int] | np.ndarray:
         if any(s in text for s in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if self.whole is not None and len(text) <= LONG_TEXT:
+            return self.whole(text)
         kept = self.kept
         if len(kept) > KEPT_PIECES:
             kept.clear()
@@ -95,7 +101,7 @@ def _tokens(path: str, pattern: str, kind: str):
         for batch in batches:
             first, ids, keys, total = 0, [], [], 0
             for i, text in enumerate(batch.column(1).to_pylist(), 1):
-                own = np.array([*encode(text), END], kind)
+                own = np.append(encode(text), END).astype(kind)
                 hashed = np.sort(mix(np.unique(own).astype(np.uint64) + np.uint64(1)))[:SORT_TOKENS]
                 keys.append(b"".join(int(h).to_bytes(8, "big") for h in hashed))
                 ids.append(own.tobytes())
