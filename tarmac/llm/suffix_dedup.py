@@ -329,9 +329,11 @@ def remove_repeats(
         _cut_contexts(length), "row bigint, copies bigint, anchor bigint, lead int, start int, context binary"
     )
     cut = cut.withColumn("key", F.xxhash64("anchor", "lead", "context"))
-    contexts = stored(cut.withColumn("key_2", F.xxhash64("context", "lead", F.lit(1))), "contexts")
-    distinct = contexts.groupBy("anchor", "lead", "context", "key", "key_2").agg(F.sum("copies").alias("n"))
+    cut = cut.withColumn("key_2", F.xxhash64("context", "lead", F.lit(1)))
+    # Cut twice, so that the bytes of contexts that are not distinct are written nowhere.
+    distinct = cut.groupBy("anchor", "lead", "context", "key", "key_2").agg(F.sum("copies").alias("n"))
     distinct = stored(distinct, "distinct-contexts")
+    contexts = stored(cut.select("row", "start", "key", "key_2"), "contexts")
     total = distinct.agg(F.sum(F.length("context"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     per_anchor = distinct.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / split_contexts).alias("parts"))
@@ -353,7 +355,7 @@ def remove_repeats(
     of_context = stored(of_context, "context-spans")
     start = F.col("start")
     moved = F.transform("spans", lambda s: F.struct((s["first"] + start).alias("first"), (s["last"] + start).alias("last")))
-    of_row = contexts.select("row", "start", "key", "key_2").join(of_context, ["key", "key_2"]).select("row", moved.alias("spans"))
+    of_row = contexts.join(of_context, ["key", "key_2"]).select("row", moved.alias("spans"))
     of_row = of_row.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     results = texts.select("row", "body").join(of_row, "row")
     results = results.select("row", "body", "spans").mapInArrow(
