@@ -648,15 +648,24 @@ query("median_duration")(lambda r: aggregates.median_and_mean(r.timed, "duration
 query("histogram_duration")(lambda r: aggregates.histogram(r.timed, "duration_mins"))
 
 
+#: Column headers of the pivot: the event types, in upper case.
+EVENT_TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+
+
 @query("pivot_route_matrix")
 def _(r):
-    columns = aggregates.distinct_values(r.table("events").withColumn("d", F.upper("event_type")), "d")
-    return aggregates.pivot_counts(r.timed, "source", "destination", columns)
+    return aggregates.pivot_counts(r.timed, "source", "destination", EVENT_TYPES)
+
+
+query("pair_route_counts")(lambda r: aggregates.pair_counts(r.timed, "source", "destination"))
+query("histogram_constant")(lambda r: aggregates.histogram(r.timed.withColumn("one", F.lit(7.0)), "one"))
 
 
 query("profile_table")(lambda r: aggregates.profile(r.table("customer"), "c_custkey"))
 query("value_counts")(lambda r: aggregates.value_counts(r.timed, "departure_slot", "flight_count"))
-query("value_counts_map")(lambda r: aggregates.value_counts_json(r.timed, "departure_slot"))
+query("value_counts_map")(
+    lambda r: aggregates.value_counts_json(r.timed, "departure_slot", [*C.SLOT_ORDER_WITH_HOURS, C.UNKNOWN_LABEL])
+)
 
 
 @query("count_over_fixed_categories")
@@ -701,6 +710,8 @@ query("m_confirmation_rate")(_measures(["confirmation_rate"]))
 query("measures_by_dimension")(
     _measures(["total_flights", "total_bookings", "total_revenue", "delayed_flights", "unique_passengers"], "airline")
 )
+query("measures_by_delayed")(_measures(["total_bookings", "delayed_flights"], "is_delayed"))
+query("measures_by_status")(_measures(["total_bookings", "confirmation_rate"], "status"))
 query("measures_by_route")(_measures(["delayed_flights", "delay_rate"], "route"))
 query("measures_by_payment_method")(_measures(["total_revenue", "total_bookings"], "payment_method"))
 query("measures_by_age_group")(_measures(["unique_passengers", "spend_per_passenger"], "age_group"))

@@ -41,18 +41,14 @@ def share_of_total(counts: DataFrame, column: str, name: str) -> DataFrame:
     return shares_of_total(counts, {name: column})
 
 
-def value_counts_json(df: DataFrame, column: str, max_values: int = 10_000) -> DataFrame:
-    """All counts as one JSON object with sorted keys. Fails, rather than cutting the object
-    short, when there are more than `max_values` different values."""
-    counts = value_counts(df, column, "n").orderBy(column).limit(max_values + 1)
+def value_counts_json(df: DataFrame, column: str, categories: list[str], other: str = "other") -> DataFrame:
+    """Counts of the named values as one JSON object with sorted keys; all other values, if there are any, are
+    counted under `other`. For values that are not known beforehand, `value_counts` gives rows."""
+    value = F.col(column)
+    key = F.when(value.isNull() | value.isin(categories), value).otherwise(F.lit(other)).alias(column)
+    counts = value_counts(df.select(key), column, "n")
     entries = F.sort_array(F.collect_list(F.struct(F.col(column).alias("k"), F.col("n").alias("v"))))
-    too_many = F.raise_error(F.lit(f"more than {max_values} different values of {column}")).cast("string")
-    packed = counts.agg(entries.alias("e"))
-    return packed.select(
-        F.when(F.size("e") > max_values, too_many)
-        .otherwise(F.to_json(F.map_from_entries("e")))
-        .alias("counts")
-    )
+    return counts.agg(F.to_json(F.map_from_entries(entries)).alias("counts"))
 
 
 def counts_in_order(df: DataFrame, column: str, categories: list[str], zero_fill: bool = True) -> DataFrame:
@@ -94,6 +90,8 @@ def histogram(df: DataFrame, column: str, bins: int = C.HISTOGRAM_BINS) -> DataF
     )
     edges = distinct.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
     low, high, x = edges.getField("low"), edges.getField("high"), F.col(column)
+    # Equal values lie in the middle of bins that span one.
+    low, high = F.when(high > low, low).otherwise(low - 0.5), F.when(high > low, high).otherwise(high + 0.5)
     placed = distinct.select(
         F.least(F.floor((x - low) / ((high - low) / bins)).cast("int") + 1, F.lit(bins)).alias("bin"), "n"
     )
@@ -108,20 +106,15 @@ def histogram(df: DataFrame, column: str, bins: int = C.HISTOGRAM_BINS) -> DataF
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: list[str]) -> DataFrame:
-    """Counts of row value by column value; absent pairs are zero."""
+    """Counts of row value by named column value; absent pairs are zero, other values are left out."""
     known = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
     return known.groupBy(rows).pivot(columns, values).count().na.fill(0)
 
 
-def distinct_values(df: DataFrame, column: str, max_values: int = 10_000) -> list:
-    """Values for the columns of a pivot; fails when there are too many for a table header."""
-    found = [
-        r[0]
-        for r in df.filter(F.col(column).isNotNull()).select(column).distinct().limit(max_values + 1).collect()
-    ]
-    if len(found) > max_values:
-        raise ValueError(f"more than {max_values} different values of {column}")
-    return sorted(found)
+def pair_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """The same counts as rows, for any number of values."""
+    known = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    return known.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("count"))
 
 
 def profile(df: DataFrame, order_by: str, approximate: bool = False) -> DataFrame:

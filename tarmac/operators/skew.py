@@ -1,8 +1,8 @@
 """Keys that hold too many rows for one task.
 
 A key is hot when it has more than `rows_per_task` rows. There are at most
-(rows of the table / rows_per_task) such keys, whatever the data looks like, so the list of
-hot keys can be broadcast: 10**12 rows and the default limit give at most 200,000 short rows.
+(rows of the table / rows_per_task) such keys, whatever the data looks like. Tables of every size take
+the same plan; the list of hot keys may be empty, and Spark decides by its size how to join it.
 
 Looking for hot keys reads the table once more, only its key column. Pass tables that are read
 from files (`session.stored`), not ones that would be computed again.
@@ -26,12 +26,9 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = C.ROWS_PER_TASK) -> D
     )
 
 
-def stored_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame | None:
-    """The hot keys, or None when there are none and no rows need to be split."""
-    if df.count() <= rows_per_task:
-        return None
-    hot = stored(hot_keys(df, key, rows_per_task), "hot")
-    return None if hot.isEmpty() else F.broadcast(hot)
+def stored_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """The hot keys, which may be none. They are written, so Spark knows their size when it picks a join."""
+    return stored(hot_keys(df, key, rows_per_task), "hot")
 
 
 def left_join_many(
@@ -49,8 +46,6 @@ def left_join_many(
     right rows in other parts, so such rows are removed. Null keys match nothing on either side.
     """
     hot = stored_hot_keys(right.filter(F.col(key).isNotNull()), key, rows_per_task)
-    if hot is None:
-        return left.join(right, key, "left").select(*_joined_columns(left, right, key))
     part = F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")
     spread = (
         right.join(hot, key, "left")
@@ -85,9 +80,8 @@ def join_one(
     """
     hot = stored_hot_keys(left if sizes is None else sizes, key, rows_per_task)
     columns = _joined_columns(left, right, key)
-    if hot is None:
-        return left.join(right, key, how).select(*columns)
-    spread_hash = F.xxhash64(spread_by)
+    # Rows without the column that spreads them are spread by all they have.
+    spread_hash = F.xxhash64(*([spread_by] if spread_by in left.columns else left.columns))
     by_hash = F.pmod(spread_hash, F.coalesce("_parts", F.lit(1))).cast("int")
     unmatched = F.pmod(spread_hash, F.lit(1024)).cast("int")
     spread = left.join(hot, key, "left").withColumn(
@@ -116,21 +110,18 @@ def next_row(
     """
     following = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
     hot = stored_hot_keys(df, key, rows_per_task)
-    if hot is None:
-        rows = df.withColumn("_next", F.lead(following).over(Window.partitionBy(key).orderBy(*order_by)))
-    else:
-        minute = minute_number(F.col(order_by[0]))
-        tagged = df.join(hot, key, "left").withColumn("_cell", F.when(F.col("_parts").isNotNull(), minute))
-        in_cell = Window.partitionBy(key, "_cell").orderBy(*order_by)
-        first = F.min(F.struct(*order_by, following.alias("_row")))
-        firsts = tagged.filter("_cell IS NOT NULL").groupBy(key, "_cell").agg(first.alias("_first"))
-        by_cell = Window.partitionBy(key).orderBy("_cell")
-        bridges = firsts.select(key, "_cell", F.lead("_first._row").over(by_cell).alias("_bridge"))
-        rows = (
-            tagged.withColumn("_next", F.lead(following).over(in_cell))
-            .join(bridges, [key, "_cell"], "left")
-            .withColumn("_next", F.coalesce("_next", "_bridge"))
-        )
+    minute = minute_number(F.col(order_by[0]))
+    tagged = df.join(hot, key, "left").withColumn("_cell", F.when(F.col("_parts").isNotNull(), minute))
+    in_cell = Window.partitionBy(key, "_cell").orderBy(*order_by)
+    first = F.min(F.struct(*order_by, following.alias("_row")))
+    firsts = tagged.filter("_cell IS NOT NULL").groupBy(key, "_cell").agg(first.alias("_first"))
+    by_cell = Window.partitionBy(key).orderBy("_cell")
+    bridges = firsts.select(key, "_cell", F.lead("_first._row").over(by_cell).alias("_bridge"))
+    rows = (
+        tagged.withColumn("_next", F.lead(following).over(in_cell))
+        .join(bridges, [key, "_cell"], "left")
+        .withColumn("_next", F.coalesce("_next", "_bridge"))
+    )
     return rows.select(*df.columns, *[F.col(f"_next.{n}").alias(n) for n in values])
 
 

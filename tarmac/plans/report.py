@@ -32,7 +32,7 @@ def _label(column: str) -> Column:
         return text.map_values(F.coalesce(c, F.lit(C.DEFAULT_PAYMENT_LABEL)), C.PAYMENT_LABEL)
     if column == "status":
         return text.collapse_status(text.norm_upper(c))
-    return text.strip(F.coalesce(c, F.lit(C.UNKNOWN_LABEL)))
+    return text.strip(F.coalesce(c.cast("string"), F.lit(C.UNKNOWN_LABEL)))
 
 
 def normalise(wide: DataFrame) -> DataFrame:
@@ -137,7 +137,9 @@ def measures(
     values = [MEASURES[n].value().alias(n) for n in names]
     if by is None:
         return lines.agg(*values)
-    return lines.withColumn(by, _label(by)).groupBy(by).agg(*values).orderBy(by)
+    # The label has a name of its own: measures may read the column that it is made from.
+    labelled = lines.withColumn("_label", _label(by)).groupBy("_label").agg(*values)
+    return labelled.withColumnRenamed("_label", by).orderBy(by)
 
 
 def daily_volume(flights: DataFrame) -> DataFrame:

@@ -62,7 +62,8 @@ def typed_for_model(df: DataFrame) -> DataFrame:
 def check_outputs(
     spark: SparkSession, base: str, expected: Mapping[str, StructType | list[str]], fmt: str = "parquet"
 ) -> DataFrame:
-    """Per expected table: is it readable, with the expected columns and at least one row."""
+    """Per expected table: is it readable, with the expected columns (and types, where a schema is
+    given) and at least one row."""
     reports = []
     for name, wanted in expected.items():
         names = wanted.fieldNames() if isinstance(wanted, StructType) else list(wanted)
@@ -72,6 +73,8 @@ def check_outputs(
             df, same = spark.range(0).select(), False
         else:
             same = df.columns == names
+            if isinstance(wanted, StructType):
+                same = same and [f.dataType for f in df.schema] == [f.dataType for f in wanted]
         reports.append(
             df.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table_name"),

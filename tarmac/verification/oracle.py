@@ -629,6 +629,12 @@ script(
     + ", ".join(f'count(*) FILTER (WHERE destination = \'{t}\') AS "{t}"' for t in EVENT_TYPES)
     + " FROM flights GROUP BY source",
 )
+script("pair_route_counts", "SELECT source, destination, count(*) AS count FROM flights GROUP BY ALL")
+script(
+    "histogram_constant",
+    "SELECT cast(b.bin AS int) AS bin, CASE b.bin WHEN 21 THEN (SELECT count(*) FROM flights) ELSE 0 END AS count"
+    " FROM range(1, 41) b(bin)",
+)
 CUSTOMER_TYPES = {
     "c_custkey": "bigint",
     "c_name": "string",
@@ -678,6 +684,9 @@ MEASURE = {
 }
 SPELLED_AIRLINE = "CASE WHEN airline IS NULL THEN 'Unknown' ELSE " + _values(C.CARRIER_SPELLING, "airline", "airline") + " END"
 REPORT_AIRLINE = _impute_report(f"({SPELLED_AIRLINE})", "flight_id")
+REPORT_STATUS = (
+    f"CASE WHEN {_upper('status')} IN ('CONFIRMED', 'CANCELLED') THEN {_upper('status')} ELSE 'CONFIRMED' END"
+)
 REPORT_METHOD = _values(C.PAYMENT_LABEL, "coalesce(payment_method, 'UPI')", "payment_method")
 
 
@@ -703,6 +712,8 @@ script(
         ["total_flights", "total_bookings", "total_revenue", "delayed_flights", "unique_passengers"], "airline", REPORT_AIRLINE
     ),
 )
+script("measures_by_delayed", _measures(["total_bookings", "delayed_flights"], "is_delayed", "coalesce(cast(is_delayed AS varchar), 'Unknown')"))
+script("measures_by_status", _measures(["total_bookings", "confirmation_rate"], "status", REPORT_STATUS))
 script("measures_by_route", _measures(["delayed_flights", "delay_rate"], "route", "coalesce(route, 'Unknown')"))
 script("measures_by_payment_method", _measures(["total_revenue", "total_bookings"], "payment_method", REPORT_METHOD))
 script(

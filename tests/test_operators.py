@@ -110,9 +110,8 @@ def test_value_counts_and_shares(spark):
     counts = aggregates.value_counts(df, "c", "n")
     assert [tuple(r) for r in counts.collect()] == [("a", 2), ("b", 1)]
     assert rows(aggregates.share_of_total(counts, "n", "pct")) == [("a", 2, 66.67), ("b", 1, 33.33)]
-    assert aggregates.value_counts_json(df, "c").first()[0] == '{"a":2,"b":1}'
-    with pytest.raises(Exception, match="more than 1 different"):
-        aggregates.value_counts_json(df, "c", max_values=1).collect()
+    assert aggregates.value_counts_json(df, "c", ["a", "b"]).first()[0] == '{"a":2,"b":1}'
+    assert aggregates.value_counts_json(df, "c", ["a"]).first()[0] == '{"a":2,"other":1}'
 
 
 def test_fixed_categories(spark):
@@ -140,11 +139,14 @@ def test_median_and_mean(spark):
 
 def test_pivot(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "x")], "r string, c string")
-    values = aggregates.distinct_values(df, "c")
-    assert values == ["x", "y"]
-    assert rows(aggregates.pivot_counts(df, "r", "c", values)) == [("a", 2, 0), ("b", 0, 1)]
-    with pytest.raises(ValueError):
-        aggregates.distinct_values(df, "c", max_values=1)
+    assert rows(aggregates.pivot_counts(df, "r", "c", ["x", "y"])) == [("a", 2, 0), ("b", 0, 1)]
+    assert rows(aggregates.pair_counts(df, "r", "c")) == [("a", "x", 2), ("b", "y", 1)]
+
+
+def test_histogram_of_equal_values(spark):
+    df = spark.createDataFrame([(3.0,), (3.0,)], "v double")
+    got = [tuple(r) for r in aggregates.histogram(df, "v", 4).collect()]
+    assert got == [(1, 0), (2, 0), (3, 2), (4, 0)]
 
 
 @pytest.mark.parametrize("approximate", [False, True])
