@@ -78,8 +78,9 @@ def test_secret_spans(spark):
     ]
     docs = table(spark, list(enumerate(texts)))
     rng = random.Random(2)
-    strings = ["".join(rng.choices(string.ascii_letters + string.digits, k=20)) for _ in range(60)]
-    samples = [(x, True, 20) for x in strings] + [("Ordinary9", False, 5000), ("K1", False, 500), ("X7", False, 500)]
+    strings = ["".join(rng.choices(string.ascii_letters + string.digits, k=20)) for _ in range(3000)]
+    # Ordinary strings in which every character is followed by an e.
+    samples = [(x, True, 1) for x in strings] + [(f"{c}e", False, 5000) for c in string.ascii_letters + string.digits]
     words = spark.createDataFrame([*samples, ("ordinary", False, 5000), ("words", False, 5000), ("lowercase", False, 5000),
         ("inhere", False, 5000), ("insin", False, 100), ("dsin", False, 500)], "value string, random boolean, n bigint")
     model = secrets.train(words)
