@@ -29,8 +29,10 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Pieces longer than this go through a heap.
 LONGEST_ROW = 128
 MATRIX_CELLS = 1_000_000
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 OUT_TOKENS = 1_000_000
+#: Characters of text whose new pieces are merged together; a longer text is a group by itself.
+GROUP_CHARS = 4_000_000
 #: The pattern's classes of white space are those of Unicode's White_Space property (a fixed value).
 WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -91,12 +93,17 @@ class MatrixBpe:
         # Outside and inside of classes alike, so that \s means the same as where the vocabulary was made.
         own = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{WHITE}\p{{L}}\p{{N}}]").replace(r"\S", rf"[^{WHITE}]")
         self.cut = regex.compile(own.replace(r"\s", f"[{WHITE}]")).findall
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self._forget()
 
-    def _rows(self, ids: np.ndarray) -> list[list[int]]:
-        """All rows of a padded matrix merged to the end."""
-        done: list[list[int]] = [[] for _ in range(len(ids))]
-        number = np.arange(len(ids))
+    def _forget(self) -> None:
+        """An empty table of pieces: their numbers, all tokens in order of number, and where each piece's end."""
+        self.number: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _rows(self, ids: np.ndarray) -> np.ndarray:
+        """All rows of a padded matrix merged to the end, in place."""
+        done, number = ids, np.arange(len(ids))
+        ids = ids.copy()
         while len(ids):
             if ids.shape[1] > 1:
                 ranks = self.pairs.ranks(ids[:, :-1], ids[:, 1:])
@@ -105,9 +112,9 @@ class MatrixBpe:
             else:
                 at = np.zeros(len(ids), np.int64)
                 best = np.full(len(ids), NONE)
-            for k in np.flatnonzero(best == NONE):
-                done[number[k]] = ids[k][ids[k] >= 0].tolist()
             go = best != NONE
+            done[number[~go], : ids.shape[1]] = ids[~go]
+            done[number[~go], ids.shape[1] :] = -1
             ids, number, at, best = ids[go], number[go], at[go], best[go]
             if not len(ids):
                 break
@@ -140,12 +147,15 @@ class MatrixBpe:
     def merge(self, pieces: Iterable[str]) -> None:
         """Tokens of pieces not met before."""
         buckets: dict[int, list[tuple[str, bytes]]] = {}
+        ids, lengths = [self.ids], []
         for piece in pieces:
             raw = piece.encode()
-            if raw in self.tokens:
-                self.kept[piece] = (self.tokens[raw],)
-            elif len(raw) > LONGEST_ROW:
-                self.kept[piece] = tuple(self._long(raw))
+            whole = self.tokens.get(raw)
+            if whole is not None or len(raw) > LONGEST_ROW:
+                own = [whole] if whole is not None else self._long(raw)
+                self.number[piece] = len(self.number)
+                ids.append(np.array(own, np.int32))
+                lengths.append(np.array([len(own)]))
             else:
                 buckets.setdefault(max(4, 1 << (len(raw) - 1).bit_length()), []).append((piece, raw))
         for width, group in buckets.items():
@@ -154,24 +164,37 @@ class MatrixBpe:
                 part = group[first : first + step]
                 raw = np.frombuffer(b"".join(r.ljust(width, b"\0") for _, r in part), np.uint8).reshape(-1, width)
                 length = np.array([len(r) for _, r in part])
-                ids = np.where(np.arange(width)[None, :] < length[:, None], self.byte_ids[raw], -1).astype(np.int32)
-                for (piece, _), tokens in zip(part, self._rows(ids), strict=True):
-                    self.kept[piece] = tuple(tokens)
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        kept = self.kept
-        for text in texts:
-            pieces = self.cut(text)
-            new = {p for p in pieces if p not in kept}
+                rows = np.where(np.arange(width)[None, :] < length[:, None], self.byte_ids[raw], -1).astype(np.int32)
+                rows = self._rows(rows)
+                for piece, _ in part:
+                    self.number[piece] = len(self.number)
+                ids.append(rows[rows >= 0])
+                lengths.append((rows >= 0).sum(axis=1))
+        self.ids = np.concatenate(ids)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))])
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Tokens of each text. New pieces of about `GROUP_CHARS` characters of text share their matrices."""
+        first = 0
+        while first < len(texts):
+            last, chars = first, 0
+            while last < len(texts) and (last == first or chars + len(texts[last]) <= GROUP_CHARS):
+                chars += len(texts[last])
+                last += 1
+            cut = [self.cut(text) for text in texts[first:last]]
+            new = {p for pieces in cut for p in pieces if p not in self.number}
+            if new and len(self.number) + len(new) > KEPT_PIECES:
+                self._forget()
+                new = {p for pieces in cut for p in pieces}
             if new:
-                if len(kept) + len(new) > KEPT_PIECES:
-                    kept.clear()
-                    new = set(pieces)
                 self.merge(new)
-            ids: list[int] = []
-            for p in pieces:
-                ids += kept[p]
-            yield ids
+            for pieces in cut:
+                numbers = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+                start = self.ends[numbers]
+                n = self.ends[numbers + 1] - start
+                before = np.cumsum(n) - n
+                yield self.ids[np.repeat(start - before, n) + np.arange(n.sum())]
+            first = last
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.by_id.__getitem__, ids))
@@ -202,7 +225,7 @@ def encode_documents(
         for batch in batches:
             first, lists, total = 0, [], 0
             for i, ids in enumerate(bpe.encode(batch.column(1).to_pylist()), 1):
-                lists.append(np.array(ids, np.int32))
+                lists.append(ids)
                 total += len(ids)
                 if total >= OUT_TOKENS or i == batch.num_rows:
                     ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
