@@ -17,6 +17,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ MATRIX_CELLS = 1_000_000
 KEPT_PIECES = 500_000
 OUT_TOKENS = 1_000_000
 #: Characters of text whose new pieces are merged together; a longer text is a group by itself.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 #: The pattern's classes of white space are those of Unicode's White_Space property (a fixed value).
 WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -85,9 +86,10 @@ class MatrixBpe:
     def __init__(self, vocabulary_path: str, pattern: str):
         lines = Path(vocabulary_path).read_bytes().splitlines()
         self.tokens = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line)}
-        self.by_id = [b""] * (max(self.tokens.values()) + 1)
+        by_id = [b""] * (max(self.tokens.values()) + 1)
         for token, rank in self.tokens.items():
-            self.by_id[rank] = token
+            by_id[rank] = token
+        self.by_id = pa.array(by_id, pa.large_binary())
         self.byte_ids = np.array([self.tokens[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.tokens)
         # Outside and inside of classes alike, so that \s means the same as where the vocabulary was made.
@@ -126,9 +128,10 @@ class MatrixBpe:
     def _long(self, piece: bytes) -> list[int]:
         """The same merges in the same order by a heap of (rank, place) and links between neighbours."""
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
+        texts = [piece[i : i + 1] for i in range(len(ids))]
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = lambda i: self.tokens.get(self.by_id[ids[i]] + self.by_id[ids[after[i]]])
+        pair = lambda i: self.tokens.get(texts[i] + texts[after[i]])
         heap = [(r, i) for i in range(n - 1) if (r := pair(i)) is not None]
         heapq.heapify(heap)
         while heap:
@@ -136,7 +139,7 @@ class MatrixBpe:
             if ids[i] < 0 or after[i] >= n or pair(i) != rank:
                 continue
             j = after[i]
-            ids[i], ids[j], after[i] = rank, -1, after[j]
+            ids[i], ids[j], texts[i], after[i] = rank, -1, texts[i] + texts[j], after[j]
             if after[i] < n:
                 before[after[i]] = i
             for k in (before[i], i):
@@ -196,8 +199,13 @@ class MatrixBpe:
                 yield self.ids[np.repeat(start - before, n) + np.arange(n.sum())]
             first = last
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.by_id.__getitem__, ids))
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of tokens; a null list has none."""
+        ends = np.cumsum(np.append(0, pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))
+        taken = self.by_id.take(lists.flatten())
+        offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1]
+        buffers = [None, pa.py_buffer(offsets[ends]), taken.buffers()[2]]
+        return pa.Array.from_buffers(pa.large_binary(), len(lists), buffers).cast(pa.binary())
 
 
 _models: dict[tuple[str, str], MatrixBpe] = {}
@@ -246,10 +254,8 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str, pattern: str, id_
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                decoded = [bpe.decode(ids or ()) for ids in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(decoded, pa.binary())], names=["id", "ids", "decoded"]
-                )
+                columns = [part.column(0), part.column(1), bpe.decode(part.column(1))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
 
     rows = encoded.select(F.col(id_col).alias("id"), "ids")
     kind = dict(rows.dtypes)["id"]

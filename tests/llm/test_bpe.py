@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tiktoken.load import load_tiktoken_bpe
@@ -30,7 +31,7 @@ def library():
     )
 
 
-@pytest.mark.parametrize("group,kept", [(4_000_000, 300_000), (50, 20), (1, 1)])
+@pytest.mark.parametrize("group,kept", [(2_000_000, 500_000), (50, 20), (1, 1)])
 def test_tokens_are_those_of_the_library(library, monkeypatch, group, kept):
     monkeypatch.setattr(bpe, "GROUP_CHARS", group)
     monkeypatch.setattr(bpe, "KEPT_PIECES", kept)
@@ -40,7 +41,7 @@ def test_tokens_are_those_of_the_library(library, monkeypatch, group, kept):
     model = bpe.MatrixBpe(PATH, public_tokenizers.PATTERN)
     for text, ids in zip(texts, model.encode(texts), strict=True):
         assert ids.tolist() == library.encode_ordinary(text)
-        assert model.decode(ids.tolist()) == text.encode()
+        assert model.decode(pa.array([None, ids.tolist(), []], pa.list_(pa.int32()))).to_pylist() == [b"", text.encode(), b""]
 
 
 def test_documents_with_nulls_repeats_and_clashing_columns(spark, library):
