@@ -38,20 +38,26 @@ def indexes(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def totals_before(lengths: Column, chunk: int = 256) -> Column:
-    """For each entry of an array of whole numbers the sum of those before it.
+#: Running totals go by chunks of this many numbers, so their work is not the square of a long array.
+CHUNK = 256
 
-    Sums go by chunks, so the work is about `chunk` steps an entry and not the square of a long array.
-    """
-    add = lambda acc, x: acc + x
-    zero = F.lit(0).cast("bigint")
-    sums = F.transform(
-        indexes(F.ceil(F.size(lengths) / chunk)),
-        lambda c: F.aggregate(F.slice(lengths, c * chunk + 1, F.lit(chunk)), zero, add),
-    )
-    before = F.transform(indexes(F.size(sums)), lambda c: F.aggregate(F.slice(sums, F.lit(1), c), zero, add))
-    return F.transform(
-        indexes(F.size(lengths)),
-        lambda i: F.get(before, F.floor(i / chunk).cast("int"))
-        + F.aggregate(F.slice(lengths, F.floor(i / chunk).cast("int") * chunk + 1, i % chunk), zero, add),
-    )
+
+def chunk_totals(lengths: Column) -> Column:
+    """For an array of whole numbers the sum of each chunk."""
+    chunks = indexes(F.ceil(F.size(lengths) / CHUNK))
+    return F.transform(chunks, lambda c: _total(F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK))))
+
+
+def before_chunks(totals: Column) -> Column:
+    """For each chunk the sum of those before it."""
+    return F.transform(indexes(F.size(totals)), lambda c: _total(F.slice(totals, F.lit(1), c)))
+
+
+def total_before(lengths: Column, before: Column, i: Column) -> Column:
+    """The sum of the numbers before place i. Both arrays must be plain columns: a lambda computes them anew each time."""
+    chunk = F.floor(i / CHUNK).cast("int")
+    return F.get(before, chunk) + _total(F.slice(lengths, chunk * CHUNK + 1, i % CHUNK))
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda acc, x: acc + x)

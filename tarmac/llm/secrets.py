@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import empty_for_null, indexes, totals_before, with_value
+from tarmac.llm.common import before_chunks, chunk_totals, empty_for_null, indexes, total_before, with_value
 
 #: Fixed patterns by kind, in the order in which kinds are listed.
 ASSIGN = (
@@ -35,33 +35,45 @@ ORDINARY = r"[A-Za-z0-9+/_=-]{4,}"
 MIN_RATIO = 12_000
 
 
-def _spans(body: Column, pattern: str, kind: str, order: int) -> Column:
-    """All leftmost non-overlapping matches of a pattern as (start, rank, kind, end, value)."""
-    found = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(body, F.lit(pattern), F.lit(1)) if kind == "assign" else found
-    between = F.split(body, pattern)
-    steps = F.zip_with(
-        F.slice(between, F.lit(1), F.size(found)), found, lambda p, m: (F.length(p) + F.length(m)).cast("bigint")
-    )
-    spans = F.zip_with(
-        F.arrays_zip(totals_before(steps).alias("before"), steps.alias("step")),
-        F.arrays_zip(found.alias("m"), values.alias("v")),
-        lambda x, y: F.struct(
-            (x["before"] + x["step"] - F.length(y["m"])).alias("start"),
-            F.lit(order).alias("rank"),
-            F.lit(kind).alias("kind"),
-            (x["before"] + x["step"]).alias("end"),
-            y["v"].alias("value"),
-        ),
-    )
-    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string>>")
-    spans = F.when(F.regexp_like(body, F.lit(pattern)), spans).otherwise(none)
-    return F.filter(spans, lambda s: F.length(s["value"]) >= MIN_VALUE) if kind == "assign" else spans
+def with_spans(rows: DataFrame, body: str, patterns: list[tuple[int, str, str]], name: str) -> DataFrame:
+    """All leftmost non-overlapping matches per pattern (rank, kind, pattern) as (start, rank, kind, end, value), sorted.
 
-
-def base_spans(body: Column) -> Column:
-    each = [_spans(body, pattern, kind, i) for i, (kind, pattern) in enumerate(PATTERNS)]
-    return F.sort_array(F.concat(*each))
+    Matches, their steps through the text and the running totals are columns of their own before a lambda uses them.
+    """
+    each = lambda value: F.struct(*[value(kind, pattern).alias(kind) for _, kind, pattern in patterns])
+    text, columns = F.col(body), rows.columns
+
+    def step(kind: str, pattern: str) -> Column:
+        found = F.col(f"found.{kind}")
+        none = F.array().cast("array<string>")
+        between = F.slice(F.when(F.size(found) > 0, F.split(text, pattern)).otherwise(none), F.lit(1), F.size(found))
+        return F.zip_with(between, found, lambda p, m: (F.length(p) + F.length(m)).cast("bigint"))
+
+    def value(kind: str, pattern: str) -> Column:
+        found = F.col(f"found.{kind}")
+        return F.when(F.size(found) > 0, F.regexp_extract_all(text, F.lit(pattern), F.lit(1))).otherwise(found)
+
+    def spans(rank: int, kind: str) -> Column:
+        found, steps, before = (F.col(f"{c}.{kind}") for c in ("found", "steps", "before"))
+        values = F.col(f"values.{kind}") if kind == "assign" else found
+
+        def span(i: Column) -> Column:
+            end = total_before(steps, before, i) + F.get(steps, i)
+            start = end - F.length(F.get(found, i))
+            own = (F.lit(rank).alias("rank"), F.lit(kind).alias("kind"))
+            return F.struct(start.alias("start"), *own, end.alias("end"), F.get(values, i).alias("value"))
+
+        all_ = F.transform(indexes(F.size(found)), span)
+        return F.filter(all_, lambda s: F.length(s["value"]) >= MIN_VALUE) if kind == "assign" else all_
+
+    rows = with_value(rows, "found", each(lambda _, pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
+    if any(kind == "assign" for _, kind, _ in patterns):
+        rows = with_value(rows, "values", each(lambda kind, p: value(kind, p) if kind == "assign" else F.lit(None)))
+    rows = with_value(rows, "steps", each(step))
+    rows = with_value(rows, "totals", each(lambda kind, _: chunk_totals(F.col(f"steps.{kind}"))))
+    rows = with_value(rows, "before", each(lambda kind, _: before_chunks(F.col(f"totals.{kind}"))))
+    rows = with_value(rows, name, F.sort_array(F.concat(*[spans(rank, kind) for rank, kind, _ in patterns])))
+    return rows.select(*columns, name)
 
 
 def _runs(spans: Column) -> Column:
@@ -142,7 +154,7 @@ def log_ratio(codes: Column, model: list[int]) -> Column:
 
 def _rows(docs: DataFrame, text_col: str) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), empty_for_null(text_col).alias("body"))
-    return with_value(rows, "base", base_spans(F.col("body")))
+    return with_spans(rows, "body", [(i, *p) for i, p in enumerate(PATTERNS)], "base")
 
 
 def find_secrets(
@@ -158,8 +170,7 @@ def find_secrets(
     rows = _rows(docs, text_col)
     if model is None:
         model = train(labelled_samples(rows))
-    body = F.col("body")
-    judged = with_value(rows, "long", _spans(body, CANDIDATE, "markov", len(PATTERNS)))
+    judged = with_spans(rows, "body", [(len(PATTERNS), "markov", CANDIDATE)], "long")
     base = F.col("base")
     free = F.filter(
         "long", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
