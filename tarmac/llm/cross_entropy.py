@@ -1,15 +1,17 @@
 """Cross-entropy difference of two bigram models.
 
 The target model counts the documents marked as target, the background model all documents. Both have one
-vocabulary, the most frequent words, everything else being one unknown word, and the same
-smoothing: a bigram's share is interpolated with the share of its second word. A document's score is the mean
-over its words of the loss under the target model less the loss under the background model; lower is closer to
-the target.
-
-Counts of words are bounded by the vocabulary and go to every task; so are the counts of bigrams of the few
-hundred most frequent words, which may make up much of the corpus. All other bigrams hold a word that is rarer than
-those, so none has a large share of the rows: they are dealt by bigram, counted there over the whole corpus,
-and each document gets back the sum over its bigrams of a part.
+vocabulary, all words of the corpus (a caller may ask for the most frequent ones, everything else being one unknown
+word), and the same smoothing: a bigram's share is interpolated with the share of its second word. A document's score
+is the mean over its words of the loss under the target model less the loss under the background model; lower is closer
+to the target.
+
+Words go by their 64-bit hash. Only hot words, the few hundred most frequent ones and any with a good share of a part's
+bigrams, go to every task with their counts; so do the counts of bigrams of frequent words, which may make up much of
+the corpus. All other bigrams are dealt to parts by their second word, so a part counts whole words as well as bigrams
+and needs no table of the vocabulary. The loss by a word's history is a term of its own, and the part of a word counts
+that history too. Bigrams whose second word is hot are dealt by both words instead. Each document gets back
+the sum over its bigrams of a part.
 """
 
 from __future__ import annotations
@@ -24,53 +26,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import empty_for_null
-from tarmac.llm.hashing import group_starts, slices, word_hashes
+from tarmac.llm.hashing import group_starts, joined, mix, slices, word_hashes
 from tarmac.session import stored
 
-VOCABULARY = 65_536
 FREQUENT = 512
 #: Weight of the second word's share, in bigrams.
 SMOOTHING = 16.0
 #: Bigrams that one group counts and answers.
 PART_BIGRAMS = 4_000_000
-ID_BITS = 18
+#: A word with more occurrences than this share of a part is hot.
+HOT_SHARE = 8
+#: What stands for the start of a text, and for words outside a vocabulary that the caller limits.
+START, UNKNOWN = np.uint64(1), np.uint64(2)
+#: Bytes of a word with its mark for the end of a text, of a history, and of a hot word's number.
+WORD_BYTES, HISTORY_BYTES, HOT_BYTES = 7, 6, 3
+COUNTS = ["n_target", "n_all", "ends_target", "ends_all"]
 
 
 @dataclass(frozen=True)
-class Unigrams:
-    """The shared vocabulary, by falling count, and both models' counts; the last two ids are unknown and start."""
+class Hot:
+    """Counts of the hot words under both models, by rising hash, and the totals."""
 
-    hashes: np.ndarray  # sorted
-    ids: np.ndarray  # id of each hash
-    counts: np.ndarray  # (2, size + 2): as a word
-    history: np.ndarray  # (2, size + 2): before another word
+    hashes: np.ndarray
+    counts: np.ndarray  # (2, n): as a word
+    history: np.ndarray  # (2, n + 1): before another word; the last is the start
+    place: np.ndarray  # (n + 1): among the frequent words, or -1; the last is the start
+    total: np.ndarray  # (2, 1): occurrences of all words
+    size: int  # distinct words and the unknown one
+    known: np.ndarray | None  # hashes of a limited vocabulary
 
     @property
-    def unknown(self) -> int:
-        return self.counts.shape[1] - 2
+    def width(self) -> int:
+        return int(self.place.max()) + 1
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, words), max(0, len(self.hashes) - 1))
-        if not len(self.hashes):
-            return np.full(len(words), self.unknown)
-        return np.where(self.hashes[at] == words, self.ids[at], self.unknown)
+        """Number of each hot word, -1 for others."""
+        return _places(self.hashes, words)
 
-    def log_share(self, first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Natural logarithms (2, n) of the share of bigrams with these counts (2, n) under both models."""
-        size = self.counts.shape[1] - 1
-        total = self.counts.sum(axis=1, keepdims=True)
-        single = (self.counts[:, second] + 1) / (total + size)
-        return np.log((counts + SMOOTHING * single) / (self.history[:, first] + SMOOTHING))
+    def log_share(self, single: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Natural logarithms (2, n) for second words and bigrams with these counts (2, n), before the history's part."""
+        return np.log(counts + SMOOTHING * (single + 1) / (self.total + self.size))
 
 
-def _bigrams(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, words: Unigrams) -> tuple[np.ndarray, ...]:
-    """First and second word of each bigram, the start of a row being a word, and the row."""
-    hashes, row = word_hashes(data, offsets)
-    second = words.lookup(hashes)
-    first = np.empty_like(second)
-    first[1:] = second[:-1]
-    first[group_starts(row)] = words.unknown + 1
-    return first, second, row
+def _places(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    if not len(hashes):
+        return np.full(len(words), -1)
+    at = np.minimum(np.searchsorted(hashes, words), len(hashes) - 1)
+    return np.where(hashes[at] == words, at, -1)
+
+
+@dataclass(frozen=True)
+class Bigrams:
+    """Bigrams of a slice: hashes and hot numbers of both words, the row, whether first or last of the row."""
+
+    first: np.ndarray
+    second: np.ndarray
+    first_hot: np.ndarray
+    second_hot: np.ndarray
+    row: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+
+
+def _bigrams(data: np.ndarray, offsets: np.ndarray, hot: Hot) -> Bigrams:
+    second, row = word_hashes(data, offsets)
+    if hot.known is not None:
+        second = np.where(_places(hot.known, second) >= 0, second, UNKNOWN)
+    second_hot = hot.lookup(second)
+    begins, ends = np.ones(len(row), bool), np.ones(len(row), bool)
+    begins[1:] = row[1:] != row[:-1]
+    ends[:-1] = begins[1:]
+    first, first_hot = np.roll(second, 1), np.roll(second_hot, 1)
+    first[begins], first_hot[begins] = START, len(hot.hashes)
+    return Bigrams(first, second, first_hot, second_hot, row, begins, ends)
+
+
+def _frequent_keys(words: Bigrams, hot: Hot) -> tuple[np.ndarray, np.ndarray]:
+    """Which bigrams are of frequent words, and the places of these in the table of their counts."""
+    first = np.where(words.first_hot >= 0, hot.place[words.first_hot], -1)
+    second = np.where(words.second_hot >= 0, hot.place[words.second_hot], -1)
+    both = (first >= 0) & (second >= 0)
+    return both, first[both] * hot.width + second[both]
+
+
+def _targets(rows: pa.RecordBatch) -> np.ndarray:
+    return rows.column(rows.schema.get_field_index("target")).to_numpy(zero_copy_only=False).astype(bool)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,44 +131,50 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def unigrams(rows: DataFrame, vocabulary: int) -> Unigrams:
+def hot_words(rows: DataFrame, vocabulary: int | None, frequent: int, limit: int) -> Hot:
+    """The `frequent` most frequent words and all that occur more than `limit` times."""
     counted = rows.select("body", "target").mapInArrow(
         _word_counts, "word bigint, n_target bigint, n_all bigint, ends_target bigint, ends_all bigint"
     )
-    names = counted.columns[1:]
-    counted = stored(counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in names]), "words")
-    totals = np.array([x or 0 for x in counted.agg(*[F.sum(c) for c in names]).first()], np.int64)
-    top = counted.orderBy(F.desc("n_all"), "word").limit(vocabulary).toPandas()
-    columns = [np.append(top[c].to_numpy(np.int64), total - top[c].sum()) for c, total in zip(names, totals, strict=True)]
-    n, ends = np.stack(columns[:2]), np.stack(columns[2:])
-    start = np.zeros((2, 1), np.int64)
-    history = np.concatenate([n - ends, ends.sum(axis=1, keepdims=True)], axis=1)
+    counted = stored(counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS]), "words")
+    summed = counted.agg(F.count(F.lit(1)).alias("words"), *[F.sum(c).alias(c) for c in COUNTS]).first()
+    totals = np.array([summed[c] or 0 for c in COUNTS], np.int64)
+    ranked = counted.orderBy(F.desc("n_all"), "word")
+    known, size = None, summed["words"] + 1
+    if vocabulary is None:
+        # At most one word per `limit` words of the corpus beyond the frequent ones.
+        top = pd.concat([ranked.limit(frequent).toPandas(), counted.filter(F.col("n_all") > limit).toPandas()])
+        top = top.drop_duplicates("word").astype("int64")
+        place = np.arange(len(top))
+        place[frequent:] = -1
+    else:
+        top = ranked.limit(vocabulary).toPandas().astype("int64")
+        known, size = np.sort(top["word"].to_numpy().view(np.uint64)), len(top) + 1
+        rest = totals - top[COUNTS].sum().to_numpy()
+        top = top[(np.arange(len(top)) < frequent) | (top["n_all"] > limit)]
+        place = np.arange(len(top))
+        place[frequent:] = -1
+        unknown = pd.DataFrame([[int(UNKNOWN), *rest.tolist()]], columns=["word", *COUNTS])
+        top, place = pd.concat([top, unknown]), np.append(place, min(frequent, len(top)))
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Unigrams(hashes[order], order, np.concatenate([n, start], axis=1), history)
-
+    columns = top[COUNTS].to_numpy(np.int64)[order].T
+    n, ends = columns[:2], columns[2:]
+    history = np.append(n - ends, totals[2:, None], axis=1)
+    place = np.append(place[order], place.max(initial=-1) + 1)
+    return Hot(hashes[order], n, history, place, totals[:2, None], size, known)
 
-def _frequent(words: Unigrams, size: int) -> np.ndarray:
-    """For each id its place among the frequent ones (unknown and start among them), or -1."""
-    n = words.counts.shape[1]
-    place = np.full(n, -1)
-    place[:size] = np.arange(min(size, n))
-    place[[n - 2, n - 1]] = min(size, n), min(size, n) + 1
-    return place
 
-
-def _frequent_counts(words: Unigrams, place: np.ndarray):
-    width = int(place.max()) + 1
+def _frequent_counts(hot: Hot):
+    cells = hot.width**2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, width * width), np.int64)
+        counts = np.zeros((2, cells), np.int64)
         for rows, data, offsets in slices(batches, "body"):
-            first, second, row = _bigrams(rows, data, offsets, words)
-            both = (place[first] >= 0) & (place[second] >= 0)
-            key = place[first[both]] * width + place[second[both]]
-            target = rows.column(rows.schema.get_field_index("target")).to_numpy(zero_copy_only=False)[row[both]]
-            counts[0] += np.bincount(key[target], minlength=width * width)
-            counts[1] += np.bincount(key, minlength=width * width)
+            words = _bigrams(data, offsets, hot)
+            both, key = _frequent_keys(words, hot)
+            counts[0] += np.bincount(key[_targets(rows)[words.row[both]]], minlength=cells)
+            counts[1] += np.bincount(key, minlength=cells)
         at = np.flatnonzero(counts[1])
         columns = [at, counts[0][at], counts[1][at]]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "n_target", "n_all"])
@@ -136,81 +182,115 @@ def _frequent_counts(words: Unigrams, place: np.ndarray):
     return run
 
 
-def _local_sums(words: Unigrams, place: np.ndarray, counts: np.ndarray):
-    """Per row its number of words and the sums over its frequent bigrams."""
-    width = int(place.max()) + 1
+def _local_sums(hot: Hot, counts: np.ndarray):
+    """Per row its number of words and the sums over its frequent bigrams and over its hot histories."""
+    of_history = np.log(hot.history + SMOOTHING)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "body"):
-            first, second, row = _bigrams(rows, data, offsets, words)
-            n = np.bincount(row, minlength=rows.num_rows)
-            both = (place[first] >= 0) & (place[second] >= 0)
-            key = place[first[both]] * width + place[second[both]]
-            logs = words.log_share(first[both], second[both], counts[:, key])
-            sums = [pa.array(np.bincount(row[both], x, rows.num_rows)) for x in logs]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n.astype(np.int64)), *sums], names=["row", "n_words", "target_sum", "all_sum"]
-            )
+            words = _bigrams(data, offsets, hot)
+            n = np.bincount(words.row, minlength=rows.num_rows)
+            both, key = _frequent_keys(words, hot)
+            logs = hot.log_share(hot.counts[:, words.second_hot[both]], counts[:, key])
+            after = words.first_hot >= 0
+            sums = [
+                np.bincount(words.row[both], x, rows.num_rows)
+                - np.bincount(words.row[after], h[words.first_hot[after]], rows.num_rows)
+                for x, h in zip(logs, of_history, strict=True)
+            ]
+            columns = [rows.column(0), pa.array(n.astype(np.int64)), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "n_words", "target_sum", "all_sum"])
 
     return run
 
 
-def _requests(words: Unigrams, place: np.ndarray, parts: int):
-    """The other bigrams of a slice by part: rows, bigrams per row, whether target, and the bigrams in five bytes."""
+def _low_bytes(x: np.ndarray, n: int) -> np.ndarray:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
+
+
+def _numbers(low: np.ndarray) -> np.ndarray:
+    whole = np.zeros((len(low), 8), np.uint8)
+    whole[:, : low.shape[1]] = low
+    return whole.view("<u8").ravel()
+
+
+def _requests(hot: Hot, parts: int):
+    """The other bigrams of a slice by part and by whether the second word is hot: rows, bigrams per row, whether
+    target, and the bigrams in a few bytes."""
+
+    def dealt(rows: pa.RecordBatch, is_hot: bool, by: np.ndarray, row: np.ndarray, packed: np.ndarray) -> list[tuple]:
+        if not len(row):
+            return []
+        part = ((mix(by) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((row, part))
+        row, part, packed = row[order], part[order], packed[order]
+        run_starts = group_starts(part * rows.num_rows + row)
+        size = np.diff(np.append(run_starts, len(row))).astype(np.int32)
+        names = rows.column(0).to_numpy()[row[run_starts]]
+        target = _targets(rows)[row[run_starts]].astype(np.uint8)
+        part_starts = group_starts(part)
+        ends = np.append(part_starts[1:], len(row))
+        of_run = np.append(np.searchsorted(run_starts, part_starts), len(run_starts))
+        return [
+            (int(part[s]), is_hot, names[a:b].tobytes(), size[a:b].tobytes(), target[a:b].tobytes(), packed[s:e].tobytes())
+            for s, e, a, b in zip(part_starts, ends, of_run[:-1], of_run[1:], strict=True)
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "body"):
-            first, second, row = _bigrams(rows, data, offsets, words)
-            other = (place[first] < 0) | (place[second] < 0)
-            key, row = (first[other] << ID_BITS) | second[other], row[other]
-            if not len(key):
-                continue
-            mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((row, part))
-            key, row, part = key[order], row[order], part[order]
-            run_starts = group_starts(part * rows.num_rows + row)
-            size = np.diff(np.append(run_starts, len(key))).astype(np.int32)
-            names = rows.column(0).to_numpy()[row[run_starts]]
-            target = rows.column(rows.schema.get_field_index("target")).to_numpy(zero_copy_only=False)[row[run_starts]]
-            packed = key.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5]
-            part_starts = group_starts(part)
-            ends = np.append(part_starts[1:], len(key))
-            of_run = np.append(np.searchsorted(run_starts, part_starts), len(run_starts))
-            out = [
-                (
-                    int(part[s]),
-                    names[a:b].tobytes(),
-                    size[a:b].tobytes(),
-                    target[a:b].astype(np.uint8).tobytes(),
-                    packed[s:e].tobytes(),
-                )
-                for s, e, a, b in zip(part_starts, ends, of_run[:-1], of_run[1:], strict=True)
-            ]
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            words = _bigrams(data, offsets, hot)
+            both, _ = _frequent_keys(words, hot)
+            history = _low_bytes(words.first, HISTORY_BYTES)
+            # The words' highest bits, and one for the end of a text.
+            marked = (words.second >> np.uint64(9) << np.uint64(1)) | words.ends.astype(np.uint64)
+            cold = words.second_hot < 0
+            packed = np.concatenate([_low_bytes(marked[cold], WORD_BYTES), history[cold]], axis=1)
+            out = dealt(rows, False, words.second[cold], words.row[cold], packed)
+            other = ~cold & ~both
+            number = words.second_hot[other].astype(np.uint64)
+            packed = np.concatenate([_low_bytes(number, HOT_BYTES), history[other]], axis=1)
+            out += dealt(rows, True, joined(words.first[other], number), words.row[other], packed)
+            kinds = [pa.int64(), pa.bool_(), *[pa.binary()] * 4]
             columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "rows", "sizes", "targets", "bigrams"])
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "hot", "rows", "sizes", "targets", "bigrams"])
 
     return run
 
 
-def _answers(words: Unigrams):
-    """Counts of a part's bigrams over the corpus, and for each row the sums over its bigrams of this part."""
+def _answers(hot: Hot):
+    """Counts of a part's words and bigrams over the corpus, and for each row the sums over its bigrams of this part."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        packed = np.frombuffer(b"".join(group["bigrams"]), np.uint8).reshape(-1, 5)
-        key = np.zeros((len(packed), 8), np.uint8)
-        key[:, :5] = packed
-        key = key.view("<i8").ravel()
+    def sums(group: pd.DataFrame, is_hot: bool) -> pd.DataFrame:
+        width = HOT_BYTES if is_hot else WORD_BYTES
+        packed = np.frombuffer(b"".join(group["bigrams"]), np.uint8).reshape(-1, width + HISTORY_BYTES)
+        word, history = _numbers(packed[:, :width]), _numbers(packed[:, width:])
         size = np.frombuffer(b"".join(group["sizes"]), np.int32)
         row = np.frombuffer(b"".join(group["rows"]), np.int64)
         target = np.repeat(np.frombuffer(b"".join(group["targets"]), np.uint8).astype(bool), size)
-        bigram, at = np.unique(key, return_inverse=True)
-        counts = np.stack([np.bincount(at[target], minlength=len(bigram)), np.bincount(at, minlength=len(bigram))])
-        logs = words.log_share(bigram >> ID_BITS, bigram & ((1 << ID_BITS) - 1), counts)
+        count = lambda at, n, which: np.stack([np.bincount(at[which & target], minlength=n), np.bincount(at[which], minlength=n)])
+        every = np.ones(len(word), bool)
+        if is_hot:
+            at, single = word.astype(np.int64), hot.counts
+        else:
+            ends = (word & np.uint64(1)).astype(bool)
+            word = word >> np.uint64(1)
+            distinct, at = np.unique(word, return_inverse=True)
+            single = count(at, len(distinct), every)
+            after = np.log(count(at, len(distinct), ~ends) + SMOOTHING)
+        bigram, one, of_bigram = np.unique(joined(history, word), return_index=True, return_inverse=True)
+        logs = hot.log_share(single[:, at[one]], count(of_bigram, len(bigram), every))
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        sums = [np.add.reduceat(x[at], first) for x in logs]
-        return pd.DataFrame({"row": row, "target_sum": sums[0], "all_sum": sums[1]})
+        out = []
+        for k, x in enumerate(logs):
+            terms = x[of_bigram]
+            if not is_hot:
+                terms -= np.where(ends, 0.0, after[k][at])
+            out.append(np.add.reduceat(terms, first))
+        return pd.DataFrame({"row": row, "target_sum": out[0], "all_sum": out[1]})
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        kinds = [(group[group["hot"] == is_hot], is_hot) for is_hot in (False, True)]
+        return pd.concat([sums(own, is_hot) for own, is_hot in kinds if len(own)])
 
     return run
 
@@ -220,39 +300,37 @@ def cross_entropy_difference(
     id_col: str = "doc_id",
     text_col: str = "text",
     target_col: str = "target",
-    vocabulary: int = VOCABULARY,
+    vocabulary: int | None = None,
     frequent: int = FREQUENT,
     part_bigrams: int = PART_BIGRAMS,
 ) -> DataFrame:
     """One row per input row: its id, `n_words`, `target_loss`, `background_loss`, `score` (their difference).
 
     Losses are means per word in nats. Words are runs without ASCII white space. Null, empty and blank texts have no
-    words, no losses and no score. Null in the target column is false; without target rows the target model is the
+    words, no losses and no score. All words are known; with a `vocabulary` only so many of the most frequent. Null in the target column is false; without target rows the target model is the
     smoothing alone. Rows that repeat count each time; ids may be null; other columns are ignored; an empty
     table gives an empty result.
     """
     target = F.coalesce(F.col(target_col).cast("boolean"), F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), empty_for_null(text_col).alias("body"), target.alias("target"))
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "marked").select("row", "id", "body", "target")
-    words = unigrams(rows, min(vocabulary, (1 << ID_BITS) - 2))
-    place = _frequent(words, frequent)
-    width = int(place.max()) + 1
+    hot = hot_words(rows, vocabulary, frequent, part_bigrams // HOT_SHARE)
     texts = rows.select("row", "body", "target")
     # At most (frequent + 2) squared rows.
-    counted = texts.mapInArrow(_frequent_counts(words, place), "key bigint, n_target bigint, n_all bigint")
+    counted = texts.mapInArrow(_frequent_counts(hot), "key bigint, n_target bigint, n_all bigint")
     counted = counted.groupBy("key").agg(F.sum("n_target").alias("n_target"), F.sum("n_all").alias("n_all")).toPandas()
-    counts = np.zeros((2, width * width), np.int64)
+    counts = np.zeros((2, hot.width**2), np.int64)
     counts[:, counted["key"]] = counted["n_target"], counted["n_all"]
-    parts = max(1, -(-int(words.counts[1].sum()) // part_bigrams))
+    parts = max(1, -(-int(hot.total[1, 0]) // part_bigrams))
 
     kind = "row bigint, target_sum double, all_sum double"
     local = texts.mapInArrow(
-        _local_sums(words, place, counts), "row bigint, n_words bigint, target_sum double, all_sum double"
+        _local_sums(hot, counts), "row bigint, n_words bigint, target_sum double, all_sum double"
     )
     asked = texts.mapInArrow(
-        _requests(words, place, parts), "part bigint, rows binary, sizes binary, targets binary, bigrams binary"
+        _requests(hot, parts), "part bigint, hot boolean, rows binary, sizes binary, targets binary, bigrams binary"
     )
-    answered = asked.groupBy("part").applyInPandas(_answers(words), kind).withColumn("n_words", F.lit(0).cast("bigint"))
+    answered = asked.groupBy("part").applyInPandas(_answers(hot), kind).withColumn("n_words", F.lit(0).cast("bigint"))
     sums = local.unionByName(answered).groupBy("row").agg(
         F.sum("n_words").alias("n_words"), F.sum("target_sum").alias("t"), F.sum("all_sum").alias("b")
     )

@@ -143,6 +143,27 @@ def test_cross_entropy_matches_plain_python(spark, cut, frequent, part):
             assert r.score == pytest.approx(target - background, abs=1e-8)
 
 
+@pytest.mark.parametrize(("frequent", "part"), [(512, 4_000_000), (3, 4000), (20, 40_000)])
+def test_cross_entropy_knows_every_word(spark, frequent, part):
+    # By default no vocabulary ends at 65,536 words: each rare word and bigram here counts by itself.
+    rng = random.Random(9)
+    docs = []
+    for i in range(70):
+        words = [f"r{rng.randrange(80_000)}" if rng.random() < 0.9 else f"w{rng.randrange(6)}" for _ in range(1100)]
+        words += [f"s{1000 * i + k}" for k in range(1000)]
+        docs.append((i, " ".join(words), i % 3 == 0))
+    docs += [(90, "r1 r2 s3 r1 r2", True), (91, "s3", False)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, target boolean")
+    assert len({w for _, t, _ in docs for w in t.split()}) > 100_000
+    want = brute_losses(docs, 1_000_000)
+    out = cross_entropy_difference(df, frequent=frequent, part_bigrams=part).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        n, target, background = want[r.doc_id]
+        assert r.n_words == n
+        assert (r.target_loss, r.background_loss) == pytest.approx((target, background), abs=1e-8)
+
+
 def test_cross_entropy_missing_ids_repeated_rows_and_no_rows(spark):
     rows = [(None, "a b", True), (None, "a b", True), (1, "c d", False), (1, "c d", False)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, target boolean")
