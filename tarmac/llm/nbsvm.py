@@ -1,9 +1,9 @@
 """Naive Bayes support vectors.
 
-A document is the set of its words and word pairs, hashed to a fixed number of places. Each place is scaled by the
-log ratio of its (smoothed) shares in the two classes, counted over all labelled rows by Spark. A linear
-hinge-loss model on the scaled indicators is fitted by dual coordinate descent, on a bounded number of rows per
-class; further rows of the same size calibrate the margin to a probability. Every row is scored.
+A document is the set of its words and word pairs, each by its 64-bit hash. A linear hinge-loss model is fitted by dual
+coordinate descent on a bounded number of rows per class; only n-grams of these rows can have a weight, so they are the
+model's vocabulary. Each is scaled by the log ratio of its (smoothed) shares in the two classes, counted over
+all labelled rows by Spark. Further rows of the same size calibrate the margin to a probability. Every row is scored.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +20,17 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import empty_for_null
 from tarmac.llm.hashing import joined, mix, slices, word_hashes
 
-BITS = 18
 #: Rows per class that the hinge-loss model is fitted on, and as many that calibrate it.
 FIT_ROWS = 3000
 ROUNDS = 30
 COST = 1.0
+#: N-grams of the vocabulary whose counts meet in one group.
+BLOCK = 1 << 16
 
 
 @dataclass(frozen=True)
 class Model:
+    hashes: np.ndarray  # of n-grams, sorted
     weights: np.ndarray
     bias: float
     slope: float
@@ -37,37 +40,73 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-def places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct places of the words and word pairs of each row, and their rows, in order."""
+def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and word pairs of each row, and their rows; repeats are kept."""
     words, row = word_hashes(data, offsets)
     pair = row[:-1] == row[1:]
     both = joined(words[:-1], words[1:])[pair]
-    hashes = np.concatenate([mix(words), both]) >> np.uint64(64 - BITS)
-    rows = np.concatenate([row, row[:-1][pair]])
-    distinct = np.unique(rows.astype(np.int64) << BITS | hashes.astype(np.int64))
-    return distinct & ((1 << BITS) - 1), distinct >> BITS
+    return np.concatenate([mix(words), both]), np.concatenate([row, row[:-1][pair]])
 
 
-def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << BITS), np.int64)
-    rows_of = np.zeros(2, np.int64)
-    for rows, data, offsets in slices(batches, "body"):
-        label = rows.column(rows.schema.get_field_index("label")).to_numpy()
-        place, row = places(data, offsets)
-        for y in (0, 1):
-            counts[y] += np.bincount(place[label[row] == y], minlength=1 << BITS)
-            rows_of[y] += (label == y).sum()
-    at = np.flatnonzero(counts.any(axis=0))
-    columns = [np.append(at, -1), np.append(counts[0][at], rows_of[0]), np.append(counts[1][at], rows_of[1])]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "n_0", "n_1"])
+def places(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places in the sorted vocabulary of each row's n-grams, and their rows, in order; others are left out."""
+    if not len(vocabulary):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes, row = ngrams(data, offsets)
+    order = np.argsort(hashes)
+    hashes, row = hashes[order], row[order]
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    known = vocabulary[at] == hashes
+    distinct = np.unique(row[known].astype(np.int64) * len(vocabulary) + at[known])
+    return distinct % len(vocabulary), distinct // len(vocabulary)
+
+
+def _class_counts(vocabulary: np.ndarray):
+    """Rows of each class that hold an n-gram, by blocks of the vocabulary, in as few bytes as the counts need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, len(vocabulary)), np.int64)
+        for rows, data, offsets in slices(batches, "body"):
+            label = rows.column(rows.schema.get_field_index("label")).to_numpy()
+            place, row = places(data, offsets, vocabulary)
+            for y in (0, 1):
+                np.add.at(counts[y], place[label[row] == y], 1)
+        for first in range(0, len(vocabulary), BLOCK):
+            own = counts[:, first : first + BLOCK]
+            if own.any():
+                kind = np.min_scalar_type(own.max()).newbyteorder("<")
+                columns = [pa.array([first // BLOCK]), pa.array([kind.str]), pa.array([own.astype(kind).tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "kind", "counts"])
+
+    return run
+
+
+def _block_sum(group: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(raw, kind).astype("<i8") for raw, kind in zip(group["counts"], group["kind"], strict=True))
+    return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [total.tobytes()]})
+
+
+def class_counts(rows: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """For each n-gram of the vocabulary the rows of class 0 and 1 that hold it."""
+    counts = np.zeros((2, len(vocabulary)), np.int64)
+    counted = rows.mapInArrow(_class_counts(vocabulary), "block bigint, kind string, counts binary")
+    for block, raw in counted.groupBy("block").applyInPandas(_block_sum, "block bigint, counts binary").collect():
+        own = np.frombuffer(raw, "<i8").reshape(2, -1)
+        counts[:, block * BLOCK : block * BLOCK + own.shape[1]] = own
+    return counts
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in slices(batches, "body"):
-        place, row = places(data, offsets)
+        hashes, row = ngrams(data, offsets)
+        order = np.lexsort((hashes, row))
+        hashes, row = hashes[order], row[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+        hashes, row = hashes[new], row[new]
         ends = np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(place.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), lists], names=["label", "draw", "places"])
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), lists], names=["label", "draw", "ngrams"])
 
 
 def dual_descent(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
@@ -109,37 +148,36 @@ def _calibrated(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tu
     return float(max(beta[0], 1e-6)), float(beta[1])
 
 
+def _known(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places in the vocabulary of those hashes that it holds."""
+    if not len(vocabulary):
+        return np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    return at[vocabulary[at] == hashes]
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model from rows of `draw` (a fixed hash per row), `label` (0 or 1) and `body`.
 
     Class counts come from all rows. The rows of each class with the smallest draws, `fit_rows` for
-    the model and as many for its calibration, reach the driver as at most 4 * fit_rows lists of places.
+    the model and as many for its calibration, reach the driver as at most 4 * fit_rows lists of n-grams.
     Without rows of both classes every score is the share of label 1, or a half without any row.
     """
     rows = labelled.select(F.col("label").cast("int"), F.col("draw").cast("bigint"), "body").filter("label IN (0, 1)")
-    size = 1 << BITS
-    counted = rows.mapInArrow(_class_counts, "place bigint, n_0 bigint, n_1 bigint")
-    counted = counted.groupBy("place").agg(F.sum("n_0"), F.sum("n_1"))
-    counts, totals = np.zeros((2, size)), np.zeros(2)
-    for place, n_0, n_1 in counted.collect():
-        if place < 0:
-            totals[:] = n_0, n_1
-        else:
-            counts[:, place] = n_0, n_1
+    totals = np.zeros(2)
+    for label, n in rows.groupBy("label").count().collect():
+        totals[label] = n
     if not totals.all():
         share = totals[1] / totals.sum() if totals.sum() else 0.5
-        return Model(np.zeros(size, np.float32), 0.0, 1.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    shares = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
-    ratio = np.log(shares[1] / shares[0])
-
+        return Model(np.empty(0, np.uint64), np.empty(0, np.float32), 0.0, 1.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     # A draw below the class's share of 2 * fit_rows picks about that many rows, without a sort.
     limit = [int(min(1.0, 2 * fit_rows / n) * 2**32) for n in totals]
     wanted = F.when(F.col("label") == 1, F.lit(limit[1])).otherwise(F.lit(limit[0]))
     picked = rows.filter(F.pmod("draw", F.lit(2**32)) < wanted)
-    picked = picked.mapInArrow(_features, "label int, draw bigint, places array<int>").toArrow()
+    picked = picked.mapInArrow(_features, "label int, draw bigint, ngrams array<bigint>").toArrow()
     draw, label = picked.column("draw").to_numpy(), picked.column("label").to_numpy()
-    lists = picked.column("places").combine_chunks()
-    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    lists = picked.column("ngrams").combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
     order = np.lexsort((draw, label))
     every = [flat[ends[i] : ends[i + 1]] for i in order]
     label = label[order]
@@ -149,6 +187,11 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     y = np.where(label == 1, 1.0, -1.0)
     cost = np.where(label == 1, COST * min(1.0, own[0] / own[1]), COST * min(1.0, own[1] / own[0]))
     fitted = np.flatnonzero(for_fit)
+    vocabulary = np.unique(np.concatenate([flat[:0], *[every[i] for i in fitted]]))
+    counts = class_counts(rows, vocabulary)
+    shares = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
+    ratio = np.log(shares[1] / shares[0])
+    every = [_known(vocabulary, own) for own in every]
     weights, bias = dual_descent([every[i] for i in fitted], y[fitted], ratio, cost[fitted])
     weights *= ratio
     margin = np.array([weights[r].sum() for r in every]) + bias
@@ -156,19 +199,21 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     of_class = np.bincount(label[held], minlength=2)
     weight = (totals / np.maximum(of_class, 1))[label[held]]
     slope, shift = _calibrated(margin[held], label[held].astype(float), weight / weight.mean())
-    return Model(weights.astype(np.float32), bias, slope, shift)
+    used = np.flatnonzero(weights)
+    return Model(vocabulary[used], weights[used].astype(np.float32), bias, slope, shift)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: its id and `score`, the probability of label 1, from the text alone.
 
     Null and empty texts have no places and get the score of the bias. Ids may be null or repeat; other columns
-    are ignored; an empty table gives an empty result. The model is of a fixed size, one number per place.
+    are ignored; an empty table gives an empty result. The model has at most one
+    hash and one number per n-gram of the rows it was fitted on.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "body"):
-            place, row = places(data, offsets)
+            place, row = places(data, offsets, model.hashes)
             margin = np.bincount(row, model.weights[place], rows.num_rows) + model.bias
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(model.probability(margin))], names=["id", "score"])
 

@@ -8,12 +8,14 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tarmac.llm import nbsvm, packing
 from tarmac.llm.cross_entropy import cross_entropy_difference
+from tarmac.llm.hashing import text_bytes
 from tarmac.llm.queries import op8_nbsvm_quality
 
 PACKING = public_tokenizers.path("byte_bpe_50k.json")
@@ -223,6 +225,31 @@ def test_scores_of_classes_nulls_and_empty_tables(spark):
     assert nbsvm.score(df.limit(1), none).first().score == pytest.approx(0.5)
 
 
+def test_ngrams_outside_the_fitted_rows_say_nothing(spark):
+    texts = [f"{'good' if i % 2 else 'spam'} w{i} w{i % 7}" for i in range(200)]
+    model = nbsvm.fit(training_rows(spark, texts, [i % 2 for i in range(200)]))
+    unseen = " ".join(f"unseen{i}" for i in range(60_000))
+    docs = [(1, ""), (2, unseen), (3, "good"), (4, f"good {unseen}")]
+    got = {r.doc_id: r.score for r in nbsvm.score(spark.createDataFrame(docs, "doc_id bigint, text string"), model).collect()}
+    assert got[1] == got[2] and got[3] == got[4] > got[1]
+
+
+def test_class_counts_are_exact_over_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(nbsvm, "BLOCK", 100)
+    rng = random.Random(4)
+    labels = [i % 2 for i in range(600)]
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(9))) for _ in labels]
+    want = [Counter(), Counter()]
+    for t, y in zip(texts, labels, strict=True):
+        words = t.split()
+        want[y].update({*words, *zip(words, words[1:], strict=False)})
+    rows = training_rows(spark, texts, labels)
+    data, offsets = text_bytes(pa.array(texts))
+    vocabulary = np.unique(nbsvm.ngrams(data, offsets)[0])
+    counts = nbsvm.class_counts(rows, vocabulary)
+    assert [sorted(c[c > 0].tolist()) for c in counts] == [sorted(w.values()) for w in want]
+
+
 def test_held_out_quality(spark, tmp_path):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
