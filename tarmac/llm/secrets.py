@@ -29,7 +29,8 @@ MIN_VALUE = 6
 #: Characters of the strings that are judged. A state is a character's code; 0 is the start of a string.
 ALPHABET_SIZE = 67
 STATES = 128
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+MIN_CANDIDATE = 16
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{MIN_CANDIDATE},}}"
 ORDINARY = r"[A-Za-z0-9+/_=-]{4,}"
 #: Thousandths of the natural logarithm of the ratio that make a finding.
 MIN_RATIO = 12_000
@@ -157,13 +158,27 @@ def _rows(docs: DataFrame, text_col: str) -> DataFrame:
     return with_spans(rows, "body", [(i, *p) for i, p in enumerate(PATTERNS)], "base")
 
 
+def _outside(span: Column, runs: Column) -> Column:
+    """What is left of a span without the runs, in parts that are long enough to be judged."""
+    inside = F.filter(runs, lambda r: (r["start"] < span["end"]) & (span["start"] < r["end"]))
+    starts = F.concat(F.array(span["start"]), F.transform(inside, lambda r: r["end"]))
+    ends = F.concat(F.transform(inside, lambda r: r["start"]), F.array(span["end"]))
+
+    def part(start: Column, end: Column) -> Column:
+        value = F.substring(span["value"], (start - span["start"] + 1).cast("int"), (end - start).cast("int"))
+        own = [span["rank"].alias("rank"), span["kind"].alias("kind")]
+        return F.struct(start.alias("start"), *own, end.alias("end"), value.alias("value"))
+
+    return F.filter(F.zip_with(starts, ends, part), lambda s: s["end"] - s["start"] >= MIN_CANDIDATE)
+
+
 def find_secrets(
     docs: DataFrame, text_col: str = "text", model: list[int] | None = None, min_ratio: int = MIN_RATIO
 ) -> DataFrame:
     """The input row as struct `doc`, its text as `body`, `base` (spans of the fixed patterns) and `spans` (all).
 
     Spans are (start, rank, kind, end, value), in code points, end exclusive, by start and then kind.
-    A string that overlaps a span of the fixed patterns is not judged again. Without a model one is
+    Spans of the fixed patterns are not judged again; what a string has outside them is, by parts. Without a model one is
     trained from the documents. Null text is empty and has no spans. Repeated rows each get their
     spans. An empty table gives an empty result.
     """
@@ -172,9 +187,8 @@ def find_secrets(
         model = train(labelled_samples(rows))
     judged = with_spans(rows, "body", [(len(PATTERNS), "markov", CANDIDATE)], "long")
     base = F.col("base")
-    free = F.filter(
-        "long", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
+    judged = with_value(judged, "base_runs", _runs(base))
+    free = F.flatten(F.transform("long", lambda s: _outside(s, F.col("base_runs"))))
     coded = F.transform(free, lambda s: F.struct(s.alias("span"), _codes(s["value"]).alias("codes")))
     judged = with_value(judged, "coded", coded)
     found = F.filter("coded", lambda x: log_ratio(x["codes"], model) >= min_ratio)
