@@ -9,7 +9,7 @@ registers (agreements less those expected by chance), then by their full sets.
 A bucket of many documents never becomes all its pairs. First each document is held against the
 smallest document it meets in any band. What is linked then needs no further pair; only buckets that still hold
 several components go on, small ones by their pairs. In a large one, the members outside its largest component are
-held against the others, some at a time. As one less the similarity is a distance, two members whose
+held against the others, some at a time; the component is chosen once per bucket. As one less the similarity is a distance, two members whose
 distances to the bucket's smallest member differ by more than a link allows need not meet; the estimates get a
 margin for their error. So no link between components is lost.
 """
@@ -226,9 +226,15 @@ def _settled(members: DataFrame, labels: DataFrame, verifier: _Verifier, small:
     # A place in the bucket by hash: rounds take the members with places up to a bound, without sorting any.
     place = F.pmod(F.xxhash64("key", "id"), F.col("size"))
     large = stored(large.withColumns({"estimate": F.coalesce("estimate", F.lit(1.0)), "place": place}), "large")
-    done, upto = 0, FIRST_HUBS
+    done, upto, fixed = 0, FIRST_HUBS, None
     while True:
         open_ = mixed(large.filter(F.col("size") > done))
+        # A bucket keeps the component that was largest at first, by one of its members, through all merges:
+        # a member that was no hub in its round belongs to this component from then on.
+        if fixed is None:
+            fixed = stored(open_.filter("label = main").groupBy("key").agg(F.min("id").alias("node")), "main-members")
+        main = fixed.join(labels, "node").select("key", F.col("label").alias("main"))
+        open_ = open_.drop("main").join(main, "key")
         hubs = open_.filter((F.col("label") != F.col("main")) & (F.col("place") >= done) & (F.col("place") < upto))
         if open_.isEmpty():
             return labels

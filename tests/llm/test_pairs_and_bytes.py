@@ -44,6 +44,39 @@ def test_components_match_all_pairs(spark, width, small, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+class _Known:
+    """Links that are given instead of worked out."""
+
+    kind = "bigint"
+
+    def __init__(self, links):
+        self.given = links
+
+    def estimates(self, pairs, least):
+        return pairs.withColumn("estimate", F.lit(0.9))
+
+    def links(self, pairs):
+        return pairs.join(self.given, ["a", "b"])
+
+
+def test_large_bucket_whose_largest_component_changes(spark):
+    # One bucket of 40: component A of 16, B and C of 12 each, which the first round joins to one of 24.
+    size, key = 40, 7
+    ids = spark.range(size).select("id", F.pmod(F.xxhash64(F.lit(key).cast("bigint"), "id"), F.lit(size)).alias("place"))
+    place = {r.id: r.place for r in ids.collect()}
+    early = [i for i in range(size) if place[i] < minhash.FIRST_HUBS]
+    late = [i for i in range(size) if place[i] >= minhash.FIRST_HUBS]
+    x, y, b, c = early[0], late[0], early[1], late[1]
+    rest = [i for i in range(size) if i not in (x, y, b, c)]
+    parts = [[x, *rest[:15]], [y, b, *rest[15:25]], [c, *rest[25:]]]
+    assert [len(p) for p in parts] == [16, 12, 12]
+    labels = spark.createDataFrame([(i, min(p)) for p in parts for i in p], "node bigint, label bigint")
+    members = spark.createDataFrame([(key, i, size, 0) for i in range(size)], "key bigint, id bigint, size bigint, hub bigint")
+    links = spark.createDataFrame([(min(p), max(p)) for p in ((b, c), (x, y))], "a bigint, b bigint")
+    out = minhash._settled(members, labels, _Known(links), 8)
+    assert {r.label for r in out.collect()} == {0}
+
+
 def test_near_duplicates_without_ids_and_with_repeated_ids(spark):
     a = " ".join(f"a{i}" for i in range(50))
     b = " ".join(f"b{i}" for i in range(50))
