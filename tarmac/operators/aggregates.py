@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
@@ -71,15 +71,35 @@ def counts_in_order(df: DataFrame, column: str, categories: list[str], zero_fill
 
 
 def median_and_mean(df: DataFrame, column: str) -> DataFrame:
-    """Exact median and mean; equal values are counted before they meet in one task."""
-    distinct = (
-        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Exact median and mean, for any number of different values.
+
+    Equal values are counted first. The counts are written in ranges of values; the totals of the ranges tell
+    which one or two of them hold the middle ranks, and only these are gone through.
+    """
+    distinct = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    ranged = distinct.repartitionByRange(column).withColumn("range", F.spark_partition_id())
+    ranged = stored(ranged, "ranges")
     total = F.sum(F.col(column).cast("decimal(18,2)") * F.col("n")).cast("double")
-    return distinct.agg(
-        F.expr(f"percentile({column}, 0.5, n)").alias("median"),
-        F.try_divide(total, F.sum("n").cast("double")).alias("mean"),
-    )
+    mean = ranged.agg(F.try_divide(total, F.sum("n").cast("double")).alias("mean"))
+    # One row per partition of the shuffle.
+    sizes = ranged.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()
+    rows = sum(r["n"] for r in sizes)
+    ranks, before, middle = sorted({(rows - 1) // 2, rows // 2}), 0, []
+    for r in sizes:
+        own = [rank - before for rank in ranks if before <= rank < before + r["n"]]
+        before += r["n"]
+        if own:
+            upto = F.sum("n").over(Window.partitionBy("range").orderBy(column))
+            held = ranged.filter(F.col("range") == r["range"]).select(F.col(column), "n", upto.alias("upto"))
+            for rank in own:
+                is_it = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+                middle.append(held.filter(is_it).select(F.col(column).cast("double").alias("v")))
+    if not middle:
+        return mean.select(F.lit(None).cast("double").alias("median"), "mean")
+    low, high = middle[0], middle[-1]
+    median = low.select(F.col("v").alias("low")).crossJoin(high.select(F.col("v").alias("high")))
+    half = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(0.5 * F.col("low") + 0.5 * F.col("high"))
+    return median.select(half.alias("median")).crossJoin(mean)
 
 
 def histogram(df: DataFrame, column: str, bins: int = C.HISTOGRAM_BINS) -> DataFrame:

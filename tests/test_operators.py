@@ -137,6 +137,21 @@ def test_median_and_mean(spark):
     assert rows(aggregates.median_and_mean(df, "v")) == [(2.5, 4.0)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 501, 1000])
+def test_median_meets_in_no_single_task(spark, n):
+    from statistics import median
+
+    random.seed(n)
+    values = [random.choice([round(random.uniform(-50, 50), 2), 7.25]) for _ in range(n)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+    out = aggregates.median_and_mean(df, "v")
+    assert "percentile" not in out._jdf.queryExecution().toString()
+    got = out.collect()
+    assert len(got) == 1
+    assert got[0]["median"] == (pytest.approx(median(values)) if n else None)
+    assert got[0]["mean"] == (pytest.approx(sum(values) / n) if n else None)
+
+
 def test_pivot(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "x")], "r string, c string")
     assert rows(aggregates.pivot_counts(df, "r", "c", ["x", "y"])) == [("a", 2, 0), ("b", 0, 1)]
