@@ -125,9 +125,17 @@ def histogram(df: DataFrame, column: str, bins: int = C.HISTOGRAM_BINS) -> DataF
     )
 
 
-def pivot_counts(df: DataFrame, rows: str, columns: str, values: list[str]) -> DataFrame:
-    """Counts of row value by named column value; absent pairs are zero, other values are left out."""
+def pivot_counts(df: DataFrame, rows: str, columns: str, values: list[str], other: str | None = None) -> DataFrame:
+    """Counts of row value by named column value; absent pairs are zero.
+
+    Other values are counted in the column `other`; without its name they are left out.
+    """
     known = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    if other is not None:
+        if other in values:
+            raise ValueError(f"{other} is one of the values")
+        named = F.when(F.col(columns).isin(values), F.col(columns)).otherwise(F.lit(other))
+        known, values = known.withColumn(columns, named), [*values, other]
     return known.groupBy(rows).pivot(columns, values).count().na.fill(0)
 
 

@@ -158,6 +158,13 @@ def test_pivot(spark):
     assert rows(aggregates.pair_counts(df, "r", "c")) == [("a", "x", 2), ("b", "y", 1)]
 
 
+def test_pivot_keeps_row_sums(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "z"), ("a", "w"), ("b", "y"), ("c", "z"), ("c", None)], "r string, c string")
+    got = aggregates.pivot_counts(df, "r", "c", ["x", "y"], other="other")
+    assert got.columns == ["r", "x", "y", "other"]
+    assert rows(got) == [("a", 1, 0, 2), ("b", 0, 1, 0), ("c", 0, 0, 1)]
+
+
 def test_histogram_of_equal_values(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "v double")
     got = [tuple(r) for r in aggregates.histogram(df, "v", 4).collect()]
