@@ -28,8 +28,3 @@ def spark():
 @pytest.fixture(scope="session")
 def folder():
     return SMALL
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

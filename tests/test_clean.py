@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows
+from tables import rows
 from tarmac import schemas
 from tarmac.plans import audit, clean
 from tarmac.sources.readers import ColumnCountError

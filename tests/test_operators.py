@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tarmac.functions.numeric import exact_mean
 from tarmac.operators import aggregates, dedup, filters, joins, skew
 from tarmac.roles import Roles

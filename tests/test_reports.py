@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tarmac.plans import refresh, report
 from tarmac.roles import TEST_SALT, Roles
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tarmac import schemas
 from tarmac.operators import dedup
 from tarmac.session import cluster_settings, shared_dir
