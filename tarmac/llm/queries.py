@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, chat, nbsvm, secrets
+from tarmac.llm import bpe, chat, nbsvm, secrets, token_counts
 from tarmac.llm.common import read
 from tarmac.llm.cross_entropy import cross_entropy_difference
 from tarmac.llm.exact_dedup import exact_dedup
@@ -18,8 +18,10 @@ from tarmac.session import stored
 
 #: Vocabulary files; every executor has them under the same path.
 PACKING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+COUNTING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PREDICTED_FROM = 0.7
+TOKEN_LIMIT = 2048
 
 
 def op1_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +117,17 @@ def op10_bpe_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.prefix_token_counts(read(spark, sf_dir, "documents"), COUNTING_TOKENIZER)
+    counts = F.col("counts")
+    return counted.select(
+        "doc_id",
+        "n_bytes",
+        token_counts.token_count(counts).cast("bigint").alias("n_tokens"),
+        (~token_counts.is_within(counts, TOKEN_LIMIT)).alias("over_limit"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -128,5 +141,6 @@ QUERIES = {
         op8_nbsvm_quality,
         op9_chat_format,
         op10_bpe_matrix,
+        op11_prefix_token_counts,
     )
 }
