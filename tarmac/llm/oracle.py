@@ -142,4 +142,35 @@ ORACLE_SQL = {
                 AS base_sha256,
             coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank), '') AS spans
         FROM t LEFT JOIN every USING (doc_id) GROUP BY t.doc_id""".replace("%s", ASSIGN.replace("'", "''")),
+    "op12_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM w, (VALUES (1), (2), (3)) sizes(k)),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+        cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM cand),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+                (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+        weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        inner_parts AS (
+            SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+            FROM cand WHERE k = 3),
+        covered AS (SELECT lang, phrase, max(a) AS longer FROM inner_parts GROUP BY ALL),
+        ranked AS (
+            SELECT v.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM weakest v LEFT JOIN covered USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }

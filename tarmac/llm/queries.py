@@ -12,6 +12,7 @@ from tarmac.llm.cross_entropy import cross_entropy_difference
 from tarmac.llm.exact_dedup import exact_dedup
 from tarmac.llm.minhash import near_duplicates
 from tarmac.llm.packing import pack_documents
+from tarmac.llm.phrases import mine_phrases
 from tarmac.llm.quality_rules import quality_rules
 from tarmac.llm.suffix_dedup import remove_repeats
 from tarmac.session import stored
@@ -128,6 +129,10 @@ def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,5 +147,6 @@ QUERIES = {
         op9_chat_format,
         op10_bpe_matrix,
         op11_prefix_token_counts,
+        op12_phrase_collocations,
     )
 }
