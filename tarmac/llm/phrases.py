@@ -311,7 +311,7 @@ def phrase_counts(
             counted = _trie_counts(spark, texts, own).withColumn("part", F.lit(i))
             counted.write.mode("append").parquet(folder)
     if not size[0]:
-        return numbered.select("lang", "phrase", F.lit(1).alias("size"), F.lit(0).cast("bigint").alias("f"))
+        return numbered.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("number").alias("f"))
     counts = spark.read.parquet(folder).filter(F.col("f") >= min_count)
     words = F.size(F.split("phrase", " "))
     out = numbered.join(counts, ["part", "number"]).select("lang", "phrase", words.alias("size"), "f")
