@@ -173,4 +173,26 @@ ORACLE_SQL = {
             FROM weakest v LEFT JOIN covered USING (lang, phrase)
             WHERE longer IS NULL OR 100 * longer < 50 * a)
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+    "op13_nra_search": r"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM sizes),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, corpus),
+        impact AS (
+            SELECT tf.doc_id, tf.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len))) AS impact
+            FROM tf JOIN w USING (term) JOIN sizes USING (doc_id), corpus),
+        asked AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        scored AS (
+            SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impact USING (term)
+            GROUP BY item_id, doc_id HAVING sum(impact) > 0)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+        FROM scored QUALIFY rank <= 20""",
 }

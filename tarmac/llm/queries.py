@@ -14,6 +14,7 @@ from tarmac.llm.minhash import near_duplicates
 from tarmac.llm.packing import pack_documents
 from tarmac.llm.phrases import mine_phrases
 from tarmac.llm.quality_rules import quality_rules
+from tarmac.llm.search import rank_documents
 from tarmac.llm.suffix_dedup import remove_repeats
 from tarmac.session import stored
 
@@ -133,6 +134,10 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_phrases(read(spark, sf_dir, "documents"))
 
 
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -148,5 +153,6 @@ QUERIES = {
         op10_bpe_matrix,
         op11_prefix_token_counts,
         op12_phrase_collocations,
+        op13_nra_search,
     )
 }
