@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,11 @@ from tarmac import constants as C
 from tarmac import schemas
 from tarmac.functions import masking, numeric, temporal, text
 from tarmac.operators import aggregates, dedup, filters, joins
+from tarmac.operators.heavy import narrowed
 from tarmac.operators.skew import group_mean
 from tarmac.plans import audit, clean, extended, kpis, refresh, report
 from tarmac.roles import PAYMENT_ORDER, TABLE_SCHEMAS, TEST_SALT, Roles
-from tarmac.session import fresh_folder
+from tarmac.session import fresh_folder, stored
 from tarmac.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -524,7 +526,7 @@ def _(r):
 
 @query("join_booking_flight")
 def _(r):
-    return joins.bookings_with_flight(r.booking_keys, r.timed).select("booking_id", "flight_id", "route", "duration_mins")
+    return joins.bookings_with_flight(r.booking_keys, r.timed, r.rows_per_task).select("booking_id", "flight_id", "route", "duration_mins")
 
 
 @query("join_fanout_payment")
@@ -536,7 +538,7 @@ def _(r):
 @query("join_passenger_subset")
 def _(r):
     lines = r.booking_keys.select("booking_id", "passenger_id", F.col("status").alias("gender"))
-    return joins.with_passenger(lines, r.passengers_masked)
+    return joins.with_passenger(lines, r.passengers_masked, sizes=r.booking_keys, rows_per_task=r.rows_per_task)
 
 
 def _master(r: Roles) -> DataFrame:
@@ -561,12 +563,13 @@ def _(r):
 
 @query("join_inner_paid")
 def _(r):
-    return joins.paid_bookings(r.booking_keys.select("booking_id", "flight_id"), r.stored_payments)
+    return joins.paid_bookings(r.booking_keys.select("booking_id", "flight_id"), r.stored_payments, r.rows_per_task)
 
 
 @query("join_carrier_lookup")
 def _(r):
-    return joins.with_carrier(r.booking_keys.select("booking_id", "flight_id"), r.timed, ("airline", "route"))
+    lines = narrowed(r.booking_keys, "booking_id", "flight_id")
+    return joins.with_carrier(lines, r.timed, ("airline", "route"), r.rows_per_task)
 
 
 @query("join_pax_revenue")
@@ -577,13 +580,13 @@ def _(r):
 
 @query("join_booking_pax_revenue")
 def _(r):
-    lines = r.booking_keys.select("booking_id", "passenger_id", "status")
+    lines = narrowed(r.booking_keys, "booking_id", "passenger_id", "status")
     return joins.bookings_with_revenue_and_passenger(lines, r.stored_payments, r.passengers, r.rows_per_task)
 
 
 @query("join_revenue_pax")
 def _(r):
-    lines = r.booking_keys.select("booking_id", "passenger_id", "flight_id")
+    lines = narrowed(r.booking_keys, "booking_id", "passenger_id", "flight_id")
     return joins.revenue_with_flight_and_passenger(lines, r.stored_payments, r.timed, r.passengers, r.rows_per_task)
 
 
@@ -593,7 +596,7 @@ def _(r):
 @query("win_group_mean")
 def _(r):
     mean = numeric.exact_mean(F.col("duration_mins"))
-    rows = r.timed.select("flight_id", "route", "duration_mins")
+    rows = stored(r.timed.select("flight_id", "route", "duration_mins"), "timed")
     return group_mean(rows, "route", mean, "route_mean")
 
 
@@ -615,14 +618,14 @@ query("kpi_avg_duration_by_airline")(lambda r: kpis.avg_duration_by_airline(r.ti
 query("kpi_avg_duration_by_route")(lambda r: kpis.avg_duration_by_route(r.timed))
 query("kpi_airline_distribution")(lambda r: kpis.airline_distribution(r.timed))
 query("kpi_delay_summary")(lambda r: kpis.delay_summary(r.timed))
-query("kpi_revenue_by_airline")(lambda r: kpis.revenue_by_airline(r.bookings, r.payments, r.timed))
+query("kpi_revenue_by_airline")(lambda r: kpis.revenue_by_airline(r.facts, r.payments, r.timed))
 query("kpi_departure_slots")(lambda r: kpis.departure_slots(r.timed))
 query("kpi_booking_status")(lambda r: kpis.booking_status(r.bookings))
 query("kpi_payment_methods")(lambda r: kpis.payment_methods(r.payments))
-query("kpi_passenger_demographics")(lambda r: kpis.passenger_demographics(r.passengers, r.bookings, r.payments))
-query("kpi_frequent_flyers")(lambda r: kpis.frequent_flyers(r.passengers_masked, r.bookings, r.payments))
+query("kpi_passenger_demographics")(lambda r: kpis.passenger_demographics(r.passengers, r.facts, r.payments))
+query("kpi_frequent_flyers")(lambda r: kpis.frequent_flyers(r.passengers_masked, r.facts, r.payments))
 query("kpi_airline_passenger_demographics")(
-    lambda r: kpis.airline_passenger_demographics(r.booking_keys, r.timed, r.payments, r.passengers)
+    lambda r: kpis.airline_passenger_demographics(r.facts, r.timed, r.payments, r.passengers, r.rows_per_task)
 )
 
 # ---------------------------------------------------------------- extended reports
@@ -632,16 +635,16 @@ query("nb_avg_by_route", "notebook")(lambda r: extended.avg_by_route(r.timed))
 query("nb_route_traffic", "notebook")(lambda r: extended.route_traffic(r.timed))
 query("nb_delay_summary", "notebook")(lambda r: extended.delay_summary(r.timed))
 query("nb_airline_dist", "notebook")(lambda r: extended.airline_distribution(r.timed))
-query("nb_revenue_by_airline", "notebook")(lambda r: extended.revenue_by_airline(r.bookings, r.payments, r.timed))
+query("nb_revenue_by_airline", "notebook")(lambda r: extended.revenue_by_airline(r.facts, r.payments, r.timed))
 query("nb_slot_traffic", "notebook")(lambda r: extended.slot_traffic(r.timed))
 query("nb_booking_status", "notebook")(lambda r: extended.booking_status(r.bookings))
 query("nb_payment_method", "notebook")(lambda r: extended.payment_method(r.payments))
 query("nb_passenger_demographics", "notebook")(
-    lambda r: extended.passenger_demographics(r.bookings, r.payments, r.passengers)
+    lambda r: extended.passenger_demographics(r.facts, r.payments, r.passengers)
 )
-query("nb_frequent_flyers", "notebook")(lambda r: extended.frequent_flyers(r.bookings, r.payments, r.passengers))
+query("nb_frequent_flyers", "notebook")(lambda r: extended.frequent_flyers(r.facts, r.payments, r.passengers))
 query("nb_airline_pax_demographics", "notebook")(
-    lambda r: extended.airline_passenger_demographics(r.booking_keys, r.payments, r.timed, r.passengers)
+    lambda r: extended.airline_passenger_demographics(r.facts, r.payments, r.timed, r.passengers, r.rows_per_task)
 )
 query("global_kpis", "notebook")(lambda r: extended.global_kpis(r.timed))
 query("median_duration")(lambda r: aggregates.median_and_mean(r.timed, "duration_mins"))
@@ -654,7 +657,7 @@ EVENT_TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 
 @query("pivot_route_matrix")
 def _(r):
-    return aggregates.pivot_counts(r.timed, "source", "destination", EVENT_TYPES)
+    return aggregates.pivot_counts(r.timed, "source", "destination", EVENT_TYPES, other="OTHER")
 
 
 query("pair_route_counts")(lambda r: aggregates.pair_counts(r.timed, "source", "destination"))
@@ -683,7 +686,7 @@ def _(r):
 def _measures(names: list[str], by: str | None = None):
     def build(r: Roles) -> DataFrame:
         flights = r.flights if report.needs_delay_flag(names) else r.timed
-        return report.measures(r.booking_keys, flights, r.payments, r.passengers, names, by)
+        return report.measures(r.facts, flights, r.payments, r.passengers, names, by, r.rows_per_task)
 
     return build
 
@@ -717,8 +720,37 @@ query("measures_by_payment_method")(_measures(["total_revenue", "total_bookings"
 query("measures_by_age_group")(_measures(["unique_passengers", "spend_per_passenger"], "age_group"))
 
 
+SLICED = ["total_flights", "total_bookings", "total_revenue", "delayed_flights", "unique_passengers"]
+#: Slicer settings by name: columns of all four tables, alone and together.
+SLICERS: dict[str, report.Slicers] = {
+    "route": {"route": ["VIEW to CLICK", "CLICK to VIEW"]},
+    "status": {"status": "CONFIRMED"},
+    "age_group": {"age_group": ["18-30", "60+"]},
+    "dates": {"departure_time": (datetime(2024, 1, 5), datetime(2024, 1, 12))},
+    "delayed": {"is_delayed": 1},
+    "method": {"payment_method": "UPI"},
+    "page": {
+        "status": ["CONFIRMED", "CANCELLED"],
+        "departure_time": (datetime(2024, 1, 2), datetime(2024, 1, 25)),
+        "age_group": ["18-30", "31-45", "46-60", "60+"],
+        "payment_method": ["CARD", "UPI"],
+    },
+}
+
+
+@query("measures_with_slicers")
+def _(r):
+    pages = [
+        report.measures(r.facts, r.flights, r.payments, r.passengers, SLICED, "airline", r.rows_per_task, chosen).select(
+            F.lit(name).alias("slicers"), "airline", *SLICED
+        )
+        for name, chosen in SLICERS.items()
+    ]
+    return readers._union(pages)
+
+
 def _tables(r: Roles):
-    return r.booking_keys, r.timed, r.payments, r.passengers
+    return r.facts, r.timed, r.payments, r.passengers
 
 
 query("daily_volume")(lambda r: report.daily_volume(r.timed))
@@ -728,7 +760,7 @@ query("payment_split")(lambda r: report.payment_split(*_tables(r)))
 query("delayed_vs_ontime")(lambda r: report.delayed_vs_ontime(r.timed))
 query("overnight_by_airline")(lambda r: report.overnight_by_airline(r.timed))
 query("worst_route")(lambda r: report.worst_route(r.timed))
-query("age_group_revenue")(lambda r: report.age_group_revenue(r.passengers, r.bookings, r.payments))
+query("age_group_revenue")(lambda r: report.age_group_revenue(r.passengers, r.facts, r.payments))
 query("gender_split")(lambda r: report.gender_split(r.passengers))
 
 

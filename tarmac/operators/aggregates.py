@@ -71,15 +71,23 @@ def counts_in_order(df: DataFrame, column: str, categories: list[str], zero_fill
 
 
 def median_and_mean(df: DataFrame, column: str) -> DataFrame:
-    """Exact median and mean, for any number of different values.
+    """Exact median and mean, for any number of different values. NaN counts as missing.
 
+    The mean adds decimals with the digits that the values are written with, so it doesn't depend on the order of rows;
+    where one needs more than eight decimals or 24 digits in all, doubles are added, value by value in order.
     Equal values are counted first. The counts are written in ranges of values; the totals of the ranges tell
     which one or two of them hold the middle ranks, and only these are gone through.
     """
-    distinct = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    value = F.col(column)
+    present = df.filter(value.isNotNull() & ~F.isnan(value.cast("double")))
+    distinct = present.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     ranged = distinct.repartitionByRange(column).withColumn("range", F.spark_partition_id())
     ranged = stored(ranged, "ranges")
-    total = F.sum(F.col(column).cast("decimal(18,2)") * F.col("n")).cast("double")
+    digits = value.cast("string").try_cast("decimal(24,8)")
+    exact = digits.cast("double") == value.cast("double")
+    written = F.sum(digits * F.col("n").cast("decimal(13,0)")).cast("double")
+    added = F.sum(value.cast("double") * F.col("n"))
+    total = F.when(F.bool_and(F.coalesce(exact, F.lit(False))), written).otherwise(added)
     mean = ranged.agg(F.try_divide(total, F.sum("n").cast("double")).alias("mean"))
     # One row per partition of the shuffle.
     sizes = ranged.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()

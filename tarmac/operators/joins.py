@@ -1,6 +1,7 @@
 """Equi-joins between the four tables.
 
-Bookings and payments should be stored tables: they are looked through for hot keys first.
+Bookings and payments should be tables stored with sketches of their frequent keys (`heavy.stored_with_sketches`); of
+some of their columns, `heavy.narrowed` keeps these.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
+from tarmac.operators.heavy import narrowed
 from tarmac.operators.skew import join_one, left_join_many
 
 # Customer columns carried into joined tables, as far as the table has them.
@@ -91,9 +93,10 @@ def passengers_with_revenue(
 ) -> DataFrame:
     """Every customer with bookings and payments; customers without bookings stay."""
     booked = left_join_many(
-        passengers, bookings.select("passenger_id", "booking_id"), "passenger_id", "booking_id", rows_per_task
+        passengers, narrowed(bookings, "passenger_id", "booking_id"), "passenger_id", "booking_id", rows_per_task
     )
-    return with_payments(booked, payments.select("payment_id", "booking_id", "amount"), rows_per_task).drop("payment_id")
+    paid = narrowed(payments, "payment_id", "booking_id", "amount")
+    return with_payments(booked, paid, rows_per_task).drop("payment_id")
 
 
 def bookings_with_revenue_and_passenger(

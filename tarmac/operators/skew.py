@@ -1,11 +1,10 @@
 """Keys that hold too many rows for one task.
 
-A key is hot when it has more than `rows_per_task` rows. There are at most
-(rows of the table / rows_per_task) such keys, whatever the data looks like. Tables of every size take
-the same plan; the list of hot keys may be empty, and Spark decides by its size how to join it.
+A key is hot when it has more than `rows_per_task` rows, as far as the sketch of frequent keys knows (see `heavy`). Tables of
+every size take the same plan; the list of hot keys may be empty, and Spark decides by its size how to join it.
 
-Looking for hot keys reads the table once more, only its key column. Pass tables that are read
-from files (`session.stored`), not ones that would be computed again.
+Pass tables that were stored with sketches where that is possible (`heavy.stored_with_sketches`). Others are sketched by
+one pass over their key column: pass tables that are read from files, not ones that would be computed again.
 """
 
 from __future__ import annotations
@@ -15,20 +14,14 @@ from pyspark.sql import functions as F
 
 from tarmac import constants as C
 from tarmac.functions.temporal import minute_number
+from tarmac.operators.heavy import frequent
 from tarmac.session import stored
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:
     """Hot keys and the number of parts to split each of them into."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.filter(F.col("_rows") > rows_per_task).select(
-        key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts")
-    )
-
-
-def stored_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """The hot keys, which may be none. They are written, so Spark knows their size when it picks a join."""
-    return stored(hot_keys(df, key, rows_per_task), "hot")
+    known = frequent(df, key).filter(F.col(key).isNotNull() & (F.col("_rows") > rows_per_task))
+    return known.select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts"))
 
 
 def left_join_many(
@@ -44,8 +37,9 @@ def left_join_many(
     key are spread over parts by a hash of `spread_by`, and the left rows of that key are
     repeated once per part. A part without right rows would add a row of nulls; the key has
     right rows in other parts, so such rows are removed. Null keys match nothing on either side.
+    A sketch only names keys that it has met, so each key that is split has right rows.
     """
-    hot = stored_hot_keys(right.filter(F.col(key).isNotNull()), key, rows_per_task)
+    hot = hot_keys(right, key, rows_per_task)
     part = F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")
     spread = (
         right.join(hot, key, "left")
@@ -76,9 +70,9 @@ def join_one(
     Adaptive execution cannot split a join whose other side is already partitioned by the key,
     as deduplicated tables are. So the left rows of a hot key are spread over parts and the
     right rows of that key repeated once per part. `sizes` is a stored table with the key and
-    no fewer rows per key than the left one, where that one would have to be computed first.
+    no fewer rows per key than the left one, where that one would have to be computed first or has lost its sketch.
     """
-    hot = stored_hot_keys(left if sizes is None else sizes, key, rows_per_task)
+    hot = hot_keys(left if sizes is None else sizes, key, rows_per_task)
     columns = _joined_columns(left, right, key)
     # Rows without the column that spreads them are spread by all they have.
     spread_hash = F.xxhash64(*([spread_by] if spread_by in left.columns else left.columns))
@@ -109,7 +103,7 @@ def next_row(
     at calendar minutes; the last row of a minute gets the first row of the key's next minute.
     """
     following = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    hot = stored_hot_keys(df, key, rows_per_task)
+    hot = hot_keys(df, key, rows_per_task)
     minute = minute_number(F.col(order_by[0]))
     tagged = df.join(hot, key, "left").withColumn("_cell", F.when(F.col("_parts").isNotNull(), minute))
     in_cell = Window.partitionBy(key, "_cell").orderBy(*order_by)

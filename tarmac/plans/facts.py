@@ -38,15 +38,43 @@ def minutes_sum() -> Column:
     return F.sum(cents(F.col("duration_mins")) * F.col("flights")).cast("double")
 
 
+def payment_facts(payments: DataFrame) -> DataFrame:
+    """Number and sum of payments for every booking and method. Stored, it takes the place of the payments in what follows."""
+    return payments_per_booking(payments, ("payment_method",))
+
+
 def payments_per_booking(payments: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
-    """Number and sum of payments for every booking (and further columns)."""
-    return payments.groupBy("booking_id", *also).agg(
-        F.count(F.lit(1)).alias("paid_rows"), F.sum(cents(F.col("amount"))).alias("paid")
-    )
+    """Number and sum of payments for every booking (and further columns), from payments or their facts."""
+    counted = "paid_rows" in payments.columns
+    number = F.sum("paid_rows") if counted else F.count(F.lit(1))
+    amount = F.col("paid") if counted else cents(F.col("amount"))
+    return payments.groupBy("booking_id", *also).agg(number.alias("paid_rows"), F.sum(amount).alias("paid"))
+
+
+def booking_facts(
+    bookings: DataFrame, payments: DataFrame, unique: bool = True, rows_per_task: int = C.ROWS_PER_TASK
+) -> DataFrame:
+    """Bookings with what was paid for them. Stored, it takes the place of bookings and payments in the reports, which then
+    join nothing by booking.
+
+    Where booking ids may repeat (`unique` is false), bookings are a stored table and a frequent id is spread over parts.
+    """
+    sums = payments_per_booking(payments)
+    if unique:
+        paid = bookings.join(sums, "booking_id", "left")
+    else:
+        # Rows are spread by all that they have: those of one id differ.
+        paid = join_one(bookings, sums, "booking_id", "", how="left", rows_per_task=rows_per_task)
+    return paid.withColumn("line_rows", F.coalesce("paid_rows", F.lit(1)))
 
 
 def booking_lines(bookings: DataFrame, payments: DataFrame, keep: list[str], also: tuple[str, ...] = ()) -> DataFrame:
-    """Bookings with what was paid; `line_rows` is the number of rows a plain left join would give."""
+    """Bookings with what was paid; `line_rows` is the number of rows a plain left join would give.
+
+    Given stored facts instead of bookings, nothing is joined unless lines are wanted by payment method.
+    """
+    if "line_rows" in bookings.columns and not also:
+        return bookings.select("booking_id", *keep, "paid_rows", "paid", "line_rows")
     sums = payments_per_booking(payments, also)
     return bookings.select("booking_id", *keep).join(sums, "booking_id", "left").withColumn(
         "line_rows", F.coalesce("paid_rows", F.lit(1))
@@ -58,18 +86,19 @@ def with_flight_and_passenger(
     bookings: DataFrame,
     flights: DataFrame | None,
     passengers: DataFrame | None,
-    how: str = "left",
+    how: str | tuple[str, str] = "left",
     rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     """Booking lines with columns of flight and customer, hot flights and customers spread.
 
     Booking lines are one per booking, but for a few payment methods, so the stored bookings
-    tell which keys are hot.
+    tell which keys are hot. `how` is for both joins, or for each.
     """
+    to_flight, to_passenger = (how, how) if isinstance(how, str) else how
     if flights is not None:
-        lines = join_one(lines, flights, "flight_id", "booking_id", bookings, how, rows_per_task)
+        lines = join_one(lines, flights, "flight_id", "booking_id", bookings, to_flight, rows_per_task)
     if passengers is not None:
-        lines = join_one(lines, passengers, "passenger_id", "booking_id", bookings, how, rows_per_task)
+        lines = join_one(lines, passengers, "passenger_id", "booking_id", bookings, to_passenger, rows_per_task)
     return lines
 
 

@@ -1,5 +1,6 @@
 """The twelve KPI tables.
 
+Where bookings and payments are asked for, the stored facts of `facts.booking_facts` may be given as bookings.
 `flights` is the table without the delay flag wherever delays are counted here; see
 facts.delay_facts for how the flag is found without a second pass over the rows.
 """
@@ -20,7 +21,6 @@ from tarmac.plans.facts import (
     not_null,
     paid_mean,
     paid_total,
-    payments_per_booking,
     with_flight_and_passenger,
 )
 
@@ -94,8 +94,8 @@ def delay_summary(flights: DataFrame) -> DataFrame:
 
 def revenue_by_airline(bookings: DataFrame, payments: DataFrame, flights: DataFrame) -> DataFrame:
     """Paid bookings only; payments without a known carrier are left out."""
-    paid = bookings.select("booking_id", "flight_id").join(payments_per_booking(payments), "booking_id")
-    per_flight = collapse(paid.withColumn("line_rows", F.col("paid_rows")), "flight_id")
+    paid = booking_lines(bookings, payments, ["flight_id"]).filter(F.col("paid_rows").isNotNull())
+    per_flight = collapse(paid, "flight_id")
     return (
         per_flight.join(not_null(flights.select("flight_id", "airline"), "airline"), "flight_id")
         .groupBy("airline")

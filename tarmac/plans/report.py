@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tarmac import constants as C
 from tarmac.functions import text
 from tarmac.functions.numeric import cents, divide_or_zero, typed_double
-from tarmac.operators.aggregates import counts_in_order, share_of_total, shares_of_total, value_counts
-from tarmac.operators.filters import fill_strings
+from tarmac.operators.aggregates import share_of_total, shares_of_total, value_counts
+from tarmac.operators.filters import fill_strings, slice_by
 from tarmac.plans import kpis
 from tarmac.plans.facts import booking_lines, delay_facts, not_null, paid_total, with_flight_and_passenger
 
@@ -43,6 +43,21 @@ def normalise(wide: DataFrame) -> DataFrame:
     return fill_strings(wide.withColumns(labels | zeros))
 
 
+#: What slicers choose, by column: a value, a list of values, or a (from, to) pair.
+Slicers = dict[str, object]
+
+
+def owned(slicers: Slicers, **tables: DataFrame) -> dict[str, Slicers]:
+    """The slicers of each table: a column belongs to the first table that has it."""
+    out: dict[str, Slicers] = {name: {} for name in tables}
+    for column, choice in slicers.items():
+        owner = next((name for name, df in tables.items() if column in df.columns), None)
+        if owner is None:
+            raise ValueError(f"no table has the column {column}")
+        out[owner][column] = choice
+    return out
+
+
 def report_lines(
     bookings: DataFrame,
     flights: DataFrame,
@@ -50,18 +65,34 @@ def report_lines(
     passengers: DataFrame,
     columns: set[str],
     rows_per_task: int = C.ROWS_PER_TASK,
+    slicers: Slicers | None = None,
 ) -> DataFrame:
-    """Booking lines with the given columns, joining only the tables that have them."""
+    """Booking lines with the given columns, joining only the tables that have them.
+
+    Each slicer filters the table that owns its column before anything is joined. It compares clean values, not report
+    spelling; a missing value is in no choice, so lines without a row of a sliced table go.
+    """
     also = ("payment_method",) if "payment_method" in columns else ()
+    chosen = owned(slicers or {}, bookings=bookings, flights=flights, passengers=passengers, payments=payments)
     own = [c for c in bookings.columns if c in columns or c in ("flight_id", "passenger_id")]
     flown = [c for c in flights.columns if c in columns and c not in bookings.columns]
     personal = [c for c in passengers.columns if c in columns and c not in bookings.columns]
+    if chosen["payments"]:
+        paying = slice_by(payments, chosen["payments"])
+        plain = bookings.select(*[c for c in bookings.columns if c not in ("paid_rows", "paid", "line_rows")])
+        lines = booking_lines(slice_by(plain, chosen["bookings"]), paying, own, also).filter(F.col("paid_rows").isNotNull())
+    else:
+        lines = booking_lines(slice_by(bookings, chosen["bookings"]), payments, own, also)
+    ways = ["inner" if chosen[name] else "left" for name in ("flights", "passengers")]
     return with_flight_and_passenger(
-        booking_lines(bookings, payments, own, also),
+        lines,
         bookings,
-        flights.select("flight_id", *flown) if flown else None,
-        passengers.select("passenger_id", *personal) if personal else None,
-        rows_per_task=rows_per_task,
+        slice_by(flights, chosen["flights"]).select("flight_id", *flown) if flown or chosen["flights"] else None,
+        slice_by(passengers, chosen["passengers"]).select("passenger_id", *personal)
+        if personal or chosen["passengers"]
+        else None,
+        (ways[0], ways[1]),
+        rows_per_task,
     )
 
 
@@ -130,10 +161,11 @@ def measures(
     names: list[str],
     by: str | None = None,
     rows_per_task: int = C.ROWS_PER_TASK,
+    slicers: Slicers | None = None,
 ) -> DataFrame:
-    """The named measures over everything, or per value of one column in report spelling."""
+    """The named measures over everything that the slicers leave, or per value of one column in report spelling."""
     columns = set().union(*(MEASURES[n].needs for n in names)) | ({by} if by else set())
-    lines = report_lines(bookings, flights, payments, passengers, columns, rows_per_task)
+    lines = report_lines(bookings, flights, payments, passengers, columns, rows_per_task, slicers)
     values = [MEASURES[n].value().alias(n) for n in names]
     if by is None:
         return lines.agg(*values)
@@ -224,7 +256,3 @@ def gender_split(passengers: DataFrame) -> DataFrame:
     return share_of_total(value_counts(passengers, "gender", "passenger_count"), "passenger_count", "share_pct").orderBy(
         F.desc("passenger_count"), "gender"
     )
-
-
-def slot_chart(flights: DataFrame) -> DataFrame:
-    return counts_in_order(flights, "departure_slot", C.SLOT_ORDER_WITH_HOURS)

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
+from tarmac.operators.heavy import stored_with_sketches
 from tarmac.operators.skew import next_row
 from tarmac.plans import clean
+from tarmac.plans.facts import booking_facts
 from tarmac.session import stored
 
 # A stand-in for the secret that callers pass in.
@@ -58,6 +60,8 @@ PAYMENT_ORDER = [
 ]
 # Order ids are unique; the columns the other booking columns are made from decide if they were not.
 BOOKING_ORDER = ["booking_date", "passenger_id", "status", "seat_number"]
+# Columns that bookings are joined by.
+BOOKING_KEYS = ["booking_id", "passenger_id", "flight_id"]
 
 
 # Declared, so that opening a table reads no file.
@@ -142,18 +146,30 @@ class Roles:
 
     @cached_property
     def booking_keys(self) -> DataFrame:
-        """Bookings without personal data, stored for joins that look for hot keys first."""
-        return stored(self.bookings.select("booking_id", "passenger_id", "flight_id", "status"), "bookings")
+        """Bookings without personal data, stored with sketches of their frequent keys."""
+        keys = self.bookings.select("booking_id", "passenger_id", "flight_id", "status")
+        return stored_with_sketches(keys, "bookings", BOOKING_KEYS)
 
     @cached_property
     def stored_bookings(self) -> DataFrame:
         """Masked bookings, stored for the wide table."""
-        return stored(self.bookings_masked, "bookings")
+        return stored_with_sketches(self.bookings_masked, "bookings", BOOKING_KEYS)
 
     @cached_property
     def stored_payments(self) -> DataFrame:
-        """For row-level joins, which look for hot bookings before they join."""
-        return stored(self.payments, "payments")
+        """For row-level joins, which split frequent bookings."""
+        return stored_with_sketches(self.payments, "payments", ["booking_id"])
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        """Bookings without personal data with what was paid for each, stored with sketches of the keys that reports join by.
+        Ids may repeat in the notebook variant."""
+        if self.variant == "script":
+            bookings = self.bookings.select("booking_id", "passenger_id", "flight_id", "status")
+            paid = booking_facts(bookings, self.payments)
+        else:
+            paid = booking_facts(self.booking_keys, self.payments, False, self.rows_per_task)
+        return stored_with_sketches(paid, "facts", BOOKING_KEYS[1:])
 
     @cached_property
     def passengers(self) -> DataFrame:

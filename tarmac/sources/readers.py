@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Column with the position of a row in its files, see `with_file_order`.
+FILE_ORDER = "_file_order"
+
+
 class MissingTableError(ValueError):
     """A required table is not there."""
 
@@ -53,12 +57,18 @@ def read_tables(
     fmt: str = "parquet",
     suffix: str = "",
     schemas: Mapping[str, StructType] | None = None,
+    keep_order: bool = True,
 ) -> dict[str, DataFrame]:
-    """Those of the named tables that exist below one folder."""
+    """Those of the named tables that exist below one folder.
+
+    Rows carry their place in the files (`with_file_order`) unless `keep_order` is false: cleaning then takes the first row
+    of a key in file order if it is told no other, and drops the place in the end.
+    """
     found = {}
     for name in names:
         try:
-            found[name] = read(spark, f"{base}/{name}{suffix}", fmt, (schemas or {}).get(name))
+            table = read(spark, f"{base}/{name}{suffix}", fmt, (schemas or {}).get(name))
+            found[name] = with_file_order(table) if keep_order else table
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -73,8 +83,8 @@ def require_tables(tables: Mapping[str, DataFrame], required: Iterable[str]) ->
 
 
 def drop_junk_columns(df: DataFrame, also: tuple[str, ...] = ("duration",)) -> DataFrame:
-    """Without the nameless columns of spreadsheet exports and the listed ones."""
-    return df.select(*[f"`{c}`" for c in df.columns if not c.startswith("Unnamed") and c not in also])
+    """Without the nameless columns of spreadsheet exports, the listed ones and the place in the files."""
+    return df.select(*[f"`{c}`" for c in df.columns if not c.startswith("Unnamed") and c not in (*also, FILE_ORDER)])
 
 
 def missing_columns(df: DataFrame, expected: StructType | Iterable[str]) -> list[str]:
@@ -110,7 +120,12 @@ def rename_by_position(df: DataFrame, names: list[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def with_file_order(df: DataFrame, name: str = "_file_order") -> DataFrame:
+def file_order(df: DataFrame) -> list[str] | None:
+    """The column of a table that says where its rows stood in their files, if it has one."""
+    return [FILE_ORDER] if FILE_ORDER in df.columns else None
+
+
+def with_file_order(df: DataFrame, name: str = FILE_ORDER) -> DataFrame:
     """Position of each row in its input files, for 'first' in file order.
 
     Must be applied directly to a file scan. Blocks are ordered by file and offset; inside a

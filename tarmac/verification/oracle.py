@@ -627,6 +627,7 @@ script(
     "pivot_route_matrix",
     "SELECT source, "
     + ", ".join(f'count(*) FILTER (WHERE destination = \'{t}\') AS "{t}"' for t in EVENT_TYPES)
+    + f', count(*) FILTER (WHERE destination NOT IN {_in(EVENT_TYPES)}) AS "OTHER"'
     + " FROM flights GROUP BY source",
 )
 script("pair_route_counts", "SELECT source, destination, count(*) AS count FROM flights GROUP BY ALL")
@@ -720,6 +721,24 @@ script(
     "measures_by_age_group",
     _measures(["unique_passengers", "spend_per_passenger"], "age_group", "coalesce(age_group, 'Unknown')"),
 )
+SLICED_ROWS = {
+    "route": "route IN ('VIEW to CLICK', 'CLICK to VIEW')",
+    "status": "status = 'CONFIRMED'",
+    "age_group": "age_group IN ('18-30', '60+')",
+    "dates": "departure_time BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12'",
+    "delayed": "is_delayed = 1",
+    "method": "payment_method = 'UPI'",
+    "page": "status IN ('CONFIRMED', 'CANCELLED') AND age_group IN ('18-30', '31-45', '46-60', '60+')"
+    " AND departure_time BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-25' AND payment_method IN ('CARD', 'UPI')",
+}
+_SLICED = ["total_flights", "total_bookings", "total_revenue", "delayed_flights", "unique_passengers"]
+script(
+    "measures_with_slicers",
+    " UNION ALL ".join(
+        _measures(_SLICED, "airline", f"'{name}' AS slicers, {REPORT_AIRLINE}").replace("GROUP BY 1", f"WHERE {rows} GROUP BY 1, 2")
+        for name, rows in SLICED_ROWS.items()
+    ),
+)
 script(
     "daily_volume", "SELECT cast(departure_time AS date) AS departure_date, count(*) AS flight_count FROM flights GROUP BY 1"
 )

@@ -152,6 +152,17 @@ def test_median_meets_in_no_single_task(spark, n):
     assert got[0]["mean"] == (pytest.approx(sum(values) / n) if n else None)
 
 
+def test_mean_keeps_all_decimals_and_nan_is_missing(spark):
+    df = spark.createDataFrame([(0.001,), (0.002,), (0.006,), (float("nan"),)], "v double")
+    assert aggregates.median_and_mean(df, "v").first() == pytest.approx((0.002, 0.003))
+    one = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert rows(aggregates.median_and_mean(one, "v")) == [(1.0, 1.0)]
+    wild = spark.createDataFrame([(1e-12,), (3e-12,), (1e30,)], "v double")
+    assert rows(aggregates.median_and_mean(wild, "v")) == [(3e-12, pytest.approx(1e30 / 3))]
+    whole = spark.createDataFrame([(2,), (3,)], "v bigint")
+    assert rows(aggregates.median_and_mean(whole, "v")) == [(2.5, 2.5)]
+
+
 def test_pivot(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "x")], "r string, c string")
     assert rows(aggregates.pivot_counts(df, "r", "c", ["x", "y"])) == [("a", 2, 0), ("b", 0, 1)]
