@@ -29,9 +29,11 @@ BITMAP_POWER = 26
 #: Candidates and bytes of one trie. More candidates mean more tries and passes, not larger ones.
 TRIE_PHRASES = 500_000
 TRIE_BYTES = 12_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: Hashes that a task counts together before it hands them on.
-BUFFERED = 2_000_000
+BUFFERED = 4_000_000
+#: Phrases of late that a task knows again, as a power of two.
+KNOWN_POWER = 21
 #: Parts of a language that are ranked by themselves first.
 RANK_PARTS = 64
 UNKNOWN_LANG = "und"
@@ -48,25 +50,21 @@ class Words:
     """The words of some texts, one after the other, each followed by a space or, at the end of its piece, a line end."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        data = _LOWER[data]
+        # A line end after each text, so that words and pieces end there.
+        data = np.insert(_LOWER[data], offsets[1:], PIECE_END)
         word = _WORD[data]
-        border = np.zeros(len(data) + 1, bool)
-        border[offsets] = True
-        start, end = word.copy(), word.copy()
-        start[1:] &= ~word[:-1] | border[1:-1]
-        end[:-1] &= ~word[1:] | border[1:-1]
-        first, last = np.flatnonzero(start), np.flatnonzero(end) + 1
+        edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+        if len(data) and word[0]:
+            edge = np.append(0, edge)
+        first, last = edge[0::2], edge[1::2]
         self.length = last - first
-        self.row = np.searchsorted(offsets, first, "right") - 1
+        self.row = np.searchsorted(offsets + np.arange(len(offsets)), first, "right") - 1
         piece = np.cumsum(_ENDS[data], dtype=np.int32)[first]
         self.goes_on = np.zeros(len(first), bool)
-        if len(first):
-            self.goes_on[:-1] = (piece[1:] == piece[:-1]) & (self.row[1:] == self.row[:-1])
+        self.goes_on[:-1] = piece[1:] == piece[:-1]
         self.start = np.cumsum(self.length + 1) - (self.length + 1)
-        self.bytes = np.empty(int((self.length + 1).sum()), np.uint8)
-        shift = np.repeat(first - self.start, self.length)
-        places = np.arange(len(shift)) + np.repeat(np.arange(len(first)), self.length)
-        self.bytes[places] = data[places + shift]
+        word[last] = True
+        self.bytes = data[word]
         self.bytes[self.start + self.length] = np.where(self.goes_on, SPACE, PIECE_END)
 
     def __len__(self) -> int:
@@ -89,6 +87,10 @@ def _lang_hashes(column: pa.Array) -> np.ndarray:
     return known[coded.indices.to_numpy(zero_copy_only=False)]
 
 
+def _is_set(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
 def _may_be_frequent(words: Words, langs: np.ndarray, level: int, bitmaps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Words at which a phrase of `level` words starts whose shorter phrases all may be frequent, and the phrases' hashes.
 
@@ -104,8 +106,8 @@ def _may_be_frequent(words: Words, langs: np.ndarray, level: int, bitmaps: list[
         at = np.flatnonzero(starts)
         hashes = words.hashes(langs, size, at)
         if size <= len(bitmaps):
-            bit = hashes >> np.uint64(64 - BITMAP_POWER)
-            there = (bitmaps[size - 1][(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            there = _is_set(bitmaps[size - 1], hashes >> np.uint64(64 - BITMAP_POWER))
+            there[there] = _is_set(bitmaps[size - 1], hashes[there] & np.uint64((1 << BITMAP_POWER) - 1))
             starts = np.zeros(len(words), bool)
             starts[at[there]] = True
             at, hashes = at[there], hashes[there]
@@ -139,10 +141,13 @@ def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFr
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """The bitmap of hashes by their highest bits, put together in Spark; it has one size for any number of them."""
-    bit = F.shiftrightunsigned("hash", 64 - BITMAP_POWER) + 1
+    """The bitmap of hashes, a bit by their highest and one by their lowest digits, put together in Spark. It has one
+    size for any number of them."""
+    high = F.shiftrightunsigned("hash", 64 - BITMAP_POWER)
+    low = F.col("hash").bitwiseAND(F.lit((1 << BITMAP_POWER) - 1))
     parts = (
-        hashes.select(F.bitmap_bucket_number(bit).alias("part"), F.bitmap_bit_position(bit).alias("bit"))
+        hashes.select(F.explode(F.array(high + 1, low + 1)).alias("bit"))
+        .select(F.bitmap_bucket_number("bit").alias("part"), F.bitmap_bit_position("bit").alias("bit"))
         .groupBy("part")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .toArrow()
@@ -159,17 +164,16 @@ def _candidates(texts: DataFrame, longest: int, bitmaps: list) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [b.value for b in bitmaps]
-        known: set[int] = set()
+        # What this task has handed on lately it needn't again; Spark removes other repeats.
+        known = np.zeros(1 << KNOWN_POWER, np.uint64)
         for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
             words, langs = Words(data, offsets), _lang_hashes(batch.column(0))
             for level in range(1, longest + 1):
                 at, hashes = _may_be_frequent(words, langs, level, bits[:level])
                 hashes, first = np.unique(hashes, return_index=True)
-                # What this task has handed on lately it needn't again; Spark removes other repeats.
-                new = np.fromiter((h not in known for h in hashes.tolist()), bool, len(hashes))
-                if len(known) > BUFFERED:
-                    known.clear()
-                known.update(hashes[new].tolist())
+                slot = (hashes >> np.uint64(64 - KNOWN_POWER)).astype(np.int64)
+                new = known[slot] != hashes
+                known[slot] = hashes
                 at = at[first[new]]
                 begin, n = words.start[at], words.ends(level)[at] - words.start[at]
                 ends = np.concatenate([[0], np.cumsum(n)])
@@ -278,7 +282,7 @@ def _trie_counts(spark: SparkSession, texts: DataFrame, phrases: pa.Table) -> Da
 
     summed = texts.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("f"))
     # Phrases were collected in order of their numbers, without gaps.
-    return summed.select((F.col("place") + int(number[0])).alias("number"), "f")
+    return summed.select((F.col("place") + int(number[0])).cast("int").alias("number"), "f")
 
 
 def phrase_counts(
@@ -290,32 +294,36 @@ def phrase_counts(
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG))
     texts = docs.select(lang.alias("lang"), empty_for_null(text_col).alias("body"))
     bitmaps: list = []
+    found_at_all = 0
     for level in range(1, longest + 1):
-        found = _sums(texts, level, bitmaps, min_count)
+        found = stored(_sums(texts, level, bitmaps, min_count), "hashes")
+        found_at_all += found.count()
         bitmaps.append(spark.sparkContext.broadcast(_bitmap(found)))
-    candidates = stored(_candidates(texts, longest, bitmaps), "candidates")
-    size = candidates.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 2), F.lit(0))
-    ).first()
-    tries = max(1, -(-size[0] // TRIE_PHRASES), -(-size[1] // TRIE_BYTES))
-    part = F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)).cast("int")
+    # Each phrase let through is one of the hashes, but for the few that share all bits with one.
+    parts = 1 + found_at_all // TRIE_PHRASES
     key = F.concat("lang", F.lit("\n"), "phrase", F.lit(" ")).cast("binary")
-    keyed = candidates.withColumns({"part": part, "key": key})
+    keyed = _candidates(texts, longest, bitmaps).select(key.alias("key"))
     in_part = Window.partitionBy("part").orderBy("key")
-    numbered = keyed.withColumn("number", F.row_number().over(in_part).cast("bigint"))
-    numbered = stored(numbered, "numbered")
+    part = F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
+    numbered = stored(keyed.withColumn("part", part).withColumn("number", F.row_number().over(in_part)), "numbered")
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("key")).alias("bytes"))
     folder = fresh_folder(spark, "phrase-counts")
-    for i in range(tries):
-        own = numbered.filter(F.col("part") == i).select("number", "key").orderBy("number").toArrow()
-        if own.num_rows:
-            counted = _trie_counts(spark, texts, own).withColumn("part", F.lit(i))
-            counted.write.mode("append").parquet(folder)
-    if not size[0]:
-        return numbered.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("number").alias("f"))
+    empty = spark.createDataFrame([], "part int, number int, f bigint")
+    empty.write.parquet(folder)
+    for row in sizes.orderBy("part").collect():
+        own = numbered.filter(F.col("part") == row["part"])
+        step = -(-row["n"] // max(1, -(-row["n"] // TRIE_PHRASES), -(-row["bytes"] // TRIE_BYTES)))
+        for first in range(1, row["n"] + 1, step):
+            some = own.filter(F.col("number").between(first, first + step - 1)).select("number", "key").orderBy("number")
+            counted = _trie_counts(spark, texts, some.toArrow()).withColumn("part", F.lit(row["part"]))
+            counted.select("part", "number", "f").write.mode("append").parquet(folder)
     counts = spark.read.parquet(folder).filter(F.col("f") >= min_count)
-    words = F.size(F.split("phrase", " "))
-    out = numbered.join(counts, ["part", "number"]).select("lang", "phrase", words.alias("size"), "f")
-    return stored(out, "phrases")
+    # The phrase is what follows the last line end, without the final space.
+    text = F.col("key").cast("string")
+    phrase = F.substring_index(text, "\n", -1)
+    lang = F.substring(text, F.lit(1), F.length(text) - F.length(phrase) - 1)
+    out = numbered.join(counts, ["part", "number"]).select(lang.alias("lang"), F.rtrim(phrase).alias("phrase"), "f")
+    return stored(out.withColumn("size", F.size(F.split("phrase", " "))), "phrases")
 
 
 def _floor_share(a: Column, left: Column, right: Column) -> Column:

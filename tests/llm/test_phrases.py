@@ -61,6 +61,7 @@ def table(n=400, seed=3):
 @pytest.mark.parametrize("tries", [500_000, 7])
 def test_against_plain_counts(spark, monkeypatch, tries):
     monkeypatch.setattr(phrases, "TRIE_PHRASES", tries)
+    monkeypatch.setattr(phrases, "TRIE_BYTES", 24 * tries)
     rows = table(150 if tries == 7 else 400)
     docs = spark.createDataFrame([(*r, "u") for r in rows], SCHEMA + ", phrase string").repartition(3)
     min_count = 40 if tries == 7 else 10
