@@ -150,6 +150,32 @@ def _(r):
     return audit.flight_steps(r.raw_flights)
 
 
+def _audited(name: str):
+    def build(r: Roles) -> DataFrame:
+        return audit.AUDITS[name](r.untidy[name], r.variant, r.order_by.get(name)).steps
+
+    return build
+
+
+query("audit_flights")(_audited("flights"))
+query("audit_bookings")(_audited("bookings"))
+query("audit_passengers")(_audited("passengers"))
+query("audit_payments")(_audited("payments"))
+
+
+@query("audit_nb", "notebook")
+def _(r):
+    parts = [_audited(n)(r).select(F.lit(n).alias("table_name"), "position", "step", "rows_in", "dropped") for n in r.untidy]
+    return readers._union(parts)
+
+
+@query("audit_clean_bookings")
+def _(r):
+    """The clean table that the audit reads from its one pass."""
+    tidy = audit.bookings(r.untidy["bookings"], r.variant, r.order_by["bookings"]).clean
+    return tidy.select("booking_id", "passenger_id", "status", "seat_number")
+
+
 @query("audit_raw_and_clean")
 def _(r):
     tables = {"flights": r.timed, "bookings": r.bookings, "passengers": r.passengers, "payments": r.payments}

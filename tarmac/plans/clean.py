@@ -71,15 +71,27 @@ def flights_without_delay(
     them as well; one shuffle does both. Missing text becomes a token before the null test,
     which then only finds missing times; `strict` tests the text columns first.
     """
-    ids = ["flight_id", "source", "destination"]
-    named = _named(raw, schemas.FLIGHTS.fieldNames(), order_by)
+    ready = prepared_flights(raw, order_by)
     if strict:
-        named = filters.drop_null_critical(named, ids)
-    normal = _normal(named, dict.fromkeys([*ids, "airline"], UPPER))
-    timed = filters.drop_null_critical(
-        _times(normal, "departure_time", "arrival_time"), ["departure_time", "arrival_time"]
-    )
+        ready = ready.filter("_has_text")
+    timed = filters.drop_null_critical(ready, ["departure_time", "arrival_time"]).drop("_has_text")
     single = dedup.first_by_key(timed, "flight_id", order_by).select(*schemas.FLIGHTS.fieldNames())
+    return finished_flights(single, variant)
+
+
+def prepared_flights(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """All flights in normal form; `_has_text` says whether the text columns were there."""
+    ids = ["flight_id", "source", "destination"]
+    named = _named(raw, schemas.FLIGHTS.fieldNames(), order_by)
+    there = F.lit(True)
+    for name in ids:
+        there = there & F.col(name).isNotNull()
+    normal = _normal(named.withColumn("_has_text", there), dict.fromkeys([*ids, "airline"], UPPER))
+    return _times(normal, "departure_time", "arrival_time")
+
+
+def finished_flights(single: DataFrame, variant: str = "script") -> DataFrame:
+    """Flights with one row an id: impossible ones dropped, times and route worked out."""
     known = filters.valid_interval(single).withColumn(
         "airline", text.impute_carrier(F.col("airline"), F.col("flight_id"))
     )
@@ -120,15 +132,26 @@ def flights(raw: DataFrame, variant: str = "script", order_by: list[str] | None
 
 def bookings(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
     """Clean bookings, personal data not yet masked."""
-    names = schemas.BOOKINGS.fieldNames()
-    named = _named(raw, names, order_by)
+    ready = prepared_bookings(raw, variant, order_by)
     if variant == "script":
-        keyed = _times(_normal(named, {"booking_id": UPPER}), "booking_date")
-        first = dedup.first_by_key(keyed, "booking_id", order_by).select(*names)
-        return _normal(first, dict.fromkeys(["passenger_id", "flight_id", "status", "seat_number"], UPPER))
+        first = dedup.first_by_key(ready, "booking_id", order_by).select(*schemas.BOOKINGS.fieldNames())
+        return finished_bookings(first, variant)
+    return finished_bookings(dedup.distinct_rows(ready), variant)
+
+
+def prepared_bookings(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
+    """All bookings in the form in which copies are looked for."""
+    named = _named(raw, schemas.BOOKINGS.fieldNames(), order_by)
+    if variant == "script":
+        return _times(_normal(named, {"booking_id": UPPER}), "booking_date")
     forms = {"booking_id": STRIPPED, "passenger_id": STRIPPED, "flight_id": UPPER, "status": UPPER}
-    normal = _normal(named.select(*names), forms)
-    return dedup.distinct_rows(_times(normal, "booking_date"))
+    return _times(_normal(named.select(*schemas.BOOKINGS.fieldNames()), forms), "booking_date")
+
+
+def finished_bookings(single: DataFrame, variant: str = "script") -> DataFrame:
+    if variant != "script":
+        return single
+    return _normal(single, dict.fromkeys(["passenger_id", "flight_id", "status", "seat_number"], UPPER))
 
 
 def mask_bookings(clean: DataFrame, salt: str, variant: str = "script") -> DataFrame:
@@ -151,18 +174,29 @@ def mask_bookings(clean: DataFrame, salt: str, variant: str = "script") -> DataF
 
 def passengers(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
     """Clean customers with age group and birth year, personal data not yet masked."""
+    ready = prepared_passengers(raw, variant, order_by)
+    if variant == "script":
+        first = dedup.first_by_key(ready, "passenger_id", order_by).select(*schemas.PASSENGERS.fieldNames())
+        return finished_passengers(first, variant)
+    return finished_passengers(dedup.distinct_rows(ready), variant)
+
+
+def prepared_passengers(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
+    """All customers in the form in which copies are looked for."""
     names = schemas.PASSENGERS.fieldNames()
     named = _times(_named(raw, names, order_by), "date_of_birth")
     named = named.withColumn("age", _number(named, "age"))
+    if variant == "script":
+        normal = _normal(named, {"passenger_id": UPPER, "gender": UPPER})
+        return normal.withColumn("gender", text.binary_gender(F.col("gender")))
+    return _normal(named.select(*names), {"passenger_id": STRIPPED, "gender": UPPER, "email": LOWER})
+
+
+def finished_passengers(single: DataFrame, variant: str = "script") -> DataFrame:
     group = numeric.age_group(F.col("age"))
     if variant == "script":
-        normal = _normal(named, {"passenger_id": UPPER, "gender": UPPER}).withColumn(
-            "gender", text.binary_gender(F.col("gender"))
-        )
-        first = dedup.first_by_key(normal, "passenger_id", order_by).select(*names)
-        return first.withColumns({"birth_year": temporal.birth_year(F.col("date_of_birth")), "age_group": group})
-    normal = _normal(named.select(*names), {"passenger_id": STRIPPED, "gender": UPPER, "email": LOWER})
-    return dedup.distinct_rows(normal.withColumn("age_group", group))
+        return single.withColumns({"birth_year": temporal.birth_year(F.col("date_of_birth")), "age_group": group})
+    return single.withColumn("age_group", group)
 
 
 def mask_passengers(clean: DataFrame, salt: str, variant: str = "script") -> DataFrame:
@@ -184,13 +218,27 @@ def mask_passengers(clean: DataFrame, salt: str, variant: str = "script") -> Dat
 
 
 def payments(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
-    names = schemas.PAYMENTS.fieldNames()
-    # A missing amount is dropped in the end; saying so first lets the scan skip those rows.
-    named = _named(raw, names, order_by).filter(F.col("amount").isNotNull())
+    ready = prepared_payments(raw, variant, order_by, present_only=True)
+    if variant == "script":
+        first = dedup.valid_then_first(ready, "payment_id", ["amount"], order_by).select(*schemas.PAYMENTS.fieldNames())
+        return finished_payments(first, variant)
+    return finished_payments(dedup.valid_distinct(ready, ["amount"]), variant)
+
+
+def prepared_payments(
+    raw: DataFrame, variant: str = "script", order_by: list[str] | None = None, present_only: bool = False
+) -> DataFrame:
+    """All payments in the form in which copies are looked for; an amount that is no number is missing."""
+    named = _named(raw, schemas.PAYMENTS.fieldNames(), order_by)
+    if present_only:
+        # A missing amount is dropped in the end; saying so first lets the scan skip those rows.
+        named = named.filter(F.col("amount").isNotNull())
     named = named.withColumn("amount", _number(named, "amount"))
     if variant == "script":
-        keyed = _normal(named, {"payment_id": UPPER})
-        first = dedup.valid_then_first(keyed, "payment_id", ["amount"], order_by).select(*names)
-        return _normal(first, {"booking_id": UPPER, "payment_method": UPPER})
+        return _normal(named, {"payment_id": UPPER})
     forms = {"payment_id": STRIPPED, "booking_id": STRIPPED, "payment_method": UPPER}
-    return dedup.valid_distinct(_normal(named.select(*names), forms), ["amount"])
+    return _normal(named.select(*schemas.PAYMENTS.fieldNames()), forms)
+
+
+def finished_payments(single: DataFrame, variant: str = "script") -> DataFrame:
+    return _normal(single, {"booking_id": UPPER, "payment_method": UPPER}) if variant == "script" else single

@@ -60,6 +60,23 @@ PAYMENT_ORDER = [
 ]
 # Order ids are unique; the columns the other booking columns are made from decide if they were not.
 BOOKING_ORDER = ["booking_date", "passenger_id", "status", "seat_number"]
+# Rows added to the raw tables for the audit: which rows are repeated, and what is changed in the copy.
+UNTIDY_ROWS: dict[str, list[tuple[str, dict[str, str]]]] = {
+    "flights": [
+        ("flight_id % 7 = 0", {}),
+        ("flight_id % 11 = 0", {"airline": "'zz'"}),
+        ("flight_id % 13 = 0", {"flight_id": "flight_id + 1000000000", "departure_time": "arrival_time", "arrival_time": "departure_time"}),
+        ("flight_id % 17 = 0", {"flight_id": "flight_id + 2000000000", "airline": "' nan '"}),
+    ],
+    "bookings": [("booking_id % 7 = 0", {}), ("booking_id % 11 = 0", {"status": "'zz'"})],
+    "passengers": [("passenger_id % 7 = 0", {}), ("passenger_id % 11 = 0", {"last_name": "'zz'"})],
+    "payments": [
+        ("booking_id % 7 = 0", {}),
+        ("booking_id % 11 = 0", {"amount": "NULL"}),
+        ("booking_id % 13 = 0", {"payment_method": "'zz'", "l_partkey": "l_partkey + 1000000"}),
+    ],
+}
+
 # Columns that bookings are joined by.
 BOOKING_KEYS = ["booking_id", "passenger_id", "flight_id"]
 
@@ -122,6 +139,19 @@ class Roles:
             "payments": self.raw_payments,
         }
 
+    @cached_property
+    def untidy(self) -> dict[str, DataFrame]:
+        """The raw tables with rows of the kinds that cleaning is there for (see `UNTIDY_ROWS`)."""
+        out = {}
+        for name, table in self.raw.items():
+            parts = table
+            for condition, changes in UNTIDY_ROWS[name]:
+                kinds = dict(table.dtypes)
+                changed = {c: F.expr(e).cast(kinds[c]) for c, e in changes.items()}
+                parts = parts.unionAll(table.filter(condition).select(*[changed.get(c, F.col(c)).alias(c) for c in table.columns]))
+            out[name] = parts
+        return out
+
     @property
     def order_by(self) -> dict[str, list[str]]:
         return {"payments": PAYMENT_ORDER, "bookings": BOOKING_ORDER}

@@ -7,7 +7,7 @@ nothing here shares an algorithm with the Spark plans.
 from __future__ import annotations
 
 from tarmac import constants as C
-from tarmac.roles import BOOKINGS_SQL, PASSENGERS_SQL, PAYMENT_ORDER, PAYMENTS_SQL, TEST_SALT
+from tarmac.roles import BOOKINGS_SQL, PASSENGERS_SQL, PAYMENT_ORDER, PAYMENTS_SQL, TEST_SALT, UNTIDY_ROWS
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -245,6 +245,110 @@ UNION ALL SELECT 4, 'invalid_interval', d, d - e FROM steps
 UNION ALL SELECT 5, 'unresolved_carrier', e, e - f FROM steps
 UNION ALL SELECT 6, 'duration_range', f, f - g FROM steps""",
 )
+
+
+def _untidy_rows(name: str, columns: list[str]) -> str:
+    """The raw table with the rows that the audit adds."""
+    parts = [f"SELECT {', '.join(columns)} FROM raw_{name}"]
+    for condition, changes in UNTIDY_ROWS[name]:
+        changed = ", ".join(f"{changes[c]} AS {c}" if c in changes else c for c in columns)
+        parts.append(f"SELECT {changed} FROM raw_{name} WHERE {condition}")
+    return " UNION ALL ".join(parts)
+
+
+def _audit(name: str, key: str, normal: str, variant: str, valid: str = "", missing: str = "") -> str:
+    """Steps of a table: missing values, equal rows and, in the script variant, equal ids. `normal` is its form in which rows
+    are compared."""
+    columns = {"bookings": BOOKINGS_SQL, "passengers": PASSENGERS_SQL, "payments": [*PAYMENTS_SQL, *PAYMENT_ORDER]}[name]
+    names = [c.rsplit(" AS ", 1)[-1] for c in columns]
+    steps = [("rows_in", f"(SELECT count(*) FROM t_{name})")]
+    where = f" WHERE {valid}" if valid else ""
+    if valid:
+        steps.append((missing, f"(SELECT count(*) FROM n_{name}{where})"))
+    steps.append(("duplicate_rows", f"(SELECT count(*) FROM (SELECT DISTINCT * FROM n_{name}{where}))"))
+    if variant == "script":
+        steps.append(("duplicate_ids", f"(SELECT count(DISTINCT {key}) FROM n_{name}{where})"))
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{step}' AS step, {steps[i - 1][1]} AS rows_in, {steps[i - 1][1]} - {left} AS dropped"
+        for i, (step, left) in enumerate(steps[1:], 1)
+    )
+    return (
+        f", t_{name} AS ({_untidy_rows(name, names)}), n_{name} AS (SELECT {normal} FROM t_{name})",
+        rows,
+    )
+
+
+def _audit_flights(variant: str) -> tuple[str, str]:
+    names = ["flight_id", "airline", "source", "destination", "departure_time", "arrival_time"]
+    complete = "departure_time IS NOT NULL AND arrival_time IS NOT NULL"
+    tables = f"""
+, t_flights AS ({_untidy_rows('flights', names)}),
+n_flights AS (SELECT {', '.join(f"{_upper(c)} AS {c}" for c in names[:4])}, departure_time, arrival_time FROM t_flights),
+one_untidy AS (SELECT * FROM n_flights WHERE {complete} QUALIFY row_number() OVER (PARTITION BY flight_id
+  ORDER BY airline, source, destination, departure_time, arrival_time) = 1),
+forward_untidy AS (SELECT *, {_impute('airline', 'flight_id')} AS carrier,
+  {_minutes('departure_time', 'arrival_time')} AS m FROM one_untidy WHERE arrival_time > departure_time),
+named_untidy AS (SELECT * FROM forward_untidy
+  {f"WHERE carrier NOT IN {_in(C.CARRIER_PLACEHOLDERS)}" if variant == "script" else ""})"""
+    left = [
+        ("rows_in", "(SELECT count(*) FROM t_flights)"),
+        ("null_times", f"(SELECT count(*) FROM n_flights WHERE {complete})"),
+        ("duplicate_rows", f"(SELECT count(*) FROM (SELECT DISTINCT * FROM n_flights WHERE {complete}))"),
+        ("duplicate_ids", "(SELECT count(*) FROM one_untidy)"),
+        ("invalid_interval", "(SELECT count(*) FROM forward_untidy)"),
+        ("unresolved_carrier", "(SELECT count(*) FROM named_untidy)"),
+        ("duration_range", "(SELECT count(*) FROM named_untidy WHERE m > 0 AND m <= 1440)"),
+    ]
+    if variant != "script":
+        del left[5]
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{step}' AS step, {left[i - 1][1]} AS rows_in, {left[i - 1][1]} - {n} AS dropped"
+        for i, (step, n) in enumerate(left[1:], 1)
+    )
+    return tables, rows
+
+
+_PAX_NB = f"{_stripped('passenger_id')}, first_name, last_name, age, {_upper('gender')}, {_lower('email')}, phone, aadhaar_id, try_cast(date_of_birth AS timestamp)"
+_PAX = (
+    f"{_upper('passenger_id')} AS passenger_id, first_name, last_name, age, {_upper('gender')} = 'F', email, phone,"
+    " aadhaar_id, try_cast(date_of_birth AS timestamp)"
+)
+_BOOKED = f"{_upper('booking_id')} AS booking_id, * EXCLUDE (booking_id)"
+_BOOKED_NB = (
+    f"{_stripped('booking_id')}, {_stripped('passenger_id')}, {_upper('flight_id')}, booking_date, {_upper('status')},"
+    " passport_number, seat_number, emergency_contact_name, emergency_contact_phone"
+)
+_PAID = f"{_upper('payment_id')} AS payment_id, booking_id, amount, payment_method"
+_PAID_NB = f"{_stripped('payment_id')}, {_stripped('booking_id')}, amount, {_upper('payment_method')}"
+AUDITED = {
+    "script": {
+        "flights": _audit_flights("script"),
+        "bookings": _audit("bookings", "booking_id", _BOOKED, "script"),
+        "passengers": _audit("passengers", "passenger_id", _PAX, "script"),
+        "payments": _audit("payments", "payment_id", _PAID, "script", "amount IS NOT NULL", "null_amount"),
+    },
+    "notebook": {
+        "flights": _audit_flights("notebook"),
+        "bookings": _audit("bookings", "booking_id", _BOOKED_NB, "notebook"),
+        "passengers": _audit("passengers", "passenger_id", _PAX_NB, "notebook"),
+        "payments": _audit("payments", "payment_id", _PAID_NB, "notebook", "amount IS NOT NULL", "null_amount"),
+    },
+}
+for _name, (_tables, _rows) in AUDITED["script"].items():
+    script(f"audit_{_name}", f"{_tables} {_rows}")
+notebook(
+    "audit_nb",
+    "".join(tables for tables, _ in AUDITED["notebook"].values())
+    + " UNION ALL ".join(f" SELECT '{name}' AS table_name, * FROM ({rows})" for name, (_, rows) in AUDITED["notebook"].items()),
+)
+script(
+    "audit_clean_bookings",
+    AUDITED["script"]["bookings"][0]
+    + f" SELECT booking_id, {_upper('passenger_id')} AS passenger_id, {_upper('status')} AS status,"
+    f" {_upper('seat_number')} AS seat_number FROM n_bookings"
+    " QUALIFY row_number() OVER (PARTITION BY booking_id ORDER BY booking_date, n_bookings.passenger_id, n_bookings.status,"
+    " n_bookings.seat_number) = 1",
+)
 script(
     "audit_raw_and_clean",
     " UNION ALL ".join(
