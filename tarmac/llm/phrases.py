@@ -26,6 +26,8 @@ from tarmac.session import fresh_folder, stored
 SPACE, PIECE_END = 32, 10
 #: Bits of a level's bitmap, as a power of two: 8 MB, whatever the corpus.
 BITMAP_POWER = 26
+#: Bits of a phrase's hash. Phrases that share one only add candidates; fewer bits take less room in shuffles.
+HASH_POWER = 44
 #: Candidates and bytes of one trie. More candidates mean more tries and passes, not larger ones.
 TRIE_PHRASES = 500_000
 TRIE_BYTES = 12_000_000
@@ -33,7 +35,7 @@ SLICE_BYTES = 1_000_000
 #: Hashes that a task counts together before it hands them on.
 BUFFERED = 4_000_000
 #: Phrases of late that a task knows again, as a power of two.
-KNOWN_POWER = 21
+KNOWN_POWER = 22
 #: Parts of a language that are ranked by themselves first.
 RANK_PARTS = 64
 UNKNOWN_LANG = "und"
@@ -78,7 +80,8 @@ class Words:
     def hashes(self, langs: np.ndarray, words: int, at: np.ndarray) -> np.ndarray:
         sums = self.sums if hasattr(self, "sums") else prefix_sums(self.bytes)
         self.sums = sums
-        return joined(langs[self.row[at]], stretch_hashes(sums, self.start[at], self.ends(words)[at]))
+        found = joined(langs[self.row[at]], stretch_hashes(sums, self.start[at], self.ends(words)[at]))
+        return found >> np.uint64(64 - HASH_POWER)
 
 
 def _lang_hashes(column: pa.Array) -> np.ndarray:
@@ -91,14 +94,13 @@ def _is_set(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def _may_be_frequent(words: Words, langs: np.ndarray, level: int, bitmaps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Words at which a phrase of `level` words starts whose shorter phrases all may be frequent, and the phrases' hashes.
+def _levels(words: Words, langs: np.ndarray, longest: int, bitmaps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For phrases of 1, 2, ... words: the words at which one starts whose shorter phrases all may be frequent, and its hash.
 
     With a bitmap for the level itself, only phrases that its bits let through.
     """
-    at = np.arange(len(words))
     starts = np.ones(len(words), bool)
-    for size in range(1, level + 1):
+    for size in range(1, longest + 1):
         if size > 1:
             # Phrases of `size` words start where ones a word shorter start here and at the next word.
             starts[:-1] &= starts[1:] & words.goes_on[:-1]
@@ -106,12 +108,12 @@ def _may_be_frequent(words: Words, langs: np.ndarray, level: int, bitmaps: list[
         at = np.flatnonzero(starts)
         hashes = words.hashes(langs, size, at)
         if size <= len(bitmaps):
-            there = _is_set(bitmaps[size - 1], hashes >> np.uint64(64 - BITMAP_POWER))
+            there = _is_set(bitmaps[size - 1], hashes >> np.uint64(HASH_POWER - BITMAP_POWER))
             there[there] = _is_set(bitmaps[size - 1], hashes[there] & np.uint64((1 << BITMAP_POWER) - 1))
             starts = np.zeros(len(words), bool)
             starts[at[there]] = True
             at, hashes = at[there], hashes[there]
-    return at, hashes
+        yield at, hashes
 
 
 def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFrame:
@@ -127,7 +129,7 @@ def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
         for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
-            _, hashes = _may_be_frequent(Words(data, offsets), _lang_hashes(batch.column(0)), level, shorter)
+            *_, (_, hashes) = _levels(Words(data, offsets), _lang_hashes(batch.column(0)), level, shorter)
             held.append(hashes)
             size += len(hashes)
             if size >= BUFFERED:
@@ -143,7 +145,7 @@ def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFr
 def _bitmap(hashes: DataFrame) -> np.ndarray:
     """The bitmap of hashes, a bit by their highest and one by their lowest digits, put together in Spark. It has one
     size for any number of them."""
-    high = F.shiftrightunsigned("hash", 64 - BITMAP_POWER)
+    high = F.shiftrightunsigned("hash", HASH_POWER - BITMAP_POWER)
     low = F.col("hash").bitwiseAND(F.lit((1 << BITMAP_POWER) - 1))
     parts = (
         hashes.select(F.explode(F.array(high + 1, low + 1)).alias("bit"))
@@ -168,13 +170,11 @@ def _candidates(texts: DataFrame, longest: int, bitmaps: list) -> DataFrame:
         known = np.zeros(1 << KNOWN_POWER, np.uint64)
         for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
             words, langs = Words(data, offsets), _lang_hashes(batch.column(0))
-            for level in range(1, longest + 1):
-                at, hashes = _may_be_frequent(words, langs, level, bits[:level])
-                hashes, first = np.unique(hashes, return_index=True)
-                slot = (hashes >> np.uint64(64 - KNOWN_POWER)).astype(np.int64)
-                new = known[slot] != hashes
-                known[slot] = hashes
-                at = at[first[new]]
+            for level, (at, hashes) in enumerate(_levels(words, langs, longest, bits), 1):
+                new = known[(hashes >> np.uint64(HASH_POWER - KNOWN_POWER)).astype(np.int64)] != hashes
+                hashes, first = np.unique(hashes[new], return_index=True)
+                known[(hashes >> np.uint64(HASH_POWER - KNOWN_POWER)).astype(np.int64)] = hashes
+                at = at[new][first]
                 begin, n = words.start[at], words.ends(level)[at] - words.start[at]
                 ends = np.concatenate([[0], np.cumsum(n)])
                 text = words.bytes[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
