@@ -33,7 +33,7 @@ FREQUENT = 512
 #: Weight of the second word's share, in bigrams.
 SMOOTHING = 16.0
 #: Bigrams that one group counts and answers.
-PART_BIGRAMS = 4_000_000
+PART_BIGRAMS = 1_000_000
 #: A word with more occurrences than this share of a part is hot.
 HOT_SHARE = 8
 #: What stands for the start of a text, and for words outside a vocabulary that the caller limits.
