@@ -12,8 +12,8 @@ from tarmac import constants as C
 from tarmac import schemas
 from tarmac.functions import masking, numeric, temporal, text
 from tarmac.operators import aggregates, dedup, filters, joins
-from tarmac.operators.heavy import narrowed
-from tarmac.operators.skew import group_mean
+from tarmac.operators.heavy import narrowed, stored_with_sketches
+from tarmac.operators.skew import group_mean, left_join_many
 from tarmac.plans import audit, clean, extended, kpis, refresh, report
 from tarmac.roles import PAYMENT_ORDER, TABLE_SCHEMAS, TEST_SALT, Roles
 from tarmac.session import fresh_folder, stored
@@ -273,8 +273,9 @@ def _(r):
 @query("fill_null_constants")
 def _(r):
     people = r.raw_passengers.select("passenger_id", "age")
-    bookings = r.raw_bookings.select("passenger_id", "booking_id", "emergency_contact_name")
-    joined = people.join(bookings, "passenger_id", "left")
+    booked = r.raw_bookings.select("passenger_id", "booking_id", "emergency_contact_name")
+    bookings = stored_with_sketches(booked, "contacts", ["passenger_id"])
+    joined = left_join_many(people, bookings, "passenger_id", "booking_id", r.rows_per_task)
     return filters.fill_constants(joined, {"age": 0, "booking_id": -1, "emergency_contact_name": "Unknown"})
 
 
@@ -568,7 +569,10 @@ def _(r):
 
 
 def _master(r: Roles) -> DataFrame:
-    return joins.master(r.stored_bookings, r.flights, r.stored_payments, r.passengers_masked, r.rows_per_task)
+    unique = r.variant == "script"
+    return joins.master(
+        r.stored_bookings, r.flights, r.stored_payments, r.passengers_masked, r.rows_per_task, unique
+    )
 
 
 @query("master_4way")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tarmac import constants as C
 from tarmac.operators.heavy import narrowed
-from tarmac.operators.skew import join_one, left_join_many
+from tarmac.operators.skew import join_many_to_many, join_one, left_join_many
 
 # Customer columns carried into joined tables, as far as the table has them.
 PASSENGER_COLUMNS = [
@@ -27,9 +27,19 @@ def bookings_with_flight(
     return join_one(bookings, flights, "flight_id", "booking_id", rows_per_task=rows_per_task)
 
 
-def with_payments(lines: DataFrame, payments: DataFrame, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:
-    """One row per booking and payment; bookings without payment stay, with nulls."""
-    return left_join_many(lines, payments, "booking_id", "payment_id", rows_per_task)
+def with_payments(
+    lines: DataFrame,
+    payments: DataFrame,
+    rows_per_task: int = C.ROWS_PER_TASK,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """One row per booking and payment; bookings without payment stay, with nulls.
+
+    Where booking ids may repeat, `sizes` is the stored table that tells how often: both sides of an id are split then.
+    """
+    if sizes is None:
+        return left_join_many(lines, payments, "booking_id", "payment_id", rows_per_task)
+    return join_many_to_many(lines, payments, "booking_id", "payment_id", sizes, rows_per_task=rows_per_task)
 
 
 def with_passenger(
@@ -57,15 +67,17 @@ def master(
     payments: DataFrame,
     passengers: DataFrame,
     rows_per_task: int = C.ROWS_PER_TASK,
+    unique: bool = True,
 ) -> DataFrame:
     """Bookings with flight, payments and customer in one wide table.
 
     Flights and customers are joined while there is still one row per booking; payments, which
     multiply rows, come last. The columns are put in the order booking, flight, payment, customer.
+    Booking ids and customers may repeat if `unique` is false; bookings and payments with one id are then split on both sides.
     """
     flown = bookings_with_flight(bookings, flights, rows_per_task)
     one_each = with_passenger(flown, passengers, sizes=bookings, rows_per_task=rows_per_task)
-    wide = with_payments(one_each, payments, rows_per_task)
+    wide = with_payments(one_each, payments, rows_per_task, None if unique else bookings)
     flight_columns = [c for c in flights.columns if c != "flight_id"]
     payment_columns = [c for c in payments.columns if c != "booking_id"]
     front = bookings.columns + flight_columns + payment_columns

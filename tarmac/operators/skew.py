@@ -56,6 +56,66 @@ def left_join_many(
     )
 
 
+def join_many_to_many(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: str,
+    left_sizes: DataFrame,
+    how: str = "left",
+    rows_per_task: int = C.ROWS_PER_TASK,
+) -> DataFrame:
+    """Join (left or inner) of tables that may both hold many rows under one key.
+
+    The pairs of a frequent key form a grid: left rows are put into one of its rows by a hash of all their columns and
+    repeated in every column, right rows into one of its columns by a hash of `spread_by` and repeated in every row. So each
+    pair meets in one cell. A cell reads at most about `rows_per_task` rows of either side and gives at most about
+    as many; among such grids this one repeats least. Keys that no sketch names have a grid of one cell.
+
+    `left_sizes` is a stored table with the key and no fewer rows per key than the left one. Left rows that are equal in
+    all columns share a row of the grid. Null keys match nothing; left rows with one are kept by a left join.
+    """
+    grid = _grid(frequent(left_sizes, key), frequent(right, key), key, rows_per_task)
+    row, column = F.coalesce("_rows", F.lit(1)), F.coalesce("_columns", F.lit(1))
+    unmatched = F.pmod(F.xxhash64(*left.columns), F.lit(1024)).cast("int")
+    own_row = F.pmod(F.xxhash64(*left.columns), row).cast("int")
+    own_column = F.pmod(F.xxhash64(spread_by), column).cast("int")
+    lefts = (
+        left.join(grid, key, "left")
+        .withColumn("_row", F.when(F.col(key).isNull(), unmatched).otherwise(own_row))
+        .withColumn("_column", F.explode(F.sequence(F.lit(0), column - 1)))
+        .withColumn("_cut", column > 1)
+        .drop("_rows", "_columns")
+    )
+    rights = (
+        right.join(grid, key, "left")
+        .withColumn("_column", own_column)
+        .withColumn("_row", F.explode(F.sequence(F.lit(0), row - 1)))
+        .withColumn("_matched", F.lit(True))
+        .drop("_rows", "_columns")
+    )
+    joined = lefts.join(rights, [key, "_row", "_column"], how)
+    # A key has several columns only where the right side's sketch met it, so its left rows match in another cell.
+    return joined.filter(~F.col("_cut") | F.col("_matched")).select(*_joined_columns(left, right, key))
+
+
+def _grid(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """Rows and columns of the grid of each key that needs more than one cell."""
+    both = (
+        left.filter(F.col(key).isNotNull())
+        .withColumnRenamed("_rows", "_l")
+        .join(right.filter(F.col(key).isNotNull()).withColumnRenamed("_rows", "_r"), key, "full")
+        .select(key, F.coalesce("_l", F.lit(1)).cast("double").alias("_l"), F.coalesce("_r", F.lit(1)).cast("double").alias("_r"))
+    )
+    cells = F.ceil(F.col("_l") * F.col("_r") / rows_per_task)
+    evenly = F.ceil(F.sqrt(cells * F.col("_l") / F.col("_r")))
+    rows = F.greatest(F.ceil(F.col("_l") / rows_per_task), F.least(cells, F.col("_l").cast("bigint"), evenly))
+    sized = both.withColumn("_rows", rows.cast("int"))
+    columns = F.greatest(F.ceil(F.col("_r") / rows_per_task), F.ceil(cells / F.col("_rows")))
+    sized = sized.withColumn("_columns", columns.cast("int"))
+    return sized.filter((F.col("_rows") > 1) | (F.col("_columns") > 1)).select(key, "_rows", "_columns")
+
+
 def join_one(
     left: DataFrame,
     right: DataFrame,

@@ -68,17 +68,27 @@ def booking_facts(
     return paid.withColumn("line_rows", F.coalesce("paid_rows", F.lit(1)))
 
 
-def booking_lines(bookings: DataFrame, payments: DataFrame, keep: list[str], also: tuple[str, ...] = ()) -> DataFrame:
+def booking_lines(
+    bookings: DataFrame,
+    payments: DataFrame,
+    keep: list[str],
+    also: tuple[str, ...] = (),
+    rows_per_task: int = C.ROWS_PER_TASK,
+) -> DataFrame:
     """Bookings with what was paid; `line_rows` is the number of rows a plain left join would give.
 
-    Given stored facts instead of bookings, nothing is joined unless lines are wanted by payment method.
+    Given stored facts instead of bookings, nothing is joined unless lines are wanted by payment method. Bookings that
+    know the sketch of their ids are split by it, as ids may repeat; sums have one row per id and method.
     """
     if "line_rows" in bookings.columns and not also:
         return bookings.select("booking_id", *keep, "paid_rows", "paid", "line_rows")
     sums = payments_per_booking(payments, also)
-    return bookings.select("booking_id", *keep).join(sums, "booking_id", "left").withColumn(
-        "line_rows", F.coalesce("paid_rows", F.lit(1))
-    )
+    own = bookings.select("booking_id", *keep)
+    if "booking_id" in getattr(bookings, "heavy_keys_at", {}):
+        paid = join_one(own, sums, "booking_id", "", bookings, rows_per_task=rows_per_task)
+    else:
+        paid = own.join(sums, "booking_id", "left")
+    return paid.withColumn("line_rows", F.coalesce("paid_rows", F.lit(1)))
 
 
 def with_flight_and_passenger(

@@ -81,6 +81,7 @@ def clean_tables(
         out["cleaned_payments"],
         out["cleaned_passengers_masked"],
         rows_per_task,
+        variant == "script",
     )
     if variant == "notebook":
         wide = wide.drop("payment_id")
@@ -96,7 +97,7 @@ def stored_facts(
     bookings = narrowed(tables["cleaned_bookings_masked"], "booking_id", *keys, "status")
     payments = stored(facts.payment_facts(tables["cleaned_payments"]), "payment-facts")
     paid = facts.booking_facts(bookings, payments, variant == "script", rows_per_task)
-    return stored_with_sketches(paid, "facts", keys), payments
+    return stored_with_sketches(paid, "facts", keys if variant == "script" else ["booking_id", *keys]), payments
 
 
 def kpi_tables(

@@ -199,7 +199,7 @@ class Roles:
             paid = booking_facts(bookings, self.payments)
         else:
             paid = booking_facts(self.booking_keys, self.payments, False, self.rows_per_task)
-        return stored_with_sketches(paid, "facts", BOOKING_KEYS[1:])
+        return stored_with_sketches(paid, "facts", BOOKING_KEYS[1:] if self.variant == "script" else BOOKING_KEYS)
 
     @cached_property
     def passengers(self) -> DataFrame:
