@@ -17,7 +17,7 @@ from tarmac.operators.skew import group_mean, left_join_many
 from tarmac.plans import audit, clean, extended, kpis, refresh, report
 from tarmac.roles import PAYMENT_ORDER, TABLE_SCHEMAS, TEST_SALT, Roles
 from tarmac.session import fresh_folder, stored
-from tarmac.sources import readers, writers
+from tarmac.sources import readers, sorted_files, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -818,6 +818,33 @@ def _(r):
     return r.table("orders").select(*columns).orderBy(*columns)
 
 
+#: Sort orders of the stored tables, by name.
+ORDERS: dict[str, sorted_files.Order] = {
+    "single": [("o_totalprice", True), ("o_orderkey", False)],
+    "multi": [("o_orderstatus", False), ("o_orderpriority", False), ("o_orderkey", False)],
+}
+
+
+def _sorted_orders(r: Roles, name: str) -> str:
+    path = fresh_folder(r.spark, f"sorted-{name}")
+    columns = dict.fromkeys(["o_orderkey", *[c for c, _ in ORDERS[name]]])
+    sorted_files.write_sorted(r.table("orders").select(*columns), path, ORDERS[name])
+    return path
+
+
+query("sort_stored")(lambda r: sorted_files.positions(r.spark, _sorted_orders(r, "single")))
+query("sort_stored_multi")(lambda r: sorted_files.positions(r.spark, _sorted_orders(r, "multi")))
+
+
+@query("sort_order_report")
+def _(r):
+    reports = [
+        sorted_files.order_report(r.spark, _sorted_orders(r, name), order).select(F.lit(name).alias("sorted_by"), "*")
+        for name, order in ORDERS.items()
+    ]
+    return readers._union(reports)
+
+
 @query("topk")
 def _(r):
     return r.table("orders").select(*ORDER_COLUMNS).orderBy(F.desc("o_totalprice"), "o_orderkey").limit(15)

@@ -29,10 +29,13 @@ def _plain(value):
     return value
 
 
-def _rows(columns: list[str], rows) -> list[tuple]:
+def _in_order(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
-    return sorted(plain, key=lambda row: tuple((v is None, str(v)) for v in row))
+    return [tuple(_plain(row[i]) for i in order) for row in rows]
+
+
+def _rows(columns: list[str], rows) -> list[tuple]:
+    return sorted(_in_order(columns, rows), key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
 def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str, name: str) -> list[str]:
@@ -47,3 +50,17 @@ def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str
     if len(found) != len(wanted):
         return [f"{len(found)} rows instead of {len(wanted)}"]
     return [f"{a} instead of {b}" for a, b in zip(found, wanted) if a != b][:5]
+
+
+def first_out_of_order(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str, name: str, sql: str | None = None):
+    """The first place at which the rows of two results differ, in the order they come; None when there is none.
+
+    `sql` takes the place of the query's SQL where that one states no order.
+    """
+    df = QUERIES[name](spark, folder)
+    found = _in_order(df.columns, df.collect())
+    result = con.execute(sql or ORACLE_SQL[name])
+    wanted = _in_order([d[0] for d in result.description], result.fetchall())
+    if len(found) != len(wanted):
+        return min(len(found), len(wanted))
+    return next((i for i, (a, b) in enumerate(zip(found, wanted)) if a != b), None)

@@ -895,5 +895,19 @@ script(
 
 plain("sort_single", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
 plain("sort_multi", "SELECT o_orderstatus, o_orderpriority, o_orderkey FROM orders ORDER BY 1, 2, 3")
+plain("sort_stored", "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders")
+plain(
+    "sort_stored_multi",
+    "SELECT o_orderkey, o_orderstatus, o_orderpriority,"
+    " row_number() OVER (ORDER BY o_orderstatus, o_orderpriority, o_orderkey) AS position FROM orders",
+)
+plain(
+    "sort_order_report",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS sorted_by, count(*) AS row_count, 0::BIGINT AS rows_out_of_order, 0::BIGINT AS files_out_of_order,"
+        " 0::BIGINT AS changed_files FROM orders"
+        for name in ("single", "multi")
+    ),
+)
 plain("topk", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 15")
 script("bottom_up_order", f"{NB_ROUTE} ORDER BY avg_duration_mins DESC, route LIMIT 15")

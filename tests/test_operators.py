@@ -194,6 +194,52 @@ def test_profile(spark, approximate):
     ]
 
 
+def shuffled_bytes(df):
+    """Bytes that the exchanges of a plan without adaptive execution have written."""
+    plan = df._jdf.queryExecution().executedPlan()
+    total, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        metric = node.metrics().get("shuffleBytesWritten")
+        total += metric.get().value() if metric.isDefined() else 0
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_profile_shuffles_no_text(spark, folder):
+    df = spark.read.parquet(f"{folder}/lineitem.parquet")
+    text = df.select("l_orderkey", F.concat(F.lit("long text " * 20), F.sha2(F.col("l_partkey").cast("string"), 256)).alias("t"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        profiled = aggregates.profile(text, "l_orderkey")
+        found = rows(profiled)
+        # What travels when each column's values are counted as text.
+        as_text = text.selectExpr("l_orderkey", "cast(l_orderkey AS string) AS l_orderkey_text", "t").unpivot(
+            "l_orderkey", ["l_orderkey_text", "t"], "column_name", "value"
+        )
+        counted = as_text.groupBy("column_name", "value").agg(F.count(F.lit(1)), F.min("l_orderkey"))
+        counted.collect()
+        assert 0 < shuffled_bytes(profiled) < shuffled_bytes(counted) / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r[4] for r in found] == [df.select("l_orderkey").distinct().count(), df.select("l_partkey").distinct().count()]
+
+
+def test_profile_of_odd_columns(spark):
+    schema = "id int, `a.b` string, `c ``d` double, n decimal(30,3), t timestamp_ntz, l array<int>, b boolean"
+    df = spark.createDataFrame(
+        [(2, "x", -0.0, None, None, [1], True), (1, None, 0.0, None, None, [1, 2], None), (1, "y" * 100_000, float("nan"), None, None, [1], False)],
+        schema,
+    )
+    found = {r["column_name"]: (r["null_count"], r["unique_count"], r["sample"]) for r in aggregates.profile(df, "id").collect()}
+    assert found["id"] == (0, 2, "1") and found["a.b"] == (1, 2, "y" * 100_000)
+    assert found["c `d"] == (1, 1, "0.0") and found["n"] == found["t"] == (3, 0, "N/A")
+    assert found["l"][:2] == (0, 2) and found["b"] == (1, 2, "false")
+    empty = aggregates.profile(df.limit(0), "id").collect()
+    assert [r["column_name"] for r in empty] == df.columns
+    assert {(r["null_count"], r["null_pct"], r["unique_count"], r["sample"]) for r in empty} == {(0, None, 0, "N/A")}
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("limit", [1, 5, 10**9])
 def test_join_one_with_hot_keys(spark, how, limit):
