@@ -14,7 +14,7 @@ from tarmac.functions import masking, numeric, temporal, text
 from tarmac.operators import aggregates, dedup, filters, joins
 from tarmac.operators.heavy import narrowed, stored_with_sketches
 from tarmac.operators.skew import group_mean, left_join_many
-from tarmac.plans import audit, clean, extended, kpis, refresh, report
+from tarmac.plans import audit, clean, extended, kpis, members, refresh, report
 from tarmac.roles import PAYMENT_ORDER, TABLE_SCHEMAS, TEST_SALT, Roles
 from tarmac.session import fresh_folder, stored
 from tarmac.sources import readers, sorted_files, writers
@@ -750,6 +750,30 @@ query("measures_by_payment_method")(_measures(["total_revenue", "total_bookings"
 query("measures_by_age_group")(_measures(["unique_passengers", "spend_per_passenger"], "age_group"))
 
 
+#: Report columns that distinct counts are stored for.
+COUNTED_BY = ["airline", "route", "status", "age_group", "gender"]
+
+
+def _member_sets(r: Roles, by: list[str]) -> DataFrame:
+    return members.member_sets(r.facts, r.timed, r.payments, r.passengers, by, r.rows_per_task)
+
+
+@query("distinct_from_sets")
+def _(r):
+    sets = _member_sets(r, COUNTED_BY)
+    each = [members.distinct_counts(sets, c).select(F.lit(c).alias("by"), "value", *members.COUNTED) for c in COUNTED_BY]
+    all_lines = F.lit(members.EVERYTHING)
+    whole = members.distinct_counts(sets).select(all_lines.alias("by"), all_lines.alias("value"), *members.COUNTED)
+    return readers._union([*each, whole])
+
+
+@query("measures_from_sets")
+def _(r):
+    names = ["total_flights", "total_bookings", "total_revenue", "unique_passengers", "spend_per_passenger"]
+    sets = _member_sets(r, ["airline"])
+    return members.measures(sets, r.facts, r.timed, r.payments, r.passengers, names, "airline", r.rows_per_task)
+
+
 SLICED = ["total_flights", "total_bookings", "total_revenue", "delayed_flights", "unique_passengers"]
 #: Slicer settings by name: columns of all four tables, alone and together.
 SLICERS: dict[str, report.Slicers] = {

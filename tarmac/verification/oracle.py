@@ -825,6 +825,27 @@ script(
     "measures_by_age_group",
     _measures(["unique_passengers", "spend_per_passenger"], "age_group", "coalesce(age_group, 'Unknown')"),
 )
+_DISTINCT = ["total_flights", "unique_passengers"]
+_VALUE_SQL = {
+    "airline": REPORT_AIRLINE,
+    "route": "coalesce(route, 'Unknown')",
+    "status": REPORT_STATUS,
+    "age_group": "coalesce(age_group, 'Unknown')",
+    "gender": "coalesce(gender, 'Unknown')",
+}
+script(
+    "distinct_from_sets",
+    " UNION ALL ".join(
+        [f"SELECT '{c}' AS \"by\", * FROM ({_measures(_DISTINCT, 'value', sql)})" for c, sql in _VALUE_SQL.items()]
+        + [f"SELECT 'everything' AS \"by\", 'everything' AS value, * FROM ({_measures(_DISTINCT)})"]
+    ),
+)
+script(
+    "measures_from_sets",
+    _measures(
+        ["total_flights", "total_bookings", "total_revenue", "unique_passengers", "spend_per_passenger"], "airline", REPORT_AIRLINE
+    ),
+)
 SLICED_ROWS = {
     "route": "route IN ('VIEW to CLICK', 'CLICK to VIEW')",
     "status": "status = 'CONFIRMED'",
