@@ -9,11 +9,12 @@ alphabet whatever the corpus; log ratios are rounded to thousandths, so the sum
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import before_chunks, chunk_totals, empty_for_null, indexes, total_before, with_value
+from tarmac.llm.common import CHUNK, before_chunks, chunk_totals, empty_for_null, indexes, total_before, with_value
 
 #: Fixed patterns by kind, in the order in which kinds are listed.
 ASSIGN = (
@@ -77,31 +78,56 @@ def with_spans(rows: DataFrame, body: str, patterns: list[tuple[int, str, str]],
     return rows.select(*columns, name)
 
 
-def _runs(spans: Column) -> Column:
-    """Spans sorted by start, joined to (start, end) pairs that neither overlap nor touch."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+def with_runs(rows: DataFrame, spans: str, name: str) -> DataFrame:
+    """Spans, sorted by start, joined to (start, end) pairs that neither overlap nor touch, as column `name`.
 
-    def add(runs: Column, s: Column) -> Column:
-        last = F.get(runs, F.size(runs) - 1)
-        own = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        head = F.slice(runs, F.lit(1), F.greatest(F.size(runs) - 1, F.lit(0)))
-        joins = F.coalesce(s["start"] <= last["end"], F.lit(False))
-        return F.when(joins, F.concat(head, F.array(longer))).otherwise(F.concat(runs, F.array(own)))
+    A run begins where a span starts behind all ends ahead of it; the greatest end ahead comes from chunks.
+    """
+    columns, ends, tops, before, begins = rows.columns, F.col("_ends"), F.col("_tops"), F.col("_before"), F.col("_begins")
+    n = F.size(spans)
+
+    def ahead(i: Column) -> Column:
+        chunk = F.floor(i / CHUNK).cast("int")
+        return F.greatest(F.get(before, chunk), F.array_max(F.slice(ends, chunk * CHUNK + 1, i % CHUNK)))
+
+    def begins_run(i: Column) -> Column:
+        return F.coalesce(F.get(F.col(spans), i)["start"] > ahead(i), F.lit(True))
+
+    def run(j: Column) -> Column:
+        end = F.coalesce(ahead(F.get(begins, j + 1)), F.array_max(ends))
+        return F.struct(F.get(F.col(spans), F.get(begins, j))["start"].alias("start"), end.alias("end"))
 
-    return F.aggregate(spans, none, add)
+    chunks = indexes(F.ceil(n / CHUNK))
+    rows = with_value(rows, "_ends", F.transform(spans, lambda s: s["end"]))
+    rows = with_value(rows, "_tops", F.transform(chunks, lambda c: F.array_max(F.slice(ends, c * CHUNK + 1, F.lit(CHUNK)))))
+    up_to = F.transform(indexes(F.size(tops)), lambda c: F.array_max(F.slice(tops, F.lit(1), c)))
+    rows = with_value(rows, "_before", up_to)
+    rows = with_value(rows, "_begins", F.filter(indexes(n), begins_run))
+    return with_value(rows, name, F.transform(indexes(F.size(begins)), run)).select(*columns, name)
 
 
 def with_masked(rows: DataFrame, body: str, spans: str, mask: str, name: str) -> DataFrame:
-    """The text with the union of the spans replaced, as column `name`."""
-    runs = F.col("runs")
+    """The text with the union of the spans replaced, as column `name`.
+
+    The parts between are cut in two steps, as finding a place in a text takes as long as the text ahead of it.
+    """
+    runs, text = F.col("_runs"), F.col(body)
     begin = lambda i: F.coalesce(F.get(runs, i - 1)["end"], F.lit(0)).cast("int")
     end = lambda i: F.coalesce(F.get(runs, i)["start"].cast("int"), F.length(body))
-    between = F.transform(
-        indexes(F.size(runs) + 1), lambda i: F.substring(F.col(body), begin(i) + 1, end(i) - begin(i))
-    )
-    whole = F.when(F.size(runs) == 0, F.col(body)).otherwise(F.array_join(between, mask))
-    return with_value(with_value(rows, "runs", _runs(F.col(spans))), name, whole).drop("runs")
+    parts = F.size(runs) + 1
+
+    def piece(g: Column) -> Column:
+        first, stop = g * CHUNK, F.least((g + 1) * CHUNK, parts)
+        cut = F.substring(text, begin(first) + 1, end(stop - 1) - begin(first))
+        return F.struct(first.alias("first"), stop.alias("stop"), begin(first).alias("at"), cut.alias("text"))
+
+    def cuts(x: Column) -> Column:
+        places = F.sequence(x["first"], x["stop"] - 1)
+        return F.transform(places, lambda i: F.substring(x["text"], begin(i) - x["at"] + 1, end(i) - begin(i)))
+
+    between = F.flatten(F.transform(F.transform(indexes(F.ceil(parts / CHUNK)), piece), cuts))
+    whole = F.when(F.size(runs) == 0, text).otherwise(F.array_join(between, mask))
+    return with_value(with_runs(rows, spans, "_runs"), name, whole).drop("_runs")
 
 
 def labelled_samples(rows: DataFrame) -> DataFrame:
@@ -158,9 +184,30 @@ def _rows(docs: DataFrame, text_col: str) -> DataFrame:
     return with_spans(rows, "body", [(i, *p) for i, p in enumerate(PATTERNS)], "base")
 
 
-def _outside(span: Column, runs: Column) -> Column:
-    """What is left of a span without the runs, in parts that are long enough to be judged."""
-    inside = F.filter(runs, lambda r: (r["start"] < span["end"]) & (span["start"] < r["end"]))
+def _first(n: Column, test: Callable[[Column], Column]) -> Column:
+    """The least of 0 to n - 1 that passes a test which all after it pass as well; n if none does."""
+    halve = lambda acc: F.shiftright(acc["lo"] + acc["hi"], 1)
+
+    def step(acc: Column, _: Column) -> Column:
+        mid, open_ = halve(acc), acc["lo"] < acc["hi"]
+        passed = open_ & F.coalesce(test(mid), F.lit(True))
+        lo = F.when(open_ & ~passed, mid + 1).otherwise(acc["lo"])
+        return F.struct(lo.alias("lo"), F.when(passed, mid).otherwise(acc["hi"]).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), step, lambda acc: acc["lo"])
+
+
+def _inside(span: Column, runs: Column) -> Column:
+    """The runs that share a place with a span, found by halving: runs are sorted and apart."""
+    first = _first(F.size(runs), lambda i: F.get(runs, i)["end"] > span["start"])
+    stop = _first(F.size(runs), lambda i: F.get(runs, i)["start"] >= span["end"])
+    found = F.slice(runs, first + 1, F.greatest(stop - first, F.lit(0)))
+    return F.when(F.size(runs) == 0, runs).otherwise(found)
+
+
+def _outside(span: Column, inside: Column) -> Column:
+    """What is left of a span without the runs inside it, in parts that are long enough to be judged."""
     starts = F.concat(F.array(span["start"]), F.transform(inside, lambda r: r["end"]))
     ends = F.concat(F.transform(inside, lambda r: r["start"]), F.array(span["end"]))
 
@@ -186,9 +233,10 @@ def find_secrets(
     if model is None:
         model = train(labelled_samples(rows))
     judged = with_spans(rows, "body", [(len(PATTERNS), "markov", CANDIDATE)], "long")
-    base = F.col("base")
-    judged = with_value(judged, "base_runs", _runs(base))
-    free = F.flatten(F.transform("long", lambda s: _outside(s, F.col("base_runs"))))
+    base, runs = F.col("base"), F.col("base_runs")
+    judged = with_runs(judged, "base", "base_runs")
+    placed = F.transform("long", lambda s: F.struct(s.alias("span"), _inside(s, runs).alias("inside")))
+    free = F.flatten(F.transform(placed, lambda x: _outside(x["span"], x["inside"])))
     coded = F.transform(free, lambda s: F.struct(s.alias("span"), _codes(s["value"]).alias("codes")))
     judged = with_value(judged, "coded", coded)
     found = F.filter("coded", lambda x: log_ratio(x["codes"], model) >= min_ratio)

@@ -135,3 +135,33 @@ def test_quality_counts_and_limits(spark):
     assert got[904][2] == 1 and got[905][4] and got[906][5]
     assert all(got[i][5] for i in range(250))
     assert quality_rules(docs.limit(0)).count() == 0
+
+
+def test_runs_of_spans(spark):
+    """Runs over several chunks against plain Python: nested, touching and equal spans, none at all."""
+    rng = random.Random(5)
+    made = [[], [(0, 3)], [(0, 900), *[(i, i + 1) for i in range(1, 800)], (900, 901), (903, 905)]]
+    for n, width in ((300, 3), (700, 40), (1100, 1)):
+        made.append(sorted((s, s + rng.randint(1, width)) for s in (rng.randrange(4 * n) for _ in range(n))))
+    df = spark.createDataFrame(list(enumerate(made)), "id int, spans array<struct<start:bigint,end:bigint>>")
+    found = {r["id"]: [tuple(x) for x in r["runs"]] for r in secrets.with_runs(df, "spans", "runs").collect()}
+    for i, spans in enumerate(made):
+        wanted = []
+        for start, end in spans:
+            if wanted and start <= wanted[-1][1]:
+                wanted[-1] = (wanted[-1][0], max(end, wanted[-1][1]))
+            else:
+                wanted.append((start, end))
+        assert found[i] == wanted, i
+
+
+def test_very_many_secrets_in_one_text(spark):
+    """Ten thousand findings with a judged string in each gap; the text has wide characters."""
+    text = " ".join(f"é token=secret{i:05d} {'q' * 20}{'0f' * 12}{'Z' * 18}" for i in range(5000))
+    model = [1000] * secrets.STATES**2
+    docs = table(spark, [(1, text)])
+    row = secrets.find_secrets(docs, model=model).first()
+    assert len(row["base"]) == 10_000 and len(row["spans"]) == 20_000
+    assert all(text[s["start"]:s["end"]].endswith(s["value"]) for s in row["spans"])
+    clean = secrets.redact(docs, model=model).first()["text"]
+    assert clean == " ".join(["é <secret> <secret>"] * 5000)
