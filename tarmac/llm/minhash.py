@@ -7,9 +7,22 @@ bucket in an order of its own, the same for all documents. Bands of five registe
 registers (agreements less those expected by chance), then by their full sets.
 
 A bucket of many documents never becomes all its pairs. First each document is held against the
-smallest document it meets in any band. What is linked then needs no further pair; only buckets that still hold
-several components go on, small ones by their pairs. In a large one, the members outside its largest component are
-held against the others, some at a time; the component is chosen once per bucket. As one less the similarity is a distance, two members whose
+smallest document it meets in any band. What is linked then needs no further pair. Documents in buckets that still
+hold several components are put into clusters, each with the most similar smallest document of its buckets. A cluster
+is settled by the consensus of its sets, the shingles that over half of the members hold: a member X lacks
+m of the c consensus shingles and adds d others, and a pair is a link exactly if
+`180 * shared >= cost(X) + cost(Y) - 20 * c`, with cost = 100 * m + 80 * d and `shared` the lacking and added
+shingles that both have in common. So
+
+* members whose cost and the least cost are within 20 * c are linked with the member of least cost, unseen;
+* a pair without a common added shingle shares at most the smaller m: whether that could do is decided once per two
+  classes of equal (m, d), and only members of classes that could meet;
+* any other link has enough added shingles in common that one is among the rarest of both (a prefix filter).
+
+That costs no pair per two members of a group of near copies, however large, unless their lengths or additions bring them together.
+Buckets whose members are in several clusters then go on, small ones by their pairs across clusters. In a large one,
+the members outside its largest component are held against those of other clusters, some at a time; the component is chosen
+once per bucket. As one less the similarity is a distance, two members whose
 distances to the bucket's smallest member differ by more than a link allows need not meet; the estimates get a
 margin for their error. So no link between components is lost.
 """
@@ -37,6 +50,8 @@ LINK = 80
 #: Pairs whose estimate is below are not verified. Registers of a linked pair agree in 80 % with a
 #: standard deviation of at most 4 %, so this is six of them away.
 LEAST_ESTIMATE = 0.55
+#: Documents join the cluster of another from this estimate on. Where clusters end has no influence on the links.
+CLUSTER_ESTIMATE = 0.2
 #: Buckets up to this size are settled by their pairs.
 SMALL_BUCKET = 8
 #: Members whose estimated similarities to a third differ by more can't be linked: 0.2 and twice four deviations.
@@ -199,30 +214,113 @@ def _bands(sketches: DataFrame) -> DataFrame:
     return sketches.select("id", F.explode(each).alias("key"))
 
 
-def _settled(members: DataFrame, labels: DataFrame, verifier: _Verifier, small: int) -> DataFrame:
-    """Labels after all buckets (key, id, size, hub) hold one component each or had all their pairs judged."""
+def _clusters(nodes: DataFrame, rays: DataFrame) -> DataFrame:
+    """Clusters (node, cluster): each node goes to the most similar of the smaller nodes it was held against."""
+    best = F.max_by("hub", F.struct("estimate", "hub")).alias("a")
+    parents = rays.filter(F.col("estimate") >= CLUSTER_ESTIMATE).groupBy(F.col("id").alias("b")).agg(best)
+    start = nodes.select("node", F.col("node").alias("label"))
+    return merge_components(start, stored(parents, "parents")).withColumnRenamed("label", "cluster")
+
+
+def _coded(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members by their difference from the consensus of their cluster: `m`, `d`, `cost`, what `least` other cost
+    settles them with the member `centre`, and `added`, the rarest added shingles by which links must meet."""
+    of = clusters.withColumnRenamed("node", "id")
+    members = of.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    each = of.join(sets, "id").select("cluster", "id", F.explode("shingles").alias("x"))
+    counts = each.groupBy("cluster", "x").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts.join(members, "cluster").withColumn("core", F.col("n") * 2 > F.col("members")), "consensus")
+    core = counts.filter("core").groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
+    # Consensus shingles are few and held by nearly all, so they are counted before the others are listed.
+    flagged = each.join(counts.select("cluster", "x", "n", "core"), ["cluster", "x"])
+    own = flagged.groupBy("cluster", "id").agg(
+        F.count_if("core").alias("held"),
+        F.array_sort(F.collect_list(F.when(~F.col("core"), F.struct("n", "x")))).alias("all_added"),
+    )
+    own = own.join(core, "cluster", "left").withColumns({"c": F.coalesce("c", F.lit(0)), "d": F.size("all_added")})
+    own = own.withColumn("m", F.col("c") - F.col("held"))
+    own = stored(own.withColumn("cost", F.col("m") * 100 + F.col("d") * 80).drop("held"), "differences")
+    ends = own.groupBy("cluster").agg(
+        F.min(F.struct("cost", "id")).alias("centre"), F.max(F.col("m") - F.col("d")).alias("shortest")
+    )
+    own = own.join(ends, "cluster").withColumn("sure", F.col("cost") + F.col("centre.cost") <= F.col("c") * 20)
+    # Common additions that a link needs at least, with any partner.
+    needed = F.greatest(F.lit(1), F.ceil((F.col("cost") - F.col("c") * 20 - F.col("shortest") * 80) / 180))
+    first = F.greatest(F.lit(0), F.col("d") - needed + 1).cast("int")
+    added = F.transform(F.filter(F.slice("all_added", F.lit(1), first), lambda e: e["n"] > 1), lambda e: e["x"])
+    columns = ["cluster", "id", "c", "m", "d", "cost", "sure", F.col("centre.id").alias("centre"), added.alias("added")]
+    return stored(own.select(*columns), "coded")
+
+
+def _across(a: DataFrame, b: DataFrame, on: list[str], could) -> DataFrame:
+    """Pairs (a, b) of the unsettled members of `a` with other members of `b`, each pair from one of its sides."""
+    names = ["id", "c", "m", "d", "cost", "sure", "label"]
+    side = lambda t, n: t.select(*on, *[F.col(c).alias(f"{c}_{n}") for c in names])
+    both = side(a.filter("NOT sure"), "a").join(side(b, "b"), on)
+    both = both.filter((F.col("label_a") != F.col("label_b")) & (F.col("sure_b") | (F.col("id_a") < F.col("id_b"))))
+    both = both.filter(could(*[F.least(f"{c}_a", f"{c}_b") for c in ("m", "d")]))
+    return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+
+
+def _within_clusters(clusters: DataFrame, labels: DataFrame, verifier: _Verifier) -> DataFrame:
+    """Labels after all links within clusters, by the members' differences from their cluster's consensus."""
+    known = clusters.join(labels, "node")
+    several = known.groupBy("cluster").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    several = stored(clusters.join(several.select("cluster"), "cluster").select("node", "cluster"), "clusters")
+    if several.isEmpty():
+        return labels
+    coded = _coded(several, verifier.sets)
+    sure = coded.filter("sure AND id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    labels = merge_components(labels, sure)
+    coded = stored(coded.join(labels.withColumnRenamed("node", "id"), "id"), "labelled")
+
+    excess = F.col("cost_a") + F.col("cost_b") - F.col("c_a") * 20
+    listed = coded.withColumn("x", F.explode("added"))
+    sharing = _across(listed, listed, ["cluster", "x"], lambda m, d: excess <= (m + d) * 180)
+
+    # Without a common addition only the lacking shingles count, so it depends on the classes of sizes alone.
+    classes = coded.groupBy("cluster", "c", "m", "d", "cost").agg(F.bool_and("sure").alias("sure"))
+    one = lambda n: [F.col(k).alias(f"{k}_{n}") for k in ("c", "m", "d", "cost", "sure")]
+    could = classes.filter("NOT sure").select("cluster", *one("a")).join(classes.select("cluster", *one("b")), "cluster")
+    could = could.filter(excess <= F.least("m_a", "m_b") * 180)
+    could = could.select("cluster", *[F.col(k) for k in ("m_a", "d_a", "m_b", "d_b")])
+    pick = lambda n: coded.select("cluster", *[F.col(k).alias(f"{k}_{n}") for k in ("m", "d", "id", "label", "sure")])
+    sized = could.join(pick("a"), ["cluster", "m_a", "d_a"]).join(pick("b"), ["cluster", "m_b", "d_b"])
+    sized = sized.filter((F.col("label_a") != F.col("label_b")) & (F.col("sure_b") | (F.col("id_a") < F.col("id_b"))))
+    sized = sized.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+    return merge_components(labels, verifier.links(sharing.union(sized).distinct()))
+
+
+def _settled(
+    members: DataFrame, labels: DataFrame, verifier: _Verifier, small: int, rays: DataFrame | None = None,
+    clusters: DataFrame | None = None,
+) -> DataFrame:
+    """Labels after all buckets (key, id, size, hub) hold one component or one cluster each or had all their pairs
+    across clusters judged. Without `clusters` each member is its own; `rays` are known estimates (hub, id, estimate)."""
+    own = F.col("id").alias("cluster")
+    clustered = members.select("*", own) if clusters is None else members.join(clusters.withColumnRenamed("node", "id"), "id")
 
     def mixed(of: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, with the bucket's largest component as `main`."""
         sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("of_label"))
         known = of.join(labels.withColumnRenamed("node", "id"), "id").join(sizes, "label")
         main = F.max(F.struct("of_label", "label"))["label"].alias("main")
-        several = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), main).filter("x <> y")
+        ends = [f(c).alias(n) for c, x, y in (("label", "x", "y"), ("cluster", "p", "q")) for f, n in ((F.min, x), (F.max, y))]
+        several = known.groupBy("key").agg(*ends, main).filter("x <> y AND p <> q")
         return stored(known.drop("of_label").join(several.select("key", "main"), "key"), "mixed")
 
-    open_ = mixed(members)
+    open_ = mixed(clustered)
     few = open_.filter(F.col("size") <= small)
-    a = few.select("key", F.col("id").alias("a"), F.col("label").alias("label_a"))
-    b = few.select("key", F.col("id").alias("b"), F.col("label").alias("label_b"))
-    pairs = a.join(b, "key").filter("a < b AND label_a <> label_b").select("a", "b").distinct()
-    labels = merge_components(labels, verifier.links(pairs))
+    side = lambda n: few.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("id", "label", "cluster")])
+    pairs = side("a").join(side("b"), "key").filter("id_a < id_b AND label_a <> label_b AND cluster_a <> cluster_b")
+    labels = merge_components(labels, verifier.links(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()))
 
     large = open_.filter(F.col("size") > small)
     if large.isEmpty():
         return labels
-    rays = large.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    near = stored(verifier.estimates(rays, -1.0).withColumnsRenamed({"a": "hub", "b": "id"}), "estimates")
-    large = large.drop("label", "main").join(near, ["hub", "id"], "left")
+    if rays is None:
+        rays = _rays(large, verifier)
+    large = large.drop("label", "main").join(rays, ["hub", "id"], "left")
     # A place in the bucket by hash: rounds take the members with places up to a bound, without sorting any.
     place = F.pmod(F.xxhash64("key", "id"), F.col("size"))
     large = stored(large.withColumns({"estimate": F.coalesce("estimate", F.lit(1.0)), "place": place}), "large")
@@ -238,16 +336,30 @@ def _settled(members: DataFrame, labels: DataFrame, verifier: _Verifier, small:
         hubs = open_.filter((F.col("label") != F.col("main")) & (F.col("place") >= done) & (F.col("place") < upto))
         if open_.isEmpty():
             return labels
-        columns = ["key", "id", "label", "estimate"]
-        a = hubs.select("key", *[F.col(c).alias(f"{c}_a") for c in columns[1:]])
-        b = open_.select("key", *[F.col(c).alias(f"{c}_b") for c in columns[1:]])
+        columns = ["id", "label", "cluster", "estimate"]
+        a = hubs.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+        b = open_.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
         apart = F.abs(F.col("estimate_a") - F.col("estimate_b")) > LARGEST_DIFFERENCE
-        star = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") != F.col("label_b")) & ~apart)
+        other = (F.col("label_a") != F.col("label_b")) & (F.col("cluster_a") != F.col("cluster_b"))
+        star = a.join(b, (a["key"] == b["key"]) & other & ~apart)
         star = star.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
         labels = merge_components(labels, verifier.links(star))
         done, upto = upto, upto * HUB_GROWTH
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components."""
+    known = members.join(labels.withColumnRenamed("node", "id"), "id")
+    several = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    return stored(members.join(several.select("key"), "key"), "open")
+
+
+def _rays(members: DataFrame, verifier: _Verifier) -> DataFrame:
+    """Estimates (hub, id, estimate) of members with the smallest member of each of their buckets."""
+    pairs = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    return stored(verifier.estimates(pairs, -1.0).withColumnsRenamed({"a": "hub", "b": "id"}), "estimates")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -286,7 +398,14 @@ def near_duplicates(
     nearest = members.filter("hub < id").groupBy("id").agg(F.min("hub").alias("a"))
     links = verifier.links(nearest.select("a", F.col("id").alias("b")))
     labels = merge_components(nodes.select("node", F.col("node").alias("label")), links)
-    labels = _settled(members, labels, verifier, small_bucket)
+    open_ = _open(members, labels)
+    rays = _rays(open_, verifier)
+    # An id with several texts has no difference of its own from a consensus; it stays a cluster by itself.
+    texts = one.groupBy("id").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("id")
+    alone = rays.join(texts, "id", "left_anti").join(texts.withColumnRenamed("id", "hub"), "hub", "left_anti")
+    clusters = _clusters(open_.select(F.col("id").alias("node")).distinct(), alone)
+    labels = _within_clusters(clusters, labels, verifier)
+    labels = _settled(open_, labels, verifier, small_bucket, rays, clusters)
 
     classes = able.join(same, marks).select("id", F.col("first").alias("class"))
     classes = classes.join(labels.withColumnsRenamed({"node": "class"}), "class", "left")

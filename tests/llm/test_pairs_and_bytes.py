@@ -44,6 +44,55 @@ def test_components_match_all_pairs(spark, width, small, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def near_group(n, seed):
+    """Copies of one text with so many changes each that hardly two of them are linked with one another."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    return list(enumerate(" ".join(changed(base, rng.choice([2, 4, 5, 6, 7]), rng)) for _ in range(n)))
+
+
+def test_judged_pairs_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    judged = []
+    plain = minhash._Verifier.estimates
+
+    def counting(self, pairs, least):
+        judged.append(pairs.count())
+        return plain(self, pairs, least)
+
+    monkeypatch.setattr(minhash._Verifier, "estimates", counting)
+    totals = []
+    for n in (150, 300):
+        docs = near_group(n, 7)
+        judged.clear()
+        out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.near_components(docs, 5)
+        totals.append(sum(judged))
+    assert totals[1] < 2.6 * totals[0] and totals[1] < 300 * 299 / 8
+
+
+def test_links_by_lacking_and_by_added_shingles(spark):
+    # Truncated copies lack the same shingles; a family with one long addition shares it; both far from the consensus.
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(changed(base, 2, rng)) for _ in range(12)]
+    texts += [" ".join(changed(base[:88], k, rng)) for k in (0, 1, 2, 3)]
+    texts += [" ".join(changed(base + [f"x{i}" for i in range(60)], k, rng)) for k in (0, 1, 2, 5)]
+    rng.shuffle(texts)
+    docs = list(enumerate(texts))
+    for width in (2, 5):
+        out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), width=width).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute.near_components(docs, width)
+
+
+def test_a_repeated_id_is_not_taken_for_the_union_of_its_texts(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(160)]
+    rows = [(i, " ".join(changed(base, 5, rng))) for i in range(8)]
+    half = [(50, " ".join(base[:80])), (50, " ".join(base[80:]))]
+    out = minhash.near_duplicates(spark.createDataFrame(rows + half, "doc_id bigint, text string")).collect()
+    assert {r.component_id for r in out if r.doc_id == 50} == {50}
+
+
 class _Known:
     """Links that are given instead of worked out."""
 
