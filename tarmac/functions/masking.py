@@ -23,6 +23,18 @@ def hash_salt_first(c: Column, salt: str) -> Column:
     return F.when(~missing, F.sha2(F.concat(F.lit(salt + ":"), value), 256))
 
 
+def packed_hash(c: Column) -> tuple[Column, Column]:
+    """A hash in hexadecimal as bytes, half as long, and any other text as it is: one of the two columns is null.
+    `unpacked_hash` gives the text back."""
+    raw = F.unhex(c)
+    is_hash = F.coalesce(F.lower(F.hex(raw)) == c, F.lit(False))
+    return F.when(is_hash, raw), F.when(~is_hash, c)
+
+
+def unpacked_hash(raw: Column, text: Column) -> Column:
+    return F.coalesce(F.lower(F.hex(raw)), text)
+
+
 def initial_of_stripped(c: Column) -> Column:
     """First letter and stars; blank text gives N***, a missing value n*** (its text is 'nan')."""
     value = strip(text_or_token(c, C.NULL_TOKEN_LOWER))

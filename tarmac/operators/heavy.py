@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tarmac.session import fresh_folder, stored
+from tarmac.session import CODEC, fresh_folder, stored
 
 TRACKED = 4096
 #: Sketches of tasks are merged in so many groups before the last one merges these.
@@ -28,7 +28,7 @@ def _top(key: str) -> str:
 def write_with_sketches(df: DataFrame, path: str, keys: list[str]) -> None:
     """Write a table, and beside it one table per key with its frequent values and their rows."""
     seen = Observation()
-    df.observe(seen, *[F.expr(_top(k)).alias(k) for k in keys]).write.parquet(path)
+    df.observe(seen, *[F.expr(_top(k)).alias(k) for k in keys]).write.parquet(path, compression=CODEC)
     kinds = dict(df.dtypes)
     for key in keys:
         found = [(row["item"], row["count"]) for row in seen.get[key]]

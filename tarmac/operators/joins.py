@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
+from tarmac.functions.masking import packed_hash, unpacked_hash
 from tarmac.operators.heavy import narrowed
 from tarmac.operators.skew import join_many_to_many, join_one, left_join_many
 
@@ -18,6 +19,8 @@ PASSENGER_COLUMNS = [
     "passenger_id", "age", "age_group", "gender", "birth_year",
     "first_name", "last_name", "first_name_masked", "last_name_masked",
 ]
+# Hashes in bookings, which travel as bytes.
+HASH_COLUMNS = ["passport_number", "emergency_contact_phone", "passport_hash", "emg_phone_hash"]
 
 
 def bookings_with_flight(
@@ -32,14 +35,16 @@ def with_payments(
     payments: DataFrame,
     rows_per_task: int = C.ROWS_PER_TASK,
     sizes: DataFrame | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """One row per booking and payment; bookings without payment stay, with nulls.
 
-    Where booking ids may repeat, `sizes` is the stored table that tells how often: both sides of an id are split then.
+    Where booking ids may repeat, `sizes` is the stored table that tells how often: both sides of an id are split then,
+    lines by `spread_by` if it is given.
     """
     if sizes is None:
         return left_join_many(lines, payments, "booking_id", "payment_id", rows_per_task)
-    return join_many_to_many(lines, payments, "booking_id", "payment_id", sizes, rows_per_task=rows_per_task)
+    return join_many_to_many(lines, payments, "booking_id", "payment_id", sizes, "left", rows_per_task, spread_by)
 
 
 def with_passenger(
@@ -49,12 +54,13 @@ def with_passenger(
     suffix: str = "_pax",
     sizes: DataFrame | None = None,
     rows_per_task: int = C.ROWS_PER_TASK,
+    taken: list[str] | None = None,
 ) -> DataFrame:
-    """Customer columns by id; names that exist on both sides get the suffix."""
+    """Customer columns by id; names that exist on both sides (or in `taken`, if given) get the suffix."""
     keep = [c for c in (columns or PASSENGER_COLUMNS) if c in passengers.columns]
     side = passengers.select(
         *[
-            F.col(c).alias(c + suffix) if c != "passenger_id" and c in lines.columns else F.col(c)
+            F.col(c).alias(c + suffix) if c != "passenger_id" and c in (taken or lines.columns) else F.col(c)
             for c in keep
         ]
     )
@@ -73,15 +79,38 @@ def master(
 
     Flights and customers are joined while there is still one row per booking; payments, which
     multiply rows, come last. The columns are put in the order booking, flight, payment, customer.
-    Booking ids and customers may repeat if `unique` is false; bookings and payments with one id are then split on both sides.
+
+    If `unique` is true, booking ids, flight ids and customers must be there once each, as cleaning leaves them. Flights and customers
+    are then looked up by the ids alone, and the other columns of bookings travel once, for the join with payments.
+    Otherwise all of them may repeat or be missing; bookings and payments with one id are then split on both sides.
+    Hashes travel as bytes.
     """
-    flown = bookings_with_flight(bookings, flights, rows_per_task)
-    one_each = with_passenger(flown, passengers, sizes=bookings, rows_per_task=rows_per_task)
-    wide = with_payments(one_each, payments, rows_per_task, None if unique else bookings)
     flight_columns = [c for c in flights.columns if c != "flight_id"]
     payment_columns = [c for c in payments.columns if c != "booking_id"]
     front = bookings.columns + flight_columns + payment_columns
-    return wide.select(*front, *[c for c in one_each.columns if c not in front])
+    kinds = dict(bookings.dtypes)
+    hashes = [c for c in HASH_COLUMNS if kinds.get(c) == "string"]
+    packed = bookings
+    for c in hashes:
+        raw, text = packed_hash(F.col(c))
+        packed = packed.withColumns({f"_{c}": raw, c: text})
+    if unique:
+        ids = narrowed(bookings, "booking_id", "passenger_id", "flight_id")
+        taken = bookings.columns + flight_columns
+        known = with_passenger(ids, passengers, rows_per_task=rows_per_task, taken=taken).drop("passenger_id")
+        found = join_one(known, flights, "flight_id", "booking_id", bookings, rows_per_task=rows_per_task).drop("flight_id")
+        wide = left_join_many(packed, payments, "booking_id", "payment_id", rows_per_task, found)
+        extra = [c for c in known.columns if c not in front]
+    else:
+        # Lines are told apart by hashes of what they are made of, so that columns nobody asks for need not travel.
+        own = packed.withColumn("_booking", F.xxhash64(*bookings.columns))
+        flown = join_one(own, flights, "flight_id", "booking_id", bookings, rows_per_task=rows_per_task)
+        listed = passengers.withColumn("_listing", F.xxhash64(*passengers.columns))
+        kept = [*PASSENGER_COLUMNS, "_listing"]
+        one_each = with_passenger(flown, listed, kept, sizes=bookings, rows_per_task=rows_per_task)
+        wide = with_payments(one_each, payments, rows_per_task, bookings, ["_booking", "_listing"])
+        extra = [c for c in one_each.columns if c not in front and not c.startswith("_")]
+    return wide.select(*[unpacked_hash(F.col(f"_{c}"), F.col(c)).alias(c) if c in hashes else F.col(c) for c in front], *extra)
 
 
 def paid_bookings(bookings: DataFrame, payments: DataFrame, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:

@@ -30,6 +30,7 @@ def left_join_many(
     key: str,
     spread_by: str,
     rows_per_task: int = C.ROWS_PER_TASK,
+    beside: DataFrame | None = None,
 ) -> DataFrame:
     """Left join whose right side may hold a large share of its rows under one key.
 
@@ -38,6 +39,9 @@ def left_join_many(
     repeated once per part. A part without right rows would add a row of nulls; the key has
     right rows in other parts, so such rows are removed. Null keys match nothing on either side.
     A sketch only names keys that it has met, so each key that is split has right rows.
+
+    `beside` is a further table with one row per key and no name but the key's in common. It is joined to the left one part by
+    part, so that neither is shuffled again for the join with the right one.
     """
     hot = hot_keys(right, key, rows_per_task)
     part = F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")
@@ -49,10 +53,15 @@ def left_join_many(
     )
     all_parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     repeated = left.join(hot, key, "left").withColumn("_part", F.explode(all_parts))
+    columns = left.columns
+    if beside is not None:
+        own_parts = beside.join(hot, key, "left").withColumn("_part", F.explode(all_parts)).drop("_parts")
+        repeated = repeated.join(own_parts, [key, "_part"], "left")
+        columns = columns + [c for c in beside.columns if c != key]
     return (
         repeated.join(spread, [key, "_part"], "left")
         .filter(F.col("_parts").isNull() | F.col("_matched"))
-        .select(*_joined_columns(left, right, key))
+        .select(key, *[c for c in columns + right.columns if c != key])
     )
 
 
@@ -64,11 +73,12 @@ def join_many_to_many(
     left_sizes: DataFrame,
     how: str = "left",
     rows_per_task: int = C.ROWS_PER_TASK,
+    left_spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Join (left or inner) of tables that may both hold many rows under one key.
 
-    The pairs of a frequent key form a grid: left rows are put into one of its rows by a hash of all their columns and
-    repeated in every column, right rows into one of its columns by a hash of `spread_by` and repeated in every row. So each
+    The pairs of a frequent key form a grid: left rows are put into one of its rows by a hash of all their columns (or of
+    `left_spread_by`, so that the others need not travel) and repeated in every column, right rows into one of its columns by a hash of `spread_by` and repeated in every row. So each
     pair meets in one cell. A cell reads at most about `rows_per_task` rows of either side and gives at most about
     as many; among such grids this one repeats least. Keys that no sketch names have a grid of one cell.
 
@@ -77,8 +87,9 @@ def join_many_to_many(
     """
     grid = _grid(frequent(left_sizes, key), frequent(right, key), key, rows_per_task)
     row, column = F.coalesce("_rows", F.lit(1)), F.coalesce("_columns", F.lit(1))
-    unmatched = F.pmod(F.xxhash64(*left.columns), F.lit(1024)).cast("int")
-    own_row = F.pmod(F.xxhash64(*left.columns), row).cast("int")
+    left_hash = F.xxhash64(*(left_spread_by or left.columns))
+    unmatched = F.pmod(left_hash, F.lit(1024)).cast("int")
+    own_row = F.pmod(left_hash, row).cast("int")
     own_column = F.pmod(F.xxhash64(spread_by), column).cast("int")
     lefts = (
         left.join(grid, key, "left")

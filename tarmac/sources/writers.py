@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tarmac.session import CODEC
 from tarmac.sources.readers import _union, read
 
 # --- fixed values: storage types of the report export ---
@@ -39,6 +40,8 @@ def write_tables(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
+        if fmt == "parquet":
+            writer = writer.option("compression", CODEC)
         writer.save(paths[name])
     return paths
 
