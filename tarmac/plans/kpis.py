@@ -93,12 +93,17 @@ def delay_summary(flights: DataFrame) -> DataFrame:
 
 
 def revenue_by_airline(bookings: DataFrame, payments: DataFrame, flights: DataFrame) -> DataFrame:
-    """Paid bookings only; payments without a known carrier are left out."""
+    """Paid bookings only; payments without a known carrier are left out. Bookings that know their carrier join no flights."""
+    if "airline" in bookings.columns:
+        return _revenue(not_null(booking_lines(bookings, payments, ["airline"]), "airline").filter("paid_rows IS NOT NULL"))
     paid = booking_lines(bookings, payments, ["flight_id"]).filter(F.col("paid_rows").isNotNull())
     per_flight = collapse(paid, "flight_id")
+    return _revenue(per_flight.join(not_null(flights.select("flight_id", "airline"), "airline"), "flight_id"))
+
+
+def _revenue(flown: DataFrame) -> DataFrame:
     return (
-        per_flight.join(not_null(flights.select("flight_id", "airline"), "airline"), "flight_id")
-        .groupBy("airline")
+        flown.groupBy("airline")
         .agg(
             paid_total().alias("total_revenue"),
             F.sum("paid_rows").alias("total_bookings"),
@@ -184,12 +189,14 @@ def airline_passenger_demographics(
     rows_per_task: int = C.ROWS_PER_TASK,
 ) -> DataFrame:
     """Customers and revenue per carrier, gender and age group; unmatched bookings have no
-    group and are left out, so inner joins are enough."""
+    group and are left out, so inner joins are enough. Bookings that know their carrier join no flights."""
     keys = ["airline", "gender", "age_group"]
+    flown = "airline" in bookings.columns
+    lines = booking_lines(bookings, payments, ["passenger_id", "airline" if flown else "flight_id"])
     known = with_flight_and_passenger(
-        booking_lines(bookings, payments, ["passenger_id", "flight_id"]),
+        not_null(lines, "airline") if flown else lines,
         bookings,
-        flights.select("flight_id", "airline"),
+        None if flown else flights.select("flight_id", "airline"),
         passengers.select("passenger_id", "gender", "age_group"),
         "inner",
         rows_per_task,

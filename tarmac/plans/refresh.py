@@ -92,12 +92,18 @@ def clean_tables(
 def stored_facts(
     tables: Mapping[str, DataFrame], variant: str = "script", rows_per_task: int = C.ROWS_PER_TASK
 ) -> tuple[DataFrame, DataFrame]:
-    """Bookings with what was paid, and payments by booking and method: the only place where payments are shuffled."""
+    """Bookings with what was paid, and payments by booking and method: the only place where payments are shuffled.
+
+    Flights are unique in the script variant, and bookings get their carrier here, once for all reports and while they are narrow.
+    """
     keys = ["passenger_id", "flight_id"]
     bookings = narrowed(tables["cleaned_bookings_masked"], "booking_id", *keys, "status")
     payments = stored(facts.payment_facts(tables["cleaned_payments"]), "payment-facts")
-    paid = facts.booking_facts(bookings, payments, variant == "script", rows_per_task)
-    return stored_with_sketches(paid, "facts", keys if variant == "script" else ["booking_id", *keys]), payments
+    if variant == "script":
+        flown = joins.with_carrier(bookings, tables["cleaned_flights"], rows_per_task=rows_per_task)
+        return stored_with_sketches(facts.booking_facts(flown, payments), "facts", keys), payments
+    paid = facts.booking_facts(bookings, payments, False, rows_per_task)
+    return stored_with_sketches(paid, "facts", ["booking_id", *keys]), payments
 
 
 def kpi_tables(
