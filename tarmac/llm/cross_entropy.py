@@ -11,7 +11,8 @@ bigrams, go to every task with their counts; so do the counts of bigrams of freq
 the corpus. All other bigrams are dealt to parts by their second word, so a part counts whole words as well as bigrams
 and needs no table of the vocabulary. The loss by a word's history is a term of its own, and the part of a word counts
 that history too. Bigrams whose second word is hot are dealt by both words instead. Each document gets back
-the sum over its bigrams of a part.
+the sum over its bigrams of a part, in one row per part and block of documents. The number of parts is one for all but
+large corpora; beyond, a document meets more parts, but never more than it has bigrams.
 """
 
 from __future__ import annotations
@@ -32,8 +33,13 @@ from tarmac.session import stored
 FREQUENT = 512
 #: Weight of the second word's share, in bigrams.
 SMOOTHING = 16.0
-#: Bigrams that one group counts and answers.
-PART_BIGRAMS = 1_000_000
+#: Words of the corpus for each group that counts and answers, and the least number of groups.
+PART_BIGRAMS = 4_000_000
+PARTS = 64
+#: Bigrams that a group counts at a time.
+CHUNK_BIGRAMS = 250_000
+#: Words of a block of documents, which asks each part once.
+BLOCK_WORDS = 1_000_000
 #: A word with more occurrences than this share of a part is hot.
 HOT_SHARE = 8
 #: What stands for the start of a text, and for words outside a vocabulary that the caller limits.
@@ -182,26 +188,15 @@ def _frequent_counts(hot: Hot):
     return run
 
 
-def _local_sums(hot: Hot, counts: np.ndarray):
-    """Per row its number of words and the sums over its frequent bigrams and over its hot histories."""
-    of_history = np.log(hot.history + SMOOTHING)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in slices(batches, "body"):
-            words = _bigrams(data, offsets, hot)
-            n = np.bincount(words.row, minlength=rows.num_rows)
-            both, key = _frequent_keys(words, hot)
-            logs = hot.log_share(hot.counts[:, words.second_hot[both]], counts[:, key])
-            after = words.first_hot >= 0
-            sums = [
-                np.bincount(words.row[both], x, rows.num_rows)
-                - np.bincount(words.row[after], h[words.first_hot[after]], rows.num_rows)
-                for x, h in zip(logs, of_history, strict=True)
-            ]
-            columns = [rows.column(0), pa.array(n.astype(np.int64)), *map(pa.array, sums)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "n_words", "target_sum", "all_sum"])
-
-    return run
+def _local_sums(words: Bigrams, n: int, hot: Hot, counts: np.ndarray, of_history: np.ndarray) -> list[np.ndarray]:
+    """For each of n rows the sums over its frequent bigrams and over its hot histories, under both models."""
+    both, key = _frequent_keys(words, hot)
+    logs = hot.log_share(hot.counts[:, words.second_hot[both]], counts[:, key])
+    after = words.first_hot >= 0
+    return [
+        np.bincount(words.row[both], x, n) - np.bincount(words.row[after], h[words.first_hot[after]], n)
+        for x, h in zip(logs, of_history, strict=True)
+    ]
 
 
 def _low_bytes(x: np.ndarray, n: int) -> np.ndarray:
@@ -214,59 +209,100 @@ def _numbers(low: np.ndarray) -> np.ndarray:
     return whole.view("<u8").ravel()
 
 
-def _requests(hot: Hot, parts: int):
-    """The other bigrams of a slice by part and by whether the second word is hot: rows, bigrams per row, whether
-    target, and the bigrams in a few bytes."""
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones: like bytes together take less room when compressed."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _from_planes(packed: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(packed, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+
+
+def _requests(hot: Hot, counts: np.ndarray, parts: int):
+    """By blocks of rows the other bigrams, by part and by whether the second word is hot: rows by their place in the
+    block, bigrams per row, whether target, and the bigrams in a few bytes. One more row of a block has its row
+    numbers, words per row and sums that need no part."""
+    of_history = np.log(hot.history + SMOOTHING)
+    small = np.uint16 if parts <= 1 << 16 else np.int64
 
-    def dealt(rows: pa.RecordBatch, is_hot: bool, by: np.ndarray, row: np.ndarray, packed: np.ndarray) -> list[tuple]:
+    def dealt(block: int, is_hot: bool, targets: np.ndarray, by: np.ndarray, row: np.ndarray, packed: np.ndarray) -> list[tuple]:
         if not len(row):
             return []
-        part = ((mix(by) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((row, part))
-        row, part, packed = row[order], part[order], packed[order]
-        run_starts = group_starts(part * rows.num_rows + row)
-        size = np.diff(np.append(run_starts, len(row))).astype(np.int32)
-        names = rows.column(0).to_numpy()[row[run_starts]]
-        target = _targets(rows)[row[run_starts]].astype(np.uint8)
+        part = ((mix(by) >> np.uint64(32)) % np.uint64(parts)).astype(small)
+        # Rows rise already.
+        order = np.argsort(part, kind="stable")
+        row, part, packed = row[order], part[order].astype(np.int64), packed[order]
+        run_starts = group_starts(part * len(targets) + row)
+        size = np.diff(np.append(run_starts, len(row))).astype("<u4")
+        rows = row[run_starts].astype("<u4")
+        target = targets[rows].astype(np.uint8)
         part_starts = group_starts(part)
         ends = np.append(part_starts[1:], len(row))
         of_run = np.append(np.searchsorted(run_starts, part_starts), len(run_starts))
         return [
-            (int(part[s]), is_hot, names[a:b].tobytes(), size[a:b].tobytes(), target[a:b].tobytes(), packed[s:e].tobytes())
+            (int(part[s]), block, is_hot, None, _planes(rows[a:b]), _planes(size[a:b]), target[a:b].tobytes(), packed[s:e].tobytes())
             for s, e, a, b in zip(part_starts, ends, of_run[:-1], of_run[1:], strict=True)
         ]
 
+    def asked(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        ids, n, t, b, targets, *other = [np.concatenate(x) for x in zip(*held, strict=True)]
+        block = int(ids[0])
+        own = np.stack([ids, n, t.view(np.int64), b.view(np.int64)]).tobytes()
+        part = int(mix(ids[:1].astype(np.uint64))[0] % np.uint64(parts))
+        out = [(part, block, False, own, None, None, None, None)]
+        out += dealt(block, False, targets, *other[:3])
+        out += dealt(block, True, targets, *other[3:])
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.binary()] * 5]
+        columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "block", "hot", "own", "rows", "sizes", "targets", "bigrams"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        n_rows = n_words = 0
         for rows, data, offsets in slices(batches, "body"):
             words = _bigrams(data, offsets, hot)
             both, _ = _frequent_keys(words, hot)
+            row = words.row + n_rows
             history = _low_bytes(words.first, HISTORY_BYTES)
             # The words' highest bits, and one for the end of a text.
             marked = (words.second >> np.uint64(9) << np.uint64(1)) | words.ends.astype(np.uint64)
             cold = words.second_hot < 0
-            packed = np.concatenate([_low_bytes(marked[cold], WORD_BYTES), history[cold]], axis=1)
-            out = dealt(rows, False, words.second[cold], words.row[cold], packed)
             other = ~cold & ~both
             number = words.second_hot[other].astype(np.uint64)
-            packed = np.concatenate([_low_bytes(number, HOT_BYTES), history[other]], axis=1)
-            out += dealt(rows, True, joined(words.first[other], number), words.row[other], packed)
-            kinds = [pa.int64(), pa.bool_(), *[pa.binary()] * 4]
-            columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "hot", "rows", "sizes", "targets", "bigrams"])
+            held.append(
+                [
+                    rows.column(0).to_numpy(),
+                    np.bincount(words.row, minlength=rows.num_rows).astype(np.int64),
+                    *_local_sums(words, rows.num_rows, hot, counts, of_history),
+                    _targets(rows),
+                    words.second[cold],
+                    row[cold],
+                    np.concatenate([_low_bytes(marked[cold], WORD_BYTES), history[cold]], axis=1),
+                    joined(words.first[other], number),
+                    row[other],
+                    np.concatenate([_low_bytes(number, HOT_BYTES), history[other]], axis=1),
+                ]
+            )
+            n_rows, n_words = n_rows + rows.num_rows, n_words + len(row)
+            if n_words >= BLOCK_WORDS:
+                yield asked(held)
+                held, n_rows, n_words = [], 0, 0
+        if held:
+            yield asked(held)
 
     return run
 
 
 def _answers(hot: Hot):
-    """Counts of a part's words and bigrams over the corpus, and for each row the sums over its bigrams of this part."""
+    """Counts of a part's words and bigrams over the corpus, and for each block the sums of its rows over their bigrams
+    of this part."""
 
-    def sums(group: pd.DataFrame, is_hot: bool) -> pd.DataFrame:
+    def logs(packed: np.ndarray, target: np.ndarray, is_hot: bool) -> list[np.ndarray]:
+        """The bigrams' terms under both models; all bigrams with the same second word must be there, or, if hot, all
+        equal ones."""
         width = HOT_BYTES if is_hot else WORD_BYTES
-        packed = np.frombuffer(b"".join(group["bigrams"]), np.uint8).reshape(-1, width + HISTORY_BYTES)
         word, history = _numbers(packed[:, :width]), _numbers(packed[:, width:])
-        size = np.frombuffer(b"".join(group["sizes"]), np.int32)
-        row = np.frombuffer(b"".join(group["rows"]), np.int64)
-        target = np.repeat(np.frombuffer(b"".join(group["targets"]), np.uint8).astype(bool), size)
         count = lambda at, n, which: np.stack([np.bincount(at[which & target], minlength=n), np.bincount(at[which], minlength=n)])
         every = np.ones(len(word), bool)
         if is_hot:
@@ -278,23 +314,85 @@ def _answers(hot: Hot):
             single = count(at, len(distinct), every)
             after = np.log(count(at, len(distinct), ~ends) + SMOOTHING)
         bigram, one, of_bigram = np.unique(joined(history, word), return_index=True, return_inverse=True)
-        logs = hot.log_share(single[:, at[one]], count(of_bigram, len(bigram), every))
-        first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        out = []
-        for k, x in enumerate(logs):
-            terms = x[of_bigram]
-            if not is_hot:
-                terms -= np.where(ends, 0.0, after[k][at])
-            out.append(np.add.reduceat(terms, first))
-        return pd.DataFrame({"row": row, "target_sum": out[0], "all_sum": out[1]})
+        terms = [x[of_bigram] for x in hot.log_share(single[:, at[one]], count(of_bigram, len(bigram), every))]
+        if not is_hot:
+            for x, h in zip(terms, after, strict=True):
+                x -= np.where(ends, 0.0, h[at])
+        return terms
+
+    def sums(some: pd.DataFrame, is_hot: bool) -> tuple[np.ndarray, np.ndarray]:
+        """For each request and row in it the two sums, and the row's place in its block."""
+        width = (HOT_BYTES if is_hot else WORD_BYTES) + HISTORY_BYTES
+        packed = np.frombuffer(b"".join(some["bigrams"]), np.uint8).reshape(-1, width)
+        size = np.concatenate([_from_planes(x, "<u4") for x in some["sizes"]])
+        run = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        target = np.frombuffer(b"".join(some["targets"]), bool)
+        # Chunks by a byte of the second word, or of the history if the second word is hot.
+        chunks = min(256, -(-len(packed) // CHUNK_BIGRAMS))
+        chunk = packed[:, HOT_BYTES + 2 if is_hot else 2] % np.uint16(chunks)
+        out = np.zeros((2, len(size)))
+        for k in range(chunks):
+            at = np.flatnonzero(chunk == k)
+            if len(at):
+                of = run[at]
+                for x, terms in zip(out, logs(packed[at], target[of], is_hot), strict=True):
+                    x += np.bincount(of, terms, len(size))
+        return out, np.concatenate([_from_planes(x, "<u4") for x in some["rows"]])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        kinds = [(group[group["hot"] == is_hot], is_hot) for is_hot in (False, True)]
-        return pd.concat([sums(own, is_hot) for own, is_hot in kinds if len(own)])
+        part = group["part"].iloc[0]
+        group = group.sort_values("block")
+        is_own = group["own"].notna()
+        out = [(block, part, own, None, None) for block, own in zip(group["block"][is_own], group["own"][is_own], strict=True)]
+        asked = group[~is_own]
+        if len(asked):
+            found, keys = [], []
+            blocks, number = np.unique(asked["block"], return_inverse=True)
+            for is_hot in (False, True):
+                which = (asked["hot"] == is_hot).to_numpy()
+                if which.any():
+                    own, row = sums(asked[which], is_hot)
+                    n = [len(x) for x in asked["targets"][which]]
+                    found.append(own)
+                    keys.append((np.repeat(number[which], n) << 32) + row)
+            # A row may ask for bigrams with hot and with other second words.
+            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            both = [np.bincount(at, x, len(key)) for x in np.concatenate(found, axis=1)]
+            starts = group_starts(key >> 32)
+            for a, b in zip(starts, np.append(starts[1:], len(key)), strict=True):
+                rows = (key[a:b] & 0xFFFFFFFF).astype("<u4")
+                packed = _planes(np.concatenate([x[a:b] for x in both]))
+                out.append((blocks[key[a] >> 32], part, None, _planes(rows), packed))
+        return pd.DataFrame(out, columns=["block", "part", "own", "rows", "sums"])
 
     return run
 
 
+def _gathered(group: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a block with all their sums, added in the order of the parts."""
+    is_own = group["own"].notna()
+    own = np.frombuffer(group["own"][is_own].iloc[0], np.int64).reshape(4, -1)
+    found = [x.copy() for x in own[2:].view(np.float64)]
+    answers = group[~is_own].sort_values("part")
+    if len(answers):
+        at = np.concatenate([_from_planes(x, "<u4") for x in answers["rows"]])
+        values = np.concatenate([_from_planes(x, "<f8").reshape(2, -1) for x in answers["sums"]], axis=1)
+        for x, own_values in zip(found, values, strict=True):
+            x += np.bincount(at, own_values, len(x))
+    return pd.DataFrame({"row": own[0], "n_words": own[1], "t": found[0], "b": found[1]})
+
+
+def answered(texts: DataFrame, hot: Hot, counts: np.ndarray, part_bigrams: int) -> DataFrame:
+    """One row per block of documents and part, and one per block."""
+    parts = max(PARTS, -(-int(hot.total[1, 0]) // part_bigrams))
+    asked = texts.mapInArrow(
+        _requests(hot, counts, parts),
+        "part bigint, block bigint, hot boolean, own binary, rows binary, sizes binary, targets binary, bigrams binary",
+    )
+    kind = "block bigint, part bigint, own binary, rows binary, sums binary"
+    return asked.groupBy("part").applyInPandas(_answers(hot), kind)
+
+
 def cross_entropy_difference(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -321,19 +419,9 @@ def cross_entropy_difference(
     counted = counted.groupBy("key").agg(F.sum("n_target").alias("n_target"), F.sum("n_all").alias("n_all")).toPandas()
     counts = np.zeros((2, hot.width**2), np.int64)
     counts[:, counted["key"]] = counted["n_target"], counted["n_all"]
-    parts = max(1, -(-int(hot.total[1, 0]) // part_bigrams))
 
-    kind = "row bigint, target_sum double, all_sum double"
-    local = texts.mapInArrow(
-        _local_sums(hot, counts), "row bigint, n_words bigint, target_sum double, all_sum double"
-    )
-    asked = texts.mapInArrow(
-        _requests(hot, parts), "part bigint, hot boolean, rows binary, sizes binary, targets binary, bigrams binary"
-    )
-    answered = asked.groupBy("part").applyInPandas(_answers(hot), kind).withColumn("n_words", F.lit(0).cast("bigint"))
-    sums = local.unionByName(answered).groupBy("row").agg(
-        F.sum("n_words").alias("n_words"), F.sum("target_sum").alias("t"), F.sum("all_sum").alias("b")
-    )
+    sums = answered(texts, hot, counts, part_bigrams).groupBy("block")
+    sums = sums.applyInPandas(_gathered, "row bigint, n_words bigint, t double, b double")
     loss = lambda c: F.when(F.col("n_words") > 0, F.round(-F.col(c) / F.col("n_words"), 9))
     out = rows.select("row", "id").join(sums, "row").withColumns({"t": loss("t"), "b": loss("b")})
     return out.select(

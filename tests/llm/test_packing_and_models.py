@@ -7,13 +7,14 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarmac.llm import nbsvm, packing
+from tarmac.llm import cross_entropy, nbsvm, packing
 from tarmac.llm.cross_entropy import cross_entropy_difference
 from tarmac.llm.hashing import text_bytes
 from tarmac.llm.queries import op8_nbsvm_quality
@@ -166,6 +167,41 @@ def test_cross_entropy_knows_every_word(spark, frequent, part):
         assert (r.target_loss, r.background_loss) == pytest.approx((target, background), abs=1e-8)
 
 
+def test_cross_entropy_answers_grow_as_the_input(spark):
+    # Sums that parts send back, and rows that carry them: 20 words for each part's worth, then 100.
+    made = {}
+    for n in (200, 1000):
+        rng = random.Random(n)
+        docs = [(i, " ".join(f"r{rng.randrange(40 * n)}" for _ in range(100)), i % 3 == 0) for i in range(n)]
+        texts = spark.createDataFrame(docs, "row bigint, body string, target boolean").repartition(n // 100)
+        hot = cross_entropy.hot_words(texts, None, 4, 125)
+        out = cross_entropy.answered(texts, hot, np.zeros((2, hot.width**2), np.int64), 1000).filter("own is null")
+        made[n] = out.agg(F.count(F.lit(1)), F.sum(F.length("sums")) / 16).first()
+    assert made[1000][0] <= 10 * made[200][0]
+    assert made[1000][1] <= 7.5 * made[200][1]
+
+
+def test_cross_entropy_chunks_and_blocks_change_nothing(spark, monkeypatch):
+    rng = random.Random(10)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 3000}" for _ in range(rng.randrange(300))), i % 4 == 0) for i in range(120)]
+    texts = spark.createDataFrame(docs, "row bigint, body string, target boolean").coalesce(1)
+    hot = cross_entropy.hot_words(texts, None, 3, 60)
+    counts = np.ones((2, hot.width**2), np.int64)
+    batch = pa.RecordBatch.from_pandas(texts.toPandas(), preserve_index=False)
+    losses = []
+    for chunk, block, parts in ((250_000, 1_000_000, 1), (50, 1_000_000, 3), (20, 1, 7)):
+        monkeypatch.setattr(cross_entropy, "CHUNK_BIGRAMS", chunk)
+        monkeypatch.setattr(cross_entropy, "BLOCK_WORDS", block)
+        monkeypatch.setattr("tarmac.llm.hashing.SLICE_BYTES", 1000)
+        one_by_one = [batch.slice(i, 1) for i in range(batch.num_rows)]
+        asked = pa.Table.from_batches(cross_entropy._requests(hot, counts, parts)(iter(one_by_one))).to_pandas()
+        answers = pd.concat([cross_entropy._answers(hot)(g) for _, g in asked.groupby("part")])
+        out = pd.concat([cross_entropy._gathered(g) for _, g in answers.groupby("block")])
+        losses.append(out.sort_values("row").to_numpy())
+    assert len(losses[0]) == len(docs)
+    assert losses[1] == pytest.approx(losses[0], abs=1e-8) and losses[2] == pytest.approx(losses[0], abs=1e-8)
+
+
 def test_cross_entropy_missing_ids_repeated_rows_and_no_rows(spark):
     rows = [(None, "a b", True), (None, "a b", True), (1, "c d", False), (1, "c d", False)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, target boolean")
