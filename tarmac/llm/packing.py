@@ -35,6 +35,8 @@ KEPT_PIECES = 300_000
 LONG_TEXT = 300_000
 OUT_TOKENS = 500_000
 SORT_TOKENS = 4
+#: A special token that is never allowed, so its string in a text is text like any other.
+UNUSED_SPECIAL = "<|unused|>"
 
 
 def _byte_of() -> dict[str, int]:
@@ -68,7 +70,9 @@ class Pieces:
             byte_of = _byte_of()
             vocab = {t: i for t, i in described["vocab"].items() if t not in self.special}
             ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items()}
-            own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            # Without any special token the library looks for the empty string, which it finds before every character.
+            none = {UNUSED_SPECIAL: max(ranks.values()) + 1}
+            own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=none)
             self.one, self.whole = own.encode_ordinary, lambda text: own.encode_to_numpy(text, disallowed_special=())
         else:
             self.one, self.whole = lambda piece: self.tokenizer.encode(piece, add_special_tokens=False).ids, None
@@ -93,44 +97,54 @@ class Pieces:
 _tokenizers: dict[tuple[str, str], Pieces] = {}
 
 
-def _tokens(path: str, pattern: str, kind: str):
+def _tokens(path: str, pattern: str, kind: str, size: int):
+    """Ids and place of every row. A task's last row has instead its documents per token, its documents and all its tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, pattern) not in _tokenizers:
             _tokenizers[path, pattern] = Pieces(path, pattern)
         encode = _tokenizers[path, pattern].encode
+        # Hashes of all ids, and each id's rank among them.
+        hashes = mix(np.arange(size, dtype=np.uint64) + np.uint64(1))
+        by_hash = np.argsort(hashes)
+        rank = np.empty(size, kind)
+        rank[by_hash] = np.arange(size)
+        ordered = hashes[by_hash].astype(">u8")
+        seen = np.zeros(size, np.int64)
+        docs = tokens = 0
+        names = ["id", "ids", "place", "seen"]
+        id_kind = pa.null()
         for batch in batches:
+            id_kind = batch.column(0).type
             first, ids, keys, total = 0, [], [], 0
             for i, text in enumerate(batch.column(1).to_pylist(), 1):
                 own = np.append(encode(text), END).astype(kind)
-                hashed = np.sort(mix(np.unique(own).astype(np.uint64) + np.uint64(1)))[:SORT_TOKENS]
-                keys.append(b"".join(int(h).to_bytes(8, "big") for h in hashed))
+                distinct = np.unique(rank[own])
+                seen[distinct] += 1
+                keys.append(ordered[distinct[:SORT_TOKENS]].tobytes())
                 ids.append(own.tobytes())
                 total += len(own)
                 if total >= OUT_TOKENS or i == batch.num_rows:
-                    columns = [batch.column(0).slice(first, i - first), pa.array(ids, pa.binary()), pa.array(keys, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "place"])
+                    columns = [pa.array(ids, pa.binary()), pa.array(keys, pa.binary()), pa.nulls(len(ids), pa.binary())]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, i - first), *columns], names=names)
+                    docs, tokens = docs + len(ids), tokens + total
                     first, ids, keys, total = i, [], [], 0
+        if docs:
+            counted = np.append(seen[rank], [docs, tokens]).tobytes()
+            columns = [pa.nulls(1, id_kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([counted], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _frequencies(size: int, kind: str):
-    """Documents per token and all tokens, summed within a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(size, np.int64)
-        docs = tokens = 0
-        for batch in batches:
-            for raw in batch.column(0):
-                ids = np.frombuffer(raw.as_buffer(), kind)
-                seen[np.unique(ids)] += 1
-                docs, tokens = docs + 1, tokens + len(ids)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, [-1, -2])), pa.array(np.append(seen[at], [docs, tokens]))], names=["token", "n"]
-        )
-
-    return run
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents per token, and as tokens -1 and -2 all documents and tokens, of the tokenising tasks that a task reads."""
+    for batch in batches:
+        counts = sum(np.frombuffer(raw.as_buffer(), np.int64) for raw in batch.column(0))
+        if batch.num_rows:
+            token = np.append(np.arange(len(counts) - 2), [-1, -2])
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(token[at]), pa.array(counts[at])], names=["token", "n"])
 
 
 class Shard:
@@ -278,10 +292,13 @@ def pack_documents(
     stored_as = "<u2" if size <= 1 << 16 else "<u4"
     rows = docs.select(F.col(id_col).alias("id"), empty_for_null(text_col).alias("body"))
     kind = dict(rows.dtypes)["id"]
-    tokens = rows.mapInArrow(_tokens(tokenizer_path, pattern, stored_as), f"id {kind}, ids binary, place binary")
-    tokens = stored(tokens, "tokens")
+    written = rows.mapInArrow(
+        _tokens(tokenizer_path, pattern, stored_as, size), f"id {kind}, ids binary, place binary, seen binary"
+    )
+    written = stored(written, "tokens")
+    tokens = written.filter("ids is not null").select("id", "ids", "place")
     # At most one row per token of the vocabulary.
-    counted = tokens.select("ids").mapInArrow(_frequencies(size, stored_as), "token bigint, n bigint")
+    counted = written.filter("seen is not null").select("seen").mapInArrow(_frequencies, "token bigint, n bigint")
     seen = {r["token"]: r["n"] for r in counted.groupBy("token").agg(F.sum("n").alias("n")).collect()}
     n_docs, n_tokens = seen.pop(-1, 0), seen.pop(-2, 0)
     per_token = np.zeros(size)

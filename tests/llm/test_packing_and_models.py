@@ -167,6 +167,28 @@ def test_cross_entropy_knows_every_word(spark, frequent, part):
         assert (r.target_loss, r.background_loss) == pytest.approx((target, background), abs=1e-8)
 
 
+def test_tokens_are_counted_while_they_are_made():
+    # The library's own search for special tokens must have one to look for: none at all costs as much as the encoding.
+    library = Tokenizer.from_file(PACKING)
+    size = library.get_vocab_size(with_added_tokens=True)
+    texts = ["a b a", "", f"so {packing.UNUSED_SPECIAL} é{packing.UNUSED_SPECIAL}", "a<|endoftext|>b", "one two one"]
+    batch = pa.RecordBatch.from_pydict({"id": [5, 5, None, 7, 8], "body": texts})
+    run = packing._tokens(PACKING, public_tokenizers.PATTERN, "<u2", size)
+    out = pa.Table.from_batches(run(iter([batch.slice(0, 3), batch.slice(3)]))).to_pylist()
+    want = [library.encode(t, add_special_tokens=False).ids + [packing.END] for t in texts]
+    assert [np.frombuffer(r["ids"], "<u2").tolist() for r in out[:-1]] == want
+    for r, ids in zip(out, want, strict=False):
+        least = np.sort(packing.mix(np.unique(ids).astype(np.uint64) + np.uint64(1)))[: packing.SORT_TOKENS]
+        assert r["seen"] is None and r["place"] == least.astype(">u8").tobytes()
+    assert out[-1]["ids"] is None
+    rows = pa.RecordBatch.from_pydict({"seen": [out[-1]["seen"]] * 2})
+    got = {r["token"]: r["n"] for b in packing._frequencies(iter([rows])) for r in b.to_pylist()}
+    counts = Counter(i for ids in want for i in set(ids))
+    assert got == {**{i: 2 * n for i, n in counts.items()}, -1: 10, -2: 2 * sum(map(len, want))}
+    assert list(run(iter([]))) == []
+    assert "".join(packing.Pieces(PACKING, public_tokenizers.PATTERN).whole.__closure__[0].cell_contents._special_tokens) != ""
+
+
 def test_cross_entropy_answers_grow_as_the_input(spark):
     # Sums that parts send back, and rows that carry them: 20 words for each part's worth, then 100.
     made = {}
