@@ -3,8 +3,8 @@
 A phrase can only be frequent if the shorter phrases in it are. Level by level, hashes of the phrases whose shorter
 phrases may be frequent are counted by shard and summed by Spark; those with enough occurrences set bits in a bitmap
 of fixed size. Hashes and bits that fall together only let more through, so what the bitmaps let through holds every
-frequent phrase. These candidates, as text, go into double-array tries of bounded size, which are broadcast one at a
-time. In each shard numpy moves the trie states of all word positions one byte at a time and counts the accepting
+frequent phrase. These candidates, as text and in order, go into double-array tries of bounded size, which are broadcast
+one at a time; a trie holds a range of them, so most words are none of its beginnings. In each shard numpy moves the trie states of all word positions one byte at a time and counts the accepting
 states; the sums over shards are the exact counts that everything after rests on.
 """
 
@@ -189,7 +189,8 @@ class Trie:
     """A double array: state s goes by byte c to base[s] + c, if that place's check is s.
 
     The children of a state lie in a stretch of its own from its least to its greatest byte, so places are given out
-    level by level for all states at once. `accept` has a phrase's number at the state after its final space.
+    level by level for all states at once. The state after a phrase's final space accepts: its bit is set in `accept`, and
+    its phrase is at the place in `numbers` that bits before it give.
     """
 
     def __init__(self, keys: pa.Array):
@@ -226,8 +227,19 @@ class Trie:
             final[act[ended]] = state[act[ended]]
             act = act[~ended]
         self.base, self.check = base[: taken + 256].copy(), check[: taken + 256].copy()
-        self.accept = np.full(taken + 256, -1, np.int32)
-        self.accept[final] = np.arange(len(keys))
+        bits = np.zeros(-(-(taken + 256) // 64) * 64, bool)
+        bits[final] = True
+        self.accept = np.packbits(bits, bitorder="little").view("<u8")
+        self.before = np.cumsum(np.bitwise_count(self.accept), dtype=np.int32) - np.bitwise_count(self.accept)
+        self.numbers = np.argsort(final).astype(np.int32)
+
+    def number(self, state: np.ndarray) -> np.ndarray:
+        """Numbers of the phrases that end at those of these states that accept."""
+        word, bit = self.accept[state >> 6], (state & 63).astype(np.uint64)
+        ends = (word >> bit) & np.uint64(1) > 0
+        word, bit = word[ends], bit[ends]
+        lower = word & ((np.uint64(1) << bit) - np.uint64(1))
+        return self.numbers[self.before[state[ends] >> 6] + np.bitwise_count(lower)]
 
     def after(self, text: bytes) -> int:
         """The state after a text from the root; -1 if there is none."""
@@ -250,17 +262,16 @@ class Trie:
             byte[over] = SPACE
             place = self.base[state] + byte
             go = self.check[place] == state
-            place, at, over = place[go], at[go], over[go]
-            number = self.accept[place]
-            met.append(number[number >= 0])
+            place, at, over, byte = place[go], at[go], over[go], byte[go]
+            met.append(self.number(place[byte == SPACE]))
             # At the end of a piece a phrase may end, but none goes on.
             go = ~over
             state, at = place[go], at[go] + 1
         return np.concatenate(met) if met else np.empty(0, np.int32)
 
 
-def _trie_counts(spark: SparkSession, texts: DataFrame, phrases: pa.Table) -> DataFrame:
-    """Occurrences of each of the phrases of one trie, by `number`."""
+def _count_phrases(spark: SparkSession, texts: DataFrame, phrases: pa.Table, folder: str) -> None:
+    """Writes the occurrences of each of the phrases of one trie, by `number`."""
     trie = Trie(phrases["key"].combine_chunks())
     number = phrases["number"].to_numpy()
     shared = spark.sparkContext.broadcast((trie, len(number)))
@@ -282,7 +293,28 @@ def _trie_counts(spark: SparkSession, texts: DataFrame, phrases: pa.Table) -> Da
 
     summed = texts.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("f"))
     # Phrases were collected in order of their numbers, without gaps.
-    return summed.select((F.col("place") + int(number[0])).cast("int").alias("number"), "f")
+    summed.select((F.col("place") + int(number[0])).alias("number"), "f").write.mode("append").parquet(folder)
+    # Executors needn't hold it beside the next one.
+    shared.destroy()
+
+
+def _tries(sizes: list) -> list[list[tuple[int, int, int]]]:
+    """For each trie the stretches (part, first number, last number) that it holds, from parts' numbers and bytes of
+    phrases. Small parts share a trie; a large one is cut."""
+    out: list[list[tuple[int, int, int]]] = []
+    phrases = size = 0
+    for part, n, n_bytes in sizes:
+        cuts = max(1, -(-n // TRIE_PHRASES), -(-n_bytes // TRIE_BYTES))
+        step = -(-n // cuts)
+        for first in range(1, n + 1, step):
+            last = min(n, first + step - 1)
+            own = -(-n_bytes * (last - first + 1) // n)
+            if not out or phrases + last - first + 1 > TRIE_PHRASES or size + own > TRIE_BYTES:
+                out.append([])
+                phrases = size = 0
+            out[-1].append((part, first, last))
+            phrases, size = phrases + last - first + 1, size + own
+    return out
 
 
 def phrase_counts(
@@ -303,26 +335,30 @@ def phrase_counts(
     parts = 1 + found_at_all // TRIE_PHRASES
     key = F.concat("lang", F.lit("\n"), "phrase", F.lit(" ")).cast("binary")
     keyed = _candidates(texts, longest, bitmaps).select(key.alias("key"))
-    in_part = Window.partitionBy("part").orderBy("key")
-    part = F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
-    numbered = stored(keyed.withColumn("part", part).withColumn("number", F.row_number().over(in_part)), "numbered")
-    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("key")).alias("bytes"))
+    # Parts are ranges of keys; a row's own id is its part and its place there.
+    ordered = keyed.repartitionByRange(parts, "key").sortWithinPartitions("key")
+    ordered = stored(ordered.withColumn("at", F.monotonically_increasing_id()), "ordered")
+    part, place = F.shiftright("at", 33).cast("int"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    placed = ordered.select("at", "key", part.alias("part"), place.alias("place"))
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("key")).alias("bytes"))
+    sizes = [tuple(row) for row in sizes.orderBy("part").collect()]
+    before = np.zeros(max([part for part, _, _ in sizes], default=0) + 1, np.int64)
+    before[[part for part, _, _ in sizes]] = np.cumsum([n for _, n, _ in sizes]) - [n for _, n, _ in sizes]
+    offset = F.get(F.array(*map(F.lit, before.tolist())), F.col("part"))
+    numbered = placed.withColumn("number", offset + F.col("place"))
     folder = fresh_folder(spark, "phrase-counts")
-    empty = spark.createDataFrame([], "part int, number int, f bigint")
+    empty = spark.createDataFrame([], "number bigint, f bigint")
     empty.write.parquet(folder)
-    for row in sizes.orderBy("part").collect():
-        own = numbered.filter(F.col("part") == row["part"])
-        step = -(-row["n"] // max(1, -(-row["n"] // TRIE_PHRASES), -(-row["bytes"] // TRIE_BYTES)))
-        for first in range(1, row["n"] + 1, step):
-            some = own.filter(F.col("number").between(first, first + step - 1)).select("number", "key").orderBy("number")
-            counted = _trie_counts(spark, texts, some.toArrow()).withColumn("part", F.lit(row["part"]))
-            counted.select("part", "number", "f").write.mode("append").parquet(folder)
+    for stretches in _tries(sizes):
+        (first_part, first, _), (last_part, _, last) = stretches[0], stretches[-1]
+        own = numbered.filter(F.col("at").between((first_part << 33) + first - 1, (last_part << 33) + last - 1))
+        _count_phrases(spark, texts, own.select("number", "key").orderBy("number").toArrow(), folder)
     counts = spark.read.parquet(folder).filter(F.col("f") >= min_count)
     # The phrase is what follows the last line end, without the final space.
     text = F.col("key").cast("string")
     phrase = F.substring_index(text, "\n", -1)
     lang = F.substring(text, F.lit(1), F.length(text) - F.length(phrase) - 1)
-    out = numbered.join(counts, ["part", "number"]).select(lang.alias("lang"), F.rtrim(phrase).alias("phrase"), "f")
+    out = numbered.join(counts, "number").select(lang.alias("lang"), F.rtrim(phrase).alias("phrase"), "f")
     return stored(out.withColumn("size", F.size(F.split("phrase", " "))), "phrases")
 
 
