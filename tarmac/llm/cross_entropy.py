@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import empty_for_null
-from tarmac.llm.hashing import group_starts, joined, mix, slices, word_hashes
+from tarmac.llm.hashing import from_planes, group_starts, joined, mix, planes, slices, word_hashes
 from tarmac.session import stored
 
 FREQUENT = 512
@@ -209,16 +209,6 @@ def _numbers(low: np.ndarray) -> np.ndarray:
     return whole.view("<u8").ravel()
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """The first bytes of all numbers, then the second ones: like bytes together take less room when compressed."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
-
-
-def _from_planes(packed: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(packed, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
-
-
 def _requests(hot: Hot, counts: np.ndarray, parts: int):
     """By blocks of rows the other bigrams, by part and by whether the second word is hot: rows by their place in the
     block, bigrams per row, whether target, and the bigrams in a few bytes. One more row of a block has its row
@@ -241,7 +231,7 @@ def _requests(hot: Hot, counts: np.ndarray, parts: int):
         ends = np.append(part_starts[1:], len(row))
         of_run = np.append(np.searchsorted(run_starts, part_starts), len(run_starts))
         return [
-            (int(part[s]), block, is_hot, None, _planes(rows[a:b]), _planes(size[a:b]), target[a:b].tobytes(), packed[s:e].tobytes())
+            (int(part[s]), block, is_hot, None, planes(rows[a:b]), planes(size[a:b]), target[a:b].tobytes(), packed[s:e].tobytes())
             for s, e, a, b in zip(part_starts, ends, of_run[:-1], of_run[1:], strict=True)
         ]
 
@@ -324,7 +314,7 @@ def _answers(hot: Hot):
         """For each request and row in it the two sums, and the row's place in its block."""
         width = (HOT_BYTES if is_hot else WORD_BYTES) + HISTORY_BYTES
         packed = np.frombuffer(b"".join(some["bigrams"]), np.uint8).reshape(-1, width)
-        size = np.concatenate([_from_planes(x, "<u4") for x in some["sizes"]])
+        size = np.concatenate([from_planes(x, "<u4") for x in some["sizes"]])
         run = np.repeat(np.arange(len(size), dtype=np.int32), size)
         target = np.frombuffer(b"".join(some["targets"]), bool)
         # Chunks by a byte of the second word, or of the history if the second word is hot.
@@ -337,7 +327,7 @@ def _answers(hot: Hot):
                 of = run[at]
                 for x, terms in zip(out, logs(packed[at], target[of], is_hot), strict=True):
                     x += np.bincount(of, terms, len(size))
-        return out, np.concatenate([_from_planes(x, "<u4") for x in some["rows"]])
+        return out, np.concatenate([from_planes(x, "<u4") for x in some["rows"]])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         part = group["part"].iloc[0]
@@ -361,8 +351,8 @@ def _answers(hot: Hot):
             starts = group_starts(key >> 32)
             for a, b in zip(starts, np.append(starts[1:], len(key)), strict=True):
                 rows = (key[a:b] & 0xFFFFFFFF).astype("<u4")
-                packed = _planes(np.concatenate([x[a:b] for x in both]))
-                out.append((blocks[key[a] >> 32], part, None, _planes(rows), packed))
+                packed = planes(np.concatenate([x[a:b] for x in both]))
+                out.append((blocks[key[a] >> 32], part, None, planes(rows), packed))
         return pd.DataFrame(out, columns=["block", "part", "own", "rows", "sums"])
 
     return run
@@ -375,8 +365,8 @@ def _gathered(group: pd.DataFrame) -> pd.DataFrame:
     found = [x.copy() for x in own[2:].view(np.float64)]
     answers = group[~is_own].sort_values("part")
     if len(answers):
-        at = np.concatenate([_from_planes(x, "<u4") for x in answers["rows"]])
-        values = np.concatenate([_from_planes(x, "<f8").reshape(2, -1) for x in answers["sums"]], axis=1)
+        at = np.concatenate([from_planes(x, "<u4") for x in answers["rows"]])
+        values = np.concatenate([from_planes(x, "<f8").reshape(2, -1) for x in answers["sums"]], axis=1)
         for x, own_values in zip(found, values, strict=True):
             x += np.bincount(at, own_values, len(x))
     return pd.DataFrame({"row": own[0], "n_words": own[1], "t": found[0], "b": found[1]})

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarmac.llm.common import empty_for_null
-from tarmac.llm.hashing import joined, prefix_sums, slices, stretch_hashes
+from tarmac.llm.hashing import from_planes, group_starts, joined, planes, prefix_sums, slices, stretch_hashes
 from tarmac.session import fresh_folder, stored
 
 SPACE, PIECE_END = 32, 10
@@ -33,7 +34,10 @@ TRIE_PHRASES = 500_000
 TRIE_BYTES = 12_000_000
 SLICE_BYTES = 1_000_000
 #: Hashes that a task counts together before it hands them on.
-BUFFERED = 4_000_000
+BUFFERED = 1_500_000
+#: Bytes of text for each group that sums hashes, and the least number of groups.
+SUM_BYTES = 10_000_000
+SUM_PARTS = 32
 #: Phrases of late that a task knows again, as a power of two.
 KNOWN_POWER = 22
 #: Parts of a language that are ranked by themselves first.
@@ -116,8 +120,10 @@ def _levels(words: Words, langs: np.ndarray, longest: int, bitmaps: list[np.ndar
         yield at, hashes
 
 
-def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFrame:
-    """Hashes of phrases of `level` words that occur often enough, as far as the shorter ones allow."""
+def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int, parts: int) -> DataFrame:
+    """Hashes of phrases of `level` words that occur often enough, as far as the shorter ones allow. Hashes with their
+    counts travel many to a row, by ranges of hashes."""
+    borders = np.array([-(-(k << HASH_POWER) // parts) for k in range(parts + 1)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter = [b.value for b in bitmaps]
@@ -126,7 +132,11 @@ def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFr
 
         def counted() -> pa.RecordBatch:
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+            at = np.searchsorted(values, borders)
+            part = np.flatnonzero(at[1:] > at[:-1])
+            own = [(planes(values[a:b]), planes(n[a:b].astype("<u4"))) for a, b in zip(at[part], at[part + 1], strict=True)]
+            columns = [pa.array(part), *[pa.array([o[k] for o in own], pa.binary()) for k in (0, 1)]]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "hashes", "counts"])
 
         for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
             *_, (_, hashes) = _levels(Words(data, offsets), _lang_hashes(batch.column(0)), level, shorter)
@@ -138,8 +148,16 @@ def _sums(texts: DataFrame, level: int, bitmaps: list, min_count: int) -> DataFr
         if held:
             yield counted()
 
-    sums = texts.mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
-    return sums.filter(F.col("n") >= min_count).select("hash")
+    def often(group: pd.DataFrame) -> pd.DataFrame:
+        values = np.concatenate([from_planes(x, "<i8") for x in group["hashes"]])
+        n = np.concatenate([from_planes(x, "<u4") for x in group["counts"]]).astype(np.int64)
+        order = np.argsort(values)
+        values = values[order]
+        starts = group_starts(values)
+        return pd.DataFrame({"hash": values[starts[np.add.reduceat(n[order], starts) >= min_count]]})
+
+    counted = texts.mapInArrow(run, "part bigint, hashes binary, counts binary")
+    return counted.groupBy("part").applyInPandas(often, "hash bigint")
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -327,8 +345,10 @@ def phrase_counts(
     texts = docs.select(lang.alias("lang"), empty_for_null(text_col).alias("body"))
     bitmaps: list = []
     found_at_all = 0
+    size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    sum_parts = max(SUM_PARTS, -(-size // SUM_BYTES))
     for level in range(1, longest + 1):
-        found = stored(_sums(texts, level, bitmaps, min_count), "hashes")
+        found = stored(_sums(texts, level, bitmaps, min_count, sum_parts), "hashes")
         found_at_all += found.count()
         bitmaps.append(spark.sparkContext.broadcast(_bitmap(found)))
     # Each phrase let through is one of the hashes, but for the few that share all bits with one.

@@ -82,6 +82,34 @@ def test_saturated_bitmaps_lose_nothing(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == mined(rows)
 
 
+def test_hashes_travel_many_to_a_row(spark, monkeypatch):
+    rows = [(i, f"w{i} w{i % 7} v{i % 11}. w{i % 3}", "en") for i in range(600)]
+    texts = spark.createDataFrame(rows, SCHEMA).selectExpr("lang", "text AS body").coalesce(1)
+    for parts in (1, 5):
+        sums = phrases._sums(texts, 1, [], 10, parts)
+        got = [r.hash for r in sums.collect()]
+        words = Counter(w for _, t, _ in rows for w in t.replace(".", "").split())
+        assert len(got) == len(set(got)) == sum(n >= 10 for n in words.values())
+        plan = sums._jdf.queryExecution().toString()
+        assert "hashes" in plan and "HashAggregate" not in plan
+
+
+def test_tries_hold_ranges_within_their_bounds(monkeypatch):
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 10)
+    monkeypatch.setattr(phrases, "TRIE_BYTES", 100)
+    assert phrases._tries([]) == []
+    got = phrases._tries([(0, 4, 20), (1, 5, 30), (3, 3, 9), (4, 25, 50), (5, 2, 150)])
+    assert got == [[(0, 1, 4), (1, 1, 5)], [(3, 1, 3)], [(4, 1, 9)], [(4, 10, 18)], [(4, 19, 25), (5, 1, 1)], [(5, 2, 2)]]
+
+
+def test_a_trie_takes_few_bytes_a_state():
+    trie = Trie(pa.array(sorted(f"en\n{i:07d} ".encode() for i in range(0, 90_000, 9))))
+    states = len(trie.check)
+    assert sum(x.nbytes for x in vars(trie).values()) <= 9 * states + 4 * 10_000
+    ends = np.array([trie.after(f"en\n{i:07d} ".encode()) for i in (0, 9, 89_991)])
+    assert trie.number(ends).tolist() == [0, 1, 9999] and len(trie.number(ends - 1)) <= 2
+
+
 def test_nothing_to_find(spark):
     docs = spark.createDataFrame([(1, "only once", "en"), (2, None, None)], SCHEMA)
     assert mine_phrases(docs).collect() == []
