@@ -571,7 +571,7 @@ def _(r):
 def _master(r: Roles) -> DataFrame:
     unique = r.variant == "script"
     return joins.master(
-        r.stored_bookings, r.flights, r.stored_payments, r.passengers_masked, r.rows_per_task, unique
+        r.wide_bookings, r.flights, r.wide_payments, r.passengers_masked, r.rows_per_task, unique
     )
 
 

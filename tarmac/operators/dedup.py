@@ -20,17 +20,22 @@ def first_by_key(df: DataFrame, key: str, order_by: list[str] | None = None) ->
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
+def valid(df: DataFrame, needed: list[str]) -> DataFrame:
+    """Rows with the needed values."""
+    return df.na.drop(subset=needed)
+
+
 def valid_then_first(
     df: DataFrame, key: str, needed: list[str], order_by: list[str] | None = None
 ) -> DataFrame:
     """Rows with the needed values only, then the first of each key."""
-    return first_by_key(df.na.drop(subset=needed), key, order_by)
+    return first_by_key(valid(df, needed), key, order_by)
 
 
 def valid_distinct(df: DataFrame, needed: list[str]) -> DataFrame:
     """Distinct rows that have the needed values; the filter comes first as it is cheaper there
     and copies of a row pass or fail it together."""
-    return df.na.drop(subset=needed).dropDuplicates()
+    return valid(df, needed).dropDuplicates()
 
 
 def count_duplicate_rows(df: DataFrame) -> DataFrame:

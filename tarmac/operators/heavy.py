@@ -28,7 +28,15 @@ def _top(key: str) -> str:
 def write_with_sketches(df: DataFrame, path: str, keys: list[str]) -> None:
     """Write a table, and beside it one table per key with its frequent values and their rows."""
     seen = Observation()
-    df.observe(seen, *[F.expr(_top(k)).alias(k) for k in keys]).write.parquet(path, compression=CODEC)
+    _observed(df, seen, keys).write.parquet(path, compression=CODEC)
+    _write_sketches(df, seen, path, keys)
+
+
+def _observed(df: DataFrame, seen: Observation, keys: list[str]) -> DataFrame:
+    return df.observe(seen, *[F.expr(_top(k)).alias(k) for k in keys])
+
+
+def _write_sketches(df: DataFrame, seen: Observation, path: str, keys: list[str]) -> None:
     kinds = dict(df.dtypes)
     for key in keys:
         found = [(row["item"], row["count"]) for row in seen.get[key]]
@@ -47,6 +55,20 @@ def stored_with_sketches(df: DataFrame, purpose: str, keys: list[str]) -> DataFr
     return read_with_sketches(df.sparkSession.read.parquet(path), path, keys)
 
 
+def sketched(df: DataFrame, made_from: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
+    """The table as it is, not stored, knowing sketches of its key columns: for tables that are used once.
+
+    The sketches are taken in one pass over the keys of `made_from`, in which nothing is shuffled. That table must have each
+    value of a key at least as often as `df`, and none that `df` lacks, as rows have before copies are dropped.
+    """
+    path, seen = fresh_folder(df.sparkSession, purpose), Observation()
+    rows = made_from.select(*keys)
+    _observed(rows, seen, keys).write.format("noop").mode("overwrite").save()
+    _write_sketches(rows, seen, path, keys)
+    # A table of its own: others that hold `df` must not take it for a stored one.
+    return read_with_sketches(df.select(*df.columns), path, keys)
+
+
 def read_with_sketches(table: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """The table read from `path`, knowing the sketches beside it."""
     table.heavy_keys_at = {key: sketch_path(path, key) for key in keys}

@@ -6,7 +6,7 @@ some of their columns, `heavy.narrowed` keeps these.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
@@ -19,6 +19,8 @@ PASSENGER_COLUMNS = [
     "passenger_id", "age", "age_group", "gender", "birth_year",
     "first_name", "last_name", "first_name_masked", "last_name_masked",
 ]
+# Values of the marks that tell rows of one key apart where these are spread. Two bytes differ from row to row, not eight.
+MARKS = 1 << 16
 # Hashes in bookings, which travel as bytes.
 HASH_COLUMNS = ["passport_number", "emergency_contact_phone", "passport_hash", "emg_phone_hash"]
 
@@ -102,10 +104,10 @@ def master(
         wide = left_join_many(packed, payments, "booking_id", "payment_id", rows_per_task, found)
         extra = [c for c in known.columns if c not in front]
     else:
-        # Lines are told apart by hashes of what they are made of, so that columns nobody asks for need not travel.
-        own = packed.withColumn("_booking", F.xxhash64(*bookings.columns))
+        # Lines are told apart by marks of what they are made of, so that columns nobody asks for need not travel.
+        own = packed.withColumn("_booking", _mark(bookings))
         flown = join_one(own, flights, "flight_id", "booking_id", bookings, rows_per_task=rows_per_task)
-        listed = passengers.withColumn("_listing", F.xxhash64(*passengers.columns))
+        listed = passengers.withColumn("_listing", _mark(passengers))
         kept = [*PASSENGER_COLUMNS, "_listing"]
         one_each = with_passenger(flown, listed, kept, sizes=bookings, rows_per_task=rows_per_task)
         wide = with_payments(one_each, payments, rows_per_task, bookings, ["_booking", "_listing"])
@@ -113,6 +115,10 @@ def master(
     return wide.select(*[unpacked_hash(F.col(f"_{c}"), F.col(c)).alias(c) if c in hashes else F.col(c) for c in front], *extra)
 
 
+def _mark(df: DataFrame) -> Column:
+    return F.pmod(F.xxhash64(*df.columns), F.lit(MARKS)).cast("int")
+
+
 def paid_bookings(bookings: DataFrame, payments: DataFrame, rows_per_task: int = C.ROWS_PER_TASK) -> DataFrame:
     """Bookings that were paid, one row per payment; hot bookings are spread by payment."""
     paid = join_one(payments, bookings, "booking_id", "payment_id", how="inner", rows_per_task=rows_per_task)

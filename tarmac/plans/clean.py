@@ -225,6 +225,11 @@ def payments(raw: DataFrame, variant: str = "script", order_by: list[str] | None
     return finished_payments(dedup.valid_distinct(ready, ["amount"]), variant)
 
 
+def valid_payments(raw: DataFrame, variant: str = "script", order_by: list[str] | None = None) -> DataFrame:
+    """The rows that `payments` looks for copies among: prepared, with an amount."""
+    return dedup.valid(prepared_payments(raw, variant, order_by, present_only=True), ["amount"])
+
+
 def prepared_payments(
     raw: DataFrame, variant: str = "script", order_by: list[str] | None = None, present_only: bool = False
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac import constants as C
-from tarmac.operators.heavy import stored_with_sketches
+from tarmac.operators.heavy import sketched, stored_with_sketches
 from tarmac.operators.skew import next_row
 from tarmac.plans import clean
 from tarmac.plans.facts import booking_facts
@@ -190,6 +190,24 @@ class Roles:
         """For row-level joins, which split frequent bookings."""
         return stored_with_sketches(self.payments, "payments", ["booking_id"])
 
+    @cached_property
+    def wide_bookings(self) -> DataFrame:
+        """Masked bookings with sketches, for the wide table. The notebook variant reads them once, so it stores none of them;
+        its distinct rows have the keys that the rows before had."""
+        if self.variant == "script":
+            return self.stored_bookings
+        rows = clean.prepared_bookings(self.raw_bookings, self.variant, BOOKING_ORDER)
+        return sketched(self.bookings_masked, rows, "bookings", BOOKING_KEYS)
+
+    @cached_property
+    def wide_payments(self) -> DataFrame:
+        """Payments with sketches, for the wide table; stored in the script variant only, which may drop all rows of a booking
+        as further rows of payment ids."""
+        if self.variant == "script":
+            return self.stored_payments
+        rows = clean.valid_payments(self.raw_payments, self.variant, PAYMENT_ORDER)
+        return sketched(self.payments, rows, "payments", ["booking_id"])
+
     @cached_property
     def facts(self) -> DataFrame:
         """Bookings without personal data with what was paid for each, stored with sketches of the keys that reports join by.

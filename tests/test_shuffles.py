@@ -1,7 +1,9 @@
 """What travels: narrow look-ups, hashes as bytes, compressed files. Results stay those of plain joins."""
 
+import datetime as dt
 import hashlib
 import re
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -9,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tables import rows
 from tarmac.functions.masking import packed_hash, unpacked_hash
-from tarmac.operators import heavy, joins
-from tarmac.plans import facts, kpis, refresh
-from tarmac.session import stored
+from tarmac.catalog import QUERIES
+from tarmac.operators import heavy, joins, skew
+from tarmac.plans import clean, facts, kpis, refresh
+from tarmac.roles import PAYMENT_ORDER, TABLE_SCHEMAS, Roles
+from tarmac.session import shared_dir, stored
 from tarmac.sources import writers
 
 
@@ -125,3 +129,69 @@ def test_script_reports_look_carriers_up_once(spark, four):
     seen = kpis.airline_passenger_demographics(paid, flights, y, people)
     assert rows(seen) == rows(kpis.airline_passenger_demographics(before, flights, payments, people))
     assert all("flight_id" not in keys for keys, _ in exchanges(seen))
+
+
+@pytest.fixture(scope="module")
+def untidy(spark, tmp_path_factory):
+    """Tables with frequent bookings, customers and flights, whole-row copies, missing keys and amounts, and bookings all of
+    whose payments are dropped."""
+    base = str(tmp_path_factory.mktemp("untidy"))
+    day = dt.datetime(2024, 1, 1)
+    orders = [(i % 9 or None, [1, i % 5, None][i % 3], "FOP"[i % 3], 1.0, day + dt.timedelta(days=i), f"{i % 2}-HIGH") for i in range(60)]
+    lines = [(i % 11 or None, 1, 1, i % 13, 1.0, [None, float(i)][i % 11 not in (3, 4) and i % 7 > 0], 0.0, 0.0, "ANR"[i % 3], "O", day) for i in range(120)]
+    data = {
+        "orders": orders + orders[:25],
+        "lineitem": lines + lines[20:90],
+        "customer": [(i % 4, f"C{i}", 1, 1.0, "BUILDING") for i in range(7)] * 2,
+        "events": [(i, day + dt.timedelta(minutes=i), i % 3, "vcs"[i % 3], 1.0, "{}") for i in range(40)],
+    }
+    for name, table in data.items():
+        spark.createDataFrame(table, TABLE_SCHEMAS[name]).repartition(3).write.parquet(f"{base}/{name}.parquet")
+    return base
+
+
+def kept_tables(spark, purpose):
+    """Stored tables of a purpose, without the sketches beside them."""
+    base = Path(shared_dir(spark).removeprefix("file:"))
+    return {p.name for p in base.glob(f"{purpose}-*") if "-heavy-" not in p.name}
+
+
+def test_notebook_wide_table_stores_neither_bookings_nor_payments(spark, untidy):
+    before = kept_tables(spark, "bookings") | kept_tables(spark, "payments")
+    assert QUERIES["master_4way_nb"](spark, untidy).count() > 0
+    assert kept_tables(spark, "bookings") | kept_tables(spark, "payments") == before
+
+
+@pytest.mark.parametrize("rows_per_task", [2, 10**7])
+def test_notebook_wide_table_is_that_of_plain_joins(spark, untidy, rows_per_task):
+    r = Roles(spark, untidy, "notebook", rows_per_task)
+    got = joins.master(r.wide_bookings, r.flights, r.wide_payments, r.passengers_masked, rows_per_task, False)
+    flights, people = r.flights, r.passengers_masked
+    side = people.select(*[c for c in joins.PASSENGER_COLUMNS if c in people.columns])
+    wide = r.bookings_masked.join(flights, "flight_id", "left").join(side, "passenger_id", "left").join(r.payments, "booking_id", "left")
+    assert sorted(got.columns) == sorted(wide.columns)
+    assert rows(got) == rows(wide.select(*got.columns))
+    assert got.count() > r.bookings.count()
+
+
+def test_sketches_of_tables_used_once_name_their_keys_only(spark, untidy):
+    r = Roles(spark, untidy, "notebook")
+    for table, key in ((r.wide_payments, "booking_id"), *((r.wide_bookings, k) for k in r.wide_bookings.heavy_keys_at)):
+        own = dict(table.groupBy(key).count().collect())
+        seen = dict(heavy.frequent(table, key).collect())
+        assert seen.keys() == own.keys() and all(seen[k] >= own[k] for k in own)
+    # Bookings without any payment left have no hot key, however many payments they had.
+    assert not {"3", "4"} & {k for k, _ in skew.hot_keys(r.wide_payments, "booking_id", 1).collect()}
+    assert not hasattr(r.payments, "heavy_keys_at")
+
+
+def test_sketch_of_a_table_used_once_shuffles_nothing(spark, untidy):
+    rows_before = clean.valid_payments(Roles(spark, untidy).raw_payments, "notebook", PAYMENT_ORDER).select("booking_id")
+    assert exchanges(rows_before) == []
+    empty = heavy.sketched(rows_before.limit(0), rows_before.limit(0), "none", ["booking_id"])
+    assert rows(empty) == rows(heavy.frequent(empty, "booking_id")) == []
+
+
+def test_marks_of_rows_are_two_bytes_and_differ(spark):
+    marks = [m for (m,) in spark.range(5000).select(joins._mark(spark.range(1))).collect()]
+    assert 0 <= min(marks) and max(marks) < joins.MARKS and len(set(marks)) > 4500
