@@ -4,7 +4,8 @@ The encoding of a prefix is the encoding of a shorter prefix and one more token:
 stands unmerged after the shorter one's last token. So a pass over a word that keeps the last token and the number of
 tokens of each prefix gives all counts, without merging anything. Whether two tokens stay apart is read off the
 vocabulary: no merge of a right part of the first with a left part of the second may come before the merges
-that hide these parts. Words met before are kept in a table of bounded size.
+that hide these parts. Words met before are kept in a table of bounded size. The new words of many texts are
+worked out together, byte by byte: first bytes of all words, then second ones, and so on.
 
 The counts of a document answer how many tokens a prefix has (`tokens_of_prefix`), whether a text keeps a limit
 (`is_within`) and where to cut it (`longest_prefix_within`) as plain column expressions, without encoding again.
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -33,23 +33,28 @@ WORD_END = "</w>"
 NEVER = 2**31
 #: No token yet: the start of a piece, and places not reached.
 FRESH = -1
-#: Between pieces; no byte has this letter.
-BORDER = "\u0100"
+#: Between pieces; no text in UTF-8 has this byte.
+BORDER = 0xFF
 #: White space as the vocabulary's pattern has it: Unicode's White_Space (a fixed value).
 WHITE = r"\t-\r\x20\x85\xA0  -     　"
-#: The vocabulary's split in both cases of letters (a fixed value), and white space as pieces without tokens.
+#: The vocabulary's split in both cases of letters (a fixed value), and white space as pieces without tokens; a single
+#: space before a word goes with it.
 PIECES = (
-    r"'[sStTmMdD]|'(?:[rR][eE]|[vV][eE]|[lL][lL])|\p{L}+|\p{N}"
+    r"'[sStTmMdD]|'(?:[rR][eE]|[vV][eE]|[lL][lL])| ?\p{L}+|\p{N}"
     rf"|[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+"
 )
-BLANK = regex.compile(f"[{WHITE}]+")
+BLANKS = frozenset(regex.findall(f"[{WHITE}]", "".join(map(chr, range(0x3001)))))
 #: The same for texts of ASCII characters only.
-ASCII_PIECES = r"'[sStTmMdD]|'(?:[rR][eE]|[vV][eE]|[lL][lL])|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+|[\t-\r ]+"
+ASCII_PIECES = r"'[sStTmMdD]|'(?:[rR][eE]|[vV][eE]|[lL][lL])| ?[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+|[\t-\r ]+"
 SHORT_FORM = regex.compile(r"'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])")
 #: The one letter that lower case makes two of.
 WIDENED = "İ"
 KEPT_PIECES = 400_000
 KEPT_PAIRS = 2_000_000
+#: Places (a power of two) in the table where many pairs are looked up at once; a place keeps the last pair put there.
+PAIR_BITS = 22
+#: Bytes beyond which a word is worked out alone.
+LONG_WORD = 100
 #: Pieces and characters whose counts are worked out and handed on together; a longer text goes alone.
 STEP_PIECES = 200_000
 OUT_CHARS = 1_000_000
@@ -83,11 +88,8 @@ class PrefixCounts:
                 last = text.endswith(WORD_END) and len(text) > len(WORD_END)
                 raw = bytes(letters[c] for c in (text[: -len(WORD_END)] if last else text))
                 (ending if last else inside)[raw] = token
-        automaton = ahocorasick.Automaton()
-        for raw in inside.keys() | ending.keys():
-            automaton.add_word(raw.decode("latin-1"), (len(raw), inside.get(raw, -1), ending.get(raw, -1)))
-        automaton.make_automaton()
-        self.found = automaton.iter
+        self._trie(inside, ending)
+        self.pairs = np.full(1 << PAIR_BITS, -1, np.int64)
         library = Tokenizer.from_file(vocabulary_path)
         self.normal = library.normalizer.normalize_str
         self.composed = normalizers.NFC().normalize_str
@@ -97,10 +99,36 @@ class PrefixCounts:
         self.joins: set[str] | None = None
         self._forget()
 
+    def _trie(self, inside: dict[bytes, int], ending: dict[bytes, int]) -> None:
+        """The tokens as a tree of bytes: nodes with children come first, so `steps` has rows for them only, and one of zeros."""
+        nodes: dict[bytes, int] = {b"": 0}
+        tokens = inside.keys() | ending.keys()
+        for raw in tokens:
+            for n in range(len(raw), 0, -1):
+                if raw[:n] in nodes:
+                    break
+                nodes[raw[:n]] = 0
+        parents = {raw[:-1] for raw in nodes if raw}
+        ordered = sorted(nodes, key=lambda raw: (raw not in parents, raw))
+        for i, raw in enumerate(ordered):
+            nodes[raw] = i
+        self.parents = len(parents)
+        self.steps = np.zeros((self.parents + 1) << 8, np.int32)
+        for raw, i in nodes.items():
+            if raw and raw[-1] != BORDER:
+                self.steps[nodes[raw[:-1]] << 8 | raw[-1]] = i
+        self.inside = np.array([inside.get(raw, -1) for raw in ordered], np.int32)
+        self.ending = np.array([ending.get(raw, -1) for raw in ordered], np.int32)
+
     def _forget(self) -> None:
-        """An empty table of pieces: numbers, counts of all prefixes in order of number, and where each one's end."""
-        self.number: dict[str, int] = {}
-        self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        """A table of pieces with nothing but the empty one: numbers, counts of prefixes in order of number, and their ends.
+
+        The empty piece stands for the empty prefix; it has the count 0. No other piece has an entry for it.
+        """
+        self.number = _Numbers()
+        self.number[""]
+        self.number.new.clear()
+        self.flat, self.ends = np.zeros(1, np.int32), np.array([0, 1])
 
     def _parts(self, token: int, side: int, kept: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
         """The parts at one end of a token, each with the rank of the merge that hides it."""
@@ -134,86 +162,146 @@ class PrefixCounts:
             known = self.apart[key] = not self._crossed(a, b)
         return known
 
-    def words(self, texts: list[str]) -> list[list[int]]:
+    def _all_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """`_stay_apart` of many pairs, most of which were met before."""
+        keys = a.astype(np.int64) << 20 | b
+        places = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).view(np.int64)
+        kept = self.pairs[places]
+        unknown = np.flatnonzero(kept >> 1 != keys)
+        if len(unknown):
+            new, at = np.unique(keys[unknown], return_inverse=True)
+            stays = np.array([self._stay_apart(k >> 20, k & 0xFFFFF) for k in new.tolist()])[at]
+            kept[unknown] = keys[unknown] << 1 | stays
+            self.pairs[places[unknown]] = kept[unknown]
+        return (kept & 1).astype(bool)
+
+    def _found(self, line: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Tokens in the line, shorter ones first: first byte, byte after the last, node of the tree."""
+        starts, ends, nodes = [], [], []
+        at = np.arange(len(line))
+        node = np.zeros(len(line), np.int32)
+        size = 0
+        while len(at):
+            node = self.steps[np.minimum(node, self.parents) << 8 | line[at + size]]
+            alive = np.flatnonzero(node)
+            at, node, size = at[alive], node[alive], size + 1
+            is_token = np.flatnonzero((self.inside[node] >= 0) | (self.ending[node] >= 0))
+            starts.append(at[is_token])
+            ends.append(at[is_token] + size)
+            nodes.append(node[is_token])
+            going = np.flatnonzero(node < self.parents)
+            at, node = at[going], node[going]
+        return tuple(map(np.concatenate, (starts, ends, nodes)))
+
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each piece and each of its prefixes that ends after a character, the tokens the prefix has as a word.
 
-        All pieces go through the automaton of the vocabulary in one string; it gives the tokens that end at each byte.
+        All pieces go through the vocabulary's tree in one line, and then byte by byte through the tokens found: of those
+        that end at a byte, the longest that stands apart from the token before it counts. Counts come in one array, with
+        their number for each piece.
         """
         raw = [(t.lower() if t.isascii() else self.normal(t)).encode() for t in texts]
-        line = BORDER.join(r.decode("latin-1") for r in raw)
-        count, last, ended = [0] * (len(line) + 1), [FRESH] * (len(line) + 1), [0] * (len(line) + 1)
-        apart = self.apart
-        for end, (size, inside, ending) in self.found(line) if line else ():
-            i, j = end + 1, end + 1 - size
-            before = last[j]
-            if ending >= 0 and not ended[i]:
-                stays = before == FRESH or apart.get(before << 20 | ending)
-                if stays is None:
-                    stays = self._stay_apart(before, ending)
-                if stays:
-                    ended[i] = count[j] + 1
-            if inside >= 0 and last[i] == FRESH:
-                stays = before == FRESH or apart.get(before << 20 | inside)
-                if stays is None:
-                    stays = self._stay_apart(before, inside)
-                if stays:
-                    last[i], count[i] = inside, count[j] + 1
-        out, at = [], 0
-        for r in raw:
-            own = ended[at + 1 : at + len(r) + 1]
-            if not r.isascii():
-                own = [n for n, after in zip(own, [*r[1:], 0], strict=True) if after & 0xC0 != 0x80]
-            out.append(own)
-            at += len(r) + 1
-        return out
-
-    def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Counts of prefixes of pieces of all kinds."""
-        out = dict(zip(pieces, self.words(pieces), strict=True))
-        for piece in pieces:
-            if BLANK.fullmatch(piece):
-                out[piece] = [0] * len(piece)
-            elif len(piece) == 3 and SHORT_FORM.fullmatch(piece):
-                # Cut after two characters it is no short form but a quote and a letter.
-                (quote,), (letter,) = self.words(["'", piece[1]])
-                out[piece] = [quote, quote + letter, out[piece][-1]]
-        return [out[p] for p in pieces]
+        line = np.frombuffer(bytes([BORDER]).join(raw) + bytes([BORDER]), np.uint8)
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        begin = np.cumsum(size + 1) - size - 1
+        count, last = np.zeros(len(line), np.int32), np.full(len(line), FRESH, np.int32)
+        ended = np.zeros(len(line), np.int32)
+        starts, ends, nodes = self._found(line)
+        inside, ending = self.inside[nodes], self.ending[nodes]
+        depth = ends - np.repeat(begin, size + 1)[starts]
+        long = np.repeat(size > LONG_WORD, size + 1)[starts]
+        if long.any():
+            self._long(starts[long], ends[long], inside[long], last, count)
+        going = np.flatnonzero(~long & (inside >= 0))
+        going = going[np.argsort(depth[going].astype(np.uint8), kind="stable")]
+        borders = np.cumsum(np.bincount(depth[going], minlength=1)).tolist()
+        for first, end in zip(borders, borders[1:], strict=False):
+            j, i, token = starts[going[first:end]], ends[going[first:end]], inside[going[first:end]]
+            stays = self._stand(last[j], token)
+            j, i = j[stays], i[stays]
+            # Of several tokens the last written counts, which is the longest.
+            last[i], count[i] = token[stays], count[j] + 1
+        over = np.flatnonzero(ending >= 0)
+        over = over[self._stand(last[starts[over]], ending[over])]
+        ended[ends[over]] = count[starts[over]] + 1
+        # The count of a prefix lies at the byte after it, which is none within a character.
+        whole = line & 0xC0 != 0x80
+        whole[begin] = False
+        own = np.add.reduceat(whole, begin, dtype=np.int64) if len(raw) else size
+        # A piece's last byte is followed by a border, whose place has the count of the whole piece.
+        return ended[whole], own
+
+    def _stand(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether tokens stand after the ones before them, or first."""
+        stays = before == FRESH
+        later = np.flatnonzero(~stays)
+        stays[later] = self._all_apart(before[later], token[later])
+        return stays
+
+    def _long(self, starts: np.ndarray, ends: np.ndarray, tokens: np.ndarray, last: np.ndarray, count: np.ndarray) -> None:
+        """Fills in last tokens and their numbers for long words, token by token."""
+        order = np.lexsort((starts, ends))
+        own_last, own_count = {}, {}
+        for j, i, token in zip(*(x[order].tolist() for x in (starts, ends, tokens)), strict=True):
+            if token >= 0 and i not in own_last:
+                before = own_last.get(j, FRESH)
+                if before == FRESH or self._stay_apart(before, token):
+                    own_last[i], own_count[i] = token, own_count.get(j, 0) + 1
+        at = np.fromiter(own_last, np.int64, len(own_last))
+        last[at] = np.fromiter(own_last.values(), np.int32, len(at))
+        count[at] = np.fromiter(own_count.values(), np.int32, len(at))
 
     def cut(self, text: str) -> list[str]:
         return self.cut_ascii(text) if text.isascii() else self.cut_any(text)
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.number) + len(pieces) > KEPT_PIECES:
+    def _learn(self, new: list[str]) -> None:
+        """Counts of prefixes of new pieces of all kinds, in order of their numbers."""
+        blank = [p[-1] in BLANKS for p in new]
+        # White space, alone or before a word, has no tokens.
+        spaces = np.array([len(p) if b else p[0] == " " for p, b in zip(new, blank, strict=True)], np.int64)
+        counts, own = self.words(["" if b else p[p[0] == " " :] for p, b in zip(new, blank, strict=True)])
+        ends = np.cumsum(spaces + own)
+        flat = np.zeros(int(ends[-1]), np.int32)
+        before = np.cumsum(own) - own
+        flat[np.arange(len(counts)) + np.repeat(ends - own - before, own)] = counts
+        for k, piece in enumerate(new):
+            if len(piece) == 3 and piece[0] == "'" and SHORT_FORM.fullmatch(piece):
+                # Cut after two characters it is no short form but a quote and a letter.
+                quote, letter = self.words(["'", piece[1]])[0].tolist()
+                flat[ends[k] - 3 : ends[k] - 1] = quote, quote + letter
+        n = len(self.number)
+        first = int(self.ends[n - len(new)])
+        self.ends = _with_room(self.ends, n + 1)
+        self.ends[n - len(new) + 1 : n + 1] = first + ends
+        self.flat = _with_room(self.flat, first + len(flat))
+        self.flat[first : first + len(flat)] = flat
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of pieces in the table, which learns the new ones."""
+        if len(self.number) > KEPT_PIECES:
             self._forget()
-        new = [p for p in pieces if p not in self.number]
-        counts = self._pieces(new)
-        first = len(self.number)
-        self.number.update(zip(new, range(first, first + len(new)), strict=True))
-        lengths = np.fromiter(map(len, counts), np.int64, len(counts))
-        ends = self.ends[first] + np.cumsum(lengths)
-        self.ends = _with_room(self.ends, first + len(new) + 1)
-        self.ends[first + 1 : first + len(new) + 1] = ends
-        self.flat = _with_room(self.flat, int(ends[-1]))
-        self.flat[ends[0] - lengths[0] : ends[-1]] = np.fromiter(chain.from_iterable(counts), np.int32, int(lengths.sum()))
+        numbers = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        if self.number.new:
+            self._learn(self.number.new)
+            self.number.new.clear()
+        return numbers
+
+    def _counts(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of prefixes of the numbered pieces as one text, and the tokens before each piece and after the last."""
+        start, end = self.ends[numbers], self.ends[numbers + 1]
+        n = end - start
+        before = np.append(0, np.cumsum(self.flat[end - 1], dtype=np.int64))
+        places = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return self.flat[places] + np.repeat(before[:-1].astype(np.int32), n), before
 
     def _plain(self, text: str) -> np.ndarray:
         """Counts of prefixes 1, 2, ... of a text in which every character has a lower-case form of its own."""
         pieces = self.cut(text)
         out, at, before = np.empty(len(text), np.int32), 0, 0
         for first in range(0, len(pieces), STEP_PIECES):
-            part = pieces[first : first + STEP_PIECES]
-            new = set(part).difference(self.number)
-            if new:
-                self._learn(set(part))
-            numbers = np.fromiter(map(self.number.__getitem__, part), np.int64, len(part))
-            start, end = self.ends[numbers], self.ends[numbers + 1]
-            n, total = end - start, self.flat[end - 1]
-            sums = np.cumsum(n)
-            size = int(sums[-1])
-            places = np.repeat(start - (sums - n), n) + np.arange(size)
-            tokens_before = before + np.cumsum(total) - total
-            out[at : at + size] = self.flat[places] + np.repeat(tokens_before, n)
-            at, before = at + size, int(tokens_before[-1] + total[-1])
+            counts, own = self._counts(self._numbers(pieces[first : first + STEP_PIECES]))
+            out[at : at + len(counts)] = counts + np.int32(before)
+            at, before = at + len(counts), before + int(own[-1])
         return out
 
     def _units(self, text: str) -> list[tuple[str, str]]:
@@ -230,12 +318,16 @@ class PrefixCounts:
             out.extend(zip(own, own, strict=True) if own == made else [(own, made)])
         return out if "".join(m for _, m in out) == self.composed(text) else [(text, self.composed(text))]
 
-    def _segment(self, text: str) -> np.ndarray:
-        """Counts of prefixes of a text without special tokens; -1 inside what normalisation joins."""
+    def _is_plain(self, text: str) -> bool:
+        """Whether normalisation leaves every character a character of its own."""
         if text.isascii():
-            return self._plain(text)
+            return True
         composed = unicodedata.is_normalized("NFC", text) and (max(text) < "\U00010000" or self.composed(text) == text)
-        if composed and WIDENED not in text:
+        return composed and WIDENED not in text
+
+    def _segment(self, text: str) -> np.ndarray:
+        """Counts of prefixes of a text without special tokens; -1 inside what normalisation joins."""
+        if self._is_plain(text):
             return self._plain(text)
         units = [(own, made.replace(WIDENED, "i̇")) for own, made in self._units(text)]
         counts = np.append(0, self._plain("".join(made for _, made in units)))
@@ -264,6 +356,31 @@ class PrefixCounts:
                 before = int(counts[-1])
         return np.concatenate(out)
 
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """`text` of each. Their new pieces are learned together; plain texts also get their counts together."""
+        plain, others, firsts, pieces, more = [], [], [], [], []
+        for i, text in enumerate(texts):
+            special = self.special is not None and self.special.search(text) is not None
+            if len(text) < OUT_CHARS and not special and self._is_plain(text):
+                plain.append(i)
+                firsts.append(len(pieces))
+                pieces.append("")
+                pieces += self.cut(text)
+            else:
+                others.append(i)
+                if len(text) < OUT_CHARS:
+                    more += self.cut(self.composed(text))
+        numbers = self._numbers(pieces + more)[: len(pieces)]
+        out = dict.fromkeys(range(len(texts)), np.empty(0, np.int32))
+        if plain:
+            counts, before = self._counts(numbers)
+            at = 0
+            for i, base in zip(plain, before[firsts].tolist(), strict=True):
+                out[i] = counts[at : at + len(texts[i]) + 1] - np.int32(base)
+                at += len(out[i])
+        out.update((i, self.text(texts[i])) for i in others)
+        return list(out.values())
+
 
 def _with_room(array: np.ndarray, size: int) -> np.ndarray:
     """The array, moved to twice the room where the size asks for more."""
@@ -274,6 +391,19 @@ def _with_room(array: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Pieces by number, in the order in which they were first asked for; `new` lists those not yet learned."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 _models: dict[str, PrefixCounts] = {}
 
 
@@ -302,17 +432,18 @@ def prefix_token_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = model(vocabulary_path)
         for batch in batches:
-            first, lists, chars = 0, [], 0
+            first, texts, chars = 0, [], 0
             for i, text in enumerate(batch.column(2).to_pylist(), 1):
-                lists.append(counter.text(text))
+                texts.append(text)
                 chars += len(text)
                 if chars >= OUT_CHARS or i == batch.num_rows:
+                    lists = counter.texts(texts)
                     ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                     flat = np.concatenate(lists)
                     column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, mask=flat < 0))
                     own = batch.slice(first, i - first)
                     yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), column], names=["id", "n_bytes", "counts"])
-                    first, lists, chars = i, [], 0
+                    first, texts, chars = i, [], 0
 
     body = empty_for_null(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(body).cast("bigint").alias("n_bytes"), body.alias("body"))

@@ -57,6 +57,22 @@ def test_counts_survive_forgetting(library, monkeypatch):
         assert own.text(text)[-1] == library(text)
 
 
+def test_texts_are_worked_out_together(library):
+    """New words of many texts, a long one too, go through the vocabulary in one step instead of one for each text."""
+    own, asked = token_counts.PrefixCounts(PATH), []
+    words = own.words
+    own.words = lambda pieces: asked.append(len(pieces)) or words(pieces)
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("abcdeé '\n1", k=60)) for _ in range(200)]
+    texts += ["", " ", " word", "word", "two  spaces", "x" * 50 + "unbelievable" * 20, "a\u0301 joined", "İ", "a <|endoftext|> b"]
+    got = own.texts(texts)
+    assert sum(n > 2 for n in asked) <= 5
+    for text, counts in zip(texts, got, strict=True):
+        assert len(counts) == len(text) + 1
+        assert all(n in (-1, library(text[:p])) for p, n in enumerate(counts)), text
+        assert counts[-1] >= 0
+
+
 def test_odd_rows(spark, library):
     long = "A very long text, isn't it? " * 20_000 + "x" * 50_000
     texts = [(1, None, "u"), (2, "", "v"), (2, "", "v"), (None, "Hello wörld", None), (3, long, "w")]
