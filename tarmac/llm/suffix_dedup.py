@@ -6,7 +6,8 @@ strings around an anchor that occurs twice can repeat. Such an anchor and the st
 are one stretch of text, a context; each string of a document is in exactly one context. Equal
 contexts are counted before anything else, within each task first, so copies do not travel.
 
-Distinct contexts are dealt to shards by their anchor. Each shard builds the suffix array of its contexts
+Distinct contexts are dealt to shards by their anchor. No two strings of one context are equal, so the only context
+of an anchor repeats as a whole if it has copies. Each shard builds the suffix array of its other contexts
 (refinement of groups by doubling, as Larsson and Sadakane do, leaving out suffixes that are already
 alone) and common prefixes of neighbours (Kasai's relation between the prefixes of one position and
 the next). Strings that share `length` bytes are neighbours in it. The contexts of one very common
@@ -216,11 +217,25 @@ def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> t
 
 
 def _shard(length: int):
-    """Runs of repeated starts in a shard's contexts."""
+    """Runs of repeated starts in a shard's contexts.
+
+    All strings of a context have the one anchor at different places, so no two of them are equal. Where an anchor has
+    one distinct context, all its strings repeat if the context does, or none; there is nothing to sort.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        at, first, last = repeated_starts(group["context"].tolist(), group["n"].to_numpy(), length)
-        keys = group[["key", "key_2"]].iloc[at].reset_index(drop=True)
+        counts = group["n"].to_numpy()
+        _, own, contexts = np.unique(group["anchor"].to_numpy(), return_inverse=True, return_counts=True)
+        single = contexts[own] == 1
+        copied, several = np.flatnonzero(single & (counts > 1)), np.flatnonzero(~single)
+        context = group["context"].to_numpy()
+        whole = np.fromiter(map(len, context[copied]), np.int64, len(copied)) - length
+        at = first = last = np.empty(0, np.int64)
+        if len(several):
+            at, first, last = repeated_starts(context[several].tolist(), counts[several], length)
+            at = several[at]
+        keys = group[["key", "key_2"]].iloc[np.concatenate([copied, at])].reset_index(drop=True)
+        first, last = np.concatenate([np.zeros(len(copied), np.int64), first]), np.concatenate([whole, last])
         return keys.assign(first=first.astype(np.int32), last=last.astype(np.int32))
 
     return run
@@ -342,7 +357,7 @@ def remove_repeats(
     dealt = dealt.withColumn(
         "shard", F.pmod(F.xxhash64("anchor", F.pmod("key", "parts")), F.lit(shards))
     )
-    spans = dealt.groupBy("shard").applyInPandas(_shard(length), "key bigint, key_2 bigint, first int, last int")
+    spans = dealt.select("shard", "anchor", "context", "key", "key_2", "n").groupBy("shard").applyInPandas(_shard(length), "key bigint, key_2 bigint, first int, last int")
     marked = dealt.filter("parts > 1").select("anchor", "parts", "key", "key_2", "context")
     marked = marked.mapInArrow(
         _string_marks(length), "anchor bigint, parts bigint, key bigint, key_2 bigint, at int, mark bigint"

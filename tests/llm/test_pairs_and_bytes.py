@@ -204,6 +204,19 @@ def test_repeated_rows_and_missing_ids(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_only_context_of_an_anchor_is_not_sorted(monkeypatch):
+    sorted_bytes, array = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, depth: sorted_bytes.append(len(text)) or array(text, depth))
+    contexts = [b"0123456789ab", b"once only", b"abcdefghXY", b"abcdefghZ", b"shortest"]
+    frame = {"anchor": [5, 6, 7, 7, 8], "context": contexts, "n": [3, 1, 1, 1, 2], "key": range(5), "key_2": range(5)}
+    group = suffix_dedup.pd.DataFrame(frame)
+    got = suffix_dedup._shard(8)(group)
+    assert {tuple(r) for r in got[["key", "first", "last"]].to_numpy().tolist()} == {(0, 0, 4), (2, 0, 0), (3, 0, 0), (4, 0, 0)}
+    assert sorted_bytes == [19]
+    assert len(suffix_dedup._shard(8)(group.iloc[[0, 1]])) == 1 and len(suffix_dedup._shard(8)(group.iloc[[1]])) == 0
+    assert sorted_bytes == [19]
+
+
 def test_sections_of_long_texts(monkeypatch):
     rng = np.random.default_rng(3)
     data = rng.integers(97, 100, 5000).astype(np.uint8)
