@@ -11,6 +11,7 @@ document that doesn't fit is cut and its rest seeds the next window, so only the
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -30,11 +31,18 @@ SHARD_DOCS = 256
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 END = 0
+#: Weights are laid out as a table of tokens and documents where it has at most so many fields for each one that is filled.
+TABLE_SHARE = 16
 KEPT_PIECES = 300_000
 #: Characters beyond which a text is encoded piece by piece.
 LONG_TEXT = 300_000
 OUT_TOKENS = 500_000
 SORT_TOKENS = 4
+#: Ends of patterns that leave the last of several white-space characters to the word after them, and what is the same
+#: for texts in which no two of them meet; the library is faster without looking ahead.
+LOOKING_AHEAD, PLAIN = r"|\s+(?!\S)|\s+", r"|\s+"
+#: Python counts all white space of the library's patterns as such, and a few characters more.
+SPACES = re.compile(r"\s\s")
 #: A special token that is never allowed, so its string in a text is text like any other.
 UNUSED_SPECIAL = "<|unused|>"
 
@@ -52,7 +60,8 @@ class Pieces:
     Pieces are encoded one by one, which the byte-level pre-tokenizer does itself; texts that hold the string
     of a special token go to the tokenizer as a whole. Where the tokenizer's ids are the ranks of its merges, a
     rank encoder made from its own vocabulary encodes them, which takes a tenth of the time; it takes texts as a
-    whole, but for very long ones, for which its own search for pieces needs too much memory.
+    whole, but for very long ones, for which its own search for pieces needs too much memory. A second one, whose pattern
+    looks nowhere ahead, takes texts without neighbouring white space.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -74,6 +83,11 @@ class Pieces:
             none = {UNUSED_SPECIAL: max(ranks.values()) + 1}
             own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=none)
             self.one, self.whole = own.encode_ordinary, lambda text: own.encode_to_numpy(text, disallowed_special=())
+            self.plain = self.whole
+            if pattern.endswith(LOOKING_AHEAD):
+                plain = pattern.removesuffix(LOOKING_AHEAD) + PLAIN
+                plain = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens=none)
+                self.plain = lambda text: plain.encode_to_numpy(text, disallowed_special=())
         else:
             self.one, self.whole = lambda piece: self.tokenizer.encode(piece, add_special_tokens=False).ids, None
 
@@ -81,7 +95,7 @@ class Pieces:
         if any(s in text for s in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         if self.whole is not None and len(text) <= LONG_TEXT:
-            return self.whole(text)
+            return self.whole(text) if SPACES.search(text) else self.plain(text)
         kept = self.kept
         if len(kept) > KEPT_PIECES:
             kept.clear()
@@ -97,6 +111,13 @@ class Pieces:
 _tokenizers: dict[tuple[str, str], Pieces] = {}
 
 
+def _distinct(ranks: np.ndarray, stamp: np.ndarray) -> np.ndarray:
+    """The distinct ranks in any order, without sorting: each at the last place that writes its stamp."""
+    places = np.arange(len(ranks))
+    stamp[ranks] = places
+    return ranks[stamp[ranks] == places]
+
+
 def _tokens(path: str, pattern: str, kind: str, size: int):
     """Ids and place of every row. A task's last row has instead its documents per token, its documents and all its tokens."""
 
@@ -111,6 +132,7 @@ def _tokens(path: str, pattern: str, kind: str, size: int):
         rank[by_hash] = np.arange(size)
         ordered = hashes[by_hash].astype(">u8")
         seen = np.zeros(size, np.int64)
+        stamp = np.zeros(size, np.int64)
         docs = tokens = 0
         names = ["id", "ids", "place", "seen"]
         id_kind = pa.null()
@@ -118,10 +140,13 @@ def _tokens(path: str, pattern: str, kind: str, size: int):
             id_kind = batch.column(0).type
             first, ids, keys, total = 0, [], [], 0
             for i, text in enumerate(batch.column(1).to_pylist(), 1):
-                own = np.append(encode(text), END).astype(kind)
-                distinct = np.unique(rank[own])
+                found = encode(text)
+                own = np.full(len(found) + 1, END, kind)
+                own[:-1] = found
+                distinct = _distinct(rank[own], stamp)
                 seen[distinct] += 1
-                keys.append(ordered[distinct[:SORT_TOKENS]].tobytes())
+                least = distinct if len(distinct) <= SORT_TOKENS else np.partition(distinct, SORT_TOKENS - 1)[:SORT_TOKENS]
+                keys.append(ordered[np.sort(least)].tobytes())
                 ids.append(own.tobytes())
                 total += len(own)
                 if total >= OUT_TOKENS or i == batch.num_rows:
@@ -151,15 +176,15 @@ class Shard:
     """Inverted index of a few hundred documents: postings by token with their BM25 weights."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        rows, tokens, counts = [], [], []
-        for row, ids in enumerate(docs):
-            token, count = np.unique(ids, return_counts=True)
-            rows.append(np.full(len(token), row))
-            tokens.append(token)
-            counts.append(count)
-        self.terms = tokens
-        row, token, count = np.concatenate(rows), np.concatenate(tokens), np.concatenate(counts)
         length = np.array([len(ids) for ids in docs])
+        both = np.repeat(np.arange(len(docs)), length) << 32
+        both |= np.concatenate(docs)
+        # Sorted by document and token; equal pairs are counted.
+        both.sort()
+        at = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        count = np.diff(np.append(at, len(both)))
+        row, token = both[at] >> 32, both[at] & 0xFFFFFFFF
+        self.terms = np.split(token, np.flatnonzero(row[1:] != row[:-1]) + 1)
         norm = K1 * (1 - B + B * length[row] / mean_length)
         weight = idf[token] * count * (K1 + 1) / (count + norm)
         order = np.argsort(token, kind="stable")
@@ -167,14 +192,21 @@ class Shard:
         self.token, self.first = np.unique(token[order], return_index=True)
         self.last = np.append(self.first[1:], len(order))
         self.n = len(docs)
+        # Where documents share most of their tokens, rows of weights are added faster than postings.
+        self.table = None
+        if len(self.token) * self.n <= TABLE_SHARE * len(order):
+            self.table = np.zeros((len(self.token), self.n))
+            self.table[np.repeat(np.arange(len(self.token)), self.last - self.first), self.row] = self.weight
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
-        """BM25 score of every document for the distinct tokens of a seed."""
+        """BM25 score of every document for the distinct tokens of a seed, added in the order of the tokens."""
         at = np.searchsorted(self.token, terms)
         at = at[(at < len(self.token)) & (self.token[np.minimum(at, len(self.token) - 1)] == terms)]
-        first, n = self.first[at], self.last[at] - self.first[at]
-        if not len(n):
+        if not len(at):
             return np.zeros(self.n)
+        if self.table is not None:
+            return self.table[at].sum(axis=0)
+        first, n = self.first[at], self.last[at] - self.first[at]
         postings = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         return np.bincount(self.row[postings], self.weight[postings], self.n)
 

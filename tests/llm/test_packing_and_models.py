@@ -79,6 +79,39 @@ def test_long_texts_are_encoded_by_pieces_alike(monkeypatch):
     assert list(whole) == list(parts) == Tokenizer.from_file(PACKING).encode(text, add_special_tokens=False).ids
 
 
+def test_single_white_space_needs_no_looking_ahead():
+    pieces, library = packing.Pieces(PACKING, public_tokenizers.PATTERN), Tokenizer.from_file(PACKING)
+    rng = random.Random(6)
+    parts = [" ", "  ", "\n", "\x85", "\x1c", "\x1f", "\xa0", "\u3000", "\u200b", "a", "the", "'s", "'ll", "É", "1", "!", "漢"]
+    for text in ["", " ", "a ", " a", "\n", *("".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000))]:
+        assert list(pieces.encode(text)) == library.encode(text, add_special_tokens=False).ids, repr(text)
+    asked = []
+    pieces.whole = lambda text: asked.append(text) or []
+    text = "Plain words, it's 12345 é漢\U0001f600\nx\x85y "
+    assert list(pieces.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert asked == [] and list(pieces.encode("two  spaces")) == [] and asked == ["two  spaces"]
+
+
+def test_scores_from_table_and_postings_are_equal(monkeypatch):
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 200, n).astype(np.uint16) for n in rng.integers(1, 400, 60)]
+    idf = rng.random(201)
+    table = packing.Shard(docs, idf, 100.0)
+    monkeypatch.setattr(packing, "TABLE_SHARE", 0)
+    postings = packing.Shard(docs, idf, 100.0)
+    assert table.table is not None and postings.table is None
+    for terms in [*table.terms, np.array([200]), np.array([5, 200])]:
+        assert table.scores(terms).tolist() == postings.scores(terms).tolist()
+
+
+def test_distinct_ranks():
+    rng = np.random.default_rng(3)
+    stamp = np.zeros(50, np.int64)
+    for n in (0, 1, 7, 300):
+        ranks = rng.integers(0, 50, n)
+        assert np.sort(packing._distinct(ranks, stamp)).tolist() == np.unique(ranks).tolist()
+
+
 def test_shard_scores_are_bm25():
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 30, n).astype(np.uint16) for n in (3, 10, 40, 1)]
