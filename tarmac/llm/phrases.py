@@ -3,9 +3,11 @@
 A phrase can only be frequent if the shorter phrases in it are. Level by level, hashes of the phrases whose shorter
 phrases may be frequent are counted by shard and summed by Spark; those with enough occurrences set bits in a bitmap
 of fixed size. Hashes and bits that fall together only let more through, so what the bitmaps let through holds every
-frequent phrase. These candidates, as text and in order, go into double-array tries of bounded size, which are broadcast
-one at a time; a trie holds a range of them, so most words are none of its beginnings. In each shard numpy moves the trie states of all word positions one byte at a time and counts the accepting
-states; the sums over shards are the exact counts that everything after rests on.
+frequent phrase. In one more pass over the texts these phrases travel as text, each once with its count for some MB of
+text, to the part that their hash gives. Every part puts the different phrases that it gets, in order, into double-array
+tries of bounded size; numpy moves the trie states of all of them one byte at a time, and the counts of those that come
+to an accepting state add up to the exact counts that everything after rests on. The number of passes over the
+texts is that of the levels and one, however many phrases are frequent.
 """
 
 from __future__ import annotations
@@ -15,31 +17,33 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarmac.llm.common import empty_for_null
 from tarmac.llm.hashing import from_planes, group_starts, joined, planes, prefix_sums, slices, stretch_hashes
-from tarmac.session import fresh_folder, stored
+from tarmac.session import stored
 
 SPACE, PIECE_END = 32, 10
 #: Bits of a level's bitmap, as a power of two: 8 MB, whatever the corpus.
 BITMAP_POWER = 26
 #: Bits of a phrase's hash. Phrases that share one only add candidates; fewer bits take less room in shuffles.
 HASH_POWER = 44
-#: Candidates and bytes of one trie. More candidates mean more tries and passes, not larger ones.
+#: Phrases and bytes of one trie. More phrases in a part mean more tries, not larger ones.
 TRIE_PHRASES = 500_000
 TRIE_BYTES = 12_000_000
+#: Phrases that go through a trie together.
+WALKED = 500_000
 SLICE_BYTES = 1_000_000
-#: Hashes that a task counts together before it hands them on.
+#: Hashes or phrases that a task counts together before it hands them on, and languages of phrases.
 BUFFERED = 1_500_000
-#: Bytes of text for each group that sums hashes, and the least number of groups.
+BUFFERED_LANGS = 20_000
+#: Bytes of text for each group that sums hashes or the counts of phrases of a level, and the least number of groups.
 SUM_BYTES = 10_000_000
 SUM_PARTS = 32
-#: Phrases of late that a task knows again, as a power of two.
-KNOWN_POWER = 22
 #: Parts of a language that are ranked by themselves first.
 RANK_PARTS = 64
 UNKNOWN_LANG = "und"
@@ -179,28 +183,83 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def _candidates(texts: DataFrame, longest: int, bitmaps: list) -> DataFrame:
-    """The different phrases that the bitmaps let through, with their language."""
+def _tally(keys: np.ndarray, data: np.ndarray, begin: np.ndarray, size: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each of the different stretches of `data`, in order of their keys, and the sum of its `times`.
+
+    Equal stretches have equal keys; where keys are equal the bytes decide, eight at a time. `data` has seven bytes more
+    than the stretches need. Of stretches that share a key but differ, one may be given more than once, with a part of its sum.
+    """
+    order = np.argsort(keys)
+    new = np.ones(len(order), bool)
+    at = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    at = at[size[order[at]] == size[order[at + 1]]]
+    left, right, rest = begin[order[at]], begin[order[at + 1]], size[order[at]]
+    eight = np.ndarray(max(0, len(data) - 7), "<u8", data, 0, (1,))
+    while len(at):
+        # The bytes after a stretch, the higher ones of its last eight, are shifted out.
+        same = (eight[left] ^ eight[right]) << (8 * np.maximum(8 - rest, 0)).astype(np.uint64) == 0
+        new[at[same & (rest <= 8)] + 1] = False
+        go = same & (rest > 8)
+        at, left, right, rest = at[go], left[go] + 8, right[go] + 8, rest[go] - 8
+    starts = np.flatnonzero(new)
+    return order[starts], np.add.reduceat(times[order], starts) if len(starts) else times[:0]
+
+
+def _stretches(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the stretches one after the other, and where each begins; at last, where the last one ends."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return data[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+def _met(texts: DataFrame, longest: int, bitmaps: list, parts: int) -> DataFrame:
+    """The phrases that the bitmaps let through and how often they were met, many of a part and language to a row: each
+    phrase is followed by a line end, its count has four bytes. A level has so many parts, which are ranges of hashes."""
+    power = np.uint64(HASH_POWER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [b.value for b in bitmaps]
-        # What this task has handed on lately it needn't again; Spark removes other repeats.
-        known = np.zeros(1 << KNOWN_POWER, np.uint64)
+        codes: dict[str, int] = {}
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def counted() -> pa.RecordBatch:
+            keys, data, n, times = (np.concatenate(x) for x in zip(*held, strict=True))
+            begin = np.cumsum(n) - n
+            first, times = _tally(keys, np.append(data, np.zeros(7, np.uint8)), begin, n, times)
+            data, ends = _stretches(data, begin[first], n[first])
+            keys = keys[first]
+            own, rank = keys >> power, ((keys & np.uint64((1 << HASH_POWER) - 1)) * np.uint64(parts)) >> power
+            at = group_starts(own * np.uint64(parts) + rank)
+            own, rank, at = own[at].astype(np.int64), rank[at].astype(np.int64), np.append(at, len(first))
+            binary = lambda offsets, x: pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(own), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(x))]
+            ).cast(pa.binary())
+            part, lang = own % longest * parts + rank, pa.array(list(codes), pa.string()).take(pa.array(own // longest))
+            columns = [pa.array(part), lang, binary(ends[at], data), binary(4 * at, times.astype("<u4").view(np.uint8))]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "lang", "phrases", "counts"])
+
         for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
             words, langs = Words(data, offsets), _lang_hashes(batch.column(0))
-            for level, (at, hashes) in enumerate(_levels(words, langs, longest, bits), 1):
-                new = known[(hashes >> np.uint64(HASH_POWER - KNOWN_POWER)).astype(np.int64)] != hashes
-                hashes, first = np.unique(hashes[new], return_index=True)
-                known[(hashes >> np.uint64(HASH_POWER - KNOWN_POWER)).astype(np.int64)] = hashes
-                at = at[new][first]
-                begin, n = words.start[at], words.ends(level)[at] - words.start[at]
-                ends = np.concatenate([[0], np.cumsum(n)])
-                text = words.bytes[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
-                phrases = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text))
-                own = batch.column(0).take(pa.array(words.row[at]))
-                yield pa.RecordBatch.from_arrays([own.cast(pa.string()), phrases.cast(pa.string())], names=["lang", "phrase"])
+            coded = batch.column(0).dictionary_encode()
+            known = np.array([codes.setdefault(x, len(codes)) for x in coded.dictionary.to_pylist()], np.uint64)
+            code = known[coded.indices.to_numpy(zero_copy_only=False)] * np.uint64(longest)
+            bytes_ = np.append(words.bytes, np.zeros(7, np.uint8))
+            for level, (at, hashes) in enumerate(_levels(words, langs, longest, bits)):
+                keys = ((code[words.row[at]] + np.uint64(level)) << power) + hashes
+                begin = words.start[at]
+                n = words.ends(level + 1)[at] - begin
+                first, times = _tally(keys, bytes_, begin, n, np.ones(len(at), np.int64))
+                text, ends = _stretches(bytes_, begin[first], n[first] + 1)
+                text[ends[1:] - 1] = PIECE_END
+                held.append((keys[first], text, n[first] + 1, times))
+                size += len(first)
+            if size >= BUFFERED or len(codes) >= BUFFERED_LANGS:
+                yield counted()
+                codes, held, size = {}, [], 0
+        if size:
+            yield counted()
 
-    return texts.mapInArrow(run, "lang string, phrase string").distinct()
+    return texts.mapInArrow(run, "part bigint, lang string, phrases binary, counts binary")
 
 
 class Trie:
@@ -251,13 +310,16 @@ class Trie:
         self.before = np.cumsum(np.bitwise_count(self.accept), dtype=np.int32) - np.bitwise_count(self.accept)
         self.numbers = np.argsort(final).astype(np.int32)
 
+    def ends(self, state: np.ndarray) -> np.ndarray:
+        """Which of these states accept."""
+        return (self.accept[state >> 6] >> (state & 63).astype(np.uint64)) & np.uint64(1) > 0
+
     def number(self, state: np.ndarray) -> np.ndarray:
         """Numbers of the phrases that end at those of these states that accept."""
+        state = state[self.ends(state)]
         word, bit = self.accept[state >> 6], (state & 63).astype(np.uint64)
-        ends = (word >> bit) & np.uint64(1) > 0
-        word, bit = word[ends], bit[ends]
         lower = word & ((np.uint64(1) << bit) - np.uint64(1))
-        return self.numbers[self.before[state[ends] >> 6] + np.bitwise_count(lower)]
+        return self.numbers[self.before[state >> 6] + np.bitwise_count(lower)]
 
     def after(self, text: bytes) -> int:
         """The state after a text from the root; -1 if there is none."""
@@ -269,65 +331,97 @@ class Trie:
             state = place
         return state
 
-    def accepted(self, words: Words, roots: np.ndarray) -> np.ndarray:
-        """Numbers of all phrases met, once for each occurrence. `roots` has a state for each text."""
-        state = roots[words.row]
-        go = state >= 0
-        state, at, met = state[go], words.start[go], []
+    def _walk(self, data: np.ndarray, at: np.ndarray, state: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Goes on from a state at each of these places of `data`. Gives the accepting states that are come to, and from
+        which of the places."""
+        own = np.flatnonzero(state >= 0)
+        state, at = state[own], at[own]
         while len(state):
-            byte = words.bytes[at].astype(np.int32)
+            byte = data[at].astype(np.int32)
             over = byte == PIECE_END
             byte[over] = SPACE
             place = self.base[state] + byte
             go = self.check[place] == state
-            place, at, over, byte = place[go], at[go], over[go], byte[go]
-            met.append(self.number(place[byte == SPACE]))
+            place, at, over, byte, own = place[go], at[go], over[go], byte[go], own[go]
+            space = np.flatnonzero(byte == SPACE)
+            space = space[self.ends(place[space])]
+            yield place[space], own[space]
             # At the end of a piece a phrase may end, but none goes on.
             go = ~over
-            state, at = place[go], at[go] + 1
-        return np.concatenate(met) if met else np.empty(0, np.int32)
+            state, at, own = place[go], at[go] + 1, own[go]
 
+    def accepted(self, words: Words, roots: np.ndarray) -> np.ndarray:
+        """Numbers of all phrases met, once for each occurrence. `roots` has a state for each text."""
+        met = [self.number(state) for state, _ in self._walk(words.bytes, words.start, roots[words.row])]
+        return np.concatenate(met) if met else np.empty(0, np.int32)
 
-def _count_phrases(spark: SparkSession, texts: DataFrame, phrases: pa.Table, folder: str) -> None:
-    """Writes the occurrences of each of the phrases of one trie, by `number`."""
-    trie = Trie(phrases["key"].combine_chunks())
-    number = phrases["number"].to_numpy()
-    shared = spark.sparkContext.broadcast((trie, len(number)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, size = shared.value
-        counts = np.zeros(size, np.int64)
-        roots: dict[str, int] = {}
-        for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
-            coded = batch.column(0).dictionary_encode()
-            known = coded.dictionary.to_pylist()
-            for lang in known:
-                if lang not in roots:
-                    roots[lang] = own.after(lang.encode() + b"\n")
-            start = np.array([roots[lang] for lang in known], np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
-            counts += np.bincount(own.accepted(Words(data, offsets), start), minlength=size)
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int64)), pa.array(counts[met])], names=["place", "n"])
-
-    summed = texts.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("f"))
-    # Phrases were collected in order of their numbers, without gaps.
-    summed.select((F.col("place") + int(number[0])).alias("number"), "f").write.mode("append").parquet(folder)
-    # Executors needn't hold it beside the next one.
-    shared.destroy()
-
-
-def _tries(sizes: list) -> list[list[tuple[int, int, int]]]:
+    def counts(self, data: np.ndarray, start: np.ndarray, roots: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """For each phrase the sum of `times` where it is met from `start` on. `roots` has a state for each start."""
+        out = np.zeros(len(self.numbers), np.int64)
+        for first in range(0, len(start), WALKED):
+            some = slice(first, first + WALKED)
+            met = [(self.number(state), times[some][own]) for state, own in self._walk(data, start[some], roots[some])]
+            if met:
+                numbers, n = map(np.concatenate, zip(*met, strict=True))
+                # Sums below 2**53 are exact.
+                out += np.bincount(numbers, n, len(out)).astype(np.int64)
+        return out
+
+
+def _bytes(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of all rows of a binary column without nulls, one row after the other."""
+    own = [np.empty(0, np.uint8)]
+    for x in column.cast(pa.large_binary()).chunks:
+        offsets = np.frombuffer(x.buffers()[1], np.int64)[x.offset : x.offset + len(x) + 1]
+        own.append(np.frombuffer(x.buffers()[2], np.uint8)[offsets[0] : offsets[-1]])
+    return np.concatenate(own)
+
+
+def _counted(met: DataFrame, parts: int, min_count: int) -> DataFrame:
+    """Phrases met often enough: `key` (language, line end, phrase, space), its number of words `size`, and `f`."""
+    bounds = TRIE_PHRASES, TRIE_BYTES
+
+    def run(group: pa.Table) -> pa.Table:
+        # All phrases of a part have the same number of words, so that none is another's beginning.
+        size = group["part"][0].as_py() // parts + 1
+        coded = group["lang"].combine_chunks().dictionary_encode()
+        data, times = _bytes(group["phrases"]), _bytes(group["counts"]).view("<u4")
+        each = pc.binary_length(group["counts"]).to_numpy() // 4
+        lang = np.repeat(coded.indices.to_numpy(zero_copy_only=False), each)
+        begin = np.concatenate([[0], np.flatnonzero(data == PIECE_END) + 1])
+        spaced = pa.py_buffer(np.where(data == PIECE_END, np.uint8(SPACE), data))
+        phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(times), [None, pa.py_buffer(begin), spaced])
+        known = [x.encode() + b"\n" for x in coded.dictionary.to_pylist()]
+        keys = pc.binary_join_element_wise(pa.array(known, pa.large_binary()).take(pa.array(lang)), phrases, pa.scalar(b"", pa.large_binary())).unique()
+        keys = keys.take(pc.sort_indices(keys))
+        often = []
+        for stretches in _tries([(0, len(keys), pc.sum(pc.binary_length(keys)).as_py())], bounds):
+            first, last = stretches[0][1], stretches[-1][2]
+            own = keys.slice(first - 1, last - first + 1)
+            trie = Trie(own)
+            roots = np.array([trie.after(x) for x in known], np.int32)[lang]
+            f = pa.array(trie.counts(data, begin[:-1], roots, times))
+            often.append(pa.table({"key": own, "f": f}).filter(pc.field("f") >= min_count))
+        out = pa.concat_tables(often)
+        key = out["key"].cast(pa.binary())
+        return pa.table({"key": key, "f": out["f"], "size": pa.array(np.full(len(out), size, np.int32))})
+
+    return met.groupBy("part").applyInArrow(run, "key binary, f bigint, size int")
+
+
+def _tries(sizes: list, bounds: tuple[int, int] | None = None) -> list[list[tuple[int, int, int]]]:
     """For each trie the stretches (part, first number, last number) that it holds, from parts' numbers and bytes of
     phrases. Small parts share a trie; a large one is cut."""
+    most, most_bytes = bounds or (TRIE_PHRASES, TRIE_BYTES)
     out: list[list[tuple[int, int, int]]] = []
     phrases = size = 0
     for part, n, n_bytes in sizes:
-        cuts = max(1, -(-n // TRIE_PHRASES), -(-n_bytes // TRIE_BYTES))
+        cuts = max(1, -(-n // most), -(-n_bytes // most_bytes))
         step = -(-n // cuts)
         for first in range(1, n + 1, step):
             last = min(n, first + step - 1)
             own = -(-n_bytes * (last - first + 1) // n)
-            if not out or phrases + last - first + 1 > TRIE_PHRASES or size + own > TRIE_BYTES:
+            if not out or phrases + last - first + 1 > most or size + own > most_bytes:
                 out.append([])
                 phrases = size = 0
             out[-1].append((part, first, last))
@@ -344,42 +438,17 @@ def phrase_counts(
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG))
     texts = docs.select(lang.alias("lang"), empty_for_null(text_col).alias("body"))
     bitmaps: list = []
-    found_at_all = 0
     size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    sum_parts = max(SUM_PARTS, -(-size // SUM_BYTES))
+    parts = max(SUM_PARTS, -(-size // SUM_BYTES))
     for level in range(1, longest + 1):
-        found = stored(_sums(texts, level, bitmaps, min_count, sum_parts), "hashes")
-        found_at_all += found.count()
+        found = stored(_sums(texts, level, bitmaps, min_count, parts), "hashes")
         bitmaps.append(spark.sparkContext.broadcast(_bitmap(found)))
-    # Each phrase let through is one of the hashes, but for the few that share all bits with one.
-    parts = 1 + found_at_all // TRIE_PHRASES
-    key = F.concat("lang", F.lit("\n"), "phrase", F.lit(" ")).cast("binary")
-    keyed = _candidates(texts, longest, bitmaps).select(key.alias("key"))
-    # Parts are ranges of keys; a row's own id is its part and its place there.
-    ordered = keyed.repartitionByRange(parts, "key").sortWithinPartitions("key")
-    ordered = stored(ordered.withColumn("at", F.monotonically_increasing_id()), "ordered")
-    part, place = F.shiftright("at", 33).cast("int"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    placed = ordered.select("at", "key", part.alias("part"), place.alias("place"))
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("key")).alias("bytes"))
-    sizes = [tuple(row) for row in sizes.orderBy("part").collect()]
-    before = np.zeros(max([part for part, _, _ in sizes], default=0) + 1, np.int64)
-    before[[part for part, _, _ in sizes]] = np.cumsum([n for _, n, _ in sizes]) - [n for _, n, _ in sizes]
-    offset = F.get(F.array(*map(F.lit, before.tolist())), F.col("part"))
-    numbered = placed.withColumn("number", offset + F.col("place"))
-    folder = fresh_folder(spark, "phrase-counts")
-    empty = spark.createDataFrame([], "number bigint, f bigint")
-    empty.write.parquet(folder)
-    for stretches in _tries(sizes):
-        (first_part, first, _), (last_part, _, last) = stretches[0], stretches[-1]
-        own = numbered.filter(F.col("at").between((first_part << 33) + first - 1, (last_part << 33) + last - 1))
-        _count_phrases(spark, texts, own.select("number", "key").orderBy("number").toArrow(), folder)
-    counts = spark.read.parquet(folder).filter(F.col("f") >= min_count)
+    counts = _counted(_met(texts, longest, bitmaps, parts), parts, min_count)
     # The phrase is what follows the last line end, without the final space.
     text = F.col("key").cast("string")
     phrase = F.substring_index(text, "\n", -1)
     lang = F.substring(text, F.lit(1), F.length(text) - F.length(phrase) - 1)
-    out = numbered.join(counts, "number").select(lang.alias("lang"), F.rtrim(phrase).alias("phrase"), "f")
-    return stored(out.withColumn("size", F.size(F.split("phrase", " "))), "phrases")
+    return stored(counts.select(lang.alias("lang"), F.rtrim(phrase).alias("phrase"), "f", "size"), "phrases")
 
 
 def _floor_share(a: Column, left: Column, right: Column) -> Column:

@@ -102,6 +102,57 @@ def test_tries_hold_ranges_within_their_bounds(monkeypatch):
     assert got == [[(0, 1, 4), (1, 1, 5)], [(3, 1, 3)], [(4, 1, 9)], [(4, 10, 18)], [(4, 19, 25), (5, 1, 1)], [(5, 2, 2)]]
 
 
+def test_passes_over_the_texts_do_not_follow_the_phrases(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 7)
+    rows = table(120, 5)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    passes, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *args: passes.append(args) or real(self, *args))
+    assert sorted(map(tuple, mine_phrases(docs).collect())) == mined(rows)
+    assert len(passes) == 4
+
+
+class Here:
+    """Runs a function on batches in this process."""
+
+    def __init__(self, *batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        self.given = list(run(iter(self.batches)))
+        return self
+
+    def groupBy(self, name):
+        return self
+
+    def applyInArrow(self, run, schema):
+        whole = pa.Table.from_batches(self.given)
+        parts = whole["part"].unique().to_pylist()
+        return pa.concat_tables(run(whole.filter(pa.compute.field("part") == x)) for x in parts)
+
+
+@pytest.mark.parametrize("buffered, tries, one_hash", [(1_500_000, 500_000, False), (40, 3, False), (200, 5, True)])
+def test_phrases_meet_whatever_their_hashes(monkeypatch, buffered, tries, one_hash):
+    draw = random.Random(5)
+    words = ["a", "b", "ab", "eight888", "eight889", "é" * 9, "é" * 8 + "e", "x" * 300]
+    texts = [" ".join(draw.choices(words, k=draw.randint(0, 9))) + draw.choice(["", ". ", "\n"]) for _ in range(90)]
+    langs = [draw.choice(["en", "fr", "e\nn", ""]) for _ in texts]
+    monkeypatch.setattr(phrases, "BUFFERED", buffered)
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 500)
+    monkeypatch.setattr(phrases, "WALKED", 11)
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", tries)
+    if one_hash:
+        monkeypatch.setattr(Words, "hashes", lambda self, langs, words, at: np.full(len(at), 77, np.uint64))
+    cut = lambda rows: pa.RecordBatch.from_arrays([pa.array(langs[rows]), pa.array(texts[rows])], names=["lang", "body"])
+    met = phrases._met(Here(cut(slice(0, 50)), cut(slice(50, None))), 3, [], 4)
+    got = {(k, size): f for k, f, size in zip(*phrases._counted(met, 4, 2).to_pydict().values(), strict=True)}
+    expected = Counter()
+    for lang, text in zip(langs, texts, strict=True):
+        w = text.rstrip(". \n").split()
+        expected.update((lang, *w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    assert got == {(f"{lang}\n{' '.join(w)} ".encode(), len(w)): n for (lang, *w), n in expected.items() if n >= 2}
+
+
 def test_a_trie_takes_few_bytes_a_state():
     trie = Trie(pa.array(sorted(f"en\n{i:07d} ".encode() for i in range(0, 90_000, 9))))
     states = len(trie.check)
