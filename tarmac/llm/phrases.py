@@ -12,7 +12,7 @@ texts is that of the levels and one, however many phrases are frequent.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,8 +38,9 @@ TRIE_BYTES = 12_000_000
 #: Phrases that go through a trie together.
 WALKED = 500_000
 SLICE_BYTES = 1_000_000
-#: Hashes or phrases that a task counts together before it hands them on, and languages of phrases.
+#: Hashes, phrases, and languages of phrases that a task counts together before it hands them on.
 BUFFERED = 1_500_000
+BUFFERED_PHRASES = 1_000_000
 BUFFERED_LANGS = 20_000
 #: Bytes of text for each group that sums hashes or the counts of phrases of a level, and the least number of groups.
 SUM_BYTES = 10_000_000
@@ -48,12 +49,9 @@ SUM_PARTS = 32
 RANK_PARTS = 64
 UNKNOWN_LANG = "und"
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_ENDS = np.zeros(256, bool)
-_ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
-_WORD = ~_ENDS
-_WORD[[0x20, 0x09]] = False
+_LOWER = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
+#: 0 for bytes of words, 1 between the words of a piece, 2 between pieces.
+_KINDS = bytes(2 if x in b".,;:!?\x0A\x0B\x0C\x0D" else 1 if x in b" \t" else 0 for x in range(256))
 
 
 class Words:
@@ -61,17 +59,20 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         # A line end after each text, so that words and pieces end there.
-        data = np.insert(_LOWER[data], offsets[1:], PIECE_END)
-        word = _WORD[data]
+        data = np.insert(data, offsets[1:], PIECE_END).tobytes()
+        kinds = np.frombuffer(data.translate(_KINDS), np.uint8)
+        data = np.frombuffer(data.translate(_LOWER), np.uint8)
+        word = kinds == 0
         edge = np.flatnonzero(word[1:] != word[:-1]) + 1
         if len(data) and word[0]:
             edge = np.append(0, edge)
         first, last = edge[0::2], edge[1::2]
         self.length = last - first
         self.row = np.searchsorted(offsets + np.arange(len(offsets)), first, "right") - 1
-        piece = np.cumsum(_ENDS[data], dtype=np.int32)[first]
-        self.goes_on = np.zeros(len(first), bool)
-        self.goes_on[:-1] = piece[1:] == piece[:-1]
+        # A piece does not go on after the word before its end.
+        self.goes_on = np.ones(len(first) + 1, bool)
+        self.goes_on[np.searchsorted(last, np.flatnonzero(kinds == 2), "right") - 1] = False
+        self.goes_on = self.goes_on[:-1]
         self.start = np.cumsum(self.length + 1) - (self.length + 1)
         word[last] = True
         self.bytes = data[word]
@@ -183,80 +184,112 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def _tally(keys: np.ndarray, data: np.ndarray, begin: np.ndarray, size: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The place of one of each of the different stretches of `data`, in order of their keys, and the sum of its `times`.
+def _order(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The order of numbers of so many bits, by as many of their bits as their places leave room for: numbers are sorted
+    much faster than places by numbers."""
+    room = len(keys).bit_length()
+    packed = (keys << np.uint64(64 - bits)) >> np.uint64(room) << np.uint64(room)
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    packed &= np.uint64((1 << room) - 1)
+    return packed.view(np.int64)
 
-    Equal stretches have equal keys; where keys are equal the bytes decide, eight at a time. `data` has seven bytes more
-    than the stretches need. Of stretches that share a key but differ, one may be given more than once, with a part of its sum.
+
+def _tally(
+    hashes: np.ndarray, own: np.ndarray, data: np.ndarray, begin: np.ndarray, size: np.ndarray, times: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each of the different stretches of `data`, and the sum of its `times`. Stretches of different
+    `own` are different ones.
+
+    Equal stretches have equal hashes; where hashes are equal the bytes decide, eight at a time. `data` has seven bytes more
+    than the stretches need. Of stretches that share a hash but differ, one may be given more than once, with a part of its sum.
     """
-    order = np.argsort(keys)
-    new = np.ones(len(order), bool)
-    at = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
-    at = at[size[order[at]] == size[order[at + 1]]]
-    left, right, rest = begin[order[at]], begin[order[at + 1]], size[order[at]]
+    order = _order(hashes, HASH_POWER)
     eight = np.ndarray(max(0, len(data) - 7), "<u8", data, 0, (1,))
+    # The bytes after a stretch, the higher ones of its last eight, are shifted out.
+    word = lambda at, n: eight[at] << (8 * np.maximum(8 - n, 0)).astype(np.uint64)
+    like = np.zeros(len(order), bool)
+    like[1:] = True
+    for x in (hashes, size, own, word(begin, size)):
+        x = x[order]
+        like[1:] &= x[1:] == x[:-1]
+    at = np.flatnonzero(like)
+    at = at[size[order[at]] > 8]
+    left, right, rest = begin[order[at]] + 8, begin[order[at - 1]] + 8, size[order[at]] - 8
     while len(at):
-        # The bytes after a stretch, the higher ones of its last eight, are shifted out.
-        same = (eight[left] ^ eight[right]) << (8 * np.maximum(8 - rest, 0)).astype(np.uint64) == 0
-        new[at[same & (rest <= 8)] + 1] = False
+        same = word(left, rest) == word(right, rest)
+        like[at[~same]] = False
         go = same & (rest > 8)
         at, left, right, rest = at[go], left[go] + 8, right[go] + 8, rest[go] - 8
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(~like)
     return order[starts], np.add.reduceat(times[order], starts) if len(starts) else times[:0]
 
 
-def _stretches(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of the stretches one after the other, and where each begins; at last, where the last one ends."""
-    ends = np.concatenate([[0], np.cumsum(size)])
-    return data[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends
+def _joined_binary(values: pa.LargeBinaryArray, edges: np.ndarray) -> pa.Array:
+    """The bytes of the values from each edge to the next, as one value."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[edges]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(offsets), values.buffers()[2]]).cast(
+        pa.binary()
+    )
 
 
 def _met(texts: DataFrame, longest: int, bitmaps: list, parts: int) -> DataFrame:
     """The phrases that the bitmaps let through and how often they were met, many of a part and language to a row: each
     phrase is followed by a line end, its count has four bytes. A level has so many parts, which are ranges of hashes."""
-    power = np.uint64(HASH_POWER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [b.value for b in bitmaps]
         codes: dict[str, int] = {}
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[list[np.ndarray]] = [[], [], [], [], []]
         size = 0
 
         def counted() -> pa.RecordBatch:
-            keys, data, n, times = (np.concatenate(x) for x in zip(*held, strict=True))
-            begin = np.cumsum(n) - n
-            first, times = _tally(keys, np.append(data, np.zeros(7, np.uint8)), begin, n, times)
-            data, ends = _stretches(data, begin[first], n[first])
-            keys = keys[first]
-            own, rank = keys >> power, ((keys & np.uint64((1 << HASH_POWER) - 1)) * np.uint64(parts)) >> power
-            at = group_starts(own * np.uint64(parts) + rank)
-            own, rank, at = own[at].astype(np.int64), rank[at].astype(np.int64), np.append(at, len(first))
-            binary = lambda offsets, x: pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(own), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(x))]
-            ).cast(pa.binary())
-            part, lang = own % longest * parts + rank, pa.array(list(codes), pa.string()).take(pa.array(own // longest))
-            columns = [pa.array(part), lang, binary(ends[at], data), binary(4 * at, times.astype("<u4").view(np.uint8))]
-            return pa.RecordBatch.from_arrays(columns, names=["part", "lang", "phrases", "counts"])
+            hashes, own, n, times, text = (np.concatenate(x) for x in held)
+            for x in held:
+                x.clear()
+            ends = np.cumsum(np.append(0, n))
+            first, times = _tally(hashes, own, text, ends[:-1], n, times)
+            # In order of parts, and of languages and levels in a part.
+            rank = (hashes[first] * np.uint64(parts)) >> np.uint64(HASH_POWER)
+            kinds = longest * len(codes)
+            kind = rank * np.uint64(kinds) + own[first]
+            order = _order(kind, (parts * kinds).bit_length())
+            kind = kind[order]
+            at = group_starts(kind)
+            edges, kind = np.append(at, len(kind)), kind[at].astype(np.int64)
+            phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(text)])
+            phrases = _joined_binary(phrases.take(pa.array(first[order])), edges)
+            counts = pa.py_buffer(times[order].astype("<u4"))
+            counts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(4 * edges), counts])
+            part = kind % longest * parts + kind // kinds
+            lang = pa.array(list(codes), pa.string()).take(pa.array(kind % kinds // longest))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(part), lang, phrases, counts.cast(pa.binary())], names=["part", "lang", "phrases", "counts"]
+            )
 
         for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
             words, langs = Words(data, offsets), _lang_hashes(batch.column(0))
             coded = batch.column(0).dictionary_encode()
-            known = np.array([codes.setdefault(x, len(codes)) for x in coded.dictionary.to_pylist()], np.uint64)
-            code = known[coded.indices.to_numpy(zero_copy_only=False)] * np.uint64(longest)
-            bytes_ = np.append(words.bytes, np.zeros(7, np.uint8))
+            known = np.array([codes.setdefault(x, len(codes)) for x in coded.dictionary.to_pylist()], np.uint32)
+            code = known[coded.indices.to_numpy(zero_copy_only=False)] * np.uint32(longest)
+            padded = np.append(words.bytes, np.zeros(7, np.uint8))
             for level, (at, hashes) in enumerate(_levels(words, langs, longest, bits)):
-                keys = ((code[words.row[at]] + np.uint64(level)) << power) + hashes
-                begin = words.start[at]
+                own, begin = code[words.row[at]] + np.uint32(level), words.start[at]
                 n = words.ends(level + 1)[at] - begin
-                first, times = _tally(keys, bytes_, begin, n, np.ones(len(at), np.int64))
-                text, ends = _stretches(bytes_, begin[first], n[first] + 1)
-                text[ends[1:] - 1] = PIECE_END
-                held.append((keys[first], text, n[first] + 1, times))
+                first, times = _tally(hashes, own, padded, begin, n, np.ones(len(at), np.uint32))
+                begin, n = begin[first], n[first] + 1
+                ends = np.cumsum(n)
+                text = padded[np.repeat(begin - ends + n, n) + np.arange(n.sum())]
+                text[ends - 1] = PIECE_END
+                for x, new in zip(held, (hashes[first], own[first], n.astype(np.int32), times, text), strict=True):
+                    x.append(new)
                 size += len(first)
-            if size >= BUFFERED or len(codes) >= BUFFERED_LANGS:
+            if size >= BUFFERED_PHRASES or len(codes) >= BUFFERED_LANGS:
+                held[-1].append(np.zeros(7, np.uint8))
                 yield counted()
-                codes, held, size = {}, [], 0
+                codes, size = {}, 0
         if size:
+            held[-1].append(np.zeros(7, np.uint8))
             yield counted()
 
     return texts.mapInArrow(run, "part bigint, lang string, phrases binary, counts binary")
@@ -533,5 +566,15 @@ def word_totals(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     """Words of each language."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG))
     texts = docs.select(lang.alias("lang"), empty_for_null(text_col).alias("body"))
-    words: Callable[[Column], Column] = lambda text: F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D.,;:!?]+"))
-    return texts.groupBy("lang").agg(F.sum(words(F.col("body")).cast("bigint")).alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in slices(batches, "body", SLICE_BYTES):
+            data = np.insert(data, offsets[1:], PIECE_END).tobytes()
+            word = np.frombuffer(data.translate(_KINDS), np.uint8) == 0
+            word[1:] &= ~word[:-1]
+            n = np.add.reduceat(word, offsets[:-1] + np.arange(len(offsets) - 1), dtype=np.int64)
+            coded = batch.column(0).dictionary_encode()
+            n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), n, len(coded.dictionary)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(n)], names=["lang", "n"])
+
+    return texts.mapInArrow(run, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n"))

@@ -109,7 +109,17 @@ def test_passes_over_the_texts_do_not_follow_the_phrases(spark, monkeypatch):
     passes, real = [], type(docs).mapInArrow
     monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *args: passes.append(args) or real(self, *args))
     assert sorted(map(tuple, mine_phrases(docs).collect())) == mined(rows)
-    assert len(passes) == 4
+    # One for each level, one that counts phrases, one that counts all words.
+    assert len(passes) == 5
+
+
+def test_words_of_each_language(spark):
+    rows = table(50, 6)
+    expected = Counter()
+    for _, text, lang in rows:
+        expected[lang or "und"] += len(re.findall(r"[^\x20\x09-\x0D.,;:!?]+", text or ""))
+    docs = spark.createDataFrame([*rows, (9, " , ", "none"), (9, "a b", "")], SCHEMA)
+    assert dict(map(tuple, phrases.word_totals(docs).collect())) == expected | {"none": 0, "": 2}
 
 
 class Here:
@@ -131,13 +141,13 @@ class Here:
         return pa.concat_tables(run(whole.filter(pa.compute.field("part") == x)) for x in parts)
 
 
-@pytest.mark.parametrize("buffered, tries, one_hash", [(1_500_000, 500_000, False), (40, 3, False), (200, 5, True)])
+@pytest.mark.parametrize("buffered, tries, one_hash", [(1_000_000, 500_000, False), (40, 3, False), (200, 5, True)])
 def test_phrases_meet_whatever_their_hashes(monkeypatch, buffered, tries, one_hash):
     draw = random.Random(5)
     words = ["a", "b", "ab", "eight888", "eight889", "é" * 9, "é" * 8 + "e", "x" * 300]
     texts = [" ".join(draw.choices(words, k=draw.randint(0, 9))) + draw.choice(["", ". ", "\n"]) for _ in range(90)]
     langs = [draw.choice(["en", "fr", "e\nn", ""]) for _ in texts]
-    monkeypatch.setattr(phrases, "BUFFERED", buffered)
+    monkeypatch.setattr(phrases, "BUFFERED_PHRASES", buffered)
     monkeypatch.setattr(phrases, "SLICE_BYTES", 500)
     monkeypatch.setattr(phrases, "WALKED", 11)
     monkeypatch.setattr(phrases, "TRIE_PHRASES", tries)
